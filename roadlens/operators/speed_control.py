@@ -136,6 +136,10 @@ def session_endpoints(
     lo, hi = params.lo_seg, params.hi_seg
     on_stretch = in_stretch(reports.select("vid", *_ROW), lo, hi)
     s = sessionize(on_stretch, params.gap_units, policy=policy)
+    if exact:
+        # The same null test the semi join below would infer, stated once before the branches
+        # split: both branches then share one plan and Spark reuses its shuffle output.
+        s = s.where(F.col("vid").isNotNull() & F.col("session_start").isNotNull())
     neg_pos = -F.col("pos").cast("bigint")
     aggs = [
         F.count(F.lit(1)).alias("n"),

@@ -5,8 +5,8 @@ partitioned by the vehicle. If one vehicle held a third of all reports, a plain
 ``Window.partitionBy("vid")`` would hand that third to a single task. The helpers here keep
 the declarative window plan but partition by ``(key, block)``:
 
-* ``with_blocks`` runs one aggregation (partial, map-side combined) of count/min/max of the
-  order axis per key. Keys above ``SkewPolicy.hot_rows`` rows are *hot*; they are cut into
+* ``with_blocks`` runs one statistics job (partial, map-side combined) of count/min/max of
+  the order axis per key. Keys above ``SkewPolicy.hot_rows`` rows are *hot*; they are cut into
   contiguous ranges of the axis ("blocks", ~``block_rows`` rows each). Ordinary keys keep a
   single block ``-1``. The hot-key table holds at most ``max_hot_keys`` rows, so it is
   broadcast with a proven bound; keys past that bound stay single-block (exact, unsplit).
@@ -37,31 +37,54 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def with_blocks(
+def hot_key_table(
     df: DataFrame,
     keys: Sequence[str],
     axis: str | Column,
     policy: SkewPolicy = DEFAULT_SKEW,
-) -> DataFrame:
-    """Add column ``_blk``: -1 for ordinary keys, 0.. for contiguous axis ranges of hot keys.
+) -> DataFrame | None:
+    """Hot keys with their block layout (``keys, _a0, _aw``), or None if no key is hot.
 
-    ``axis`` must be numeric and the leading column of the per-key order, so that blocks are
-    contiguous in that order.
+    Runs one job: a grouped count/min/max of the axis per key (map-side partial
+    aggregation, so a hot key costs one row per map task), keeping the at most
+    ``max_hot_keys`` largest keys above ``hot_rows``. Only that bounded table reaches the
+    driver; it comes back as a local relation, small enough to broadcast by construction.
     """
-    if not policy.enabled:
-        return df.withColumn(BLK, F.lit(-1).cast("bigint"))
     ax = _col(axis).cast("bigint")
     stats = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), F.min(ax).alias("_a0"), F.max(ax).alias("_a1")
     )
+    nblk = F.least(F.lit(policy.max_blocks), F.ceil(F.col("_n") / F.lit(policy.block_rows)))
+    width = F.greatest(F.lit(1), F.ceil((F.col("_a1") - F.col("_a0") + F.lit(1)) / nblk))
     hot = (
         stats.where(F.col("_n") > F.lit(policy.hot_rows))
         .orderBy(F.col("_n").desc(), *keys)
         .limit(policy.max_hot_keys)
+        .select(*keys, F.col("_a0"), width.cast("bigint").alias("_aw"))
     )
-    nblk = F.least(F.lit(policy.max_blocks), F.ceil(F.col("_n") / F.lit(policy.block_rows)))
-    width = F.greatest(F.lit(1), F.ceil((F.col("_a1") - F.col("_a0") + F.lit(1)) / nblk))
-    hot = hot.select(*keys, F.col("_a0"), width.cast("bigint").alias("_aw"))
+    rows = hot.collect()
+    if not rows:
+        return None
+    return df.sparkSession.createDataFrame(rows, schema=hot.schema)
+
+
+def with_blocks(
+    df: DataFrame,
+    keys: Sequence[str],
+    axis: str | Column,
+    policy: SkewPolicy = DEFAULT_SKEW,
+) -> DataFrame:
+    """Add column ``_blk``: -1 for ordinary keys, 0.. for contiguous axis ranges of hot keys.
+
+    ``axis`` must be numeric and the leading column of the per-key order, so that blocks are
+    contiguous in that order. With no hot key (or ``policy.enabled=False``) ``_blk`` is the
+    literal -1: Catalyst folds every hot-only branch (``_blk >= 0``) to an empty relation,
+    and the plan is the plain per-key window plan.
+    """
+    hot = hot_key_table(df, keys, axis, policy) if policy.enabled else None
+    if hot is None:
+        return df.withColumn(BLK, F.lit(-1).cast("bigint"))
+    ax = _col(axis).cast("bigint")
     cols = df.columns
     joined = df.join(F.broadcast(hot), on=list(keys), how="left")
     blk = F.when(F.col("_aw").isNull(), F.lit(-1)).otherwise(
