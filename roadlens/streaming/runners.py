@@ -1,8 +1,124 @@
-"""Placeholder: filled in with the streaming twins."""
+"""Run the streaming twins over a bounded, replayable file source.
 
+The reports (derived by Spark from the given tables) are written as parquet in time-ordered
+chunks under the session's checkpoint folder (``spark.checkpoint.dir``); a file stream reads
+one chunk per micro-batch (``maxFilesPerTrigger=1``), ``trigger(availableNow=True)`` drains it,
+and a parquet sink with its own checkpoint stores the output. Everything lives in a fresh
+sub-folder per run, so a rerun never reads a previous run's files, and a restarted query
+resumes from its checkpoint.
+"""
 
-def _todo(spark, sf_dir):
-    raise NotImplementedError
+from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 
-stream_speed_radar_query = stream_accident_reporter_query = stream_average_speed_control_query = _todo
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from roadlens.config import Params
+from roadlens.session import checkpoint_root
+from roadlens.sources.events_view import load_reports
+from roadlens.streaming.operators import (
+    stream_accident_reporter,
+    stream_average_speed_control,
+    stream_speed_radar,
+)
+
+REPORT_COLS = ("seq", "time", "vid", "speed", "xway", "lane", "dir", "seg", "pos")
+FLUSH_VID = -1  # vehicle id of the end-of-input flush report (never emitted)
+INT_MAX = 2**31 - 1
+
+
+def run_folder(spark: SparkSession, tag: str) -> str:
+    return f"{checkpoint_root(spark)}/roadlens-stream/{tag}-{uuid.uuid4().hex}"
+
+
+def stage_chunks(reports: DataFrame, folder: str, chunks: int = 3) -> None:
+    """Write ``reports`` as ``chunks`` successive appends, ordered by ``time``.
+
+    Chunk boundaries are approximate quantiles of ``time`` (a handful of numbers reach the
+    driver); each chunk is one Spark write, so file modification order is time order.
+    """
+    cuts = reports.approxQuantile("time", [i / chunks for i in range(1, chunks)], 0.001) if chunks > 1 else []
+    bounds = [None, *cuts, None]
+    for lo, hi in zip(bounds[:-1], bounds[1:]):
+        part = reports
+        if lo is not None:
+            part = part.where(F.col("time") >= F.lit(int(lo)))
+        if hi is not None:
+            part = part.where(F.col("time") < F.lit(int(hi)))
+        part.select(*REPORT_COLS).write.mode("append").parquet(folder)
+
+
+def flush_report(spark: SparkSession, folder: str, seg: int) -> None:
+    """Append one far-future report on the stretch: it moves the watermark past every session."""
+    spark.range(1).select(
+        F.lit(INT_MAX).cast("bigint").alias("seq"),
+        F.lit(INT_MAX).cast("int").alias("time"),
+        F.lit(FLUSH_VID).cast("bigint").alias("vid"),
+        *[F.lit(0).cast("int").alias(c) for c in ("speed", "xway", "lane", "dir")],
+        F.lit(seg).cast("int").alias("seg"),
+        F.lit(0).cast("int").alias("pos"),
+    ).write.mode("append").parquet(folder)
+
+
+def run_stream(
+    spark: SparkSession,
+    source_folder: str,
+    schema,
+    transform: Callable[[DataFrame], DataFrame],
+    out_folder: str,
+    files_per_trigger: int = 1,
+) -> DataFrame:
+    """Drain ``source_folder`` through ``transform`` into a parquet sink; return its contents."""
+    stream = (
+        spark.readStream.schema(schema)
+        .option("maxFilesPerTrigger", files_per_trigger)
+        .parquet(source_folder)
+    )
+    query = (
+        transform(stream)
+        .writeStream.format("parquet")
+        .outputMode("append")
+        .option("checkpointLocation", f"{out_folder}/_checkpoint")
+        .trigger(availableNow=True)
+        .start(f"{out_folder}/data")
+    )
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    return spark.read.parquet(f"{out_folder}/data")
+
+
+def _staged(spark: SparkSession, sf_dir: str, tag: str, flush_seg: int | None = None):
+    base = run_folder(spark, tag)
+    reports = load_reports(spark, sf_dir)
+    stage_chunks(reports, f"{base}/source")
+    if flush_seg is not None:
+        flush_report(spark, f"{base}/source", flush_seg)
+    schema = spark.read.parquet(f"{base}/source").schema
+    return base, schema
+
+
+def stream_speed_radar_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base, schema = _staged(spark, sf_dir, "speed-radar")
+    return run_stream(spark, f"{base}/source", schema, stream_speed_radar, f"{base}/out")
+
+
+def stream_accident_reporter_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base, schema = _staged(spark, sf_dir, "accident")
+    return run_stream(spark, f"{base}/source", schema, stream_accident_reporter, f"{base}/out")
+
+
+def stream_average_speed_control_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    params = Params()
+    base, schema = _staged(spark, sf_dir, "speed-control", flush_seg=params.lo_seg)
+    out = run_stream(
+        spark,
+        f"{base}/source",
+        schema,
+        lambda s: stream_average_speed_control(s, params),
+        f"{base}/out",
+    )
+    return out.where(F.col("vid") != F.lit(FLUSH_VID))
