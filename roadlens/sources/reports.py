@@ -53,8 +53,8 @@ def lines_to_reports(lines: DataFrame, on_error: str = "fail", line_col: str = "
     if on_error == "quarantine":
         ok = F.lit(True)
         for p, f in fields:
-            ok = ok & _field_ok(p) & F.try_cast(p, f.dataType).isNotNull()
-        values = [F.try_cast(p, f.dataType).alias(f.name) for p, f in fields]
+            ok = ok & _field_ok(p) & p.try_cast(f.dataType).isNotNull()
+        values = [p.try_cast(f.dataType).alias(f.name) for p, f in fields]
         return lines.where(ok).select(*keep, *values)
     raise ValueError("on_error must be 'fail' or 'quarantine'")
 
@@ -65,7 +65,7 @@ def bad_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
     ok = F.lit(True)
     for i, field in enumerate(REPORT_SCHEMA.fields):
         p = F.get(parts, i)
-        ok = ok & _field_ok(p) & F.try_cast(p, field.dataType).isNotNull()
+        ok = ok & _field_ok(p) & p.try_cast(field.dataType).isNotNull()
     return lines.where(~ok | F.col(line_col).isNull())
 
 
