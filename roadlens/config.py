@@ -56,9 +56,10 @@ class SkewPolicy:
     report of a vehicle into one task. A vehicle with more than ``hot_rows`` reports is a
     *hot key*: its reports are cut into contiguous time blocks of about ``block_rows``
     reports, each block runs in its own task, and small per-block summaries stitch the
-    blocks back together exactly. At most ``max_hot_keys`` keys are split (the broadcast
-    table of hot keys is bounded by it); further hot keys fall back to one task each,
-    still exact. ``enabled=False`` skips the statistics pass entirely.
+    blocks back together exactly. Hot keys are found on a sample (``sample_rows`` expected
+    rows per hot key). At most ``max_hot_keys`` keys are split (the broadcast table of hot
+    keys is bounded by it); further hot keys fall back to one task each, still exact.
+    ``enabled=False`` skips the statistics pass entirely.
     """
 
     enabled: bool = True
@@ -66,6 +67,8 @@ class SkewPolicy:
     block_rows: int = 500_000
     max_blocks: int = 8192
     max_hot_keys: int = 4096
+    sample_rows: int = 1000  # expected sampled rows of a key with hot_rows rows
+    seed: int = 17
 
 
 DEFAULT_SKEW = SkewPolicy()

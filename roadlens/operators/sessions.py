@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadlens.config import DEFAULT_SKEW, Params, SkewPolicy
-from roadlens.plans.blocks import BLK, with_blocks
+from roadlens.plans.blocks import BLK, split_hot
 from roadlens.schema import ORDER
 
 
@@ -34,7 +34,14 @@ def sessionize(
     keys = list(keys)
     gap = F.lit(int(gap_units)).cast("bigint")
     t = F.col("time").cast("bigint")
-    b = with_blocks(reports, keys, "time", policy)
+    b, hot = split_hot(reports, keys, "time", policy)
+    if not hot:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        prev = F.lag("time").over(w)
+        brk = F.when(prev.isNull() | (t - prev > gap), F.col("time"))
+        marked = reports.select("*", brk.alias("_bt"))
+        upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return marked.select(*reports.columns, F.max("_bt").over(upto).cast("int").alias("session_start"))
     w = Window.partitionBy(*keys, BLK).orderBy(*order)
     prev = F.lag("time").over(w)
     # a break starts a session; the first report of a hot block is decided from summaries

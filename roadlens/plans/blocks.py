@@ -5,7 +5,7 @@ partitioned by the vehicle. If one vehicle held a third of all reports, a plain
 ``Window.partitionBy("vid")`` would hand that third to a single task. The helpers here keep
 the declarative window plan but partition by ``(key, block)``:
 
-* ``with_blocks`` runs one statistics job (partial, map-side combined) of count/min/max of
+* ``split_hot`` runs one statistics job (partial, map-side combined) of count/min/max of
   the order axis per key. Keys above ``SkewPolicy.hot_rows`` rows are *hot*; they are cut into
   contiguous ranges of the axis ("blocks", ~``block_rows`` rows each). Ordinary keys keep a
   single block ``-1``. The hot-key table holds at most ``max_hot_keys`` rows, so it is
@@ -16,9 +16,10 @@ the declarative window plan but partition by ``(key, block)``:
   block; the first ``h`` rows of each hot block are recomputed over the *edge table* (the
   first and last ``h`` rows of every hot block), which holds all rows they can reach.
 
-Every filter on the block column sits on a window partition column, so Catalyst pushes it
-below the window and the exchange: the hot-only branches read and shuffle hot rows only,
-and are empty when no key is hot.
+With no hot key the helpers build the plain per-key window plan and nothing else. With hot
+keys, every filter on the block column sits on a window partition column, so Catalyst
+pushes it below the window and the exchange: the hot-only branches read and shuffle hot
+rows only.
 """
 
 from __future__ import annotations
@@ -43,52 +44,66 @@ def hot_key_table(
     axis: str | Column,
     policy: SkewPolicy = DEFAULT_SKEW,
 ) -> DataFrame | None:
-    """Hot keys with their block layout (``keys, _a0, _aw``), or None if no key is hot.
-
-    Runs one job: a grouped count/min/max of the axis per key (map-side partial
-    aggregation, so a hot key costs one row per map task), keeping the at most
-    ``max_hot_keys`` largest keys above ``hot_rows``. Only that bounded table reaches the
-    driver; it comes back as a local relation, small enough to broadcast by construction.
+    """Hot keys with their block layout (``keys, _a0, _aw, _nb``), or None if no key is hot.
+
+    Runs one job over a seeded Bernoulli sample of the rows (fraction ``f`` chosen so that a
+    key with ``hot_rows`` rows is expected to show ``sample_rows`` times; ``f = 1`` for tiny
+    thresholds, then the counts are exact). The sample is grouped by key with map-side
+    partial aggregation, so the shuffle is ~``f`` times the rows; a key is hot when its
+    sampled count passes half its expectation -- a key with ``hot_rows`` rows is missed
+    with negligible probability, and a smaller key that is split only costs balance.
+    Only the at most ``max_hot_keys`` largest keys reach the driver; they come back as a
+    local relation, small enough to broadcast by construction.
+
+    Block layout: ``_nb`` blocks of width ``_aw`` starting at ``_a0`` (from the sample);
+    ``_assign_blocks`` clamps the block index, so a time outside the sampled range still gets
+    a valid block -- the layout only affects balance, never results.
     """
     ax = _col(axis).cast("bigint")
-    stats = df.groupBy(*keys).agg(
+    frac = min(1.0, policy.sample_rows / max(1, policy.hot_rows))
+    rows = df.sample(fraction=frac, seed=policy.seed) if frac < 1.0 else df
+    threshold = policy.hot_rows if frac >= 1.0 else 0.5 * policy.hot_rows * frac
+    stats = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), F.min(ax).alias("_a0"), F.max(ax).alias("_a1")
     )
-    nblk = F.least(F.lit(policy.max_blocks), F.ceil(F.col("_n") / F.lit(policy.block_rows)))
+    est = F.col("_n") / F.lit(frac)
+    nblk = F.least(F.lit(policy.max_blocks), F.greatest(F.lit(1), F.ceil(est / F.lit(policy.block_rows))))
     width = F.greatest(F.lit(1), F.ceil((F.col("_a1") - F.col("_a0") + F.lit(1)) / nblk))
     hot = (
-        stats.where(F.col("_n") > F.lit(policy.hot_rows))
+        stats.where(F.col("_n") > F.lit(threshold))
         .orderBy(F.col("_n").desc(), *keys)
         .limit(policy.max_hot_keys)
-        .select(*keys, F.col("_a0"), width.cast("bigint").alias("_aw"))
+        .select(*keys, F.col("_a0"), width.cast("bigint").alias("_aw"), nblk.cast("bigint").alias("_nb"))
     )
-    rows = hot.collect()
-    if not rows:
+    found = hot.collect()
+    if not found:
         return None
-    return df.sparkSession.createDataFrame(rows, schema=hot.schema)
+    return df.sparkSession.createDataFrame(found, schema=hot.schema)
 
 
-def with_blocks(
+def split_hot(
     df: DataFrame,
     keys: Sequence[str],
     axis: str | Column,
     policy: SkewPolicy = DEFAULT_SKEW,
-) -> DataFrame:
-    """Add column ``_blk``: -1 for ordinary keys, 0.. for contiguous axis ranges of hot keys.
+) -> tuple[DataFrame, bool]:
+    """``(df with _blk, True)`` when some key is hot, else ``(df, False)`` unchanged.
 
-    ``axis`` must be numeric and the leading column of the per-key order, so that blocks are
-    contiguous in that order. With no hot key (or ``policy.enabled=False``) ``_blk`` is the
-    literal -1: Catalyst folds every hot-only branch (``_blk >= 0``) to an empty relation,
-    and the plan is the plain per-key window plan.
+    Callers build the plain per-key plan when no key is hot (nothing to stitch together).
     """
     hot = hot_key_table(df, keys, axis, policy) if policy.enabled else None
     if hot is None:
-        return df.withColumn(BLK, F.lit(-1).cast("bigint"))
+        return df, False
+    return _assign_blocks(df, keys, axis, hot), True
+
+
+def _assign_blocks(df: DataFrame, keys: Sequence[str], axis: str | Column, hot: DataFrame) -> DataFrame:
     ax = _col(axis).cast("bigint")
     cols = df.columns
     joined = df.join(F.broadcast(hot), on=list(keys), how="left")
+    inside = F.floor((ax - F.col("_a0")) / F.col("_aw"))
     blk = F.when(F.col("_aw").isNull(), F.lit(-1)).otherwise(
-        F.floor((ax - F.col("_a0")) / F.col("_aw"))
+        F.least(F.col("_nb") - F.lit(1), F.greatest(F.lit(0), inside))
     )
     return joined.select(*cols, blk.cast("bigint").alias(BLK))
 
@@ -162,7 +177,12 @@ def running(
         if kind not in _KINDS:
             raise ValueError(f"unknown running aggregate {kind!r}")
     axis = axis if axis is not None else order[0]
-    b = with_blocks(df, keys, axis, policy)
+    b, hot = split_hot(df, keys, axis, policy)
+    if not hot:
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(
+            Window.unboundedPreceding, Window.currentRow
+        )
+        return df.select("*", *[_local(k, c, w).alias(n) for n, (k, c) in aggs.items()])
     w = Window.partitionBy(*keys, BLK).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
@@ -211,7 +231,10 @@ def trailing(
     if h < 0:
         raise ValueError("preceding must be >= 0")
     axis = axis if axis is not None else order[0]
-    b = with_blocks(df, keys, axis, policy)
+    b, hot = split_hot(df, keys, axis, policy)
+    if not hot:
+        frame = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-h, Window.currentRow)
+        return df.select("*", *[e.alias(n) for n, e in exprs(frame).items()])
     base = b.columns
     w = Window.partitionBy(*keys, BLK).orderBy(*order)
     frame = w.rowsBetween(-h, Window.currentRow)

@@ -62,29 +62,33 @@ def reports_from_events(
         axis=F.col("_secs"),
         policy=policy,
     )
-    rn = (F.col("_rn1") - 1).cast("int")
-    uid = F.col("user_id")
-    fwd = (uid.cast("bigint") / 2).cast("bigint") % 2 == 0  # (user_id div 2) % 2 = 0
-    step = F.when(uid % 2 == 0, (F.floor(rn / 6) * 3 + F.greatest(rn % 6 - 3, F.lit(0)))).otherwise(rn)
-    step = step.cast("int")
-    if clock == "event":
-        time = F.col("_secs").cast("int")
-    else:
-        time = (F.lit(30) * rn + F.lit(300) * F.floor(rn / 24)).cast("int")
-    staged = numbered.select(
-        F.col("event_id").alias("seq"),
-        time.alias("time"),
-        uid.alias("vid"),
-        F.floor("value").cast("int").alias("speed"),
-        (uid % 3).cast("int").alias("xway"),
-        (F.col("event_id") % 5).cast("int").alias("lane"),
-        F.when(fwd, 0).otherwise(1).cast("int").alias("dir"),
-        F.when(fwd, F.lit(51) + step % 7).otherwise(F.lit(57) - step % 7).cast("int").alias("seg"),
-        step.alias("_step"),
+    time = "CAST(_secs AS INT)" if clock == "event" else "CAST(30 * rn + 300 * (rn div 24) AS INT)"
+    fwd = "(user_id div 2) % 2 = 0"
+    staged = numbered.selectExpr(
+        "event_id", "user_id", "value", "_secs", "CAST(_rn1 - 1 AS INT) AS rn"
+    ).selectExpr(
+        "event_id AS seq",
+        f"{time} AS time",
+        "user_id AS vid",
+        "CAST(floor(value) AS INT) AS speed",
+        "CAST(user_id % 3 AS INT) AS xway",
+        "CAST(event_id % 5 AS INT) AS lane",
+        f"CAST(CASE WHEN {fwd} THEN 0 ELSE 1 END AS INT) AS dir",
+        "CAST(CASE WHEN user_id % 2 = 0 THEN (rn div 6) * 3 + greatest(rn % 6 - 3, 0) ELSE rn END AS INT) AS step",
     )
-    pos = F.col("seg") * 800 + (F.col("_step").cast("bigint") * 37 + F.col("vid") * 53) % 800
-    return staged.select(
-        "seq", "time", "vid", "speed", "xway", "lane", "dir", "seg", pos.cast("int").alias("pos")
+    return staged.selectExpr(
+        "seq",
+        "time",
+        "vid",
+        "speed",
+        "xway",
+        "lane",
+        "dir",
+        "CAST(CASE WHEN dir = 0 THEN 51 + step % 7 ELSE 57 - step % 7 END AS INT) AS seg",
+        "step",
+    ).selectExpr(
+        "seq", "time", "vid", "speed", "xway", "lane", "dir", "seg",
+        "CAST(seg * 800 + (CAST(step AS BIGINT) * 37 + vid * 53) % 800 AS INT) AS pos",
     )
 
 

@@ -37,7 +37,7 @@ def random_reports(seed, vids=4, per_vid=90):
 
 
 @pytest.mark.parametrize("seed", SEEDS)
-@pytest.mark.parametrize("policy", ["default", "split"])
+@pytest.mark.parametrize("policy", ["default", "split", "sampled"])
 def test_speed_radar_and_accidents(spark, seed, policy):
     rows = random_reports(seed)
     df = frame(spark, rows)
@@ -47,7 +47,7 @@ def test_speed_radar_and_accidents(spark, seed, policy):
 
 
 @pytest.mark.parametrize("seed", SEEDS)
-@pytest.mark.parametrize("policy", ["default", "split"])
+@pytest.mark.parametrize("policy", ["default", "split", "sampled"])
 def test_session_fold(spark, seed, policy):
     rows = random_reports(seed)
     df = frame(spark, rows)

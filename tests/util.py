@@ -23,7 +23,9 @@ FIELDS = ("time", "vid", "speed", "xway", "lane", "dir", "seg", "pos")
 # forces every vehicle with more than one report through the split (hot-key) plan
 SPLIT_ALL = SkewPolicy(hot_rows=1, block_rows=2, max_blocks=64, max_hot_keys=10_000)
 NO_SPLIT = SkewPolicy(enabled=False)
-POLICIES = {"default": SkewPolicy(), "split": SPLIT_ALL, "off": NO_SPLIT}
+# hot keys found on a 25% sample; block layout from the sample, clamped
+SAMPLED = SkewPolicy(hot_rows=40, block_rows=7, max_blocks=64, max_hot_keys=10_000, sample_rows=10)
+POLICIES = {"default": SkewPolicy(), "split": SPLIT_ALL, "off": NO_SPLIT, "sampled": SAMPLED}
 
 
 def frame(spark: SparkSession, tuples) -> DataFrame:
