@@ -31,6 +31,17 @@ def sessionize(
     policy: SkewPolicy = DEFAULT_SKEW,
 ) -> DataFrame:
     """Add ``session_start`` (INT, ``time`` of the session's first report) to every report."""
+    return sessionize_split(reports, gap_units, keys, order, policy)[0]
+
+
+def sessionize_split(
+    reports: DataFrame,
+    gap_units: int,
+    keys: Sequence[str] = ("vid",),
+    order: Sequence[str] = ORDER,
+    policy: SkewPolicy = DEFAULT_SKEW,
+) -> tuple[DataFrame, bool]:
+    """``sessionize`` plus whether hot keys were split (False: the plain per-key plan)."""
     keys = list(keys)
     gap = F.lit(int(gap_units)).cast("bigint")
     t = F.col("time").cast("bigint")
@@ -41,7 +52,10 @@ def sessionize(
         brk = F.when(prev.isNull() | (t - prev > gap), F.col("time"))
         marked = reports.select("*", brk.alias("_bt"))
         upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return marked.select(*reports.columns, F.max("_bt").over(upto).cast("int").alias("session_start"))
+        plain = marked.select(
+            *reports.columns, F.max("_bt").over(upto).cast("int").alias("session_start")
+        )
+        return plain, False
     w = Window.partitionBy(*keys, BLK).orderBy(*order)
     prev = F.lag("time").over(w)
     # a break starts a session; the first report of a hot block is decided from summaries
@@ -77,7 +91,7 @@ def sessionize(
     )
     joined = local.join(carry, on=[*keys, BLK], how="left")
     start = F.greatest("_ls", "_hd", "_cy").cast("int")
-    return joined.select(*reports.columns, start.alias("session_start"))
+    return joined.select(*reports.columns, start.alias("session_start")), True
 
 
 def sessions(

@@ -25,13 +25,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadlens.config import DEFAULT_SKEW, Params, SkewPolicy
+from roadlens.functions.fold import fold_endpoints
 from roadlens.functions.predicates import in_stretch
-from roadlens.operators.sessions import sessionize
+from roadlens.operators.sessions import sessionize_split
 from roadlens.schema import SPEED_CONTROL_COLS
 
 _ROW = ("time", "seq", "xway", "dir", "seg", "pos")
@@ -126,6 +127,52 @@ def exact_fold(rows: DataFrame) -> DataFrame:
     )
 
 
+def _endpoints_unsplit(s: DataFrame, lo: int, hi: int) -> DataFrame:
+    """Exact endpoints when every vehicle sits in one task (no hot key).
+
+    The rows are already partitioned by vehicle; whole-session window aggregates (no new
+    exchange) tell each report whether its session passes the check. One sort-based
+    aggregate then takes arg-min/arg-max for passing sessions and collects the reports of
+    the others only -- bounded by a non-hot vehicle -- for the native ``aggregate`` fold.
+    """
+    whole = (
+        Window.partitionBy("vid", "session_start")
+        .orderBy("time", "seq")
+        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    )
+    marks = [
+        F.count(F.lit(1)).over(whole).alias("_n"),
+        F.count(F.when(F.col("dir") == 0, F.lit(1))).over(whole).alias("_nfwd"),
+    ]
+    for k in range(lo, hi + 1):
+        on_k = F.col("seg") == F.lit(k)
+        marks.append(F.min(F.when(on_k, F.col("pos"))).over(whole).alias(f"_mn{k}"))
+        marks.append(F.max(F.when(on_k, F.col("pos"))).over(whole).alias(f"_mx{k}"))
+    fwd_all = F.col("_nfwd") == F.col("_n")
+    simple = ((F.col("_nfwd") == 0) | fwd_all) & _monotone(lo, hi)
+    marked = s.select("vid", "session_start", *_ROW, *marks).select(
+        "vid", "session_start", *_ROW, simple.alias("_simple")
+    )
+    neg_pos = -F.col("pos").cast("bigint")
+    agg = marked.groupBy("vid", "session_start").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min_by(_row(), F.struct(F.col("pos"), F.col("time"), F.col("seq"))).alias("_amin"),
+        F.min_by(_row(), F.struct(neg_pos, F.col("time"), F.col("seq"))).alias("_amax"),
+        F.count(F.when(F.col("dir") == 0, F.lit(1))).alias("_nfwd"),
+        F.bool_and("_simple").alias("_simple"),
+        F.collect_list(F.when(~F.col("_simple"), _row())).alias("_hard"),
+    )
+    fwd = F.col("_nfwd") == F.col("n")
+    folded = fold_endpoints(F.sort_array(F.col("_hard")))
+    first = F.when(F.col("_simple"), F.when(fwd, F.col("_amin")).otherwise(F.col("_amax"))).otherwise(
+        folded["first"]
+    )
+    last = F.when(F.col("_simple"), F.when(fwd, F.col("_amax")).otherwise(F.col("_amin"))).otherwise(
+        folded["last"]
+    )
+    return agg.select("vid", "session_start", "n", first.alias("first"), last.alias("last"))
+
+
 def session_endpoints(
     reports: DataFrame,
     params: Params = Params(),
@@ -135,7 +182,9 @@ def session_endpoints(
     """Per session on the stretch: ``vid, session_start, n, first, last`` (structs of _ROW)."""
     lo, hi = params.lo_seg, params.hi_seg
     on_stretch = in_stretch(reports.select("vid", *_ROW), lo, hi)
-    s = sessionize(on_stretch, params.gap_units, policy=policy)
+    s, split = sessionize_split(on_stretch, params.gap_units, policy=policy)
+    if exact and not split:
+        return _endpoints_unsplit(s, lo, hi)
     if exact:
         # The same null test the semi join below would infer, stated once before the branches
         # split: both branches then share one plan and Spark reuses its shuffle output.

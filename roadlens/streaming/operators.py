@@ -18,12 +18,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from roadlens.config import SPEED_LIMIT, STOP_REPORTS, Params
+from roadlens.functions.fold import fold_endpoints
 from roadlens.functions.predicates import event_time, in_stretch, speeding
 from roadlens.schema import ACCIDENT_COLS, SPEED_CONTROL_COLS, SPEED_RADAR_COLS
 
@@ -156,30 +157,6 @@ def stream_accident_reporter(reports: DataFrame, size: int = STOP_REPORTS) -> Da
 _FOLD_FIELDS = ("time", "seq", "xway", "dir", "seg", "pos")
 
 
-def fold_endpoints(reports: Column) -> Column:
-    """The exact entry/exit fold over an array of report structs sorted by (time, seq).
-
-    Returns ``struct(first, last)``; a native higher-order ``aggregate``, no Python.
-    """
-    head = F.element_at(reports, 1)
-    init = F.struct(head.alias("first"), head.alias("last"))
-
-    def step(acc: Column, r: Column) -> Column:
-        f, last = acc["first"], acc["last"]
-        fwd = r["dir"] == 0
-        take_first = F.when(fwd, (r["seg"] <= f["seg"]) & (r["pos"] < f["pos"])).otherwise(
-            (r["seg"] >= f["seg"]) & (r["pos"] > f["pos"])
-        )
-        take_last = F.when(fwd, (r["seg"] >= last["seg"]) & (r["pos"] > last["pos"])).otherwise(
-            (r["seg"] <= last["seg"]) & (r["pos"] < last["pos"])
-        )
-        new_first = F.when(take_first, r).otherwise(f)
-        new_last = F.when(~take_first & take_last, r).otherwise(last)
-        return F.struct(new_first.alias("first"), new_last.alias("last"))
-
-    return F.aggregate(reports, init, step)
-
-
 def stream_average_speed_control(
     reports: DataFrame, params: Params = Params(), exact: bool = True, with_crossings: bool = False
 ) -> DataFrame:

@@ -11,7 +11,7 @@ from roadlens.operators.sessions import sessionize
 from roadlens.operators.speed_control import session_endpoints, stretch_crossings
 from roadlens.operators.speed_radar import speed_radar
 from roadlens.operators.stopped import accident_reporter
-from roadlens.streaming.operators import fold_endpoints
+from roadlens.functions.fold import fold_endpoints
 from tests import model
 from tests.util import POLICIES, collect, dicts, frame
 
