@@ -5,26 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+_TAKE_FIRST = (
+    "CASE WHEN r.dir = 0 THEN r.seg <= a.first.seg AND r.pos < a.first.pos"
+    " ELSE r.seg >= a.first.seg AND r.pos > a.first.pos END"
+)
+_TAKE_LAST = (
+    "CASE WHEN r.dir = 0 THEN r.seg >= a.last.seg AND r.pos > a.last.pos"
+    " ELSE r.seg <= a.last.seg AND r.pos < a.last.pos END"
+)
 
-def fold_endpoints(reports: Column) -> Column:
-    """The exact entry/exit fold over an array of report structs sorted by (time, seq).
 
-    Returns ``struct(first, last)``; a native higher-order ``aggregate``, no Python.
-    """
-    head = F.try_element_at(reports, F.lit(1))  # NULL for an empty array
-    init = F.struct(head.alias("first"), head.alias("last"))
+def fold_endpoints_sql(reports: str) -> str:
+    """SQL text of the fold over ``reports`` (an array of structs with ``dir seg pos``,
+    sorted by (time, seq)): ``struct(first, last)``, row 0 starting both; NULLs if empty."""
+    head = f"try_element_at({reports}, 1)"
+    return (
+        f"aggregate({reports}, named_struct('first', {head}, 'last', {head}), (a, r) -> "
+        f"CASE WHEN {_TAKE_FIRST} THEN named_struct('first', r, 'last', a.last) "
+        f"WHEN {_TAKE_LAST} THEN named_struct('first', a.first, 'last', r) ELSE a END)"
+    )
 
-    def step(acc: Column, r: Column) -> Column:
-        f, last = acc["first"], acc["last"]
-        fwd = r["dir"] == 0
-        take_first = F.when(fwd, (r["seg"] <= f["seg"]) & (r["pos"] < f["pos"])).otherwise(
-            (r["seg"] >= f["seg"]) & (r["pos"] > f["pos"])
-        )
-        take_last = F.when(fwd, (r["seg"] >= last["seg"]) & (r["pos"] > last["pos"])).otherwise(
-            (r["seg"] <= last["seg"]) & (r["pos"] < last["pos"])
-        )
-        new_first = F.when(take_first, r).otherwise(f)
-        new_last = F.when(~take_first & take_last, r).otherwise(last)
-        return F.struct(new_first.alias("first"), new_last.alias("last"))
 
-    return F.aggregate(reports, init, step)
+def fold_endpoints(reports: str) -> Column:
+    """The fold as a Column; ``reports`` is a SQL expression (e.g. a column name)."""
+    return F.expr(fold_endpoints_sql(reports))

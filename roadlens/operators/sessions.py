@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadlens.config import DEFAULT_SKEW, Params, SkewPolicy
-from roadlens.plans.blocks import BLK, split_hot
+from roadlens.plans.blocks import BLK, UPTO, over, split_hot
 from roadlens.schema import ORDER
 
 
@@ -47,13 +47,12 @@ def sessionize_split(
     t = F.col("time").cast("bigint")
     b, hot = split_hot(reports, keys, "time", policy)
     if not hot:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        prev = F.lag("time").over(w)
-        brk = F.when(prev.isNull() | (t - prev > gap), F.col("time"))
-        marked = reports.select("*", brk.alias("_bt"))
-        upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        plain = marked.select(
-            *reports.columns, F.max("_bt").over(upto).cast("int").alias("session_start")
+        w = over(keys, order)
+        brk = f"CASE WHEN lag(time) {w} IS NULL OR CAST(time AS BIGINT) - lag(time) {w} > {int(gap_units)} THEN time END"
+        marked = reports.selectExpr("*", f"{brk} AS _bt")
+        plain = marked.selectExpr(
+            *[f"`{c}`" for c in reports.columns],
+            f"CAST(max(_bt) {over(keys, order, UPTO)} AS INT) AS session_start",
         )
         return plain, False
     w = Window.partitionBy(*keys, BLK).orderBy(*order)

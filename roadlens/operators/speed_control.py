@@ -25,15 +25,15 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadlens.config import DEFAULT_SKEW, Params, SkewPolicy
-from roadlens.functions.fold import fold_endpoints
+from roadlens.functions.fold import fold_endpoints_sql
 from roadlens.functions.predicates import in_stretch
 from roadlens.operators.sessions import sessionize_split
-from roadlens.schema import SPEED_CONTROL_COLS
+from roadlens.plans.blocks import WHOLE, over
 
 _ROW = ("time", "seq", "xway", "dir", "seg", "pos")
 _ROW_TYPES = {
@@ -127,50 +127,58 @@ def exact_fold(rows: DataFrame) -> DataFrame:
     )
 
 
+def _monotone_sql(lo: int, hi: int) -> str:
+    """SQL twin of ``_monotone`` over columns ``_mn<k>`` / ``_mx<k>``."""
+    terms = ["TRUE"]
+    prefix = f"_mx{lo}"
+    for k in range(lo + 1, hi + 1):
+        terms.append(f"coalesce(_mn{k} >= {prefix}, TRUE)")
+        prefix = f"greatest({prefix}, _mx{k})"
+    return " AND ".join(terms)
+
+
 def _endpoints_unsplit(s: DataFrame, lo: int, hi: int) -> DataFrame:
     """Exact endpoints when every vehicle sits in one task (no hot key).
 
     The rows are already partitioned by vehicle; whole-session window aggregates (no new
-    exchange) tell each report whether its session passes the check. One sort-based
-    aggregate then takes arg-min/arg-max for passing sessions and collects the reports of
-    the others only -- bounded by a non-hot vehicle -- for the native ``aggregate`` fold.
+    exchange) tell each report whether its session passes the check. One aggregate then
+    takes arg-min/arg-max for passing sessions and collects the reports of the others
+    only -- bounded by a non-hot vehicle -- for the native ``aggregate`` fold.
     """
-    whole = (
-        Window.partitionBy("vid", "session_start")
-        .orderBy("time", "seq")
-        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    )
-    marks = [
-        F.count(F.lit(1)).over(whole).alias("_n"),
-        F.count(F.when(F.col("dir") == 0, F.lit(1))).over(whole).alias("_nfwd"),
-    ]
+    w = over(["vid", "session_start"], ["time", "seq"], WHOLE)
+    marks = [f"count(1) {w} AS _n", f"count(CASE WHEN dir = 0 THEN 1 END) {w} AS _nfwd"]
     for k in range(lo, hi + 1):
-        on_k = F.col("seg") == F.lit(k)
-        marks.append(F.min(F.when(on_k, F.col("pos"))).over(whole).alias(f"_mn{k}"))
-        marks.append(F.max(F.when(on_k, F.col("pos"))).over(whole).alias(f"_mx{k}"))
-    fwd_all = F.col("_nfwd") == F.col("_n")
-    simple = ((F.col("_nfwd") == 0) | fwd_all) & _monotone(lo, hi)
-    marked = s.select("vid", "session_start", *_ROW, *marks).select(
-        "vid", "session_start", *_ROW, simple.alias("_simple")
-    )
-    neg_pos = -F.col("pos").cast("bigint")
+        marks.append(f"min(CASE WHEN seg = {k} THEN pos END) {w} AS _mn{k}")
+        marks.append(f"max(CASE WHEN seg = {k} THEN pos END) {w} AS _mx{k}")
+    simple = f"(_nfwd = 0 OR _nfwd = _n) AND {_monotone_sql(lo, hi)}"
+    cols = ["vid", "session_start", *_ROW]
+    marked = s.selectExpr(*cols, *marks).selectExpr(*cols, f"{simple} AS _simple")
+    row = f"struct({', '.join(_ROW)})"
     agg = marked.groupBy("vid", "session_start").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min_by(_row(), F.struct(F.col("pos"), F.col("time"), F.col("seq"))).alias("_amin"),
-        F.min_by(_row(), F.struct(neg_pos, F.col("time"), F.col("seq"))).alias("_amax"),
-        F.count(F.when(F.col("dir") == 0, F.lit(1))).alias("_nfwd"),
-        F.bool_and("_simple").alias("_simple"),
-        F.collect_list(F.when(~F.col("_simple"), _row())).alias("_hard"),
+        F.expr("count(1) AS n"),
+        F.expr(f"min_by({row}, struct(pos, time, seq)) AS _amin"),
+        F.expr(f"min_by({row}, struct(-CAST(pos AS BIGINT), time, seq)) AS _amax"),
+        F.expr("count(CASE WHEN dir = 0 THEN 1 END) AS _nfwd"),
+        F.expr("bool_and(_simple) AS _simple"),
+        F.expr(f"collect_list(CASE WHEN NOT _simple THEN {row} END) AS _hard"),
     )
-    fwd = F.col("_nfwd") == F.col("n")
-    folded = fold_endpoints(F.sort_array(F.col("_hard")))
-    first = F.when(F.col("_simple"), F.when(fwd, F.col("_amin")).otherwise(F.col("_amax"))).otherwise(
-        folded["first"]
+    ends = agg.selectExpr(
+        "vid",
+        "session_start",
+        "n",
+        "_nfwd = n AS _fwd",
+        "_simple",
+        "_amin",
+        "_amax",
+        f"{fold_endpoints_sql('sort_array(_hard)')} AS _fold",
     )
-    last = F.when(F.col("_simple"), F.when(fwd, F.col("_amax")).otherwise(F.col("_amin"))).otherwise(
-        folded["last"]
+    return ends.selectExpr(
+        "vid",
+        "session_start",
+        "n",
+        "CASE WHEN _simple THEN (CASE WHEN _fwd THEN _amin ELSE _amax END) ELSE _fold.first END AS first",
+        "CASE WHEN _simple THEN (CASE WHEN _fwd THEN _amax ELSE _amin END) ELSE _fold.last END AS last",
     )
-    return agg.select("vid", "session_start", "n", first.alias("first"), last.alias("last"))
 
 
 def session_endpoints(
@@ -226,20 +234,22 @@ def stretch_crossings(
     average speed (before the ``avg_speed > limit`` test)."""
     lo, hi = params.lo_seg, params.hi_seg
     ep = session_endpoints(reports, params, exact, policy)
-    crossed = ((F.col("first.seg") == lo) & (F.col("last.seg") == hi)) | (
-        (F.col("first.seg") == hi) & (F.col("last.seg") == lo)
+    crossed = (
+        f"(first.seg = {lo} AND last.seg = {hi}) OR (first.seg = {hi} AND last.seg = {lo})"
     )
-    meters = F.abs(F.col("first.pos") - F.col("last.pos")).cast("double")
-    seconds = (F.col("n") - F.lit(1)).cast("double") * F.lit(float(params.interval))
-    avg = (meters / seconds) * F.lit(float(params.factor))
-    return ep.where(crossed).select(
-        F.col("first.time").alias("time1"),
-        F.col("last.time").alias("time2"),
+    avg = (
+        "(CAST(abs(first.pos - last.pos) AS DOUBLE)"
+        f" / (CAST(n - 1 AS DOUBLE) * CAST({float(params.interval)!r} AS DOUBLE)))"
+        f" * CAST({float(params.factor)!r} AS DOUBLE)"
+    )
+    return ep.where(crossed).selectExpr(
+        "first.time AS time1",
+        "last.time AS time2",
         "vid",
-        F.col("first.xway").alias("xway"),
-        F.col("first.dir").alias("dir"),
-        avg.alias("avg_speed"),
-    ).select(*SPEED_CONTROL_COLS)
+        "first.xway AS xway",
+        "first.dir AS dir",
+        f"{avg} AS avg_speed",
+    )
 
 
 def average_speed_control(
@@ -250,4 +260,4 @@ def average_speed_control(
 ) -> DataFrame:
     """``time1, time2, vid, xway, dir, avg_speed`` of crossings faster than the limit."""
     sc = stretch_crossings(reports, params, exact, policy)
-    return sc.where(F.col("avg_speed") > F.lit(float(params.avg_limit)))
+    return sc.where(f"avg_speed > CAST({float(params.avg_limit)!r} AS DOUBLE)")

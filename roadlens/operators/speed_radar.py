@@ -36,23 +36,24 @@ def running_max(
     with map-side partial aggregation.
     """
     out_name = f"max_{value}"
-    first = F.struct(*[F.col(c) for c in frozen])
+    first = f"struct({', '.join(frozen)})"
+    unpack = [f"_first.{c} AS {c}" for c in frozen]
     if emit == "final":
-        key = F.struct(*[F.col(o) for o in order])
+        key = f"struct({', '.join(order)})"
         agg = df.groupBy(*keys).agg(
-            F.max(value).alias(out_name), F.min_by(first, key).alias("_first")
+            F.expr(f"max({value}) AS {out_name}"), F.expr(f"min_by({first}, {key}) AS _first")
         )
-        return agg.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in frozen], out_name)
+        return agg.selectExpr(*keys, *unpack, out_name)
     if emit != "per_report":
         raise ValueError("emit must be 'per_report' or 'final'")
     rolled = running(
         df,
         keys=list(keys),
         order=list(order),
-        aggs={out_name: ("max", F.col(value)), "_first": ("first", first)},
+        aggs={out_name: ("max", value), "_first": ("first", first)},
         policy=policy,
     )
-    return rolled.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in frozen], out_name)
+    return rolled.selectExpr(*keys, *unpack, out_name)
 
 
 def speed_radar(

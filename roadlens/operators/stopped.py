@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadlens.config import (
@@ -40,18 +40,13 @@ def count_window(
     ``_min_pos`` and ``_max_pos``; the current report is the window's last.
     """
     cols = list(dict.fromkeys([*keys, *order, "vid", "xway", "seg", "dir", "pos"]))
-
-    def exprs(frame: WindowSpec) -> dict[str, Column]:
-        return {
-            "_n": F.count(F.lit(1)).over(frame),
-            "_first": F.first(F.struct(*[F.col(c) for c in _HEAD])).over(frame),
-            "_min_pos": F.min("pos").over(frame),
-            "_max_pos": F.max("pos").over(frame),
-        }
-
-    return trailing(
-        reports.select(*cols), list(keys), list(order), size - 1, exprs, policy=policy
-    )
+    exprs = {
+        "_n": "count(1)",
+        "_first": f"first(struct({', '.join(_HEAD)}))",
+        "_min_pos": "min(pos)",
+        "_max_pos": "max(pos)",
+    }
+    return trailing(reports.select(*cols), list(keys), list(order), size - 1, exprs, policy=policy)
 
 
 def count_window_firings(
@@ -59,13 +54,9 @@ def count_window_firings(
 ) -> DataFrame:
     """``vid, time1, time2, n, pos1, pos2``: size, first and last report of every firing."""
     cw = count_window(reports, size, policy=policy)
-    return cw.select(
-        "vid",
-        F.col("_first.time").alias("time1"),
-        F.col("time").alias("time2"),
-        F.col("_n").cast("bigint").alias("n"),
-        F.col("_first.pos").alias("pos1"),
-        F.col("pos").alias("pos2"),
+    return cw.selectExpr(
+        "vid", "_first.time AS time1", "time AS time2", "CAST(_n AS BIGINT) AS n",
+        "_first.pos AS pos1", "pos AS pos2",
     )
 
 
@@ -79,15 +70,10 @@ def accident_reporter(
     position; all fields but ``time2`` come from the first of them. A stop of k >= size
     reports emits k - size + 1 rows. Extra ``keys`` (e.g. xway, dir) narrow the match."""
     cw = count_window(reports, size, keys=keys, policy=policy)
-    hit = cw.where((F.col("_n") == F.lit(size)) & (F.col("_min_pos") == F.col("_max_pos")))
-    return hit.select(
-        F.col("_first.time").alias("time1"),
-        F.col("time").alias("time2"),
-        "vid",
-        F.col("_first.xway").alias("xway"),
-        F.col("_first.seg").alias("seg"),
-        F.col("_first.dir").alias("dir"),
-        F.col("_first.pos").alias("pos"),
+    hit = cw.where(f"_n = {int(size)} AND _min_pos = _max_pos")
+    return hit.selectExpr(
+        "_first.time AS time1", "time AS time2", "vid", "_first.xway AS xway",
+        "_first.seg AS seg", "_first.dir AS dir", "_first.pos AS pos",
     ).select(*ACCIDENT_COLS)
 
 

@@ -24,9 +24,9 @@ rows only.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadlens.config import DEFAULT_SKEW, SkewPolicy
@@ -111,101 +111,80 @@ def _assign_blocks(df: DataFrame, keys: Sequence[str], axis: str | Column, hot:
 # ----------------------------------------------------------------------------------------
 # running aggregates
 # ----------------------------------------------------------------------------------------
+# Expressions are SQL text (one call to the JVM each, however large the expression).
 
-_KINDS = ("sum", "count", "max", "min", "first")
-
-
-def _local(kind: str, c: Column | None, w: WindowSpec) -> Column:
-    if kind == "sum":
-        return F.sum(c).over(w)
-    if kind == "count":
-        return F.count(F.lit(1)).over(w)
-    if kind == "max":
-        return F.max(c).over(w)
-    if kind == "min":
-        return F.min(c).over(w)
-    return F.first(c).over(w)
-
-
-def _block(kind: str, c: Column | None, order_key: Column) -> Column:
-    if kind == "sum":
-        return F.sum(c)
-    if kind == "count":
-        return F.count(F.lit(1))
-    if kind == "max":
-        return F.max(c)
-    if kind == "min":
-        return F.min(c)
-    return F.min_by(c, order_key)
-
-
-def _carry(kind: str, c: Column, w: WindowSpec) -> Column:
-    if kind in ("sum", "count"):
-        return F.sum(c).over(w)
-    if kind == "max":
-        return F.max(c).over(w)
-    if kind == "min":
-        return F.min(c).over(w)
-    return F.first(c).over(w)
-
-
-def _combine(kind: str, local: Column, carry: Column) -> Column:
-    if kind in ("sum", "count"):
-        return local + F.coalesce(carry, F.lit(0))
-    if kind == "max":
-        return F.greatest(local, carry)
-    if kind == "min":
-        return F.least(local, carry)
-    return F.coalesce(carry, local)
+UPTO = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+WHOLE = "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
+
+_LOCAL = {"sum": "sum({v})", "count": "count(1)", "max": "max({v})", "min": "min({v})", "first": "first({v})"}
+_BLOCK = {"sum": "sum({v})", "count": "count(1)", "max": "max({v})", "min": "min({v})", "first": "min_by({v}, {k})"}
+_CARRY = {"sum": "sum({c})", "count": "sum({c})", "max": "max({c})", "min": "min({c})", "first": "first({c})"}
+_COMBINE = {
+    "sum": "{l} + coalesce({c}, 0)",
+    "count": "{l} + coalesce({c}, 0)",
+    "max": "greatest({l}, {c})",
+    "min": "least({l}, {c})",
+    "first": "coalesce({c}, {l})",
+}
+
+
+def over(partition: Sequence[str], order: Sequence[str], frame: str = "") -> str:
+    """``OVER (PARTITION BY .. ORDER BY .. frame)`` for column names."""
+    part = ", ".join(f"`{c}`" for c in partition)
+    ordr = f" ORDER BY {', '.join(f'`{c}`' for c in order)}" if order else ""
+    return f"OVER (PARTITION BY {part}{ordr} {frame})"
 
 
 def running(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    aggs: dict[str, tuple[str, Column | None]],
+    aggs: dict[str, tuple[str, str | None]],
     axis: str | Column | None = None,
     policy: SkewPolicy = DEFAULT_SKEW,
 ) -> DataFrame:
     """Add running aggregates (first row .. current row, per key, in ``order``).
 
-    ``aggs`` maps an output name to ``(kind, column)`` with kind one of
-    ``sum count max min first``; ``first`` is the column's value at the key's first row.
-    One shuffle of the rows by ``(key, block)``; hot keys add a small summary pass.
+    ``aggs`` maps an output name to ``(kind, sql)`` with kind one of
+    ``sum count max min first`` and ``sql`` a SQL expression over ``df``'s columns
+    (``first`` is the expression's value at the key's first row). One shuffle of the rows
+    by the key (by ``(key, block)`` with hot keys, which add a small summary pass).
     """
     for kind, _ in aggs.values():
-        if kind not in _KINDS:
+        if kind not in _LOCAL:
             raise ValueError(f"unknown running aggregate {kind!r}")
+    keys, order = list(keys), list(order)
     axis = axis if axis is not None else order[0]
     b, hot = split_hot(df, keys, axis, policy)
     if not hot:
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(
-            Window.unboundedPreceding, Window.currentRow
+        w = over(keys, order, UPTO)
+        return df.selectExpr(
+            "*", *[f"{_LOCAL[k].format(v=v)} {w} AS `{n}`" for n, (k, v) in aggs.items()]
         )
-        return df.select("*", *[_local(k, c, w).alias(n) for n, (k, c) in aggs.items()])
-    w = Window.partitionBy(*keys, BLK).orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+    w = over([*keys, BLK], order, UPTO)
+    main = b.selectExpr(
+        "*", *[f"{_LOCAL[k].format(v=v)} {w} AS `_l_{n}`" for n, (k, v) in aggs.items()]
     )
-    main = b.select("*", *[_local(k, c, w).alias(f"_l_{n}") for n, (k, c) in aggs.items()])
-
-    order_key = F.struct(*[F.col(o) for o in order])
+    order_key = f"struct({', '.join(f'`{o}`' for o in order)})"
     summ = (
         b.where(F.col(BLK) >= 0)
         .groupBy(*keys, BLK)
-        .agg(*[_block(k, c, order_key).alias(f"_b_{n}") for n, (k, c) in aggs.items()])
+        .agg(*[F.expr(f"{_BLOCK[k].format(v=v, k=order_key)} AS `_b_{n}`") for n, (k, v) in aggs.items()])
     )
-    before = Window.partitionBy(*keys).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
-    carry = summ.select(
-        *keys,
+    before = over(keys, [BLK], "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING")
+    carry = summ.selectExpr(
+        *[f"`{k}`" for k in keys],
         BLK,
-        *[_carry(k, F.col(f"_b_{n}"), before).alias(f"_c_{n}") for n, (k, _) in aggs.items()],
+        *[f"{_CARRY[k].format(c=f'`_b_{n}`')} {before} AS `_c_{n}`" for n, (k, _) in aggs.items()],
     )
     joined = main.join(carry, on=[*keys, BLK], how="left")
-    out = joined.select(
-        *df.columns,
-        *[_combine(k, F.col(f"_l_{n}"), F.col(f"_c_{n}")).alias(n) for n, (k, _) in aggs.items()],
+    return joined.selectExpr(
+        *[f"`{c}`" for c in df.columns],
+        *[
+            f"{_COMBINE[k].format(l=f'`_l_{n}`', c=f'`_c_{n}`')} AS `{n}`"
+            for n, (k, _) in aggs.items()
+        ],
     )
-    return out
 
 
 # ----------------------------------------------------------------------------------------
@@ -218,46 +197,41 @@ def trailing(
     keys: Sequence[str],
     order: Sequence[str],
     preceding: int,
-    exprs: Callable[[WindowSpec], dict[str, Column]],
+    exprs: dict[str, str],
     axis: str | Column | None = None,
     policy: SkewPolicy = DEFAULT_SKEW,
 ) -> DataFrame:
     """Add aggregates over the frame ``ROWS BETWEEN preceding PRECEDING AND CURRENT ROW``.
 
-    ``exprs(frame)`` returns ``{name: aggregate.over(frame)}``; it is called twice, once
-    with the per-block frame and once with the frame over the edge table.
+    ``exprs`` maps output names to SQL aggregate expressions (without ``OVER``).
     """
     h = int(preceding)
     if h < 0:
         raise ValueError("preceding must be >= 0")
+    keys, order = list(keys), list(order)
     axis = axis if axis is not None else order[0]
+    frame = f"ROWS BETWEEN {h} PRECEDING AND CURRENT ROW"
     b, hot = split_hot(df, keys, axis, policy)
     if not hot:
-        frame = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-h, Window.currentRow)
-        return df.select("*", *[e.alias(n) for n, e in exprs(frame).items()])
+        w = over(keys, order, frame)
+        return df.selectExpr("*", *[f"{e} {w} AS `{n}`" for n, e in exprs.items()])
     base = b.columns
-    w = Window.partitionBy(*keys, BLK).orderBy(*order)
-    frame = w.rowsBetween(-h, Window.currentRow)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    computed = exprs(frame)
-    main = b.select(
+    names = [f"`{n}`" for n in exprs]
+    cols = [f"`{c}`" for c in df.columns]
+    part = [*keys, BLK]
+    main = b.selectExpr(
         "*",
-        *[e.alias(n) for n, e in computed.items()],
-        F.row_number().over(w).alias("_rn"),
-        F.count(F.lit(1)).over(whole).alias("_cnt"),
+        *[f"{e} {over(part, order, frame)} AS `{n}`" for n, e in exprs.items()],
+        f"row_number() {over(part, order)} AS _rn",
+        f"count(1) {over(part, order, WHOLE)} AS _cnt",
     )
-    names = list(computed)
-    exact = main.where((F.col(BLK) < 0) | (F.col("_rn") > F.lit(h))).select(*df.columns, *names)
+    exact = main.where(f"{BLK} < 0 OR _rn > {h}").selectExpr(*cols, *names)
     if h == 0:
         return exact
-    edges = main.where(
-        (F.col(BLK) >= 0)
-        & ((F.col("_rn") <= F.lit(h)) | (F.col("_rn") > F.col("_cnt") - F.lit(h)))
-    ).select(*base, "_rn")
-    eframe = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-h, Window.currentRow)
+    edges = main.where(f"{BLK} >= 0 AND (_rn <= {h} OR _rn > _cnt - {h})").select(*base, "_rn")
     fixed = (
-        edges.select("*", *[e.alias(n) for n, e in exprs(eframe).items()])
-        .where(F.col("_rn") <= F.lit(h))
-        .select(*df.columns, *names)
+        edges.selectExpr("*", *[f"{e} {over(keys, order, frame)} AS `{n}`" for n, e in exprs.items()])
+        .where(f"_rn <= {h}")
+        .selectExpr(*cols, *names)
     )
     return exact.unionByName(fixed)

@@ -176,7 +176,7 @@ def stream_average_speed_control(
         agg = timed.groupBy("vid", win.alias("_sw")).agg(
             F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list(row)).alias("_rows")
         )
-        ends = agg.select("vid", "n", fold_endpoints(F.col("_rows")).alias("_e"))
+        ends = agg.select("vid", "n", fold_endpoints("_rows").alias("_e"))
         first, last = F.col("_e.first"), F.col("_e.last")
     else:
         neg = -F.col("pos").cast("bigint")

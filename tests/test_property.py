@@ -69,6 +69,6 @@ def test_fold_expression(spark, seed):
     agg = s.groupBy("vid", "session_start").agg(
         F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list(row)).alias("rows")
     )
-    ends = agg.select("vid", "session_start", "n", fold_endpoints(F.col("rows")).alias("e"))
+    ends = agg.select("vid", "session_start", "n", fold_endpoints("rows").alias("e"))
     got = collect(ends.select("vid", "session_start", "n", "e.first.seq", "e.last.seq"))
     assert got == model.endpoints(dicts(rows), gap=31)
