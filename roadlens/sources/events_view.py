@@ -14,13 +14,14 @@ The per-vehicle report number ``rn`` is a running count; it goes through the spl
 from __future__ import annotations
 
 import datetime as _dt
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadlens.config import DEFAULT_SKEW, SkewPolicy
-from roadlens.plans.blocks import running
+from roadlens.plans.blocks import hot_key_table, running
 
 # Fixed values of the view (shared with the DuckDB oracle text in __spark_entry__.py):
 #   epoch 2024-01-01 00:00:00 UTC = 1704067200 s; stop pattern: 6-report cycle, 3 moving
@@ -43,6 +44,19 @@ def reports_from_events(
     events: DataFrame, clock: str = "event", policy: SkewPolicy = DEFAULT_SKEW
 ) -> DataFrame:
     """Columns ``seq time vid speed xway lane dir seg pos`` (``seq`` = ``event_id``)."""
+    return reports_and_policy(events, clock, policy)[0]
+
+
+def reports_and_policy(
+    events: DataFrame, clock: str = "event", policy: SkewPolicy = DEFAULT_SKEW
+) -> tuple[DataFrame, SkewPolicy]:
+    """The report view plus the skew policy for vehicle-keyed operators on it.
+
+    The view numbers each user's events, which needs the hot-key check on ``user_id``.
+    ``vid`` is ``user_id`` and every report is one event, so any subset of the view has
+    no more reports per vehicle than the user has events: when no user is hot, no vehicle
+    is hot in any query on the view, and the returned policy skips the repeated check.
+    """
     if clock not in ("event", "cadence"):
         raise ValueError("clock must be 'event' or 'cadence'")
     ts_type = events.schema["ts"].dataType
@@ -54,13 +68,15 @@ def reports_from_events(
         "ts",
         (_seconds_since_epoch(F.col("ts"), ts_type) - F.lit(epoch_s)).alias("_secs"),
     )
+    hot = hot_key_table(ev, ["user_id"], F.col("_secs"), policy) if policy.enabled else None
+    checked = policy if hot is not None else replace(policy, enabled=False)
     numbered = running(
         ev,
         keys=["user_id"],
         order=["ts", "event_id"],
         aggs={"_rn1": ("count", None)},
         axis=F.col("_secs"),
-        policy=policy,
+        policy=checked,
     )
     time = "CAST(_secs AS INT)" if clock == "event" else "CAST(30 * rn + 300 * (rn div 24) AS INT)"
     fwd = "(user_id div 2) % 2 = 0"
@@ -76,7 +92,7 @@ def reports_from_events(
         f"CAST(CASE WHEN {fwd} THEN 0 ELSE 1 END AS INT) AS dir",
         "CAST(CASE WHEN user_id % 2 = 0 THEN (rn div 6) * 3 + greatest(rn % 6 - 3, 0) ELSE rn END AS INT) AS step",
     )
-    return staged.selectExpr(
+    view = staged.selectExpr(
         "seq",
         "time",
         "vid",
@@ -90,13 +106,21 @@ def reports_from_events(
         "seq", "time", "vid", "speed", "xway", "lane", "dir", "seg",
         "CAST(seg * 800 + (CAST(step AS BIGINT) * 37 + vid * 53) % 800 AS INT) AS pos",
     )
+    return view, checked
 
 
 def load_reports(
     spark: SparkSession, sf_dir: str, clock: str = "event", policy: SkewPolicy = DEFAULT_SKEW
 ) -> DataFrame:
     """Read ``events.parquet`` under ``sf_dir`` (only the needed columns) and derive reports."""
+    return load_reports_and_policy(spark, sf_dir, clock, policy)[0]
+
+
+def load_reports_and_policy(
+    spark: SparkSession, sf_dir: str, clock: str = "event", policy: SkewPolicy = DEFAULT_SKEW
+) -> tuple[DataFrame, SkewPolicy]:
+    """``load_reports`` plus the vehicle skew policy (see ``reports_and_policy``)."""
     events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").select(
         "event_id", "ts", "user_id", "value"
     )
-    return reports_from_events(events, clock=clock, policy=policy)
+    return reports_and_policy(events, clock=clock, policy=policy)
