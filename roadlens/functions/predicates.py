@@ -26,7 +26,3 @@ def event_time(col: str | Column = "time", time_unit: str = "ms") -> Column:
     if time_unit == "s":
         return F.timestamp_seconds(c)
     raise ValueError(f"time_unit must be 'ms' or 's', not {time_unit!r}")
-
-
-def report_struct(*names: str) -> Column:
-    return F.struct(*[F.col(n) for n in names])

@@ -44,7 +44,6 @@ _ROW_TYPES = {
     "seg": T.IntegerType(),
     "pos": T.IntegerType(),
 }
-_ROW_STRUCT = T.StructType([T.StructField(c, _ROW_TYPES[c]) for c in _ROW])
 _FOLD_SCHEMA = T.StructType(
     [
         T.StructField("vid", T.LongType()),

@@ -22,7 +22,7 @@ from roadlens.config import DEFAULT_SKEW, Params, SkewPolicy
 from roadlens.operators.speed_control import average_speed_control
 from roadlens.operators.speed_radar import speed_radar
 from roadlens.operators.stopped import accident_reporter
-from roadlens.schema import REPORT_FIELDS, REPORT_SCHEMA
+from roadlens.schema import REPORT_FIELDS
 from roadlens.session import checkpoint_root
 from roadlens.sources.reports import lines_to_reports, read_reports
 from roadlens.sources.sinks import write_csv
@@ -104,4 +104,4 @@ def stream_all(
     return queries
 
 
-__all__ = ["OUTPUTS", "REPORT_SCHEMA", "run_all", "stage_reports", "stream_all"]
+__all__ = ["OUTPUTS", "run_all", "stage_reports", "stream_all"]
