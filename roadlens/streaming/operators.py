@@ -3,13 +3,12 @@
 * ``stream_speed_radar``       -- keyed running max, per-report output; Spark refuses row windows
   on streams, so it is ``applyInPandasWithState`` with state (first report, max so far).
 * ``stream_accident_reporter`` -- count window of 4 sliding by 1; state = the last 3 reports.
-* ``stream_average_speed_control`` -- event-time ``session_window`` with a watermark (delay 0,
-  as the ascending-timestamp extractor), append mode; the session's entry/exit reports come
-  from the exact fold written as a native higher-order ``aggregate`` over its reports.
+* ``stream_average_speed_control`` -- exact: a custom stateful operator with an event-time
+  timeout and O(1) state per vehicle (``streaming.speed_control``); fast: ``session_window``
+  with a watermark (delay 0, as the ascending-timestamp extractor) and arg-min/arg-max.
 
 Per call, a group holds the reports of one vehicle in one micro-batch, bounded by the
-trigger's ``maxFilesPerTrigger`` / ``maxBytesPerTrigger``; the state is O(1) per vehicle for
-Q1/Q3. Reports inside a micro-batch are ordered by (time, seq); micro-batches follow arrival.
+trigger's ``maxFilesPerTrigger`` / ``maxBytesPerTrigger``; the state is O(1) per vehicle. Reports inside a micro-batch are ordered by (time, seq); micro-batches follow arrival.
 """
 
 from __future__ import annotations
@@ -24,7 +23,6 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from roadlens.config import SPEED_LIMIT, STOP_REPORTS, Params
-from roadlens.functions.fold import fold_endpoints
 from roadlens.functions.predicates import event_time, in_stretch, speeding
 from roadlens.schema import ACCIDENT_COLS, SPEED_CONTROL_COLS, SPEED_RADAR_COLS
 
@@ -126,6 +124,8 @@ def _stopped_step_factory(size: int):
             hits = ends
         firsts = hits - hold
         state.update(tuple([cols[c][-hold:].tolist() if hold else [] for c in _HELD]))
+        if not len(hits):
+            return
         yield pd.DataFrame(
             {
                 "time1": cols["time"][firsts].astype(np.int32),
@@ -158,56 +158,47 @@ _FOLD_FIELDS = ("time", "seq", "xway", "dir", "seg", "pos")
 
 
 def stream_average_speed_control(
-    reports: DataFrame, params: Params = Params(), exact: bool = True, with_crossings: bool = False
+    reports: DataFrame, params: Params = Params(), exact: bool = True
 ) -> DataFrame:
-    """Streaming Q2 in append mode: a session is emitted once the watermark passes its end.
+    """Streaming Q2 in append mode: a session is emitted once it is closed -- by a later
+    report more than a gap away, or by the watermark passing its end.
 
+    ``exact=True``: the custom stateful operator of ``streaming.speed_control`` (exact fold,
+    O(1) state per vehicle). ``exact=False``: ``session_window`` with arg-min/arg-max
+    aggregates (O(1) state per session; assumes one direction class per session).
     The watermark follows the largest ``time`` seen on the stretch (delay 0), so reports
     behind it are dropped, as in the reference. At the end of a bounded input the last
     sessions stay open; ``runners`` appends a far-future flush report to close them.
     """
+    if exact:
+        from roadlens.streaming.speed_control import stream_speed_control_stateful
+
+        return stream_speed_control_stateful(reports, params)
     lo, hi = params.lo_seg, params.hi_seg
     on = in_stretch(reports.select("vid", *_FOLD_FIELDS), lo, hi)
     timed = on.withColumn("_ts", event_time("time", params.time_unit)).withWatermark("_ts", "0 seconds")
     gap = f"{params.gap_units} {'milliseconds' if params.time_unit == 'ms' else 'seconds'}"
-    win = F.session_window("_ts", gap)
-    row = F.struct(*[F.col(c) for c in _FOLD_FIELDS])
-    if exact:
-        agg = timed.groupBy("vid", win.alias("_sw")).agg(
-            F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list(row)).alias("_rows")
-        )
-        ends = agg.select("vid", "n", fold_endpoints("_rows").alias("_e"))
-        first, last = F.col("_e.first"), F.col("_e.last")
-    else:
-        neg = -F.col("pos").cast("bigint")
-        agg = timed.groupBy("vid", win.alias("_sw")).agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count(F.when(F.col("dir") == 0, 1)).alias("_nf"),
-            F.min_by(row, F.struct("pos", "time", "seq")).alias("_amin"),
-            F.min_by(row, F.struct(neg, F.col("time"), F.col("seq"))).alias("_amax"),
-        )
-        fwd = F.col("_nf") == F.col("n")
-        ends = agg.select(
-            "vid",
-            "n",
-            F.struct(
-                F.when(fwd, F.col("_amin")).otherwise(F.col("_amax")).alias("first"),
-                F.when(fwd, F.col("_amax")).otherwise(F.col("_amin")).alias("last"),
-            ).alias("_e"),
-        )
-        first, last = F.col("_e.first"), F.col("_e.last")
-    crossed = ((first["seg"] == lo) & (last["seg"] == hi)) | ((first["seg"] == hi) & (last["seg"] == lo))
-    meters = F.abs(first["pos"] - last["pos"]).cast("double")
-    seconds = (F.col("n") - 1).cast("double") * F.lit(float(params.interval))
-    avg = (meters / seconds) * F.lit(float(params.factor))
-    out = ends.where(crossed).select(
-        first["time"].alias("time1"),
-        last["time"].alias("time2"),
+    row = f"struct({', '.join(_FOLD_FIELDS)})"
+    agg = timed.groupBy("vid", F.session_window("_ts", gap).alias("_sw")).agg(
+        F.expr("count(1) AS n"),
+        F.expr("count(CASE WHEN dir = 0 THEN 1 END) AS _nf"),
+        F.expr(f"min_by({row}, struct(pos, time, seq)) AS _amin"),
+        F.expr(f"min_by({row}, struct(-CAST(pos AS BIGINT), time, seq)) AS _amax"),
+    )
+    ends = agg.selectExpr(
         "vid",
-        first["xway"].alias("xway"),
-        first["dir"].alias("dir"),
-        avg.alias("avg_speed"),
+        "n",
+        "CASE WHEN _nf = n THEN _amin ELSE _amax END AS first",
+        "CASE WHEN _nf = n THEN _amax ELSE _amin END AS last",
+    )
+    crossed = f"(first.seg = {lo} AND last.seg = {hi}) OR (first.seg = {hi} AND last.seg = {lo})"
+    avg = (
+        "(CAST(abs(first.pos - last.pos) AS DOUBLE)"
+        f" / (CAST(n - 1 AS DOUBLE) * CAST({float(params.interval)!r} AS DOUBLE)))"
+        f" * CAST({float(params.factor)!r} AS DOUBLE)"
+    )
+    out = ends.where(crossed).selectExpr(
+        "first.time AS time1", "last.time AS time2", "vid", "first.xway AS xway",
+        "first.dir AS dir", f"{avg} AS avg_speed",
     )
-    if not with_crossings:
-        out = out.where(F.col("avg_speed") > F.lit(float(params.avg_limit)))
-    return out.select(*SPEED_CONTROL_COLS)
+    return out.where(f"avg_speed > CAST({float(params.avg_limit)!r} AS DOUBLE)").select(*SPEED_CONTROL_COLS)

@@ -1,8 +1,6 @@
 """Random report streams (mixed directions, segments unrelated to positions, tied times)
 against the plain-Python model, on the plain and on the split plans."""
 
-import random
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,29 +11,12 @@ from roadlens.operators.speed_radar import speed_radar
 from roadlens.operators.stopped import accident_reporter
 from roadlens.functions.fold import fold_endpoints
 from tests import model
+from tests.property_data import random_reports
 from tests.util import POLICIES, collect, dicts, frame
 
 SEEDS = [3, 17, 2024]
 
 
-def random_reports(seed, vids=4, per_vid=90):
-    rnd = random.Random(seed)
-    rows = []
-    for vid in range(vids):
-        t = rnd.randint(0, 50)
-        pos = rnd.randint(0, 3)
-        for _ in range(per_vid):
-            t += rnd.choice([0, 10, 30, 30, 30, 31, 32, 60, 400])
-            if rnd.random() < 0.4:
-                pos = rnd.randint(0, 3) * 100
-            rows.append(
-                (t, vid, rnd.randint(80, 130), rnd.randint(0, 2), 1, rnd.choice([0, 0, 1, 2]),
-                 rnd.randint(51, 57), pos)
-            )
-    rnd.shuffle(rows)
-    return rows
-
-
 @pytest.mark.parametrize("seed", SEEDS)
 @pytest.mark.parametrize("policy", ["default", "split", "sampled"])
 def test_speed_radar_and_accidents(spark, seed, policy):
