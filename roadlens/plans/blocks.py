@@ -25,6 +25,7 @@ rows only.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -81,6 +82,22 @@ def hot_key_table(
     return df.sparkSession.createDataFrame(found, schema=hot.schema)
 
 
+def checked_policy(
+    df: DataFrame,
+    keys: Sequence[str],
+    axis: str | Column,
+    policy: SkewPolicy = DEFAULT_SKEW,
+) -> SkewPolicy:
+    """Check ``df`` once; if no key is hot, return a policy that skips the check.
+
+    A key's rows in any subset of ``df`` are at most its rows in ``df``, so operators on
+    subsets of ``df`` keyed by ``keys`` can use the returned policy.
+    """
+    if not policy.enabled or hot_key_table(df, keys, axis, policy) is not None:
+        return policy
+    return replace(policy, enabled=False)
+
+
 def split_hot(
     df: DataFrame,
     keys: Sequence[str],

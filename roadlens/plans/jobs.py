@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from roadlens.config import DEFAULT_SKEW, Params, SkewPolicy
 from roadlens.operators.speed_control import average_speed_control
+from roadlens.plans.blocks import checked_policy
 from roadlens.operators.speed_radar import speed_radar
 from roadlens.operators.stopped import accident_reporter
 from roadlens.schema import REPORT_FIELDS
@@ -50,6 +51,7 @@ def run_all(
     reports = read_reports(spark, in_path, parser=parser)
     if stage:
         reports = stage_reports(spark, reports)
+    policy = checked_policy(reports, ["vid"], "time", policy)  # one check for all three queries
     out = {name: f"{out_prefix.rstrip('/')}/{name}" for name in OUTPUTS}
     write_csv(speed_radar(reports, params.speed_limit, policy=policy), out["SpeedRadar.csv"])
     write_csv(average_speed_control(reports, params, policy=policy), out["AverageSpeedControl.csv"])
