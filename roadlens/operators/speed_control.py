@@ -22,7 +22,7 @@ sequential fold, streamed over sorted rows with O(1) state (``mapInPandas``).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -44,17 +44,6 @@ _ROW_TYPES = {
     "seg": T.IntegerType(),
     "pos": T.IntegerType(),
 }
-_FOLD_SCHEMA = T.StructType(
-    [
-        T.StructField("vid", T.LongType()),
-        T.StructField("session_start", T.IntegerType()),
-        T.StructField("n", T.LongType()),
-        *[T.StructField(f"f_{c}", _ROW_TYPES[c]) for c in _ROW],
-        *[T.StructField(f"l_{c}", _ROW_TYPES[c]) for c in _ROW],
-    ]
-)
-
-
 def _row() -> Column:
     return F.struct(*[F.col(c) for c in _ROW])
 
@@ -69,57 +58,68 @@ def _monotone(lo: int, hi: int) -> Column:
     return ok
 
 
-def _fold_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The exact sequential fold over rows sorted by (vid, session_start, time, seq)."""
-    out: list[tuple] = []
-    key = None
-    n = 0
-    first = last = None
+def _fold_factory(group: list[str], names: list[str]):
+    """The exact sequential fold over rows sorted by (*group, time, seq), one row per group."""
 
-    def flush():
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out: list[tuple] = []
+        key = None
+        n = 0
+        first = last = None
+        for pdf in batches:
+            keys = list(zip(*[pdf[c].tolist() for c in group]))
+            rows = list(zip(*[pdf[c].tolist() for c in _ROW]))
+            for k, r in zip(keys, rows):
+                if k != key:
+                    if key is not None:
+                        out.append((*key, n, *first, *last))
+                    key, n, first, last = k, 0, r, r
+                _, _, _, d, seg, pos = r
+                if d == 0:
+                    if seg <= first[4] and pos < first[5]:
+                        first = r
+                    elif seg >= last[4] and pos > last[5]:
+                        last = r
+                else:
+                    if seg >= first[4] and pos > first[5]:
+                        first = r
+                    elif seg <= last[4] and pos < last[5]:
+                        last = r
+                n += 1
+            if len(out) >= 4096:
+                yield pd.DataFrame(out, columns=names)
+                out = []
         if key is not None:
-            out.append((key[0], key[1], n, *first, *last))
+            out.append((*key, n, *first, *last))
+        if out:
+            yield pd.DataFrame(out, columns=names)
 
-    for pdf in batches:
-        vids = pdf["vid"].to_numpy()
-        starts = pdf["session_start"].to_numpy()
-        rows = list(zip(*[pdf[c].to_numpy() for c in _ROW]))
-        for i, r in enumerate(rows):
-            k = (int(vids[i]), int(starts[i]))
-            if k != key:
-                flush()
-                key, n, first, last = k, 0, r, r
-            _, _, _, d, seg, pos = r
-            if d == 0:
-                if seg <= first[4] and pos < first[5]:
-                    first = r
-                elif seg >= last[4] and pos > last[5]:
-                    last = r
-            else:
-                if seg >= first[4] and pos > first[5]:
-                    first = r
-                elif seg <= last[4] and pos < last[5]:
-                    last = r
-            n += 1
-        if len(out) >= 4096:
-            yield pd.DataFrame(out, columns=_FOLD_SCHEMA.fieldNames())
-            out = []
-    flush()
-    if out:
-        yield pd.DataFrame(out, columns=_FOLD_SCHEMA.fieldNames())
+    return fold
 
 
-def exact_fold(rows: DataFrame) -> DataFrame:
-    """Sequential fold per (vid, session_start): ``vid, session_start, n, first, last``."""
+def exact_fold(rows: DataFrame, keys: Sequence[str] = ("vid",)) -> DataFrame:
+    """Sequential fold per (keys, session_start): ``keys, session_start, n, first, last``.
+
+    Rows of a session meet in one task, sorted, and are streamed through the fold with O(1)
+    state (``mapInPandas`` over the sorted partition; no group is collected in memory).
+    """
+    group = [*keys, "session_start"]
+    schema = T.StructType(
+        [
+            *[rows.schema[c] for c in group],
+            T.StructField("n", T.LongType()),
+            *[T.StructField(f"f_{c}", _ROW_TYPES[c]) for c in _ROW],
+            *[T.StructField(f"l_{c}", _ROW_TYPES[c]) for c in _ROW],
+        ]
+    )
     sorted_rows = (
-        rows.select("vid", "session_start", *_ROW)
-        .repartition("vid", "session_start")
-        .sortWithinPartitions("vid", "session_start", "time", "seq")
+        rows.select(*dict.fromkeys([*group, *_ROW]))
+        .repartition(*group)
+        .sortWithinPartitions(*group, "time", "seq")
     )
-    folded = sorted_rows.mapInPandas(_fold_partition, schema=_FOLD_SCHEMA)
+    folded = sorted_rows.mapInPandas(_fold_factory(group, schema.fieldNames()), schema=schema)
     return folded.select(
-        "vid",
-        "session_start",
+        *group,
         "n",
         F.struct(*[F.col(f"f_{c}").alias(c) for c in _ROW]).alias("first"),
         F.struct(*[F.col(f"l_{c}").alias(c) for c in _ROW]).alias("last"),
@@ -136,7 +136,7 @@ def _monotone_sql(lo: int, hi: int) -> str:
     return " AND ".join(terms)
 
 
-def _endpoints_unsplit(s: DataFrame, lo: int, hi: int) -> DataFrame:
+def _endpoints_unsplit(s: DataFrame, lo: int, hi: int, keys: Sequence[str] = ("vid",)) -> DataFrame:
     """Exact endpoints when every vehicle sits in one task (no hot key).
 
     The rows are already partitioned by vehicle; whole-session window aggregates (no new
@@ -144,16 +144,17 @@ def _endpoints_unsplit(s: DataFrame, lo: int, hi: int) -> DataFrame:
     takes arg-min/arg-max for passing sessions and collects the reports of the others
     only -- bounded by a non-hot vehicle -- for the native ``aggregate`` fold.
     """
-    w = over(["vid", "session_start"], ["time", "seq"], WHOLE)
+    group = [*keys, "session_start"]
+    w = over(group, ["time", "seq"], WHOLE)
     marks = [f"count(1) {w} AS _n", f"count(CASE WHEN dir = 0 THEN 1 END) {w} AS _nfwd"]
     for k in range(lo, hi + 1):
         marks.append(f"min(CASE WHEN seg = {k} THEN pos END) {w} AS _mn{k}")
         marks.append(f"max(CASE WHEN seg = {k} THEN pos END) {w} AS _mx{k}")
     simple = f"(_nfwd = 0 OR _nfwd = _n) AND {_monotone_sql(lo, hi)}"
-    cols = ["vid", "session_start", *_ROW]
+    cols = [*group, *_ROW]
     marked = s.selectExpr(*cols, *marks).selectExpr(*cols, f"{simple} AS _simple")
     row = f"struct({', '.join(_ROW)})"
-    agg = marked.groupBy("vid", "session_start").agg(
+    agg = marked.groupBy(*group).agg(
         F.expr("count(1) AS n"),
         F.expr(f"min_by({row}, struct(pos, time, seq)) AS _amin"),
         F.expr(f"min_by({row}, struct(-CAST(pos AS BIGINT), time, seq)) AS _amax"),
@@ -162,8 +163,7 @@ def _endpoints_unsplit(s: DataFrame, lo: int, hi: int) -> DataFrame:
         F.expr(f"collect_list(CASE WHEN NOT _simple THEN {row} END) AS _hard"),
     )
     ends = agg.selectExpr(
-        "vid",
-        "session_start",
+        *group,
         "n",
         "_nfwd = n AS _fwd",
         "_simple",
@@ -172,8 +172,7 @@ def _endpoints_unsplit(s: DataFrame, lo: int, hi: int) -> DataFrame:
         f"{fold_endpoints_sql('sort_array(_hard)')} AS _fold",
     )
     return ends.selectExpr(
-        "vid",
-        "session_start",
+        *group,
         "n",
         "CASE WHEN _simple THEN (CASE WHEN _fwd THEN _amin ELSE _amax END) ELSE _fold.first END AS first",
         "CASE WHEN _simple THEN (CASE WHEN _fwd THEN _amax ELSE _amin END) ELSE _fold.last END AS last",
@@ -185,17 +184,28 @@ def session_endpoints(
     params: Params = Params(),
     exact: bool = True,
     policy: SkewPolicy = DEFAULT_SKEW,
+    keys: Sequence[str] = ("vid",),
 ) -> DataFrame:
-    """Per session on the stretch: ``vid, session_start, n, first, last`` (structs of _ROW)."""
+    """Per session on the stretch: ``keys, session_start, n, first, last`` (structs of _ROW).
+
+    ``keys`` must contain ``vid``; extra keys (e.g. ``xway``, ``dir``) split sessions further.
+    """
+    keys = list(dict.fromkeys(keys))
+    if "vid" not in keys:
+        raise ValueError("keys must contain 'vid'")
     lo, hi = params.lo_seg, params.hi_seg
-    on_stretch = in_stretch(reports.select("vid", *_ROW), lo, hi)
-    s, split = sessionize_split(on_stretch, params.gap_units, policy=policy)
+    group = [*keys, "session_start"]
+    on_stretch = in_stretch(reports.select(*dict.fromkeys([*keys, *_ROW])), lo, hi)
+    s, split = sessionize_split(on_stretch, params.gap_units, keys, policy=policy)
     if exact and not split:
-        return _endpoints_unsplit(s, lo, hi)
+        return _endpoints_unsplit(s, lo, hi, keys)
     if exact:
         # The same null test the semi join below would infer, stated once before the branches
         # split: both branches then share one plan and Spark reuses its shuffle output.
-        s = s.where(F.col("vid").isNotNull() & F.col("session_start").isNotNull())
+        not_null = F.lit(True)
+        for c in group:
+            not_null = not_null & F.col(c).isNotNull()
+        s = s.where(not_null)
     neg_pos = -F.col("pos").cast("bigint")
     aggs = [
         F.count(F.lit(1)).alias("n"),
@@ -208,19 +218,17 @@ def session_endpoints(
             on_k = F.col("seg") == F.lit(k)
             aggs.append(F.min(F.when(on_k, F.col("pos"))).alias(f"_mn{k}"))
             aggs.append(F.max(F.when(on_k, F.col("pos"))).alias(f"_mx{k}"))
-    agg = s.groupBy("vid", "session_start").agg(*aggs)
+    agg = s.groupBy(*group).agg(*aggs)
     fwd = F.col("_nfwd") == F.col("n")
     first = F.when(fwd, F.col("_amin")).otherwise(F.col("_amax"))
     last = F.when(fwd, F.col("_amax")).otherwise(F.col("_amin"))
     if not exact:
-        return agg.select("vid", "session_start", "n", first.alias("first"), last.alias("last"))
+        return agg.select(*group, "n", first.alias("first"), last.alias("last"))
     simple = ((F.col("_nfwd") == 0) | fwd) & _monotone(lo, hi)
-    easy = agg.where(simple).select(
-        "vid", "session_start", "n", first.alias("first"), last.alias("last")
-    )
-    hard_keys = agg.where(~simple).select("vid", "session_start")
-    hard_rows = s.join(hard_keys, on=["vid", "session_start"], how="left_semi")
-    return easy.unionByName(exact_fold(hard_rows))
+    easy = agg.where(simple).select(*group, "n", first.alias("first"), last.alias("last"))
+    hard_keys = agg.where(~simple).select(*group)
+    hard_rows = s.join(hard_keys, on=group, how="left_semi")
+    return easy.unionByName(exact_fold(hard_rows, keys))
 
 
 def stretch_crossings(
@@ -228,11 +236,12 @@ def stretch_crossings(
     params: Params = Params(),
     exact: bool = True,
     policy: SkewPolicy = DEFAULT_SKEW,
+    keys: Sequence[str] = ("vid",),
 ) -> DataFrame:
     """Sessions whose entry and exit reports lie on the two end segments, with their
     average speed (before the ``avg_speed > limit`` test)."""
     lo, hi = params.lo_seg, params.hi_seg
-    ep = session_endpoints(reports, params, exact, policy)
+    ep = session_endpoints(reports, params, exact, policy, keys)
     crossed = (
         f"(first.seg = {lo} AND last.seg = {hi}) OR (first.seg = {hi} AND last.seg = {lo})"
     )
@@ -256,7 +265,8 @@ def average_speed_control(
     params: Params = Params(),
     exact: bool = True,
     policy: SkewPolicy = DEFAULT_SKEW,
+    keys: Sequence[str] = ("vid",),
 ) -> DataFrame:
     """``time1, time2, vid, xway, dir, avg_speed`` of crossings faster than the limit."""
-    sc = stretch_crossings(reports, params, exact, policy)
+    sc = stretch_crossings(reports, params, exact, policy, keys)
     return sc.where(f"avg_speed > CAST({float(params.avg_limit)!r} AS DOUBLE)")

@@ -8,10 +8,10 @@ from __future__ import annotations
 from collections import defaultdict
 
 
-def _by_vid(rows):
+def _by_vid(rows, keys=("vid",)):
     groups = defaultdict(list)
     for r in sorted(rows, key=lambda r: (r["time"], r["seq"])):
-        groups[r["vid"]].append(r)
+        groups[tuple(r[k] for k in keys) if len(keys) > 1 else r["vid"]].append(r)
     return groups
 
 
@@ -52,9 +52,10 @@ def fold(session):
     return first, last
 
 
-def sessions(rows, gap, lo=52, hi=56):
+def sessions(rows, gap, lo=52, hi=56, keys=("vid",)):
     out = []
-    for vid, rs in _by_vid([r for r in rows if lo <= r["seg"] <= hi]).items():
+    for key, rs in _by_vid([r for r in rows if lo <= r["seg"] <= hi], keys).items():
+        vid = rs[0]["vid"]
         cur = [rs[0]]
         for r in rs[1:]:
             if r["time"] - cur[-1]["time"] <= gap:
@@ -66,9 +67,9 @@ def sessions(rows, gap, lo=52, hi=56):
     return out
 
 
-def stretch_crossings(rows, gap, lo=52, hi=56, interval=30.0, factor=2.23694, limit=None):
+def stretch_crossings(rows, gap, lo=52, hi=56, interval=30.0, factor=2.23694, limit=None, keys=("vid",)):
     out = []
-    for vid, sess in sessions(rows, gap, lo, hi):
+    for vid, sess in sessions(rows, gap, lo, hi, keys):
         first, last = fold(sess)
         if (first["seg"] == lo and last["seg"] == hi) or (first["seg"] == hi and last["seg"] == lo):
             avg = (abs(first["pos"] - last["pos"]) / ((len(sess) - 1) * interval)) * factor

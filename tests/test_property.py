@@ -53,3 +53,16 @@ def test_fold_expression(spark, seed):
     ends = agg.select("vid", "session_start", "n", fold_endpoints("rows").alias("e"))
     got = collect(ends.select("vid", "session_start", "n", "e.first.seq", "e.last.seq"))
     assert got == model.endpoints(dicts(rows), gap=31)
+
+
+@pytest.mark.parametrize("seed", SEEDS[:2])
+@pytest.mark.parametrize("policy", ["default", "split", "sampled"])
+def test_extra_keys(spark, seed, policy):
+    """keys=(vid, xway, dir): sessions per vehicle, expressway and direction."""
+    rows = random_reports(seed)
+    df = frame(spark, rows)
+    keys = ("vid", "xway", "dir")
+    got = collect(stretch_crossings(df, Params(time_unit="s"), policy=POLICIES[policy], keys=keys))
+    want = model.stretch_crossings(dicts(rows), gap=31, keys=keys)
+    assert [g[:5] for g in got] == [w[:5] for w in want]
+    assert all(abs(g[5] - w[5]) < 1e-9 for g, w in zip(got, want))
