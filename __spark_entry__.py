@@ -82,6 +82,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_speed_radar": runners.stream_speed_radar_query,
         "stream_accident_reporter": runners.stream_accident_reporter_query,
         "stream_average_speed_control": runners.stream_average_speed_control_query,
+        "stream_accident_reporter_sliding": runners.stream_accident_reporter_sliding_query,
     }
 
 
@@ -189,4 +190,5 @@ SELECT f.t AS time1, t2 AS time2, vid, f.x AS xway, f.s AS seg, f.d AS dir, f.p
         "stream_speed_radar": q1,
         "stream_accident_reporter": q3,
         "stream_average_speed_control": avg_a,
+        "stream_accident_reporter_sliding": sliding,
     }

@@ -83,32 +83,38 @@ def stopped_sliding(
     slide_seconds: int = SLIDING_SLIDE_SECONDS,
     time_unit: str = "ms",
     count: int = STOP_REPORTS,
+    watermark: str | None = None,
 ) -> DataFrame:
     """WIN-3: per vehicle and sliding event-time window, fire when exactly ``count`` reports
     share the position of the window's first report. ``time2`` is the window's last report
     even if it moved. Each report joins ``size/slide`` windows (``F.window`` expansion);
     both aggregation steps are partial (map-side combined), so no window collects rows.
+
+    The same plan runs on a stream when ``watermark`` is given (e.g. ``"0 seconds"``): two
+    chained windowed aggregations in append mode, a window emitted once the watermark
+    passes its end.
     """
-    ts = event_time("time", time_unit)
-    win = F.window(ts, f"{size_seconds} seconds", f"{slide_seconds} seconds")
-    keyed = reports.select("vid", "time", "seq", "xway", "seg", "dir", "pos", win.alias("_w"))
-    first_key = F.struct("time", "seq")
-    by_pos = keyed.groupBy("vid", "_w", "pos").agg(
-        F.count(F.lit(1)).alias("_same"),
-        F.min(F.struct("time", "seq", "xway", "seg", "dir")).alias("_head"),
-        F.max(first_key).alias("_tail"),
+    keyed = reports.select(
+        "vid", "time", "seq", "xway", "seg", "dir", "pos", event_time("time", time_unit).alias("_ts")
+    )
+    if watermark is not None:
+        keyed = keyed.withWatermark("_ts", watermark)
+    win = F.window("_ts", f"{size_seconds} seconds", f"{slide_seconds} seconds")
+    by_pos = keyed.groupBy("vid", win.alias("_w"), "pos").agg(
+        F.expr("count(1) AS _same"),
+        F.expr("min(struct(time, seq, xway, seg, dir)) AS _head"),
+        F.expr("max(struct(time, seq)) AS _tail"),
     )
     per_window = by_pos.groupBy("vid", "_w").agg(
-        F.min_by(F.struct("_same", "pos", "_head"), F.col("_head")).alias("_f"),
-        F.max(F.col("_tail")).alias("_last"),
+        F.expr("min_by(struct(_same, pos, _head), _head) AS _f"),
+        F.expr("max(_tail) AS _last"),
     )
-    fired = per_window.where(F.col("_f._same") == F.lit(count))
-    return fired.select(
-        F.col("_f._head.time").alias("time1"),
-        F.col("_last.time").alias("time2"),
+    return per_window.where(f"_f._same = {int(count)}").selectExpr(
+        "_f._head.time AS time1",
+        "_last.time AS time2",
         "vid",
-        F.col("_f._head.xway").alias("xway"),
-        F.col("_f._head.seg").alias("seg"),
-        F.col("_f._head.dir").alias("dir"),
-        F.col("_f.pos").alias("pos"),
+        "_f._head.xway AS xway",
+        "_f._head.seg AS seg",
+        "_f._head.dir AS dir",
+        "_f.pos AS pos",
     )

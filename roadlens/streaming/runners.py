@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadlens.config import Params
+from roadlens.operators.stopped import stopped_sliding
 from roadlens.session import checkpoint_root
 from roadlens.sources.events_view import load_reports
 from roadlens.streaming.operators import (
@@ -91,9 +92,11 @@ def run_stream(
     return spark.read.parquet(f"{out_folder}/data")
 
 
-def _staged(spark: SparkSession, sf_dir: str, tag: str, flush_seg: int | None = None):
+def _staged(
+    spark: SparkSession, sf_dir: str, tag: str, flush_seg: int | None = None, clock: str = "event"
+):
     base = run_folder(spark, tag)
-    reports = load_reports(spark, sf_dir)
+    reports = load_reports(spark, sf_dir, clock=clock)
     stage_chunks(reports, f"{base}/source")
     if flush_seg is not None:
         flush_report(spark, f"{base}/source", flush_seg)
@@ -122,3 +125,16 @@ def stream_average_speed_control_query(spark: SparkSession, sf_dir: str) -> Data
         f"{base}/out",
     )
     return out.where(F.col("vid") != F.lit(FLUSH_VID))
+
+
+def stream_accident_reporter_sliding_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WIN-3 on a stream (view B, seconds): chained windowed aggregations, append mode."""
+    base, schema = _staged(spark, sf_dir, "sliding", flush_seg=52, clock="cadence")
+    out = run_stream(
+        spark,
+        f"{base}/source",
+        schema,
+        lambda s: stopped_sliding(s, time_unit="s", watermark="0 seconds"),
+        f"{base}/out",
+    )
+    return out.where(F.col("vid") != F.lit(FLUSH_VID))

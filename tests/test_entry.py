@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as E
 
 TABLES = ["events"]
-STREAMING = {"stream_speed_radar", "stream_accident_reporter", "stream_average_speed_control"}
+STREAMING = {name for name in E.queries() if name.startswith("stream_")}
 
 
 def test_entry(spark):

@@ -49,3 +49,20 @@ def test_stream_speed_control_without_flush_emits_closed_sessions_only(spark, sm
     got = collect(out)
     batch = collect(average_speed_control(reports, Params()))
     assert set(got) <= set(batch)
+
+
+def test_stream_sliding_window(spark, smoke_dir):
+    from roadlens.operators.stopped import stopped_sliding
+
+    base = runners.run_folder(spark, "test-sliding")
+    reports = load_reports(spark, smoke_dir, clock="cadence")
+    runners.stage_chunks(reports, f"{base}/source", chunks=3)
+    runners.flush_report(spark, f"{base}/source", 52)
+    schema = spark.read.parquet(f"{base}/source").schema
+    out = runners.run_stream(
+        spark, f"{base}/source", schema,
+        lambda s: stopped_sliding(s, time_unit="s", watermark="0 seconds"), f"{base}/out",
+    )
+    got = collect(out.where(F.col("vid") != runners.FLUSH_VID))
+    assert got == collect(stopped_sliding(reports, time_unit="s"))
+    assert len(got) == 93
