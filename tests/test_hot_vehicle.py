@@ -58,3 +58,18 @@ def test_results_equal_unsplit_and_model(spark, skewed):
     want = model.stretch_crossings(dicts(rows), gap=31)
     assert [g[:5] for g in got] == [w[:5] for w in want]
     assert all(abs(g[5] - w[5]) < 1e-9 for g, w in zip(got, want))
+
+
+@pytest.mark.parametrize("clock", ["event", "cadence"])
+def test_report_view_split_equals_plain(spark, smoke_dir, clock):
+    """The view numbers each user's events with a running count: exact on split plans too."""
+    from roadlens.sources.events_view import load_reports, load_reports_and_policy
+    from tests.util import SAMPLED, SPLIT_ALL
+
+    plain = collect(load_reports(spark, smoke_dir, clock=clock, policy=NO_SPLIT))
+    assert collect(load_reports(spark, smoke_dir, clock=clock, policy=SPLIT_ALL)) == plain
+    assert collect(load_reports(spark, smoke_dir, clock=clock, policy=SAMPLED)) == plain
+    _, policy = load_reports_and_policy(spark, smoke_dir, clock=clock)
+    assert not policy.enabled  # no user is hot in the test data: the check is not repeated
+    _, policy = load_reports_and_policy(spark, smoke_dir, clock=clock, policy=SPLIT_ALL)
+    assert policy.enabled  # every user is hot under SPLIT_ALL: vehicle operators check again
