@@ -15,6 +15,7 @@ rule one by one, starting from the exact entry/exit of the prefix.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +28,9 @@ from roadlens.config import UNIT_PER_SECOND, Params
 from roadlens.functions.predicates import event_time, in_stretch
 from roadlens.schema import SPEED_CONTROL_COLS
 
+# Timeout calls carry no rows; pandas warns inside PySpark's batch assembly about that.
+warnings.filterwarnings("ignore", message="The behavior of DataFrame concatenation with empty", category=FutureWarning)
+
 FIELDS = ("time", "seq", "xway", "dir", "seg", "pos")
 _T = {"time": T.IntegerType(), "seq": T.LongType(), "xway": T.IntegerType(),
       "dir": T.IntegerType(), "seg": T.IntegerType(), "pos": T.IntegerType()}
