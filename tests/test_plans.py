@@ -28,3 +28,23 @@ def test_split_plan_for_hot_keys(spark, smoke_dir):
     plan = _plan(speed_radar(reports, policy=SPLIT_ALL))
     assert "BroadcastHashJoin" in plan  # the bounded hot-key table
     assert "_blk" in plan  # windows partitioned by (vid, block)
+
+
+def _formatted(df):
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return df._jdf.queryExecution().explainString(mode)
+
+
+def test_parquet_input_pushdown_and_pruning(spark, smoke_dir):
+    from roadlens.operators.speed_control import average_speed_control
+    from roadlens.plans.jobs import stage_reports
+
+    staged = stage_reports(spark, load_reports(spark, smoke_dir))
+    q1 = _formatted(speed_radar(staged))
+    assert "GreaterThan(speed,90)" in q1
+    assert "ReadSchema: struct<seq:bigint,time:int,vid:bigint,speed:int,xway:int,dir:int,seg:int>" in q1
+    q2 = _formatted(average_speed_control(staged))
+    assert "GreaterThanOrEqual(seg,52)" in q2 and "LessThanOrEqual(seg,56)" in q2
+    assert "lane" not in q2.split("ReadSchema:")[1].split("\n")[0]
+    q3 = _formatted(accident_reporter(staged))
+    assert "speed" not in q3.split("ReadSchema:")[1].split("\n")[0]
