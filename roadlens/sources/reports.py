@@ -5,7 +5,8 @@ Java integer parsers; extra fields are ignored, anything malformed fails the job
 ``strict`` parser reproduces that with column expressions only (``split`` + a regex check +
 ``cast``), so it stays inside whole-stage codegen:
 
-* a field must match ``^[+-]?[0-9]+$`` (no blanks, no quotes) and fit its type;
+* each of the first 8 fields must be ``[+-]?[0-9]+`` (no blanks, no quotes) and fit its
+  type (one anchored regex per line, then ANSI casts);
 * fewer than 8 fields fails, 9 or more are accepted (extras ignored).
 
 ``on_error="quarantine"`` keeps going instead: good rows come back, bad lines can be read with
@@ -19,54 +20,64 @@ stable under task retries (same splits, same row order).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadlens.schema import REPORT_FIELDS, REPORT_SCHEMA
 
-INT_PATTERN = r"^[+-]?[0-9]+$"
+# A line is 8 comma-separated integers, optionally followed by more fields (ignored), as the
+# reference's split-then-parse accepts; a trailing empty field after the 8th is fine too.
+LINE_PATTERN = r"^[+-]?[0-9]+(,[+-]?[0-9]+){7}(,.*)?$"
 
 
-def _parts(line: Column) -> Column:
-    return F.split(line, ",")
+def _checked(lines: DataFrame, line_col: str) -> tuple[DataFrame, list[str]]:
+    """One regex test and one split per line (kept in their own projection)."""
+    keep = [f"`{c}`" for c in lines.columns if c != line_col]
+    staged = lines.selectExpr(
+        *keep,
+        f"`{line_col}` AS _line",
+        f"coalesce(`{line_col}` RLIKE '{LINE_PATTERN}', FALSE) AS _ok",
+        f"split(`{line_col}`, ',') AS _parts",
+    )
+    return staged, keep
 
 
-def _field_ok(part: Column) -> Column:
-    return part.isNotNull() & part.rlike(INT_PATTERN)
+def _field(i: int, type_name: str, cast: str = "CAST") -> str:
+    return f"{cast}(try_element_at(_parts, {i + 1}) AS {type_name})"
 
 
 def lines_to_reports(lines: DataFrame, on_error: str = "fail", line_col: str = "value") -> DataFrame:
-    """Parse a DataFrame of text lines into the 8 report columns (other columns are kept)."""
-    parts = _parts(F.col(line_col))
-    fields = [(F.get(parts, i), f) for i, f in enumerate(REPORT_SCHEMA.fields)]  # NULL if missing
-    keep = [c for c in lines.columns if c != line_col]
+    """Parse a DataFrame of text lines into the 8 report columns (other columns are kept).
+
+    ``fail``: a malformed line or an out-of-range number fails the job (ANSI cast), like the
+    reference. ``quarantine``: such lines are left out (see ``bad_lines``).
+    """
+    staged, keep = _checked(lines, line_col)
+    types = [(f.name, f.dataType.simpleString()) for f in REPORT_SCHEMA.fields]
     if on_error == "fail":
-        shown = F.coalesce(F.col(line_col), F.lit("<null>"))
-        values = [
-            F.when(_field_ok(p), p.cast(f.dataType))
-            .otherwise(F.raise_error(F.concat(F.lit(f"bad report field {f.name} in line: "), shown)))
-            .cast(f.dataType)
-            .alias(f.name)
-            for p, f in fields
-        ]
-        return lines.select(*keep, *values)
+        bad = "raise_error(concat('bad report line: ', coalesce(_line, '<null>')))"
+        return staged.selectExpr(
+            *keep,
+            *[
+                f"CAST(CASE WHEN _ok THEN {_field(i, t)} ELSE {bad} END AS {t}) AS {n}"
+                for i, (n, t) in enumerate(types)
+            ],
+        )
     if on_error == "quarantine":
-        ok = F.lit(True)
-        for p, f in fields:
-            ok = ok & _field_ok(p) & p.try_cast(f.dataType).isNotNull()
-        values = [p.try_cast(f.dataType).alias(f.name) for p, f in fields]
-        return lines.where(ok).select(*keep, *values)
+        fits = " AND ".join(f"{_field(i, t, 'TRY_CAST')} IS NOT NULL" for i, (_, t) in enumerate(types))
+        return staged.where(f"_ok AND {fits}").selectExpr(
+            *keep, *[f"{_field(i, t)} AS {n}" for i, (n, t) in enumerate(types)]
+        )
     raise ValueError("on_error must be 'fail' or 'quarantine'")
 
 
 def bad_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
     """Lines the strict parser rejects (wrong shape, non-integers, overflow)."""
-    parts = _parts(F.col(line_col))
-    ok = F.lit(True)
-    for i, field in enumerate(REPORT_SCHEMA.fields):
-        p = F.get(parts, i)
-        ok = ok & _field_ok(p) & p.try_cast(field.dataType).isNotNull()
-    return lines.where(~ok | F.col(line_col).isNull())
+    staged, _ = _checked(lines, line_col)
+    types = [f.dataType.simpleString() for f in REPORT_SCHEMA.fields]
+    fits = " AND ".join(f"{_field(i, t, 'TRY_CAST')} IS NOT NULL" for i, t in enumerate(types))
+    rejected = staged.where(f"NOT (_ok AND {fits})").select("_line")
+    return rejected.withColumnRenamed("_line", line_col)
 
 
 def read_reports(
