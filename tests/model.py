@@ -25,9 +25,10 @@ def speed_radar(rows, limit=90):
     return sorted(out)
 
 
-def accident_reporter(rows, size=4):
+def accident_reporter(rows, size=4, keys=("vid",)):
     out = []
-    for vid, rs in _by_vid(rows).items():
+    for key, rs in _by_vid(rows, keys).items():
+        vid = rs[0]["vid"]
         for i in range(size - 1, len(rs)):
             win = rs[i - size + 1 : i + 1]
             if all(w["pos"] == win[0]["pos"] for w in win):

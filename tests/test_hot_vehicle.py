@@ -73,3 +73,13 @@ def test_report_view_split_equals_plain(spark, smoke_dir, clock):
     assert not policy.enabled  # no user is hot in the test data: the check is not repeated
     _, policy = load_reports_and_policy(spark, smoke_dir, clock=clock, policy=SPLIT_ALL)
     assert policy.enabled  # every user is hot under SPLIT_ALL: vehicle operators check again
+
+
+def test_block_layout_is_clamped(spark):
+    """Blocks come from a sample; reports outside the sampled range still get a valid block."""
+    rows = [(t, 1, 50, 0, 1, 0, 52, 0) for t in range(0, 3000)] + [(10**6, 1, 50, 0, 1, 0, 52, 0)]
+    policy = SkewPolicy(hot_rows=500, block_rows=100, max_blocks=16, max_hot_keys=4, sample_rows=50)
+    blocked, hot = split_hot(frame(spark, rows), ["vid"], "time", policy)
+    assert hot
+    blocks = [r[0] for r in blocked.select("_blk").distinct().collect()]
+    assert min(blocks) >= 0 and max(blocks) <= 15 and len(blocks) > 4

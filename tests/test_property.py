@@ -66,3 +66,11 @@ def test_extra_keys(spark, seed, policy):
     want = model.stretch_crossings(dicts(rows), gap=31, keys=keys)
     assert [g[:5] for g in got] == [w[:5] for w in want]
     assert all(abs(g[5] - w[5]) < 1e-9 for g, w in zip(got, want))
+
+
+@pytest.mark.parametrize("policy", ["default", "split"])
+def test_accident_reporter_extra_keys(spark, policy):
+    rows = random_reports(5)
+    keys = ("vid", "xway")
+    got = collect(accident_reporter(frame(spark, rows), keys=keys, policy=POLICIES[policy]))
+    assert got == model.accident_reporter(dicts(rows), keys=keys)
