@@ -16,13 +16,30 @@ from roadlens.operators.stopped import accident_reporter, count_window, stopped_
 from roadlens.operators.sessions import sessions, sessionize
 from roadlens.operators.speed_control import average_speed_control, stretch_crossings
 from roadlens.sources.reports import lines_to_reports, read_reports, reports_to_lines
-from roadlens.sources.events_view import reports_from_events
+from roadlens.sources.events_view import (
+    load_reports,
+    load_reports_and_policy,
+    reports_and_policy,
+    reports_from_events,
+)
+from roadlens.plans.blocks import checked_policy
+from roadlens.plans.jobs import run_all, stream_all
+from roadlens.operators.speed_control import session_endpoints
+from roadlens.operators.stopped import count_window_firings
 from roadlens.sources.sinks import write_csv
 from roadlens.session import build_session, checkpoint_root
 
 __all__ = [
     "Params",
     "SkewPolicy",
+    "checked_policy",
+    "count_window_firings",
+    "load_reports",
+    "load_reports_and_policy",
+    "reports_and_policy",
+    "run_all",
+    "session_endpoints",
+    "stream_all",
     "accident_reporter",
     "average_speed_control",
     "build_session",
