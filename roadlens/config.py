@@ -55,20 +55,27 @@ class SkewPolicy:
     Ordered per-vehicle operators (running max, sessions, count windows) would put every
     report of a vehicle into one task. A vehicle with more than ``hot_rows`` reports is a
     *hot key*: its reports are cut into contiguous time blocks of about ``block_rows``
-    reports, each block runs in its own task, and small per-block summaries stitch the
-    blocks back together exactly. Hot keys are found on a sample (``sample_rows`` expected
-    rows per hot key). At most ``max_hot_keys`` keys are split (the broadcast table of hot
-    keys is bounded by it); further hot keys fall back to one task each, still exact.
+    reports (boundaries at quantiles of its time, so bursts get more blocks), each block
+    runs in its own task, and small per-block summaries stitch the blocks back together
+    exactly. Hot keys are found on a sample (``sample_rows`` expected rows per hot key). The
+    broadcast table of hot keys holds at most ``max_hot_keys`` keys and
+    ``max_total_blocks`` boundaries; keys past that bound stay whole, still exact.
     ``enabled=False`` skips the statistics pass entirely.
     """
 
     enabled: bool = True
-    hot_rows: int = 2_000_000
-    block_rows: int = 500_000
-    max_blocks: int = 8192
-    max_hot_keys: int = 4096
+    hot_rows: int = 8_000_000  # a vehicle above this many reports is split (~0.3 GB of shuffle)
+    block_rows: int = 2_000_000  # target reports per block of a split vehicle
+    max_blocks: int = 16_384  # most blocks of one vehicle (<= 65536)
+    max_hot_keys: int = 65_536  # most vehicles split; further ones stay whole (still exact)
+    max_total_blocks: int = 1 << 20  # most blocks of all split vehicles: bounds the broadcast
+    quantile_grid: int = 1024  # quantiles of time per split vehicle (block boundaries)
     sample_rows: int = 1000  # expected sampled rows of a key with hot_rows rows
     seed: int = 17
 
+    def __post_init__(self):
+        if not 1 <= self.max_blocks <= 1 << 16:
+            raise ValueError("max_blocks must be in 1 .. 65536")
+
 
 DEFAULT_SKEW = SkewPolicy()

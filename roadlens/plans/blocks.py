@@ -26,11 +26,13 @@ rows only.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from roadlens.config import DEFAULT_SKEW, SkewPolicy
 
@@ -47,41 +49,62 @@ def hot_key_table(
     axis: str | Column,
     policy: SkewPolicy = DEFAULT_SKEW,
 ) -> DataFrame | None:
-    """Hot keys with their block layout (``keys, _a0, _aw, _nb``), or None if no key is hot.
+    """Hot keys with their block boundaries (``keys, _q``), or None if no key is hot.
 
-    Runs one job over a seeded Bernoulli sample of the rows (fraction ``f`` chosen so that a
-    key with ``hot_rows`` rows is expected to show ``sample_rows`` times; ``f = 1`` for tiny
+    One job over a seeded Bernoulli sample of the rows (fraction ``f`` chosen so that a key
+    with ``hot_rows`` rows is expected to show ``sample_rows`` times; ``f = 1`` for tiny
     thresholds, then the counts are exact). The sample is grouped by key with map-side
     partial aggregation, so the shuffle is ~``f`` times the rows; a key is hot when its
     sampled count passes half its expectation -- a key with ``hot_rows`` rows is missed
     with negligible probability, and a smaller key that is split only costs balance.
-    Only the at most ``max_hot_keys`` largest keys reach the driver; they come back as a
-    local relation, small enough to broadcast by construction.
 
-    Block layout: ``_nb`` blocks of width ``_aw`` starting at ``_a0`` (from the sample);
-    ``_assign_blocks`` clamps the block index, so a time outside the sampled range still gets
-    a valid block -- the layout only affects balance, never results.
+    Only when some key is hot, a second job over the same sample (hot keys only) takes a
+    grid of ``quantile_grid`` approximate quantiles of the axis per hot key. A hot key gets
+    ``nb`` blocks (``rows / block_rows``, at most ``max_blocks``; all hot keys together at
+    most ``max_total_blocks``, block size grows when that budget is reached) and ``nb - 1``
+    ascending boundaries interpolated on its quantile grid, so blocks follow the key's
+    density over the axis -- a burst gets many blocks. The table that reaches the driver and
+    is broadcast holds at most ``max_hot_keys`` keys and ``max_total_blocks`` boundaries.
+    Boundaries only affect balance, never results: any monotone block assignment is
+    stitched back exactly.
     """
     ax = _col(axis).cast("bigint")
     frac = min(1.0, policy.sample_rows / max(1, policy.hot_rows))
     rows = df.sample(fraction=frac, seed=policy.seed) if frac < 1.0 else df
     threshold = policy.hot_rows if frac >= 1.0 else 0.5 * policy.hot_rows * frac
-    stats = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(ax).alias("_a0"), F.max(ax).alias("_a1")
-    )
-    est = F.col("_n") / F.lit(frac)
-    nblk = F.least(F.lit(policy.max_blocks), F.greatest(F.lit(1), F.ceil(est / F.lit(policy.block_rows))))
-    width = F.greatest(F.lit(1), F.ceil((F.col("_a1") - F.col("_a0") + F.lit(1)) / nblk))
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     hot = (
-        stats.where(F.col("_n") > F.lit(threshold))
+        counts.where(F.col("_n") > F.lit(threshold))
         .orderBy(F.col("_n").desc(), *keys)
         .limit(policy.max_hot_keys)
-        .select(*keys, F.col("_a0"), width.cast("bigint").alias("_aw"), nblk.cast("bigint").alias("_nb"))
     )
-    found = hot.collect()
+    found = hot.collect()  # at most max_hot_keys rows
     if not found:
         return None
-    return df.sparkSession.createDataFrame(found, schema=hot.schema)
+    # blocks per hot key, within the total budget (arithmetic on the bounded hot-key list)
+    estimates = [r["_n"] / frac for r in found]
+    block = max(policy.block_rows, math.ceil(sum(estimates) / policy.max_total_blocks))
+    nbs = [int(min(policy.max_blocks, max(1, math.ceil(e / block)))) for e in estimates]
+    spark = df.sparkSession
+    hot_keys = spark.createDataFrame(
+        [(*[r[k] for k in keys], nb) for r, nb in zip(found, nbs)],
+        schema=T.StructType([*[hot.schema[k] for k in keys], T.StructField("_nb", T.IntegerType())]),
+    )
+    grid = policy.quantile_grid
+    fractions = ", ".join(f"{i / grid!r}" for i in range(grid + 1))  # 0 .. 1: min .. max
+    quant = (
+        rows.select(*keys, ax.alias("_ax"))
+        .join(F.broadcast(hot_keys), on=list(keys), how="inner")
+        .groupBy(*keys, "_nb")
+        .agg(F.expr(f"percentile_approx(_ax, array({fractions})) AS _g"))
+    )
+    # boundary i of nb sits at grid position x = i * grid / nb, interpolated between grid points
+    x = f"(i * {grid}.0 / _nb)"
+    j = f"CAST(floor({x}) AS INT)"
+    point = f"_g[{j}] + ({x} - floor({x})) * (_g[{j} + 1] - _g[{j}])"
+    pick = f"CASE WHEN _nb > 1 THEN transform(sequence(1, _nb - 1), i -> CAST(floor({point}) AS BIGINT)) ELSE array() END"
+    bounds = quant.selectExpr(*[f"`{k}`" for k in keys], f"CAST({pick} AS ARRAY<BIGINT>) AS _q")
+    return spark.createDataFrame(bounds.collect(), schema=bounds.schema)
 
 
 def checked_policy(
@@ -116,15 +139,28 @@ def split_hot(
     return _assign_blocks(df, keys, axis, hot), True
 
 
+SEARCH_STEPS = 17  # halvings: enough for up to 2**16 boundaries per key (max_blocks <= 65536)
+
+
+def _block_of(axis_sql: str, steps: int) -> str:
+    """SQL: how many boundaries in ``_q`` are <= the axis -- a binary search in ``steps``
+    halvings, as a native higher-order ``aggregate`` (no Python)."""
+    mid = "CAST((a.lo + a.hi) div 2 AS INT)"
+    return (
+        f"aggregate(sequence(1, {steps}), named_struct('lo', 0, 'hi', size(_q)), (a, i) -> "
+        f"CASE WHEN a.lo >= a.hi THEN a "
+        f"WHEN _q[{mid}] <= {axis_sql} THEN named_struct('lo', {mid} + 1, 'hi', a.hi) "
+        f"ELSE named_struct('lo', a.lo, 'hi', {mid}) END).lo"
+    )
+
+
 def _assign_blocks(df: DataFrame, keys: Sequence[str], axis: str | Column, hot: DataFrame) -> DataFrame:
-    ax = _col(axis).cast("bigint")
     cols = df.columns
-    joined = df.join(F.broadcast(hot), on=list(keys), how="left")
-    inside = F.floor((ax - F.col("_a0")) / F.col("_aw"))
-    blk = F.when(F.col("_aw").isNull(), F.lit(-1)).otherwise(
-        F.least(F.col("_nb") - F.lit(1), F.greatest(F.lit(0), inside))
+    joined = df.join(F.broadcast(hot), on=list(keys), how="left").withColumn(
+        "_ax", _col(axis).cast("bigint")
     )
-    return joined.select(*cols, blk.cast("bigint").alias(BLK))
+    blk = f"CASE WHEN _q IS NULL THEN -1 ELSE {_block_of('_ax', SEARCH_STEPS)} END"
+    return joined.selectExpr(*[f"`{c}`" for c in cols], f"CAST({blk} AS BIGINT) AS {BLK}")
 
 
 # ----------------------------------------------------------------------------------------
