@@ -45,7 +45,7 @@ def sessionize_split(
     keys = list(keys)
     gap = F.lit(int(gap_units)).cast("bigint")
     t = F.col("time").cast("bigint")
-    b, hot = split_hot(reports, keys, "time", policy)
+    b, hot = split_hot(reports, keys, "time", policy, order[1] if len(order) > 1 else None)
     if not hot:
         w = over(keys, order)
         brk = f"CASE WHEN lag(time) {w} IS NULL OR CAST(time AS BIGINT) - lag(time) {w} > {int(gap_units)} THEN time END"

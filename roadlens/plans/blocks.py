@@ -48,9 +48,13 @@ def hot_key_table(
     keys: Sequence[str],
     axis: str | Column,
     policy: SkewPolicy = DEFAULT_SKEW,
+    tiebreak: str | None = None,
 ) -> DataFrame | None:
     """Hot keys with their block boundaries (``keys, _q``), or None if no key is hot.
 
+    ``_q`` is an ascending array of ``struct(t, s)``: a row belongs after every boundary
+    that is <= ``struct(axis, tiebreak)``.
+
     One job over a seeded Bernoulli sample of the rows (fraction ``f`` chosen so that a key
     with ``hot_rows`` rows is expected to show ``sample_rows`` times; ``f = 1`` for tiny
     thresholds, then the counts are exact). The sample is grouped by key with map-side
@@ -67,6 +71,11 @@ def hot_key_table(
     is broadcast holds at most ``max_hot_keys`` keys and ``max_total_blocks`` boundaries.
     Boundaries only affect balance, never results: any monotone block assignment is
     stitched back exactly.
+
+    Hot instants: when several boundaries of a key fall on one axis value (a large share of
+    its rows at one ``time``), a third job on the sample (those instants only) takes
+    quantiles of the ``tiebreak`` column there, and the repeated boundaries become
+    ``(t, s_k)`` pairs, so one instant is split over several blocks in ``(time, seq)`` order.
     """
     ax = _col(axis).cast("bigint")
     frac = min(1.0, policy.sample_rows / max(1, policy.hot_rows))
@@ -104,7 +113,70 @@ def hot_key_table(
     point = f"_g[{j}] + ({x} - floor({x})) * (_g[{j} + 1] - _g[{j}])"
     pick = f"CASE WHEN _nb > 1 THEN transform(sequence(1, _nb - 1), i -> CAST(floor({point}) AS BIGINT)) ELSE array() END"
     bounds = quant.selectExpr(*[f"`{k}`" for k in keys], f"CAST({pick} AS ARRAY<BIGINT>) AS _q")
-    return spark.createDataFrame(bounds.collect(), schema=bounds.schema)
+    times = {tuple(r[k] for k in keys): list(r["_q"]) for r in bounds.collect()}
+    ties = _hot_instants(times) if tiebreak else {}
+    seq_grid = _instant_quantiles(rows, keys, ax, tiebreak, ties, grid, hot.schema) if ties else {}
+    key_fields = [hot.schema[k] for k in keys]
+    schema = T.StructType([*key_fields, T.StructField("_q", T.ArrayType(_BOUND))])
+    table = [(*key, _composite(key, ts, seq_grid)) for key, ts in times.items()]
+    return spark.createDataFrame(table, schema=schema)
+
+
+LOWEST = -(2**63)
+_BOUND = T.StructType([T.StructField("t", T.LongType()), T.StructField("s", T.LongType())])
+
+
+def _hot_instants(times: dict[tuple, list[int]]) -> dict[tuple, int]:
+    """(key..., t) -> number of boundaries sitting on t, for runs of 2 or more."""
+    out = {}
+    for key, ts in times.items():
+        for t in set(ts):
+            n = ts.count(t)
+            if n >= 2:
+                out[(*key, t)] = n
+    return out
+
+
+def _instant_quantiles(rows, keys, ax, tiebreak, ties, grid, key_schema) -> dict[tuple, list[int]]:
+    """Quantile grid of ``tiebreak`` among sampled rows at each hot instant (bounded list)."""
+    spark = rows.sparkSession
+    inst = spark.createDataFrame(
+        list(ties),
+        schema=T.StructType([*[key_schema[k] for k in keys], T.StructField("_t", T.LongType())]),
+    )
+    fractions = ", ".join(f"{i / grid!r}" for i in range(grid + 1))
+    q = (
+        rows.select(*keys, ax.alias("_t"), F.col(tiebreak).cast("bigint").alias("_s"))
+        .join(F.broadcast(inst), on=[*keys, "_t"], how="inner")
+        .groupBy(*keys, "_t")
+        .agg(F.expr(f"percentile_approx(_s, array({fractions})) AS _g"))
+    )
+    return {(*[r[k] for k in keys], r["_t"]): list(r["_g"]) for r in q.collect()}
+
+
+def _composite(key: tuple, ts: list[int], seq_grid: dict[tuple, list[int]]) -> list[tuple[int, int]]:
+    """Boundaries as (t, s): (t, lowest) except inside a run of equal t at a hot instant,
+    where the run's later boundaries are interpolated on the instant's quantiles of s."""
+    out: list[tuple[int, int]] = []
+    i = 0
+    while i < len(ts):
+        t = ts[i]
+        j = i
+        while j < len(ts) and ts[j] == t:
+            j += 1
+        run = j - i
+        g = seq_grid.get((*key, t))
+        out.append((t, LOWEST))
+        for k in range(1, run):
+            if g:
+                x = k * (len(g) - 1) / run
+                lo = int(math.floor(x))
+                hi = min(lo + 1, len(g) - 1)
+                out.append((t, int(math.floor(g[lo] + (x - lo) * (g[hi] - g[lo])))))
+            else:
+                out.append((t, LOWEST))
+        i = j
+    return out
 
 
 def checked_policy(
@@ -128,22 +200,32 @@ def split_hot(
     keys: Sequence[str],
     axis: str | Column,
     policy: SkewPolicy = DEFAULT_SKEW,
+    tiebreak: str | None = None,
 ) -> tuple[DataFrame, bool]:
     """``(df with _blk, True)`` when some key is hot, else ``(df, False)`` unchanged.
 
-    Callers build the plain per-key plan when no key is hot (nothing to stitch together).
+    ``axis`` then ``tiebreak`` must be the leading columns of the per-key order. Callers
+    build the plain per-key plan when no key is hot (nothing to stitch together).
     """
-    hot = hot_key_table(df, keys, axis, policy) if policy.enabled else None
+    hot = hot_key_table(df, keys, axis, policy, tiebreak) if policy.enabled else None
     if hot is None:
         return df, False
-    return _assign_blocks(df, keys, axis, hot), True
+    return _assign_blocks(df, keys, axis, hot, tiebreak), True
+
+
+def _tiebreak(order: Sequence[str], axis: str | Column | None) -> str | None:
+    """The second order column, usable to split an instant only when the axis is exactly
+    the first order column (a coarser axis, e.g. whole seconds of a timestamp, is not)."""
+    if len(order) < 2 or not (axis is None or (isinstance(axis, str) and axis == order[0])):
+        return None
+    return order[1]
 
 
 SEARCH_STEPS = 17  # halvings: enough for up to 2**16 boundaries per key (max_blocks <= 65536)
 
 
 def _block_of(axis_sql: str, steps: int) -> str:
-    """SQL: how many boundaries in ``_q`` are <= the axis -- a binary search in ``steps``
+    """SQL: how many boundaries in ``_q`` are <= the point -- a binary search in ``steps``
     halvings, as a native higher-order ``aggregate`` (no Python)."""
     mid = "CAST((a.lo + a.hi) div 2 AS INT)"
     return (
@@ -154,12 +236,18 @@ def _block_of(axis_sql: str, steps: int) -> str:
     )
 
 
-def _assign_blocks(df: DataFrame, keys: Sequence[str], axis: str | Column, hot: DataFrame) -> DataFrame:
+def _assign_blocks(
+    df: DataFrame, keys: Sequence[str], axis: str | Column, hot: DataFrame, tiebreak: str | None
+) -> DataFrame:
     cols = df.columns
-    joined = df.join(F.broadcast(hot), on=list(keys), how="left").withColumn(
-        "_ax", _col(axis).cast("bigint")
+    tb = F.coalesce(F.col(tiebreak).cast("bigint"), F.lit(LOWEST)) if tiebreak else F.lit(LOWEST)
+    joined = (
+        df.join(F.broadcast(hot), on=list(keys), how="left")
+        .withColumn("_ax", _col(axis).cast("bigint"))
+        .withColumn("_tb", tb.cast("bigint"))
     )
-    blk = f"CASE WHEN _q IS NULL THEN -1 ELSE {_block_of('_ax', SEARCH_STEPS)} END"
+    point = "named_struct('t', _ax, 's', _tb)"
+    blk = f"CASE WHEN _q IS NULL THEN -1 ELSE {_block_of(point, SEARCH_STEPS)} END"
     return joined.selectExpr(*[f"`{c}`" for c in cols], f"CAST({blk} AS BIGINT) AS {BLK}")
 
 
@@ -209,8 +297,9 @@ def running(
         if kind not in _LOCAL:
             raise ValueError(f"unknown running aggregate {kind!r}")
     keys, order = list(keys), list(order)
+    tiebreak = _tiebreak(order, axis)
     axis = axis if axis is not None else order[0]
-    b, hot = split_hot(df, keys, axis, policy)
+    b, hot = split_hot(df, keys, axis, policy, tiebreak)
     if not hot:
         w = over(keys, order, UPTO)
         return df.selectExpr(
@@ -264,9 +353,10 @@ def trailing(
     if h < 0:
         raise ValueError("preceding must be >= 0")
     keys, order = list(keys), list(order)
+    tiebreak = _tiebreak(order, axis)
     axis = axis if axis is not None else order[0]
     frame = f"ROWS BETWEEN {h} PRECEDING AND CURRENT ROW"
-    b, hot = split_hot(df, keys, axis, policy)
+    b, hot = split_hot(df, keys, axis, policy, tiebreak)
     if not hot:
         w = over(keys, order, frame)
         return df.selectExpr("*", *[f"{e} {w} AS `{n}`" for n, e in exprs.items()])

@@ -99,3 +99,23 @@ def test_blocks_follow_density(spark):
     # and the split result stays exact
     df = frame(spark, rows)
     assert collect(speed_radar(df, policy=policy)) == collect(speed_radar(df, policy=NO_SPLIT))
+
+
+def test_hot_instant_is_split_by_seq(spark):
+    """3,000 reports of one vehicle share one time value: split by seq, results unchanged."""
+    rnd = random.Random(11)
+    rows = [(30 * i, 1, rnd.randint(85, 130), 0, 1, 0, 52 + i % 5, rnd.choice([0, 0, 7])) for i in range(200)]
+    rows += [(10_000, 1, rnd.randint(85, 130), 0, 1, 0, 52 + i % 5, rnd.choice([0, 0, 7])) for i in range(3000)]
+    rows += [(10_030 + 30 * i, 1, rnd.randint(85, 130), 0, 1, 0, 56, 9) for i in range(100)]
+    rnd.shuffle(rows)
+    policy = SkewPolicy(hot_rows=500, block_rows=150, max_blocks=64, max_hot_keys=4, sample_rows=1000)
+    df = frame(spark, rows)
+    blocked, hot = split_hot(df, ["vid"], "time", policy, tiebreak="seq")
+    assert hot
+    at_instant = blocked.where(F.col("time") == 10_000).groupBy("_blk").count().collect()
+    assert len(at_instant) >= 10 and max(r["count"] for r in at_instant) <= 3 * 150
+    assert collect(speed_radar(df, policy=policy)) == collect(speed_radar(df, policy=NO_SPLIT))
+    assert collect(accident_reporter(df, policy=policy)) == collect(accident_reporter(df, policy=NO_SPLIT))
+    p = Params(time_unit="s")
+    assert collect(stretch_crossings(df, p, policy=policy)) == collect(stretch_crossings(df, p, policy=NO_SPLIT))
+    assert collect(sessions(df, p, policy=policy)) == collect(sessions(df, p, policy=NO_SPLIT))
