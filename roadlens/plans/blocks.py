@@ -49,9 +49,13 @@ def hot_key_table(
     axis: str | Column,
     policy: SkewPolicy = DEFAULT_SKEW,
     tiebreak: str | None = None,
+    boundaries: bool = True,
 ) -> DataFrame | None:
     """Hot keys with their block boundaries (``keys, _q``), or None if no key is hot.
 
+    ``boundaries=False`` stops after the first job (hot keys only, no ``_q``): enough to
+    know whether any key is hot.
+
     ``_q`` is an ascending array of ``struct(t, s)``: a row belongs after every boundary
     that is <= ``struct(axis, tiebreak)``.
 
@@ -90,6 +94,8 @@ def hot_key_table(
     found = hot.collect()  # at most max_hot_keys rows
     if not found:
         return None
+    if not boundaries:
+        return df.sparkSession.createDataFrame(found, schema=hot.schema)
     # blocks per hot key, within the total budget (arithmetic on the bounded hot-key list)
     estimates = [r["_n"] / frac for r in found]
     block = max(policy.block_rows, math.ceil(sum(estimates) / policy.max_total_blocks))
@@ -190,7 +196,7 @@ def checked_policy(
     A key's rows in any subset of ``df`` are at most its rows in ``df``, so operators on
     subsets of ``df`` keyed by ``keys`` can use the returned policy.
     """
-    if not policy.enabled or hot_key_table(df, keys, axis, policy) is not None:
+    if not policy.enabled or hot_key_table(df, keys, axis, policy, boundaries=False) is not None:
         return policy
     return replace(policy, enabled=False)
 

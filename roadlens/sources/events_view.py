@@ -68,7 +68,7 @@ def reports_and_policy(
         "ts",
         (_seconds_since_epoch(F.col("ts"), ts_type) - F.lit(epoch_s)).alias("_secs"),
     )
-    hot = hot_key_table(ev, ["user_id"], F.col("_secs"), policy) if policy.enabled else None
+    hot = hot_key_table(ev, ["user_id"], F.col("_secs"), policy, boundaries=False) if policy.enabled else None
     checked = policy if hot is not None else replace(policy, enabled=False)
     numbered = running(
         ev,
