@@ -8,6 +8,11 @@ derives position reports from ``events`` with ``roadlens.sources.events_view``);
 Two report views exist (see FIXTURES.md): view A (``time`` = seconds of ``ts`` since
 2024-01-01, queried as written with the 31,000-unit session gap) and view B (``time`` on a
 30 s cadence, queried with the 31 s gap and the 120 s / 30 s sliding window).
+
+The ``stream_*`` entries run the Structured Streaming twins to completion over the same
+reports, replayed as three time-ordered micro-batches from a fresh folder under
+``spark.checkpoint.dir`` (``roadlens.streaming.runners``), and return the sink's contents;
+their oracles are the batch queries' SQL.
 """
 
 from __future__ import annotations
