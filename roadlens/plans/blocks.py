@@ -219,12 +219,14 @@ def split_hot(
     return _assign_blocks(df, keys, axis, hot, tiebreak), True
 
 
-def _tiebreak(order: Sequence[str], axis: str | Column | None) -> str | None:
-    """The second order column, usable to split an instant only when the axis is exactly
-    the first order column (a coarser axis, e.g. whole seconds of a timestamp, is not)."""
-    if len(order) < 2 or not (axis is None or (isinstance(axis, str) and axis == order[0])):
+def _tiebreak(order: Sequence[str], axis: str | Column | None, orders_like: str | None = None) -> str | None:
+    """The second order column, usable to split an instant only when the axis orders rows
+    exactly as the first order column does (the column itself, or one declared with
+    ``axis_orders_like``); a coarser axis, e.g. whole seconds of a timestamp, is not."""
+    if len(order) < 2:
         return None
-    return order[1]
+    same = axis is None or (isinstance(axis, str) and axis == order[0]) or orders_like == order[0]
+    return order[1] if same else None
 
 
 SEARCH_STEPS = 17  # halvings: enough for up to 2**16 boundaries per key (max_blocks <= 65536)
@@ -291,9 +293,14 @@ def running(
     aggs: dict[str, tuple[str, str | None]],
     axis: str | Column | None = None,
     policy: SkewPolicy = DEFAULT_SKEW,
+    axis_orders_like: str | None = None,
 ) -> DataFrame:
     """Add running aggregates (first row .. current row, per key, in ``order``).
 
+    ``axis`` (default: the first order column) places hot-key blocks; if it is another
+    column that orders rows exactly like the first order column (e.g. its microseconds),
+    name that column in ``axis_orders_like`` so hot instants can be split on ``order[1]``.
+
     ``aggs`` maps an output name to ``(kind, sql)`` with kind one of
     ``sum count max min first`` and ``sql`` a SQL expression over ``df``'s columns
     (``first`` is the expression's value at the key's first row). One shuffle of the rows
@@ -303,7 +310,7 @@ def running(
         if kind not in _LOCAL:
             raise ValueError(f"unknown running aggregate {kind!r}")
     keys, order = list(keys), list(order)
-    tiebreak = _tiebreak(order, axis)
+    tiebreak = _tiebreak(order, axis, axis_orders_like)
     axis = axis if axis is not None else order[0]
     b, hot = split_hot(df, keys, axis, policy, tiebreak)
     if not hot:

@@ -30,13 +30,16 @@ from roadlens.plans.blocks import hot_key_table, running
 VIEW_EPOCH = _dt.datetime(2024, 1, 1)
 
 
-def _seconds_since_epoch(ts: Column, dtype: T.DataType) -> Column:
-    """Whole seconds since 1970-01-01 (floor), exact integer arithmetic."""
+def _micros_since_epoch(ts: Column, dtype: T.DataType) -> Column:
+    """Microseconds since 1970-01-01: exact, and order-preserving for ``ts``."""
     if isinstance(dtype, T.TimestampNTZType):
         # wall-clock difference of TIMESTAMP_NTZ values: independent of the session time zone
-        micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
-    else:
-        micros = F.unix_micros(ts)
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
+    return F.unix_micros(ts)
+
+
+def _seconds(micros: Column) -> Column:
+    """Whole seconds (floor), exact integer arithmetic."""
     return ((micros - F.pmod(micros, F.lit(1_000_000))) / F.lit(1_000_000)).cast("bigint")
 
 
@@ -66,16 +69,18 @@ def reports_and_policy(
         "user_id",
         "value",
         "ts",
-        (_seconds_since_epoch(F.col("ts"), ts_type) - F.lit(epoch_s)).alias("_secs"),
+        (_seconds(_micros_since_epoch(F.col("ts"), ts_type)) - F.lit(epoch_s)).alias("_secs"),
+        _micros_since_epoch(F.col("ts"), ts_type).alias("_us"),
     )
-    hot = hot_key_table(ev, ["user_id"], F.col("_secs"), policy, boundaries=False) if policy.enabled else None
+    hot = hot_key_table(ev, ["user_id"], "_us", policy, boundaries=False) if policy.enabled else None
     checked = policy if hot is not None else replace(policy, enabled=False)
     numbered = running(
         ev,
         keys=["user_id"],
         order=["ts", "event_id"],
         aggs={"_rn1": ("count", None)},
-        axis=F.col("_secs"),
+        axis="_us",
+        axis_orders_like="ts",
         policy=checked,
     )
     time = "CAST(_secs AS INT)" if clock == "event" else "CAST(30 * rn + 300 * (rn div 24) AS INT)"
