@@ -119,3 +119,28 @@ def test_hot_instant_is_split_by_seq(spark):
     p = Params(time_unit="s")
     assert collect(stretch_crossings(df, p, policy=policy)) == collect(stretch_crossings(df, p, policy=NO_SPLIT))
     assert collect(sessions(df, p, policy=policy)) == collect(sessions(df, p, policy=NO_SPLIT))
+
+
+def test_report_view_hot_instant(spark):
+    """One user with 2,000 events at one timestamp: the view's report numbering is exact."""
+    import datetime as dt
+
+    from roadlens.sources.events_view import reports_from_events
+
+    base = dt.datetime(2024, 1, 1, 8, 0, 0)
+    rows = [(i, base, 7, "view", float(i % 120), "{}") for i in range(2000)]
+    rows += [(2000 + i, base + dt.timedelta(seconds=i + 1), 7, "view", 95.0, "{}") for i in range(300)]
+    rows += [(5000 + i, base + dt.timedelta(seconds=7 * i), 8, "click", 91.0, "{}") for i in range(50)]
+    events = spark.createDataFrame(
+        rows, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    )
+    policy = SkewPolicy(hot_rows=400, block_rows=100, max_blocks=64, max_hot_keys=4, sample_rows=1000)
+    got = collect(reports_from_events(events, policy=policy))
+    assert got == collect(reports_from_events(events, policy=NO_SPLIT))
+    from roadlens.plans.blocks import split_hot
+
+    ev = events.selectExpr("user_id", "event_id", "ts", "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts) AS _us")
+    blocked, hot = split_hot(ev, ["user_id"], "_us", policy, tiebreak="event_id")
+    assert hot
+    at_instant = blocked.where(F.col("event_id") < 2000).select("_blk").distinct().count()
+    assert at_instant >= 8
