@@ -5,13 +5,14 @@ partitioned by the vehicle. If one vehicle held a third of all reports, a plain
 ``Window.partitionBy("vid")`` would hand that third to a single task. The helpers here keep
 the declarative window plan but partition by ``(key, block)``:
 
-* ``split_hot`` runs one statistics job on a seeded sample of the rows (count/min/max of
-  the order axis per key, map-side partially aggregated). Keys above ``SkewPolicy.hot_rows``
-  rows are *hot*; they are cut into contiguous ranges of the axis ("blocks", ~``block_rows``
-  rows each). Ordinary keys keep a single block ``-1``. The hot-key table holds at most
-  ``max_hot_keys`` rows, so it is broadcast with a proven bound; keys past that bound stay
-  single-block (exact, unsplit). ``checked_policy`` runs the check once for several
-  operators on subsets of the same rows.
+* ``split_hot`` counts rows per key on a seeded sample (map-side partially aggregated).
+  Keys above ``SkewPolicy.hot_rows`` rows are *hot*; they are cut into contiguous ranges
+  of ``(axis, tiebreak)`` ("blocks", ~``block_rows`` rows each) at quantile boundaries taken
+  on the same sample, and each row finds its block with a native binary search. Ordinary
+  keys keep a single block ``-1``. The boundary table is bounded (``max_hot_keys`` keys,
+  ``max_total_blocks`` boundaries) and broadcast; keys past the bound stay single-block
+  (exact, unsplit). ``checked_policy`` runs the check once for several operators on
+  subsets of the same rows.
 * ``running`` computes running aggregates inside each block and adds a carry from earlier
   blocks, taken from per-block summaries (a few rows per block, windowed per key).
 * ``trailing`` computes frames of the current row and the ``h`` rows before it inside each
