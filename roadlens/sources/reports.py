@@ -86,7 +86,8 @@ def read_reports(
     parser: str = "strict",
     on_error: str = "fail",
 ) -> DataFrame:
-    """Position reports from header-less CSV text file(s) at ``path``."""
+    """Position reports at ``path``: header-less CSV text (``strict`` or ``csv`` parser) or a
+    parquet table with the 8 report columns (``parquet``; its ``seq`` is kept if present)."""
     if parser == "strict":
         lines = spark.read.text(path).select(
             F.monotonically_increasing_id().alias("seq"), F.col("value")
@@ -96,7 +97,13 @@ def read_reports(
         mode = "FAILFAST" if on_error == "fail" else "DROPMALFORMED"
         df = spark.read.schema(REPORT_SCHEMA).option("mode", mode).csv(path)
         return df.select(F.monotonically_increasing_id().alias("seq"), *REPORT_FIELDS)
-    raise ValueError("parser must be 'strict' or 'csv'")
+    if parser == "parquet":
+        # a columnar table of reports: typed columns, filters and pruning reach the scan
+        df = spark.read.parquet(path)
+        seq = F.col("seq").cast("bigint") if "seq" in df.columns else F.monotonically_increasing_id()
+        typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in REPORT_SCHEMA.fields]
+        return df.select(seq.alias("seq"), *typed)
+    raise ValueError("parser must be 'strict', 'csv' or 'parquet'")
 
 
 def reports_to_lines(reports: DataFrame) -> DataFrame:

@@ -66,3 +66,14 @@ def test_csv_round_trip(spark):
     fast = read_reports(spark, out, parser="csv")
     assert collect(fast.drop("seq")) == sorted(rows)
     assert back.select(F.countDistinct("seq")).first()[0] == len(rows)
+
+
+def test_parquet_reports(spark):
+    rows = [(30 * i, i % 3, 90 + i, 0, 1, i % 2, 50 + i, 5280 * i) for i in range(20)]
+    df = frame(spark, rows)
+    out = os.path.join(tempfile.mkdtemp(prefix="roadlens-test-"), "reports.parquet")
+    df.write.parquet(out)
+    back = read_reports(spark, out, parser="parquet")
+    assert collect(back) == collect(df)
+    df.drop("seq").write.parquet(out + "2")
+    assert collect(read_reports(spark, out + "2", parser="parquet").drop("seq")) == sorted(rows)
