@@ -16,12 +16,12 @@ from roadlens.session import build_session
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="roadlens")
-    ap.add_argument("input", help="CSV report file(s) or folder")
+    ap.add_argument("input", help="CSV report file(s) or folder (or a parquet table with --parser parquet)")
     ap.add_argument("output", help="output prefix (folder)")
     ap.add_argument("--stream", action="store_true", help="Structured Streaming over a folder")
     ap.add_argument("--continuous", action="store_true", help="keep the stream running")
     ap.add_argument("--seconds", action="store_true", help="read `time` as seconds (gap 31 s)")
-    ap.add_argument("--parser", choices=["strict", "csv"], default="strict")
+    ap.add_argument("--parser", choices=["strict", "csv", "parquet"], default="strict")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
 
