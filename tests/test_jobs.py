@@ -52,3 +52,14 @@ def test_stream_all(spark, smoke_dir):
     )
     closed = _read(spark, f"{prefix}/AverageSpeedControl.csv", "AverageSpeedControl.csv")
     assert set(closed) <= set(collect(average_speed_control(reports, Params())))
+
+
+def test_run_all_parquet_input(spark, smoke_dir):
+    reports = load_reports(spark, smoke_dir)
+    folder = os.path.join(tempfile.mkdtemp(prefix="roadlens-test-"), "reports.parquet")
+    reports.write.parquet(folder)
+    out = run_all(spark, folder, os.path.join(tempfile.mkdtemp(prefix="roadlens-test-"), "out"), parser="parquet")
+    assert _read(spark, out["SpeedRadar.csv"], "SpeedRadar.csv") == collect(speed_radar(reports))
+    assert _read(spark, out["AccidentReporter.csv"], "AccidentReporter.csv") == collect(accident_reporter(reports))
+    got = _read(spark, out["AverageSpeedControl.csv"], "AverageSpeedControl.csv")
+    assert got == collect(average_speed_control(reports, Params()))
