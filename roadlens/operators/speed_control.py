@@ -245,9 +245,10 @@ def stretch_crossings(
     crossed = (
         f"(first.seg = {lo} AND last.seg = {hi}) OR (first.seg = {hi} AND last.seg = {lo})"
     )
+    # try_divide: a one-report session (possible only when lo == hi) gives NULL, not an error
     avg = (
-        "(CAST(abs(first.pos - last.pos) AS DOUBLE)"
-        f" / (CAST(n - 1 AS DOUBLE) * CAST({float(params.interval)!r} AS DOUBLE)))"
+        "try_divide(CAST(abs(first.pos - last.pos) AS DOUBLE),"
+        f" CAST(n - 1 AS DOUBLE) * CAST({float(params.interval)!r} AS DOUBLE))"
         f" * CAST({float(params.factor)!r} AS DOUBLE)"
     )
     return ep.where(crossed).selectExpr(

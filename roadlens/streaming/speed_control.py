@@ -154,6 +154,8 @@ class _Session:
         lo, hi = params.lo_seg, params.hi_seg
         if not ((f[4] == lo and la[4] == hi) or (f[4] == hi and la[4] == lo)):
             return None
+        if self.n < 2:  # one report (possible only when lo == hi): no speed, as NaN > limit is false
+            return None
         avg = (float(abs(f[5] - la[5])) / (float(self.n - 1) * float(params.interval))) * float(params.factor)
         if not avg > float(params.avg_limit):
             return None

@@ -87,3 +87,16 @@ def test_accident_reporter(spark, policy):
         (0, 90, 13, 0, 8, 0, 700),
         (30, 120, 9, 0, 7, 0, 500),
     ]
+
+
+def test_single_segment_stretch_does_not_divide_by_zero(spark):
+    """lo == hi: a one-report session 'crosses' with zero duration -> no speed, no error."""
+    rows = [r(0, 1, 52, P(52)), r(100_000, 2, 52, P(52)), r(100_030, 2, 52, P(52) + 900)]
+    params = Params(lo_seg=52, hi_seg=52, time_unit="s")
+    got = _rounded(collect(average_speed_control(frame(spark, rows), params)))
+    assert got == [(100_000, 100_030, 2, 0, 0, 67.1082)]  # 900 / 30 * 2.23694
+    from roadlens.streaming.speed_control import _Session
+
+    one = _Session((0, 0, 0, 0, 52, 0), 52, 52)
+    one.n = 1
+    assert one.result(1, params) is None
