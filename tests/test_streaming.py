@@ -66,3 +66,11 @@ def test_stream_sliding_window(spark, smoke_dir):
     got = collect(out.where(F.col("vid") != runners.FLUSH_VID))
     assert got == collect(stopped_sliding(reports, time_unit="s"))
     assert len(got) == 93
+
+
+def test_stream_speed_control_fast_path(spark, smoke_dir):
+    out, reports = _run(
+        spark, smoke_dir, lambda s: stream_average_speed_control(s, exact=False), flush_seg=52
+    )
+    got = collect(out.where(F.col("vid") != runners.FLUSH_VID))
+    assert got == collect(average_speed_control(reports, Params(), exact=False))
