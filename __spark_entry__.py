@@ -30,6 +30,13 @@ from roadlens.functions.predicates import in_stretch, speeding
 from roadlens.sources.events_view import load_reports_and_policy
 from roadlens.sources.reports import lines_to_reports, reports_to_lines
 
+try:  # the corpus operators are an optional part: without their folders the rest stands alone
+    from roadlens.llm import queries as _corpus
+except ModuleNotFoundError as e:
+    if not (e.name or "").startswith(("roadlens.llm", "corpus_pipeline")):
+        raise
+    _corpus = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 AS_WRITTEN = Params()  # `time` read as milliseconds: gap 31,000 units
@@ -88,7 +95,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_accident_reporter": runners.stream_accident_reporter_query,
         "stream_average_speed_control": runners.stream_average_speed_control_query,
         "stream_accident_reporter_sliding": runners.stream_accident_reporter_sliding_query,
-    }
+    } | (_corpus.queries() if _corpus else {})
 
 
 # ------------------------------------------------------------------------------------------
@@ -196,4 +203,4 @@ SELECT f.t AS time1, t2 AS time2, vid, f.x AS xway, f.s AS seg, f.d AS dir, f.p
         "stream_accident_reporter": q3,
         "stream_average_speed_control": avg_a,
         "stream_accident_reporter_sliding": sliding,
-    }
+    } | (_corpus.oracle_sql() if _corpus else {})
