@@ -31,7 +31,7 @@ from roadlens.sources.events_view import load_reports_and_policy
 from roadlens.sources.reports import lines_to_reports, reports_to_lines
 
 try:  # the corpus operators are an optional part: without their folders the rest stands alone
-    from roadlens.llm import queries as _corpus
+    import roadlens.llm.queries as _corpus
 except ModuleNotFoundError as e:
     if not (e.name or "").startswith(("roadlens.llm", "corpus_pipeline")):
         raise
