@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadlens.llm import decontaminate, mixing, sharding
+from roadlens.llm import decontaminate, mixing, near_dedup, sharding
 from roadlens.llm.common import table
 
 
@@ -16,6 +16,7 @@ def _over(name: str, operator: Callable[[DataFrame], DataFrame]):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op10_minmax_near_dedup": _over("documents", near_dedup.op10_minmax_near_dedup),
         "op2_source_mixing": _over("documents", mixing.op2_source_mixing),
         "op7_benchmark_decontamination": lambda spark, sf_dir: decontaminate.op7_benchmark_decontamination(
             table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
