@@ -34,7 +34,7 @@ def sized(settled: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 # ---------------------------------------------------------------------------- Arrow text
 
 
-def text_blocks(col: pa.Array, max_bytes: int = 2 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_blocks(col: pa.Array, max_bytes: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Slices of a string column as ``(first row, end row, bytes, offsets)``; null is empty.
 
     A slice holds whole texts of about ``max_bytes`` together (one text at least), so the

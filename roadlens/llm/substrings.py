@@ -10,9 +10,11 @@ Anchors (about one word in seven) are counted first; the repeated ones are set i
 of fixed size, which is broadcast. A window is counted when its anchor's bit is set. A full or
 colliding table only lets more windows through: results never depend on it.
 
-The first-place table is joined back to the window rows, both sides shuffled by window, so a
-window that a third of all documents share is combined before the shuffle on one side and is a
-skewed join key, split by adaptive execution, on the other.
+Window rows are shuffled once, by window, and ordered by place; all but the first are repeats.
+A window whose anchor is among the most frequent ones is dealt into ``SALT`` parts first, and
+the parts' first places meet again, so a passage that a third of all documents share does not
+land in one task. The most frequent anchors are those with more than a ``HOT``-th of all
+anchors, so at most ``HOT`` of them.
 
 Edge cases: null and empty texts have no words; texts shorter than a window keep all; a null
 doc_id counts as the smallest; equal rows are one document (both keep or lose the same words);
@@ -30,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 from pyspark.sql import types as T
 
 from roadlens.llm.common import settle, text_blocks
@@ -39,6 +42,9 @@ WINDOW = 20
 GRAM = 8
 TABLE_BITS = 27  # 16 MB
 SEGMENTS = 256
+HOT = 100_000
+SALT = 64
+ANCHOR_BYTES = 40  # of text per anchor, about
 
 
 def _sliding(values: np.ndarray, n: int, best: np.ufunc) -> np.ndarray:
@@ -88,60 +94,71 @@ def _bit(hashes: np.ndarray, bits: int) -> np.ndarray:
     return (hashes >> U(64 - bits)).astype(np.int64)
 
 
-def _segments(bits: int, segments: int):
-    """Bit rows of the table's segments, from rows ``segment, anchor`` dealt by segment."""
+def _segments(bits: int, segments: int, hot: float):
+    """Bit rows of the table's segments, and anchors above ``hot``, from ``segment, anchor, n`` dealt by segment."""
     width = (1 << bits) // segments
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: dict[int, np.ndarray] = {}
+        often = []
         for batch in batches:
-            at = _bit(batch.column(1).to_numpy().view(U), bits)
+            anchors = batch.column(1).to_numpy().view(U)
+            often.append(anchors[batch.column(2).to_numpy() > hot])
+            at = _bit(anchors, bits)
             for segment in np.unique(at // width).tolist():
                 part = parts.setdefault(segment, np.zeros(width // 8, np.uint8))
                 here = at[at // width == segment] % width
                 np.bitwise_or.at(part, here >> 3, (1 << (here & 7)).astype(np.uint8))
         if parts:
+            rows = [*parts.items(), (-1, np.concatenate(often))]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(parts), pa.int32()), pa.array([p.tobytes() for p in parts.values()], pa.binary())], names=["segment", "part"]
+                [pa.array([k for k, _ in rows], pa.int32()), pa.array([v.tobytes() for _, v in rows], pa.binary())], names=["segment", "part"]
             )
 
     return fill
 
 
-def repeated_anchor_table(docs: DataFrame, size: int = WINDOW, gram: int = GRAM, bits: int = TABLE_BITS) -> np.ndarray:
-    """The bit table of repeated anchors: ``2**bits`` bits, whatever the input."""
+def repeated_anchors(docs: DataFrame, size: int = WINDOW, gram: int = GRAM, bits: int = TABLE_BITS, most: int = HOT) -> tuple[np.ndarray, np.ndarray]:
+    """The bit table of repeated anchors (``2**bits`` bits, whatever the input) and the most frequent ones, sorted."""
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     anchors = docs.select("text").mapInArrow(_anchors(size, gram), "anchor long")
     repeated = anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
     # the table's leading bits name the segment, as _bit does
     segment = F.shiftrightunsigned("anchor", 64 - (SEGMENTS.bit_length() - 1)).cast("int")
-    parts = repeated.select(segment.alias("segment"), "anchor").repartition("segment")
-    out = np.zeros((1 << bits) // 8, np.uint8).reshape(SEGMENTS, -1)
-    for row in parts.mapInArrow(_segments(bits, SEGMENTS), "segment int, part binary").collect():
-        out[row["segment"]] |= np.frombuffer(row["part"], np.uint8)  # SEGMENTS rows of fixed size
-    return out.reshape(-1)
+    parts = repeated.select(segment.alias("segment"), "anchor", "n").repartition("segment")
+    fill = _segments(bits, SEGMENTS, total / ANCHOR_BYTES / most)
+    table = np.zeros((1 << bits) // 8, np.uint8).reshape(SEGMENTS, -1)
+    hot = [np.zeros(0, U)]
+    for row in parts.mapInArrow(fill, "segment int, part binary").collect():  # SEGMENTS rows of fixed size, and the few hot anchors
+        if row["segment"] < 0:
+            hot.append(np.frombuffer(row["part"], U))
+        else:
+            table[row["segment"]] |= np.frombuffer(row["part"], np.uint8)
+    return table.reshape(-1), np.sort(np.concatenate(hot))
 
 
 def _windows(size: int, gram: int, bits: int, shared):
-    """Rows ``h, doc_id, tag, at`` of the windows whose anchor's bit is set."""
+    """Rows ``h, hot, doc_id, tag, at`` of the windows whose anchor's bit is set."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
+        table, hot = shared.value
         for batch in batches:
             for first, end, hashes, bounds in _hashed(batch.column(2)):
                 start, whole, low, _ = _anchored(hashes, bounds, size, gram)
                 place = _bit(low, bits)
                 some = (table[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
-                start, whole = start[some], whole[some]
+                start, whole, low = start[some], whole[some], low[some]
                 text = np.searchsorted(bounds, start, "right") - 1
                 row = pa.array(first + text)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(whole.view(np.int64)),
+                        pa.array(np.isin(low, hot)),
                         batch.column(0).take(row),
                         batch.column(1).take(row),
                         pa.array((start - bounds[text]).astype(np.int32)),
                     ],
-                    names=["h", "doc_id", "tag", "at"],
+                    names=["h", "hot", "doc_id", "tag", "at"],
                 )
 
     return find
@@ -155,16 +172,22 @@ def _tagged(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", tag.alias("tag"), "text")
 
 
-def repeated_windows(docs: DataFrame, size: int = WINDOW, gram: int = GRAM, bits: int = TABLE_BITS) -> DataFrame:
+def repeated_windows(docs: DataFrame, size: int = WINDOW, gram: int = GRAM, bits: int = TABLE_BITS, most: int = HOT) -> DataFrame:
     """``doc_id, tag, starts`` (unsorted) of the documents that have windows starting earlier elsewhere."""
-    table = docs.sparkSession.sparkContext.broadcast(repeated_anchor_table(docs, size, gram, bits))
+    shared = docs.sparkSession.sparkContext.broadcast(repeated_anchors(docs, size, gram, bits, most))
     of = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.mapInArrow(_windows(size, gram, bits, table), f"h long, doc_id {of}, tag long, at int")
-    place = F.struct("doc_id", "at", "tag")
-    first = rows.groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    first = first.where("first <> last").select("h", "first")
-    later = rows.join(first, "h").where(place != F.col("first"))
-    return later.groupBy("doc_id", "tag").agg(F.collect_list("at").alias("starts"))
+    rows = docs.mapInArrow(_windows(size, gram, bits, shared), f"h long, hot boolean, doc_id {of}, tag long, at int")
+    place = ["doc_id", "at", "tag"]
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id"), F.lit(SALT))).otherwise(F.lit(0)).cast("int")
+    rows = rows.withColumn("salt", salt).withColumn("first", F.first(F.struct(*place)).over(W.partitionBy("h", "salt").orderBy(*place)))
+    later = F.struct(*place) != F.col("first")
+    if len(shared.value[1]):  # a part's first place is a repeat if another part has an earlier one
+        parts = rows.where("hot").where(~later).select("h", "salt", *place).distinct()
+        before = parts.withColumn("first", F.first(F.struct(*place)).over(W.partitionBy("h").orderBy(*place)))
+        found = rows.where(later).select("doc_id", "tag", "at").unionByName(before.where(later).select("doc_id", "tag", "at"))
+    else:
+        found = rows.where(later).select("doc_id", "tag", "at")
+    return found.groupBy("doc_id", "tag").agg(F.collect_list("at").alias("starts"))
 
 
 def _covered(starts, n: int, size: int) -> np.ndarray:

@@ -68,6 +68,13 @@ def test_a_full_bit_table_changes_nothing(spark):
     assert few(11) == few(27) != {}
 
 
+def test_salted_hot_windows_change_nothing(spark):
+    frame = S._tagged(spark.createDataFrame(corpus(4), "doc_id long, text string"))
+    few = lambda most: {r["doc_id"]: sorted(r["starts"]) for r in S.repeated_windows(frame, most=most).collect()}
+    assert len(S.repeated_anchors(frame, most=1000)[1]) > 5 and len(S.repeated_anchors(frame, most=1)[1]) == 0
+    assert few(1000) == few(1) != {}
+
+
 def test_empty_table(spark):
     assert S.op3_substring_dedup(spark.createDataFrame([], DOCS)).count() == 0
 
