@@ -11,7 +11,9 @@ candidates. At similarity 0.8 a pair shares no band with probability (1 - 0.8**6
 Only components are asked for, so a bucket (equal band) does not emit its pairs: its members are
 tested against one member, the centre, for ``STARS`` rounds with different centres. Confirmed
 links are contracted; then the pairs of each bucket that still lie in different components, and
-only those, are all tested, so that no candidate link is lost. Every link is confirmed on the
+only those, are candidates, so that no link found by a band is lost. A candidate pair must also
+be near in its one-bit sketches (the last bits of 256 signature values: at the asked similarity
+a pair falls short of the limit with probability below 1e-6), and every link is confirmed on the
 full sets of both texts (exact counts of 64-bit shingle hashes).
 
 Edge cases: null, empty and white texts have no shingles, are linked with nothing and are their
@@ -39,6 +41,8 @@ PERCENT = 80
 ROWS = 6
 BANDS = 45
 STARS = 2
+SKETCH = 4  # longs of one-bit values
+SIGMAS = 5.5
 SLICE = 1 << 16  # shingles hashed at a time
 
 
@@ -74,8 +78,8 @@ def _identity(found: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return mix((sums[bounds[1:]] - sums[bounds[:-1]]) + mix(np.diff(bounds).astype(U)))
 
 
-def _signatures(found: np.ndarray, bounds: np.ndarray, rows: int, bands: int) -> np.ndarray:
-    """Band hashes (texts x bands) of min-max signatures; all texts must have shingles."""
+def _signatures(found: np.ndarray, bounds: np.ndarray, rows: int, bands: int) -> tuple[np.ndarray, np.ndarray]:
+    """Band hashes (texts x bands) and one-bit sketches of min-max signatures; all texts must have shingles."""
     n, values = len(bounds) - 1, rows * bands
     evaluations = (values + 1) // 2
     seeds = mix(np.arange(1, evaluations + 1, dtype=U) * U(0xD1342543DE82EF95))
@@ -94,11 +98,14 @@ def _signatures(found: np.ndarray, bounds: np.ndarray, rows: int, bands: int) ->
         for r in range(rows):
             h = mix(h * U(0x9E3779B97F4A7C15) + signature[b * rows + r])
         out[:, b] = h
-    return out
+    sketch = np.zeros((n, SKETCH), U)
+    for i in range(min(64 * SKETCH, values)):
+        sketch[:, i // 64] |= (signature[i] & U(1)) << U(i % 64)
+    return out, sketch
 
 
 def _signer(k: int, rows: int, bands: int):
-    """From ``doc_id, text`` and further columns to the latter's place ``n_shingles, node, bands``."""
+    """From ``doc_id, text`` and further columns to the latter's place ``n_shingles, node, bands, sketch``."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -107,11 +114,12 @@ def _signer(k: int, rows: int, bands: int):
                 names = _identity(found, bounds)
                 full = np.flatnonzero(sizes)
                 keys = np.zeros((b - a, bands), U)
+                sketch = np.zeros((b - a, SKETCH), U)
                 # texts in slices of bounded work arrays; empty ones lie between without shingles
                 for part in np.array_split(full, max(1, len(found) // SLICE)) if len(full) else ():
                     if len(part):
                         low, high = bounds[part[0]], bounds[part[-1] + 1]
-                        keys[part] = _signatures(found[low:high], np.append(bounds[part], high) - low, rows, bands)
+                        keys[part], sketch[part] = _signatures(found[low:high], np.append(bounds[part], high) - low, rows, bands)
                 some = sizes > 0
                 flat = pa.array(keys[some].reshape(-1).view(np.int64))
                 counts = np.append(0, np.cumsum(some * bands)).astype(np.int32)
@@ -121,9 +129,10 @@ def _signer(k: int, rows: int, bands: int):
                         pa.array(sizes.astype(np.int64)),
                         pa.array(names.view(np.int64)),
                         pa.ListArray.from_arrays(pa.array(counts), flat),
+                        pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1, dtype=np.int32) * SKETCH), pa.array(sketch.reshape(-1).view(np.int64))),
                         *[c.slice(a, b - a) for c in batch.columns[2:]],
                     ],
-                    names=["doc_id", "n_shingles", "node", "bands", *batch.schema.names[2:]],
+                    names=["doc_id", "n_shingles", "node", "bands", "sketch", *batch.schema.names[2:]],
                 )
 
     return sign
@@ -163,44 +172,54 @@ class NearDuplicates:
 
     def __init__(self, docs: DataFrame, k: int, percent: int, rows: int, bands: int, extra: tuple[str, ...]):
         self.docs, self.k, self.percent = docs.select("doc_id", "text"), k, percent
-        names = T.StructType([docs.schema["doc_id"]]).add("n_shingles", "long").add("node", "long").add("bands", T.ArrayType(T.LongType()))
+        names = T.StructType([docs.schema["doc_id"]]).add("n_shingles", "long").add("node", "long").add("bands", T.ArrayType(T.LongType())).add("sketch", T.ArrayType(T.LongType()))
         schema = T.StructType(names.fields + [docs.schema[c] for c in extra])
-        signed = settle(docs.select("doc_id", "text", *extra).mapInArrow(_signer(k, rows, bands), schema))
-        self.rows = signed.drop("bands")
-        # one row per class, with the document that stands for it; copies carry equal bands
-        first = signed.where("n_shingles > 0").groupBy("node", "n_shingles").agg(F.min("doc_id").alias("doc_id"))
-        self.classes = settle(first)
-        self.signed = signed
-        self._sets = None
+        self.signed = settle(docs.select("doc_id", "text", *extra).mapInArrow(_signer(k, rows, bands), schema))
+        self.rows = self.signed.drop("bands", "sketch")
+        # one row per class, with the document that stands for it; copies have equal sketches
+        full = self.signed.where("n_shingles > 0")
+        sketch = [F.min(F.get("sketch", F.lit(i))).alias(f"s{i}") for i in range(SKETCH)]
+        self.classes = settle(full.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n"), *sketch))
+        alike = 0.5 + percent / 200
+        bits = min(64 * SKETCH, rows * bands)
+        self.apart = bits - int(bits * alike - SIGMAS * (bits * alike * (1 - alike)) ** 0.5)  # sketch bits that may differ
 
     def _buckets(self) -> DataFrame:
         """``key, node, n``: the members of buckets that have two classes at least."""
         lone = self.signed.where("n_shingles > 0").select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
-        lone = lone.groupBy("key", "node").agg(F.first("n").alias("n"))  # copies fall together before the shuffle's end
+        lone = lone.groupBy("key", "node").agg(F.min("n").alias("n"))  # copies fall together before the shuffle's end
         several = lone.groupBy("key").agg(F.count("*").alias("_c")).where("_c > 1").select("key")
         return settle(lone.join(several, "key"))
 
-    def _make_sets(self, nodes: DataFrame) -> DataFrame:
-        """``node, set`` (sorted shingle hashes) of the classes in ``nodes``, from their standing documents."""
-        wanted = settle(nodes.distinct().join(self.classes, "node").select("doc_id", "node"))
+    def _confirmed(self, pairs: DataFrame) -> DataFrame:
+        """The links among the candidate pairs ``a, b``, on the full sets of their standing documents."""
+        nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        wanted = settle(nodes.join(self.classes, "node").select("doc_id", "node"))
         same = self.docs["doc_id"].eqNullSafe(wanted["doc_id"])
         made = self.docs.join(sized(wanted.select("doc_id").distinct(), 1_000_000), same, "left_semi").select("text")
         made = made.mapInArrow(_set_maker(self.k), "node long, set binary")
         # one doc_id can carry several texts: keep the sets of wanted classes, one of each
         made = made.join(sized(wanted.select("node"), 1_000_000), "node", "left_semi")
-        return settle(made.groupBy("node").agg(F.first("set").alias("set")))
-
-    def _confirmed(self, pairs: DataFrame) -> DataFrame:
-        one = self._sets.select(F.col("node").alias("a"), F.col("set").alias("_x"))
-        two = self._sets.select(F.col("node").alias("b"), F.col("set").alias("_y"))
+        sets = settle(made.groupBy("node").agg(F.first("set").alias("set")))
+        one = sets.select(F.col("node").alias("a"), F.col("set").alias("_x"))
+        two = sets.select(F.col("node").alias("b"), F.col("set").alias("_y"))
         full = pairs.join(one, "a").join(two, "b").select("a", "b", "_x", "_y")
         return settle(full.mapInArrow(_confirmer(self.percent), "a long, b long"))
 
-    def _alike(self, n: str, m: str):
+    def _of(self, name: str) -> DataFrame:
+        """The classes with columns named after ``name``: ``x, x_n, x_s0, ...``."""
+        return self.classes.select(F.col("node").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("n", *(f"s{i}" for i in range(SKETCH)))])
+
+    def _alike(self, n, m):
         """Sizes that allow the similarity at all."""
         return F.least(n, m) * 100 >= F.greatest(n, m) * self.percent
 
-    def links(self) -> DataFrame:
+    def _near(self):
+        """Sketches of ``x`` and ``y`` that are as near as the similarity asks for."""
+        apart = sum((F.bit_count(F.col(f"x_s{i}").bitwiseXOR(F.col(f"y_s{i}"))) for i in range(SKETCH)), F.lit(0))
+        return apart <= self.apart
+
+    def links(self) -> DataFrame | None:
         """Confirmed links ``a, b`` between classes that span all components."""
         buckets = self._buckets()
         found, tested = None, None
@@ -211,20 +230,18 @@ class NearDuplicates:
                 named = settle(components(found))
                 part = buckets.join(named, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
             # buckets inside one component are done
-            open_ = part.groupBy("key").agg(F.min("comp").alias("_l"), F.max("comp").alias("_h"), F.min(F.struct(F.xxhash64("node", F.lit(step)), "node", "n", "comp")).alias("_centre"))
-            open_ = open_.where("_l <> _h")
-            part = settle(part.join(open_.select("key", "_centre"), "key"))
+            centre = F.min(F.struct(F.xxhash64("node", F.lit(step)).alias("_o"), "node", "n", "comp")).alias("centre")
+            open_ = part.groupBy("key").agg(F.min("comp").alias("_l"), F.max("comp").alias("_h"), centre)
+            part = settle(part.join(open_.where("_l <> _h").select("key", "centre"), "key"))
             if part.isEmpty():
                 break
-            if self._sets is None:
-                self._sets = self._make_sets(part.select("node"))
-            centre = F.col("_centre")
             if step < STARS:  # each member against the bucket's centre
-                near = part.where(self._alike("n", "_centre.n") & (F.col("comp") != centre["comp"]))
-                pairs = near.select(F.col("node").alias("x"), centre["node"].alias("y"))
-            else:  # all pairs that are still in different components
-                x, y = (part.select("key", F.col("node").alias(v), F.col("n").alias(f"{v}_n"), F.col("comp").alias(f"{v}_c")) for v in "xy")
-                pairs = x.join(y, "key").where((F.col("x_c") < F.col("y_c")) & self._alike("x_n", "y_n")).select("x", "y")
+                met = part.where(self._alike(F.col("n"), F.col("centre.n")) & (F.col("comp") != F.col("centre.comp")))
+                pairs = met.select(F.col("node").alias("x"), F.col("centre.node").alias("y")).distinct()
+                pairs = pairs.join(self._of("x"), "x").join(self._of("y"), "y").where(self._near())
+            else:  # the pairs that still lie in different components
+                x, y = (part.select("key", F.col("node").alias(v), F.col("comp").alias(f"{v}_c")).join(self._of(v), v) for v in "xy")
+                pairs = x.join(y, "key").where((F.col("x_c") < F.col("y_c")) & self._alike(F.col("x_n"), F.col("y_n")) & self._near())
             pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
             pairs = settle(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
             tested = pairs if tested is None else tested.unionByName(pairs)
