@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadlens.llm import decontaminate, mixing, near_dedup, sharding, substrings
+from roadlens.llm import decontaminate, mixing, near_dedup, quality, sharding, substrings
 from roadlens.llm.common import table
 
 
@@ -16,6 +16,7 @@ def _over(name: str, operator: Callable[[DataFrame], DataFrame]):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op9_quality_classifier": lambda spark, sf_dir: quality.op9_quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
         "op3_substring_dedup": _over("documents", substrings.op3_substring_dedup),
         "op10_minmax_near_dedup": _over("documents", near_dedup.op10_minmax_near_dedup),
         "op2_source_mixing": _over("documents", mixing.op2_source_mixing),
