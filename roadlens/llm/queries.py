@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadlens.llm import decontaminate, fingerprints, mixing, near_dedup, quality, sharding, substrings, toxicity
+from roadlens.llm import decontaminate, fingerprints, mixing, near_dedup, quality, sharding, substrings, toxicity, warc
 from roadlens.llm.common import table
 
 
@@ -16,6 +16,7 @@ def _over(name: str, operator: Callable[[DataFrame], DataFrame]):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_warc_packages": _over("pages", warc.op4_warc_packages),
         "op8_fingerprints": _over("documents", fingerprints.op8_fingerprints),
         "op6_toxicity": lambda spark, sf_dir: toxicity.op6_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
         "op9_quality_classifier": lambda spark, sf_dir: quality.op9_quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
