@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from roadlens.llm import decontaminate, fingerprints, mixing, near_dedup, quality, sharding, substrings, toxicity, warc
+from roadlens.llm import decontaminate, extraction, fingerprints, mixing, near_dedup, quality, sharding, substrings, toxicity, warc
 from roadlens.llm.common import table
 
 
@@ -16,6 +17,8 @@ def _over(name: str, operator: Callable[[DataFrame], DataFrame]):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "pipeline": corpus_pipeline.run,
+        "op1_html_extraction": _over("pages", extraction.op1_html_extraction),
         "op4_warc_packages": _over("pages", warc.op4_warc_packages),
         "op8_fingerprints": _over("documents", fingerprints.op8_fingerprints),
         "op6_toxicity": lambda spark, sf_dir: toxicity.op6_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
