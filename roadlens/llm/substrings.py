@@ -137,8 +137,8 @@ def repeated_anchors(docs: DataFrame, size: int = WINDOW, gram: int = GRAM, bits
     return table.reshape(-1), np.sort(np.concatenate(hot))
 
 
-def _windows(size: int, gram: int, bits: int, shared):
-    """Rows ``h, hot, doc_id, tag, at`` of the windows whose anchor's bit is set."""
+def _windows(size: int, gram: int, bits: int, shared, often: bool):
+    """Rows ``h, doc_id, tag, at`` of the windows whose anchor's bit is set, of frequent anchors or of others."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, hot = shared.value
@@ -147,47 +147,61 @@ def _windows(size: int, gram: int, bits: int, shared):
                 start, whole, low, _ = _anchored(hashes, bounds, size, gram)
                 place = _bit(low, bits)
                 some = (table[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
-                start, whole, low = start[some], whole[some], low[some]
+                some &= np.isin(low, hot) == often
+                start, whole = start[some], whole[some]
                 text = np.searchsorted(bounds, start, "right") - 1
                 row = pa.array(first + text)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(whole.view(np.int64)),
-                        pa.array(np.isin(low, hot)),
                         batch.column(0).take(row),
                         batch.column(1).take(row),
                         pa.array((start - bounds[text]).astype(np.int32)),
                     ],
-                    names=["h", "hot", "doc_id", "tag", "at"],
+                    names=["h", "doc_id", "tag", "at"],
                 )
 
     return find
 
 
-def _tagged(docs: DataFrame) -> DataFrame:
-    """``doc_id, tag, text``: the tag tells texts of one doc_id apart (0 where ids are unique anyway)."""
+def _tagged(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """``doc_id, tag, text``, and whether tags are needed: they tell texts of one doc_id apart (else all are 0)."""
     text = F.xxhash64(F.coalesce("text", F.lit("")))
     ids = docs.groupBy("doc_id").agg(F.min(text).alias("_a"), F.max(text).alias("_b"))
-    tag = F.lit(0).cast("long") if ids.where("_a <> _b").isEmpty() else text
-    return docs.select("doc_id", tag.alias("tag"), "text")
+    tagged = not ids.where("_a <> _b").isEmpty()
+    return docs.select("doc_id", (text if tagged else F.lit(0).cast("long")).alias("tag"), "text"), tagged
 
 
-def repeated_windows(docs: DataFrame, size: int = WINDOW, gram: int = GRAM, bits: int = TABLE_BITS, most: int = HOT) -> DataFrame:
-    """``doc_id, tag, starts`` (unsorted) of the documents that have windows starting earlier elsewhere."""
+def repeated_windows(
+    docs: DataFrame, tagged: bool, size: int = WINDOW, gram: int = GRAM, bits: int = TABLE_BITS, most: int = HOT
+) -> DataFrame:
+    """``doc_id, tag, starts`` (unsorted) of the documents that have windows starting earlier elsewhere.
+
+    ``docs`` and ``tagged`` come from ``_tagged``.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(repeated_anchors(docs, size, gram, bits, most))
     of = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.mapInArrow(_windows(size, gram, bits, shared), f"h long, hot boolean, doc_id {of}, tag long, at int")
-    place = ["doc_id", "at", "tag"]
-    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id"), F.lit(SALT))).otherwise(F.lit(0)).cast("int")
-    rows = rows.withColumn("salt", salt).withColumn("first", F.first(F.struct(*place)).over(W.partitionBy("h", "salt").orderBy(*place)))
+
+    def emitted(often: bool) -> DataFrame:
+        rows = docs.mapInArrow(_windows(size, gram, bits, shared, often), f"h long, doc_id {of}, tag long, at int")
+        # without shared ids the tag is 0 throughout, and need not be shuffled
+        return rows if tagged else rows.select("h", "doc_id", "at")
+
+    place = ["doc_id", "at", *["tag"] * tagged]
     later = F.struct(*place) != F.col("first")
-    if len(shared.value[1]):  # a part's first place is a repeat if another part has an earlier one
-        parts = rows.where("hot").where(~later).select("h", "salt", *place).distinct()
-        before = parts.withColumn("first", F.first(F.struct(*place)).over(W.partitionBy("h").orderBy(*place)))
-        found = rows.where(later).select("doc_id", "tag", "at").unionByName(before.where(later).select("doc_id", "tag", "at"))
-    else:
-        found = rows.where(later).select("doc_id", "tag", "at")
-    return found.groupBy("doc_id", "tag").agg(F.collect_list("at").alias("starts"))
+
+    def first(*by: str):
+        return F.first(F.struct(*place)).over(W.partitionBy(*by).orderBy(*place))
+
+    found = emitted(False).withColumn("first", first("h")).where(later).select(*place)
+    if len(shared.value[1]):
+        parts = emitted(True).withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALT)).cast("int"))
+        parts = settle(parts.withColumn("first", first("h", "salt")).select("h", *place, later.alias("later")))
+        # a part's first place is a repeat if another part has an earlier one
+        heads = parts.where("not later").select("h", *place).distinct().withColumn("first", first("h"))
+        found = found.unionByName(parts.where("later").select(*place)).unionByName(heads.where(later).select(*place))
+    tag = F.col("tag") if tagged else F.lit(0).cast("long").alias("tag")
+    return found.select("doc_id", "at", tag).groupBy("doc_id", "tag").agg(F.collect_list("at").alias("starts"))
 
 
 def _covered(starts, n: int, size: int) -> np.ndarray:
@@ -226,8 +240,8 @@ def _remover(size: int, digest: bool):
 
 def remove_repeats(docs: DataFrame, size: int = WINDOW, digest: bool = False) -> DataFrame:
     """``doc_id, n_words, n_removed, kept``: the words that stay, joined by one space (or their SHA-256)."""
-    docs = _tagged(docs)
-    runs = repeated_windows(docs, size).select(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"), "starts")
+    docs, tagged = _tagged(docs)
+    runs = repeated_windows(docs, tagged, size).select(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"), "starts")
     rows = docs.join(runs, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tag") == F.col("_tag")), "left")
     schema = T.StructType([T.StructField("_doc", docs.schema["doc_id"].dataType)]).add("n_words", "long").add("n_removed", "long").add("kept", "string")
     out = rows.select(F.col("doc_id").alias("_doc"), "text", "starts").mapInArrow(_remover(size, digest), schema)

@@ -63,14 +63,14 @@ def test_texts_that_share_an_id(spark):
 
 def test_a_full_bit_table_changes_nothing(spark):
     docs = corpus(3)
-    frame = S._tagged(spark.createDataFrame(docs, "doc_id long, text string"))
-    few = lambda bits: {r["doc_id"]: sorted(r["starts"]) for r in S.repeated_windows(frame, bits=bits).collect()}
+    frame, tagged = S._tagged(spark.createDataFrame(docs, "doc_id long, text string"))
+    few = lambda bits: {r["doc_id"]: sorted(r["starts"]) for r in S.repeated_windows(frame, tagged, bits=bits).collect()}
     assert few(11) == few(27) != {}
 
 
 def test_salted_hot_windows_change_nothing(spark):
-    frame = S._tagged(spark.createDataFrame(corpus(4), "doc_id long, text string"))
-    few = lambda most: {r["doc_id"]: sorted(r["starts"]) for r in S.repeated_windows(frame, most=most).collect()}
+    frame, tagged = S._tagged(spark.createDataFrame(corpus(4), "doc_id long, text string"))
+    few = lambda most: {r["doc_id"]: sorted(r["starts"]) for r in S.repeated_windows(frame, tagged, most=most).collect()}
     assert len(S.repeated_anchors(frame, most=1000)[1]) > 5 and len(S.repeated_anchors(frame, most=1)[1]) == 0
     assert few(1000) == few(1) != {}
 
