@@ -9,12 +9,14 @@ candidates. At similarity 0.8 a pair shares no band with probability (1 - 0.8**6
 1e-6; pairs in larger groups have further ways to be found.
 
 Only components are asked for, so a bucket (equal band) does not emit its pairs: its members are
-tested against one member, the centre, for ``STARS`` rounds with different centres. Confirmed
+tested against one member, the bucket's own centre, for ``STARS`` rounds. Confirmed
 links are contracted; then the pairs of each bucket that still lie in different components, and
-only those, are candidates, so that no link found by a band is lost. A candidate pair must also
-be near in its one-bit sketches (the last bits of 256 signature values: at the asked similarity
-a pair falls short of the limit with probability below 1e-6), and every link is confirmed on the
-full sets of both texts (exact counts of 64-bit shingle hashes).
+only those, are candidates (the nearest first, then all that are left), so that no link found by
+a band is lost. A candidate pair must also
+be near in its one-bit sketches (the last bits of 1024 signature values: at the asked similarity
+a pair falls short of the limit with a probability of about 1e-5), it is emitted by the first of
+its buckets only, and every link is confirmed on the full sets of both texts (exact counts of
+64-bit shingle hashes).
 
 Edge cases: null, empty and white texts have no shingles, are linked with nothing and are their
 own component; a component is named by its smallest non-null doc_id (null if it has none);
@@ -41,8 +43,8 @@ PERCENT = 80
 ROWS = 6
 BANDS = 45
 STARS = 2
-SKETCH = 4  # longs of one-bit values
-SIGMAS = 5.5
+SKETCH = 16  # longs of one-bit values
+SIGMAS = 4.25
 SLICE = 1 << 16  # shingles hashed at a time
 
 
@@ -80,8 +82,8 @@ def _identity(found: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 def _signatures(found: np.ndarray, bounds: np.ndarray, rows: int, bands: int) -> tuple[np.ndarray, np.ndarray]:
     """Band hashes (texts x bands) and one-bit sketches of min-max signatures; all texts must have shingles."""
-    n, values = len(bounds) - 1, rows * bands
-    evaluations = (values + 1) // 2
+    n = len(bounds) - 1
+    evaluations = (max(rows * bands, 64 * SKETCH) + 1) // 2
     seeds = mix(np.arange(1, evaluations + 1, dtype=U) * U(0xD1342543DE82EF95))
     signature = np.empty((2 * evaluations, n), U)
     at = bounds[:-1]
@@ -99,7 +101,7 @@ def _signatures(found: np.ndarray, bounds: np.ndarray, rows: int, bands: int) ->
             h = mix(h * U(0x9E3779B97F4A7C15) + signature[b * rows + r])
         out[:, b] = h
     sketch = np.zeros((n, SKETCH), U)
-    for i in range(min(64 * SKETCH, values)):
+    for i in range(64 * SKETCH):
         sketch[:, i // 64] |= (signature[i] & U(1)) << U(i % 64)
     return out, sketch
 
@@ -179,10 +181,11 @@ class NearDuplicates:
         # one row per class, with the document that stands for it; copies have equal sketches
         full = self.signed.where("n_shingles > 0")
         sketch = [F.min(F.get("sketch", F.lit(i))).alias(f"s{i}") for i in range(SKETCH)]
-        self.classes = settle(full.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n"), *sketch))
+        self.classes = settle(full.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n"), F.first("bands").alias("bands"), *sketch))
         alike = 0.5 + percent / 200
-        bits = min(64 * SKETCH, rows * bands)
-        self.apart = bits - int(bits * alike - SIGMAS * (bits * alike * (1 - alike)) ** 0.5)  # sketch bits that may differ
+        bits = 64 * SKETCH
+        self.expected = int(bits * (1 - alike))  # sketch bits that differ at the similarity, on average
+        self.apart = bits - int(bits * alike - SIGMAS * (bits * alike * (1 - alike)) ** 0.5)  # how many may
 
     def _buckets(self) -> DataFrame:
         """``key, node, n``: the members of buckets that have two classes at least."""
@@ -206,31 +209,32 @@ class NearDuplicates:
         full = pairs.join(one, "a").join(two, "b").select("a", "b", "_x", "_y")
         return settle(full.mapInArrow(_confirmer(self.percent), "a long, b long"))
 
-    def _of(self, name: str) -> DataFrame:
+    def _of(self, name: str, bands: bool = False) -> DataFrame:
         """The classes with columns named after ``name``: ``x, x_n, x_s0, ...``."""
-        return self.classes.select(F.col("node").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("n", *(f"s{i}" for i in range(SKETCH)))])
+        columns = ["n", *["bands"] * bands, *(f"s{i}" for i in range(SKETCH))]
+        return self.classes.select(F.col("node").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in columns])
 
     def _alike(self, n, m):
         """Sizes that allow the similarity at all."""
         return F.least(n, m) * 100 >= F.greatest(n, m) * self.percent
 
-    def _near(self):
-        """Sketches of ``x`` and ``y`` that are as near as the similarity asks for."""
+    def _near(self, limit: int):
+        """Sketches of ``x`` and ``y`` that differ in at most ``limit`` bits."""
         apart = sum((F.bit_count(F.col(f"x_s{i}").bitwiseXOR(F.col(f"y_s{i}"))) for i in range(SKETCH)), F.lit(0))
-        return apart <= self.apart
+        return apart <= limit
 
     def links(self) -> DataFrame | None:
         """Confirmed links ``a, b`` between classes that span all components."""
         buckets = self._buckets()
         found, tested = None, None
-        for step in range(STARS + 1):
+        for step in range(STARS + 2):
             if found is None:
                 part = buckets.withColumn("comp", F.col("node"))
             else:
                 named = settle(components(found))
                 part = buckets.join(named, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
             # buckets inside one component are done
-            centre = F.min(F.struct(F.xxhash64("node", F.lit(step)).alias("_o"), "node", "n", "comp")).alias("centre")
+            centre = F.min(F.struct(F.xxhash64("node", "key", F.lit(step)).alias("_o"), "node", "n", "comp")).alias("centre")
             open_ = part.groupBy("key").agg(F.min("comp").alias("_l"), F.max("comp").alias("_h"), centre)
             part = settle(part.join(open_.where("_l <> _h").select("key", "centre"), "key"))
             if part.isEmpty():
@@ -238,10 +242,12 @@ class NearDuplicates:
             if step < STARS:  # each member against the bucket's centre
                 met = part.where(self._alike(F.col("n"), F.col("centre.n")) & (F.col("comp") != F.col("centre.comp")))
                 pairs = met.select(F.col("node").alias("x"), F.col("centre.node").alias("y")).distinct()
-                pairs = pairs.join(self._of("x"), "x").join(self._of("y"), "y").where(self._near())
-            else:  # the pairs that still lie in different components
-                x, y = (part.select("key", F.col("node").alias(v), F.col("comp").alias(f"{v}_c")).join(self._of(v), v) for v in "xy")
-                pairs = x.join(y, "key").where((F.col("x_c") < F.col("y_c")) & self._alike(F.col("x_n"), F.col("y_n")) & self._near())
+                pairs = pairs.join(self._of("x"), "x").join(self._of("y"), "y").where(self._near(self.apart))
+            else:  # the pairs that still lie in different components: the nearest ones, then all
+                limit = self.expected if step == STARS else self.apart
+                x, y = (part.select("key", F.col("node").alias(v), F.col("comp").alias(f"{v}_c")).join(self._of(v, True), v) for v in "xy")
+                once = F.array_min(F.array_intersect("x_bands", "y_bands")) == F.col("key")
+                pairs = x.join(y, "key").where((F.col("x_c") < F.col("y_c")) & self._alike(F.col("x_n"), F.col("y_n")) & self._near(limit) & once)
             pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
             pairs = settle(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
             tested = pairs if tested is None else tested.unionByName(pairs)
