@@ -13,7 +13,7 @@ tested against one member, the bucket's own centre, for ``STARS`` rounds. Confir
 links are contracted; then the pairs of each bucket that still lie in different components, and
 only those, are candidates (the nearest first, then all that are left), so that no link found by
 a band is lost. A candidate pair must also
-be near in its one-bit sketches (the last bits of 1024 signature values: at the asked similarity
+be near in its sketches (the last two bits of 1024 signature values: at the asked similarity
 a pair falls short of the limit with a probability of about 1e-5), it is emitted by the first of
 its buckets only, and every link is confirmed on the full sets of both texts (exact counts of
 64-bit shingle hashes).
@@ -43,7 +43,7 @@ PERCENT = 80
 ROWS = 6
 BANDS = 45
 STARS = 2
-SKETCH = 16  # longs of one-bit values
+SKETCH = 16  # words of 64 signature values; two bits of each are kept, in two words
 SIGMAS = 4.25
 SLICE = 1 << 16  # shingles hashed at a time
 
@@ -81,7 +81,7 @@ def _identity(found: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def _signatures(found: np.ndarray, bounds: np.ndarray, rows: int, bands: int) -> tuple[np.ndarray, np.ndarray]:
-    """Band hashes (texts x bands) and one-bit sketches of min-max signatures; all texts must have shingles."""
+    """Band hashes (texts x bands) and two-bit sketches of min-max signatures; all texts must have shingles."""
     n = len(bounds) - 1
     evaluations = (max(rows * bands, 64 * SKETCH) + 1) // 2
     seeds = mix(np.arange(1, evaluations + 1, dtype=U) * U(0xD1342543DE82EF95))
@@ -100,9 +100,10 @@ def _signatures(found: np.ndarray, bounds: np.ndarray, rows: int, bands: int) ->
         for r in range(rows):
             h = mix(h * U(0x9E3779B97F4A7C15) + signature[b * rows + r])
         out[:, b] = h
-    sketch = np.zeros((n, SKETCH), U)
+    sketch = np.zeros((n, 2 * SKETCH), U)
     for i in range(64 * SKETCH):
         sketch[:, i // 64] |= (signature[i] & U(1)) << U(i % 64)
+        sketch[:, SKETCH + i // 64] |= ((signature[i] >> U(1)) & U(1)) << U(i % 64)
     return out, sketch
 
 
@@ -116,7 +117,7 @@ def _signer(k: int, rows: int, bands: int):
                 names = _identity(found, bounds)
                 full = np.flatnonzero(sizes)
                 keys = np.zeros((b - a, bands), U)
-                sketch = np.zeros((b - a, SKETCH), U)
+                sketch = np.zeros((b - a, 2 * SKETCH), U)
                 # texts in slices of bounded work arrays; empty ones lie between without shingles
                 for part in np.array_split(full, max(1, len(found) // SLICE)) if len(full) else ():
                     if len(part):
@@ -131,7 +132,7 @@ def _signer(k: int, rows: int, bands: int):
                         pa.array(sizes.astype(np.int64)),
                         pa.array(names.view(np.int64)),
                         pa.ListArray.from_arrays(pa.array(counts), flat),
-                        pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1, dtype=np.int32) * SKETCH), pa.array(sketch.reshape(-1).view(np.int64))),
+                        pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1, dtype=np.int32) * 2 * SKETCH), pa.array(sketch.reshape(-1).view(np.int64))),
                         *[c.slice(a, b - a) for c in batch.columns[2:]],
                     ],
                     names=["doc_id", "n_shingles", "node", "bands", "sketch", *batch.schema.names[2:]],
@@ -180,12 +181,12 @@ class NearDuplicates:
         self.rows = self.signed.drop("bands", "sketch")
         # one row per class, with the document that stands for it; copies have equal sketches
         full = self.signed.where("n_shingles > 0")
-        sketch = [F.min(F.get("sketch", F.lit(i))).alias(f"s{i}") for i in range(SKETCH)]
+        sketch = [F.min(F.get("sketch", F.lit(i))).alias(f"s{i}") for i in range(2 * SKETCH)]
         self.classes = settle(full.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n"), F.first("bands").alias("bands"), *sketch))
-        alike = 0.5 + percent / 200
-        bits = 64 * SKETCH
-        self.expected = int(bits * (1 - alike))  # sketch bits that differ at the similarity, on average
-        self.apart = bits - int(bits * alike - SIGMAS * (bits * alike * (1 - alike)) ** 0.5)  # how many may
+        alike = 0.25 + 0.75 * percent / 100
+        values = 64 * SKETCH
+        self.expected = int(values * (1 - alike))  # sketched values that differ at the similarity, on average
+        self.apart = values - int(values * alike - SIGMAS * (values * alike * (1 - alike)) ** 0.5)  # how many may
 
     def _buckets(self) -> DataFrame:
         """``key, node, n``: the members of buckets that have two classes at least."""
@@ -211,7 +212,7 @@ class NearDuplicates:
 
     def _of(self, name: str, bands: bool = False) -> DataFrame:
         """The classes with columns named after ``name``: ``x, x_n, x_s0, ...``."""
-        columns = ["n", *["bands"] * bands, *(f"s{i}" for i in range(SKETCH))]
+        columns = ["n", *["bands"] * bands, *(f"s{i}" for i in range(2 * SKETCH))]
         return self.classes.select(F.col("node").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in columns])
 
     def _alike(self, n, m):
@@ -219,8 +220,9 @@ class NearDuplicates:
         return F.least(n, m) * 100 >= F.greatest(n, m) * self.percent
 
     def _near(self, limit: int):
-        """Sketches of ``x`` and ``y`` that differ in at most ``limit`` bits."""
-        apart = sum((F.bit_count(F.col(f"x_s{i}").bitwiseXOR(F.col(f"y_s{i}"))) for i in range(SKETCH)), F.lit(0))
+        """Sketches of ``x`` and ``y`` that differ in at most ``limit`` values."""
+        differ = [F.col(f"x_s{i}").bitwiseXOR(F.col(f"y_s{i}")) for i in range(2 * SKETCH)]
+        apart = sum((F.bit_count(differ[i].bitwiseOR(differ[SKETCH + i])) for i in range(SKETCH)), F.lit(0))
         return apart <= limit
 
     def links(self) -> DataFrame | None:
