@@ -20,6 +20,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("output", help="output prefix (folder)")
     ap.add_argument("--stream", action="store_true", help="Structured Streaming over a folder")
     ap.add_argument("--continuous", action="store_true", help="keep the stream running")
+    ap.add_argument("--keep-open", action="store_true", help="drain, but leave open sessions to a later --stream run")
     ap.add_argument("--seconds", action="store_true", help="read `time` as seconds (gap 31 s)")
     ap.add_argument("--parser", choices=["strict", "csv", "parquet"], default="strict")
     ap.add_argument("--master", default=None)
@@ -28,7 +29,11 @@ def main(argv: list[str] | None = None) -> int:
     spark = build_session(args.master)
     params = Params(time_unit="s" if args.seconds else "ms")
     if args.stream:
-        for q in stream_all(spark, args.input, args.output, params, available_now=not args.continuous):
+        ends = not (args.continuous or args.keep_open)
+        queries = stream_all(
+            spark, args.input, args.output, params, available_now=not args.continuous, end_of_input=ends
+        )
+        for q in queries:
             q.awaitTermination()
     else:
         run_all(spark, args.input, args.output, params, parser=args.parser)

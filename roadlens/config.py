@@ -21,7 +21,6 @@ REPORT_INTERVAL = 30.0
 MPS_TO_MPH = 2.23694
 AVG_SPEED_LIMIT = 60
 STOP_REPORTS = 4
-STOP_SLIDE = 1
 SLIDING_SIZE_SECONDS = 120
 SLIDING_SLIDE_SECONDS = 30
 

@@ -15,17 +15,21 @@ _TAKE_LAST = (
 )
 
 
-def fold_endpoints_sql(reports: str) -> str:
-    """SQL text of the fold over ``reports`` (an array of structs with ``dir seg pos``,
-    sorted by (time, seq)): ``struct(first, last)``, row 0 starting both; NULLs if empty."""
-    head = f"try_element_at({reports}, 1)"
+def fold_endpoints_sql(reports: str, row_type: str) -> str:
+    """SQL text of the fold over ``reports`` (an array of ``row_type`` structs with ``dir seg
+    pos``, sorted by (time, seq)): ``struct(first, last)``, row 0 starting both; NULLs if empty.
+
+    The array appears once in the text: the fold starts from NULLs instead of looking up row 0.
+    """
+    none = f"CAST(NULL AS {row_type})"
     return (
-        f"aggregate({reports}, named_struct('first', {head}, 'last', {head}), (a, r) -> "
-        f"CASE WHEN {_TAKE_FIRST} THEN named_struct('first', r, 'last', a.last) "
+        f"aggregate({reports}, named_struct('first', {none}, 'last', {none}), (a, r) -> "
+        f"CASE WHEN a.first IS NULL THEN named_struct('first', r, 'last', r) "
+        f"WHEN {_TAKE_FIRST} THEN named_struct('first', r, 'last', a.last) "
         f"WHEN {_TAKE_LAST} THEN named_struct('first', a.first, 'last', r) ELSE a END)"
     )
 
 
-def fold_endpoints(reports: str) -> Column:
+def fold_endpoints(reports: str, row_type: str) -> Column:
     """The fold as a Column; ``reports`` is a SQL expression (e.g. a column name)."""
-    return F.expr(fold_endpoints_sql(reports))
+    return F.expr(fold_endpoints_sql(reports, row_type))

@@ -162,21 +162,14 @@ def _endpoints_unsplit(s: DataFrame, lo: int, hi: int, keys: Sequence[str] = ("v
         F.expr("bool_and(_simple) AS _simple"),
         F.expr(f"collect_list(CASE WHEN NOT _simple THEN {row} END) AS _hard"),
     )
-    ends = agg.selectExpr(
-        *group,
-        "n",
-        "_nfwd = n AS _fwd",
-        "_simple",
-        "_amin",
-        "_amax",
-        f"{fold_endpoints_sql('sort_array(_hard)')} AS _fold",
-    )
-    return ends.selectExpr(
-        *group,
-        "n",
-        "CASE WHEN _simple THEN (CASE WHEN _fwd THEN _amin ELSE _amax END) ELSE _fold.first END AS first",
-        "CASE WHEN _simple THEN (CASE WHEN _fwd THEN _amax ELSE _amin END) ELSE _fold.last END AS last",
+    row_type = f"struct<{','.join(f'{c}:{t.simpleString()}' for c, t in _ROW_TYPES.items())}>"
+    simple_ends = (
+        "named_struct('first', CASE WHEN _nfwd = n THEN _amin ELSE _amax END,"
+        " 'last', CASE WHEN _nfwd = n THEN _amax ELSE _amin END)"
     )
+    fold = fold_endpoints_sql("sort_array(_hard)", row_type)
+    # a generator is a barrier: filters on `first` and `last` above it do not repeat the fold
+    return agg.selectExpr(*group, "n", f"inline(array(CASE WHEN _simple THEN {simple_ends} ELSE {fold} END))")
 
 
 def session_endpoints(

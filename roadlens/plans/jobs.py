@@ -46,29 +46,51 @@ def run_all(
     parser: str = "strict",
     stage: bool = True,
     policy: SkewPolicy = DEFAULT_SKEW,
+    outputs: tuple[str, ...] = OUTPUTS,
 ) -> dict[str, str]:
-    """Batch job: the three queries over the reports at ``in_path``; returns output paths."""
+    """Batch job: the three queries (or those of ``outputs``) over the reports at ``in_path``;
+    returns output paths."""
     reports = read_reports(spark, in_path, parser=parser)
     if stage and parser != "parquet":  # a parquet input is already a columnar table
         reports = stage_reports(spark, reports)
     policy = checked_policy(reports, ["vid"], "time", policy)  # one check for all three queries
-    out = {name: f"{out_prefix.rstrip('/')}/{name}" for name in OUTPUTS}
-    write_csv(speed_radar(reports, params.speed_limit, policy=policy), out["SpeedRadar.csv"])
-    write_csv(average_speed_control(reports, params, policy=policy), out["AverageSpeedControl.csv"])
-    write_csv(accident_reporter(reports, params.stop_reports, policy=policy), out["AccidentReporter.csv"])
+    plans = {
+        "SpeedRadar.csv": lambda: speed_radar(reports, params.speed_limit, policy=policy),
+        "AverageSpeedControl.csv": lambda: average_speed_control(reports, params, policy=policy),
+        "AccidentReporter.csv": lambda: accident_reporter(reports, params.stop_reports, policy=policy),
+    }
+    out = {name: f"{out_prefix.rstrip('/')}/{name}" for name in outputs}
+    for name, path in out.items():
+        write_csv(plans[name](), path)
     return out
 
 
+END_TIME = 2**31 - 1  # largest `time` a report can have
+
+
 def stream_all(
     spark: SparkSession,
     in_dir: str,
     out_prefix: str,
     params: Params = Params(),
-    files_per_trigger: int = 1,
+    files_per_trigger: int | None = 1,
     available_now: bool = True,
+    end_of_input: bool = False,
+    checkpoint: str | None = None,
 ):
     """Streaming job over a folder of text report files; returns the three started queries.
 
+    Files should arrive in time order: one file's reports make the earlier ones of the next
+    late. ``files_per_trigger=None`` takes all that have arrived as one micro-batch.
+
+    The checkpoints lie beside the sinks (``checkpoint``, by default a folder under
+    ``out_prefix``): a further call with the same prefix resumes, reads new files only and keeps
+    the open sessions. ``end_of_input`` (with ``available_now``) says that the input is complete:
+    after the drain the open sessions of the speed control are closed too, as at the end of a
+    bounded input. A report of the largest ``time``, in a private second source, moves the
+    watermark past them; it stays in an open session itself. Reports after that would be
+    late, so a call on an ended prefix is refused.
+
     Streams refuse ``monotonically_increasing_id()``, so ``seq`` is the arrival time of the
     report's file (its modification time, in microseconds): reports of equal ``time`` are
     ordered by file arrival, and inside one file they keep their order in the micro-batch.
@@ -79,22 +101,31 @@ def stream_all(
         stream_speed_radar,
     )
 
-    lines = (
-        spark.readStream.schema("value string")
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .text(in_dir)
-        .select(F.unix_micros(F.col("_metadata.file_modification_time")).alias("seq"), "value")
-    )
-    reports = lines_to_reports(lines)
+    if end_of_input and not available_now:
+        raise ValueError("end_of_input needs available_now")
     prefix = out_prefix.rstrip("/")
-    ckpt = f"{checkpoint_root(spark)}/roadlens-stream-job/{uuid.uuid4().hex}"
-    plans = {
-        "SpeedRadar.csv": stream_speed_radar(reports, params.speed_limit),
-        "AverageSpeedControl.csv": stream_average_speed_control(reports, params),
-        "AccidentReporter.csv": stream_accident_reporter(reports, params.stop_reports),
-    }
-    queries = []
-    for name, df in plans.items():
+    ckpt = (checkpoint or f"{prefix}/_checkpoints").rstrip("/")
+    ending = f"{ckpt}/end-of-input"
+    # a text source needs its folder: an empty file until the input ends
+    spark.range(0).selectExpr("'' AS value").write.mode("ignore").text(ending)
+    if not spark.read.text(ending).isEmpty():
+        raise RuntimeError(f"the input of {prefix} was ended; start a new output prefix")
+
+    def lines(folder: str) -> DataFrame:
+        source = spark.readStream.schema("value string")
+        if files_per_trigger is not None:
+            source = source.option("maxFilesPerTrigger", files_per_trigger)
+        seq = F.unix_micros(F.col("_metadata.file_modification_time")).alias("seq")
+        return source.text(folder).select(seq, "value")
+
+    def start(name: str):
+        if name == "SpeedRadar.csv":
+            df = stream_speed_radar(lines_to_reports(lines(in_dir)), params.speed_limit)
+        elif name == "AverageSpeedControl.csv":
+            both = lines(in_dir).unionByName(lines(ending))
+            df = stream_average_speed_control(lines_to_reports(both), params)
+        else:
+            df = stream_accident_reporter(lines_to_reports(lines(in_dir)), params.stop_reports)
         writer = (
             df.writeStream.format("csv")
             .option("header", False)
@@ -102,8 +133,16 @@ def stream_all(
             .option("checkpointLocation", f"{ckpt}/{name}")
         )
         writer = writer.trigger(availableNow=True) if available_now else writer
-        queries.append(writer.start(f"{prefix}/{name}"))
-    return queries
+        return writer.start(f"{prefix}/{name}")
+
+    queries = {name: start(name) for name in OUTPUTS}
+    if end_of_input:
+        for query in queries.values():
+            query.awaitTermination()
+        last = f"{END_TIME},-1,0,0,0,0,{params.lo_seg},0"
+        spark.range(1).select(F.lit(last).alias("value")).write.mode("append").text(ending)
+        queries["AverageSpeedControl.csv"] = start("AverageSpeedControl.csv")
+    return list(queries.values())
 
 
 __all__ = ["OUTPUTS", "run_all", "stage_reports", "stream_all"]

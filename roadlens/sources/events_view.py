@@ -2,10 +2,12 @@
 
 Each ``user_id`` becomes a vehicle. Direction is constant per vehicle, segments advance with
 each *step*, and even vehicles hold still for 4 reports out of every 6, so every query has
-work to do. Two clocks:
+work to do. Two clocks, and a mixed form of the first:
 
 * ``clock="event"``   -- ``time`` = seconds of ``ts`` since 2024-01-01 (view A)
 * ``clock="cadence"`` -- ``time`` = 30 s per report with a 300 s pause every 24 reports (view B)
+* ``mixed_reports``     -- view A with directions and segments that change from report to report and
+  positions that do not follow them (view C): sessions that only the row-by-row fold decides
 
 The per-vehicle report number ``rn`` is a running count; it goes through the split-safe
 ``running`` helper, so a user holding a large share of all events is split over tasks.
@@ -114,6 +116,16 @@ def reports_and_policy(
     return view, checked
 
 
+def mixed_reports(reports: DataFrame) -> DataFrame:
+    """View C (see above); ``seq``, ``time`` and ``vid`` are kept."""
+    return reports.selectExpr(
+        "seq", "time", "vid", "speed", "xway", "lane",
+        "CAST(seq % 3 % 2 AS INT) AS dir",
+        "CAST(52 + (seq * 7919 + vid) div 3 % 5 AS INT) AS seg",
+        "CAST((seq * 7919 + vid * 31) % 40000 AS INT) AS pos",
+    )
+
+
 def load_reports(
     spark: SparkSession, sf_dir: str, clock: str = "event", policy: SkewPolicy = DEFAULT_SKEW
 ) -> DataFrame:

@@ -1,11 +1,12 @@
 """Run the streaming twins over a bounded, replayable file source.
 
-The reports (derived by Spark from the given tables) are written as parquet in time-ordered
-chunks under the session's checkpoint folder (``spark.checkpoint.dir``); a file stream reads
-one chunk per micro-batch (``maxFilesPerTrigger=1``), ``trigger(availableNow=True)`` drains it,
-and a parquet sink with its own checkpoint stores the output. Everything lives in a fresh
-sub-folder per run, so a rerun never reads a previous run's files, and a restarted query
-resumes from its checkpoint.
+The reports (derived by Spark from the given tables) are staged once as parquet under the
+session's checkpoint folder (``spark.checkpoint.dir``). They are then replayed in time-ordered
+chunks: the files of one chunk are appended to the source folder and the stream drains them
+with ``trigger(availableNow=True)`` and no file limit, so a chunk is one micro-batch however
+many files it has. All drains share one checkpoint; state and watermark carry over from chunk
+to chunk as they do over a restart. Everything lives in a fresh sub-folder per run, so a
+rerun never reads a previous run's files.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from roadlens.config import Params
 from roadlens.operators.stopped import stopped_sliding
 from roadlens.session import checkpoint_root
-from roadlens.sources.events_view import load_reports
+from roadlens.sources.events_view import load_reports, mixed_reports
 from roadlens.streaming.operators import (
     stream_accident_reporter,
     stream_average_speed_control,
@@ -27,7 +28,6 @@ from roadlens.streaming.operators import (
 )
 
 REPORT_COLS = ("seq", "time", "vid", "speed", "xway", "lane", "dir", "seg", "pos")
-FLUSH_VID = -1  # vehicle id of the end-of-input flush report (never emitted)
 INT_MAX = 2**31 - 1
 
 
@@ -35,49 +35,47 @@ def run_folder(spark: SparkSession, tag: str) -> str:
     return f"{checkpoint_root(spark)}/roadlens-stream/{tag}-{uuid.uuid4().hex}"
 
 
-def stage_chunks(reports: DataFrame, folder: str, chunks: int = 3) -> None:
-    """Write ``reports`` as ``chunks`` successive appends, ordered by ``time``.
+def stage_view(spark: SparkSession, reports: DataFrame, folder: str) -> DataFrame:
+    """``reports`` written once, so that the chunks do not derive them again."""
+    reports.select(*REPORT_COLS).write.parquet(folder)
+    return spark.read.parquet(folder)
 
-    Chunk boundaries are approximate quantiles of ``time`` (a handful of numbers reach the
-    driver); each chunk is one Spark write, so file modification order is time order.
-    """
+
+def time_chunks(reports: DataFrame, chunks: int) -> list[DataFrame]:
+    """``reports`` cut at approximate quantiles of ``time`` (a handful of numbers reach the
+    driver); reports of one ``time`` stay together, those without one are in the first chunk."""
     cuts = reports.approxQuantile("time", [i / chunks for i in range(1, chunks)], 0.001) if chunks > 1 else []
-    bounds = [None, *cuts, None]
+    bounds = [None, *sorted({int(c) for c in cuts}), None]
+    time = F.col("time")
+    out = []
     for lo, hi in zip(bounds[:-1], bounds[1:]):
-        part = reports
-        if lo is not None:
-            part = part.where(F.col("time") >= F.lit(int(lo)))
-        if hi is not None:
-            part = part.where(F.col("time") < F.lit(int(hi)))
-        part.select(*REPORT_COLS).write.mode("append").parquet(folder)
+        above = time >= F.lit(lo) if lo is not None else F.lit(True)
+        below = time < F.lit(hi) if hi is not None else F.lit(True)
+        out.append(reports.where(above & below if lo is not None else time.isNull() | below))
+    return out
+
 
+def flush_report(spark: SparkSession, seg: int) -> DataFrame:
+    """One far-future report on the stretch: it moves the watermark past every session.
 
-def flush_report(spark: SparkSession, folder: str, seg: int) -> None:
-    """Append one far-future report on the stretch: it moves the watermark past every session."""
-    spark.range(1).select(
+    It adds no output: its own session and windows end after the watermark that it sets, so
+    they stay open whatever its vehicle.
+    """
+    return spark.range(1).select(
         F.lit(INT_MAX).cast("bigint").alias("seq"),
         F.lit(INT_MAX).cast("int").alias("time"),
-        F.lit(FLUSH_VID).cast("bigint").alias("vid"),
+        F.lit(-1).cast("bigint").alias("vid"),
         *[F.lit(0).cast("int").alias(c) for c in ("speed", "xway", "lane", "dir")],
         F.lit(seg).cast("int").alias("seg"),
         F.lit(0).cast("int").alias("pos"),
-    ).write.mode("append").parquet(folder)
+    )
 
 
-def run_stream(
-    spark: SparkSession,
-    source_folder: str,
-    schema,
-    transform: Callable[[DataFrame], DataFrame],
-    out_folder: str,
-    files_per_trigger: int = 1,
-) -> DataFrame:
-    """Drain ``source_folder`` through ``transform`` into a parquet sink; return its contents."""
-    stream = (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .parquet(source_folder)
-    )
+def drain(
+    spark: SparkSession, source_folder: str, schema, transform: Callable[[DataFrame], DataFrame], out_folder: str
+) -> None:
+    """One run over the new files of ``source_folder``, all of them in one micro-batch."""
+    stream = spark.readStream.schema(schema).parquet(source_folder)
     query = (
         transform(stream)
         .writeStream.format("parquet")
@@ -89,52 +87,59 @@ def run_stream(
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    return spark.read.parquet(f"{out_folder}/data")
 
 
-def _staged(
-    spark: SparkSession, sf_dir: str, tag: str, flush_seg: int | None = None, clock: str = "event"
-):
+def replay(
+    spark: SparkSession,
+    reports: DataFrame,
+    transform: Callable[[DataFrame], DataFrame],
+    tag: str,
+    flush_seg: int | None = None,
+    chunks: int = 3,
+) -> DataFrame:
+    """The output of ``transform`` over ``reports`` replayed as ``chunks`` micro-batches, and
+    then the flush report if ``flush_seg`` is given."""
     base = run_folder(spark, tag)
-    reports = load_reports(spark, sf_dir, clock=clock)
-    stage_chunks(reports, f"{base}/source")
+    staged = stage_view(spark, reports, f"{base}/view")
+    parts = time_chunks(staged, chunks)
     if flush_seg is not None:
-        flush_report(spark, f"{base}/source", flush_seg)
-    schema = spark.read.parquet(f"{base}/source").schema
-    return base, schema
+        parts.append(flush_report(spark, flush_seg))
+    for part in parts:
+        part.write.mode("append").parquet(f"{base}/source")
+        drain(spark, f"{base}/source", staged.schema, transform, f"{base}/out")
+    return spark.read.parquet(f"{base}/out/data")
 
 
 def stream_speed_radar_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base, schema = _staged(spark, sf_dir, "speed-radar")
-    return run_stream(spark, f"{base}/source", schema, stream_speed_radar, f"{base}/out")
+    return replay(spark, load_reports(spark, sf_dir), stream_speed_radar, "speed-radar")
 
 
 def stream_accident_reporter_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base, schema = _staged(spark, sf_dir, "accident")
-    return run_stream(spark, f"{base}/source", schema, stream_accident_reporter, f"{base}/out")
+    return replay(spark, load_reports(spark, sf_dir), stream_accident_reporter, "accident")
 
 
-def stream_average_speed_control_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _speed_control(spark: SparkSession, reports: DataFrame, tag: str) -> DataFrame:
     params = Params()
-    base, schema = _staged(spark, sf_dir, "speed-control", flush_seg=params.lo_seg)
-    out = run_stream(
-        spark,
-        f"{base}/source",
-        schema,
-        lambda s: stream_average_speed_control(s, params),
-        f"{base}/out",
+    return replay(
+        spark, reports, lambda s: stream_average_speed_control(s, params), tag, flush_seg=params.lo_seg
     )
-    return out.where(F.col("vid") != F.lit(FLUSH_VID))
+
+
+def stream_average_speed_control_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _speed_control(spark, load_reports(spark, sf_dir), "speed-control")
+
+
+def stream_average_speed_control_mixed_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """View C: sessions that only the row-by-row fold decides."""
+    return _speed_control(spark, mixed_reports(load_reports(spark, sf_dir)), "speed-control-mixed")
 
 
 def stream_accident_reporter_sliding_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """WIN-3 on a stream (view B, seconds): chained windowed aggregations, append mode."""
-    base, schema = _staged(spark, sf_dir, "sliding", flush_seg=52, clock="cadence")
-    out = run_stream(
+    return replay(
         spark,
-        f"{base}/source",
-        schema,
+        load_reports(spark, sf_dir, clock="cadence"),
         lambda s: stopped_sliding(s, time_unit="s", watermark="0 seconds"),
-        f"{base}/out",
+        "sliding",
+        flush_seg=52,
     )
-    return out.where(F.col("vid") != F.lit(FLUSH_VID))

@@ -7,9 +7,11 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from roadlens.operators.speed_radar import speed_radar
+from roadlens.operators.stopped import accident_reporter
 from roadlens.sources.reports import bad_lines, lines_to_reports, read_reports
 from roadlens.sources.sinks import write_csv
-from tests.util import FIELDS, collect, frame
+from tests.util import FIELDS, NO_SPLIT, collect, frame
 
 GOOD = "1,2,3,4,5,6,7,8"
 CASES = [
@@ -42,6 +44,17 @@ def test_strict_parser(spark, line, expected):
         assert [tuple(x) for x in parsed.collect()] == [expected]
 
 
+@pytest.mark.parametrize("column", range(8))
+def test_strict_whichever_columns_are_used(spark, column):
+    fields = ["1", "2", "95", "4", "5", "6", "7", "8"]
+    fields[column] = "99999999999999999999"
+    reports = lines_to_reports(_lines(spark, ",".join(fields)).selectExpr("0L AS seq", "value"))
+    for use in (reports.count, speed_radar(reports, policy=NO_SPLIT).collect,
+                accident_reporter(reports, policy=NO_SPLIT).collect):
+        with pytest.raises(PySparkException):
+            use()
+
+
 def test_quarantine(spark):
     lines = spark.createDataFrame([(c[0],) for c in CASES], "value string")
     good = collect(lines_to_reports(lines, on_error="quarantine"))

@@ -48,3 +48,11 @@ def test_parquet_input_pushdown_and_pruning(spark, smoke_dir):
     assert "lane" not in q2.split("ReadSchema:")[1].split("\n")[0]
     q3 = _formatted(accident_reporter(staged))
     assert "speed" not in q3.split("ReadSchema:")[1].split("\n")[0]
+
+
+def test_fold_is_evaluated_once(spark, smoke_dir):
+    from roadlens.operators.speed_control import average_speed_control
+    from roadlens.sources.events_view import mixed_reports
+
+    plan = _plan(average_speed_control(mixed_reports(load_reports(spark, smoke_dir))))
+    assert plan.count("sort_array") == 1

@@ -14,6 +14,7 @@ from tests import model
 from tests.property_data import random_reports
 from tests.util import POLICIES, collect, dicts, frame
 
+ROW_TYPE = "struct<time:int,seq:bigint,xway:int,dir:int,seg:int,pos:int>"
 SEEDS = [3, 17, 2024]
 
 
@@ -50,7 +51,7 @@ def test_fold_expression(spark, seed):
     agg = s.groupBy("vid", "session_start").agg(
         F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list(row)).alias("rows")
     )
-    ends = agg.select("vid", "session_start", "n", fold_endpoints("rows").alias("e"))
+    ends = agg.select("vid", "session_start", "n", fold_endpoints("rows", ROW_TYPE).alias("e"))
     got = collect(ends.select("vid", "session_start", "n", "e.first.seq", "e.last.seq"))
     assert got == model.endpoints(dicts(rows), gap=31)
 
