@@ -18,6 +18,7 @@ from roadlens.config import (
     SLIDING_SIZE_SECONDS,
     SLIDING_SLIDE_SECONDS,
     STOP_REPORTS,
+    UNIT_PER_SECOND,
     SkewPolicy,
 )
 from roadlens.functions.predicates import event_time
@@ -87,10 +88,11 @@ def stopped_sliding(
 ) -> DataFrame:
     """WIN-3: per vehicle and sliding event-time window, fire when exactly ``count`` reports
     share the position of the window's first report. ``time2`` is the window's last report
-    even if it moved. Each report joins ``size/slide`` windows (``F.window`` expansion);
-    both aggregation steps are partial (map-side combined), so no window collects rows.
+    even if it moved. Each report joins ``size/slide`` windows: their starts are exploded,
+    which keeps a partitioning by vehicle, so reports that have one are not shuffled again.
+    Both aggregation steps are partial (map-side combined), so no window collects rows.
 
-    The same plan runs on a stream when ``watermark`` is given (e.g. ``"0 seconds"``): two
+    A stream takes ``F.window`` for the starts when ``watermark`` is given (e.g. ``"0 seconds"``): two
     chained windowed aggregations in append mode, a window emitted once the watermark
     passes its end.
     """
@@ -99,8 +101,14 @@ def stopped_sliding(
     )
     if watermark is not None:
         keyed = keyed.withWatermark("_ts", watermark)
-    win = F.window("_ts", f"{size_seconds} seconds", f"{slide_seconds} seconds")
-    by_pos = keyed.groupBy("vid", win.alias("_w"), "pos").agg(
+        win = F.window("_ts", f"{size_seconds} seconds", f"{slide_seconds} seconds").alias("_w")
+    else:
+        size, slide = size_seconds * UNIT_PER_SECOND[time_unit], slide_seconds * UNIT_PER_SECOND[time_unit]
+        newest = f"CAST(time AS BIGINT) - pmod(CAST(time AS BIGINT), {slide}L)"
+        starts = f"transform(sequence(0, {-(-size // slide) - 1}), k -> {newest} - k * {slide}L)"
+        keyed = keyed.drop("_ts").withColumn("_w", F.expr(f"explode(filter({starts}, w -> w > time - {size}L))"))
+        win = "_w"
+    by_pos = keyed.groupBy("vid", win, "pos").agg(
         F.expr("count(1) AS _same"),
         F.expr("min(struct(time, seq, xway, seg, dir)) AS _head"),
         F.expr("max(struct(time, seq)) AS _tail"),

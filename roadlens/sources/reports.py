@@ -13,13 +13,15 @@ Java integer parsers; extra fields are ignored, anything malformed fails the job
 ``bad_lines``. ``parser="csv"`` uses Spark's CSV reader (FAILFAST) -- faster, but it rejects
 extra fields and skips blank lines.
 
-Every reader adds ``seq``: the arrival order used to break ties of ``time``. It is
-``monotonically_increasing_id()`` of the scan, which increases along a file split and is
-stable under task retries (same splits, same row order).
+Every reader adds ``seq``: the arrival order used to break ties of ``time``. It orders files by
+path and the reports of a file by their place in it, whatever the file sizes, splits and cores
+(see ``_with_arrival``).
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,6 +78,34 @@ def bad_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
     return rejected.withColumnRenamed("_line", line_col)
 
 
+FILE_BITS = 42  # `seq` = number of the file, then 42 bits for the place in it
+BROADCAST_FILES = 200_000  # up to so many paths (some 30 MB) the table of files is broadcast
+
+
+def _with_arrival(spark: SparkSession, df: DataFrame, place: str) -> DataFrame:
+    """``df`` with ``seq``: the rank of the row's file by path, then ``place`` within the file."""
+    # paths without an authority as `_metadata` writes them: file:/x, not file:///x
+    files = sorted(re.sub("^([^:/]+):///+", r"\1:/", f) for f in df.inputFiles())
+    if len(files) >= 1 << (63 - FILE_BITS):
+        raise ValueError(f"more than {1 << (63 - FILE_BITS)} input files")
+    cols = [f"`{c}`" for c in df.columns]
+    placed = df.selectExpr(*cols, "_metadata.file_path AS _path", f"CAST({place} AS BIGINT) AS _place")
+    if len(files) < 2:
+        return placed.selectExpr("_place AS seq", *cols)
+    ranks = spark.createDataFrame(list(enumerate(files)), "_rank long, _file string")
+    ranks = F.broadcast(ranks) if len(files) <= BROADCAST_FILES else ranks
+    lost = "raise_error(concat('unlisted input file ', _path))"
+    rank = f"CASE WHEN _rank IS NULL THEN CAST({lost} AS BIGINT) ELSE _rank END"
+    joined = placed.join(ranks, placed["_path"] == ranks["_file"], "left")
+    return joined.selectExpr(f"shiftleft({rank}, {FILE_BITS}) + _place AS seq", *cols)
+
+
+# The start of a line's split plus its row number in the task. Only the last split of a file can
+# share a task with rows before it, and a split has fewer lines than bytes, so this grows
+# along the file.
+LINE_PLACE = "_metadata.file_block_start + (monotonically_increasing_id() & 8589934591)"
+
+
 def read_reports(
     spark: SparkSession,
     path: str,
@@ -85,18 +115,19 @@ def read_reports(
     """Position reports at ``path``: header-less CSV text (``strict`` or ``csv`` parser) or a
     parquet table with the 8 report columns (``parquet``; its ``seq`` is kept if present)."""
     if parser == "strict":
-        lines = spark.read.text(path).select(
-            F.monotonically_increasing_id().alias("seq"), F.col("value")
-        )
+        lines = _with_arrival(spark, spark.read.text(path), LINE_PLACE)
         return lines_to_reports(lines, on_error=on_error)
     if parser == "csv":
-        mode = "FAILFAST" if on_error == "fail" else "DROPMALFORMED"
-        df = spark.read.schema(REPORT_SCHEMA).option("mode", mode).csv(path)
-        return df.select(F.monotonically_increasing_id().alias("seq"), *REPORT_FIELDS)
+        if on_error != "fail":
+            raise ValueError("parser='csv' has no quarantine; use parser='strict'")
+        df = spark.read.schema(REPORT_SCHEMA).option("mode", "FAILFAST").csv(path)
+        return _with_arrival(spark, df, LINE_PLACE)
     if parser == "parquet":
         # a columnar table of reports: typed columns, filters and pruning reach the scan
         df = spark.read.parquet(path)
-        seq = F.col("seq").cast("bigint") if "seq" in df.columns else F.monotonically_increasing_id()
+        if "seq" not in df.columns:  # a deterministic place: filters still reach the scan
+            df = _with_arrival(spark, df, "_metadata.row_index")
+        seq = F.col("seq").cast("bigint")
         typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in REPORT_SCHEMA.fields]
         return df.select(seq.alias("seq"), *typed)
     raise ValueError("parser must be 'strict', 'csv' or 'parquet'")

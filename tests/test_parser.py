@@ -81,6 +81,26 @@ def test_csv_round_trip(spark):
     assert back.select(F.countDistinct("seq")).first()[0] == len(rows)
 
 
+def test_arrival_order_over_files(spark):
+    """Files by path, lines by place: neither file sizes nor splits matter."""
+    folder = tempfile.mkdtemp(prefix="roadlens-test-")
+    want = []
+    for name, n in (("a.csv", 1), ("b.csv", 200), ("c.csv", 7)):
+        lines = [f"5,1,{len(want) + i},0,0,0,52,1" for i in range(n)]
+        want += range(len(want), len(want) + n)
+        with open(os.path.join(folder, name), "w") as f:
+            f.write("".join(x + "\n" for x in lines))
+    for size in ("128m", "512b"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            for parser in ("strict", "csv"):
+                rows = read_reports(spark, folder, parser=parser).select("seq", "speed").collect()
+                assert [r["speed"] for r in sorted(rows)] == want
+                assert len({r["seq"] for r in rows}) == len(want)
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_parquet_reports(spark):
     rows = [(30 * i, i % 3, 90 + i, 0, 1, i % 2, 50 + i, 5280 * i) for i in range(20)]
     df = frame(spark, rows)

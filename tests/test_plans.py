@@ -1,8 +1,12 @@
 """Plan shape: pruned scans, one exchange per ordered operator, split only for hot keys."""
 
+import uuid
+
 from roadlens.operators.speed_radar import speed_radar
-from roadlens.operators.stopped import accident_reporter
+from roadlens.operators.stopped import accident_reporter, stopped_sliding
+from roadlens.session import checkpoint_root
 from roadlens.sources.events_view import load_reports
+from roadlens.sources.reports import read_reports
 from tests.util import SPLIT_ALL
 
 
@@ -43,6 +47,9 @@ def test_parquet_input_pushdown_and_pruning(spark, smoke_dir):
     q1 = _formatted(speed_radar(staged))
     assert "GreaterThan(speed,90)" in q1
     assert "ReadSchema: struct<seq:bigint,time:int,vid:bigint,speed:int,xway:int,dir:int,seg:int>" in q1
+    folder = f"{checkpoint_root(spark)}/without-seq-{uuid.uuid4().hex}"
+    staged.drop("seq").write.parquet(folder)
+    assert "GreaterThan(speed,90)" in _formatted(speed_radar(read_reports(spark, folder, parser="parquet")))
     q2 = _formatted(average_speed_control(staged))
     assert "GreaterThanOrEqual(seg,52)" in q2 and "LessThanOrEqual(seg,56)" in q2
     assert "lane" not in q2.split("ReadSchema:")[1].split("\n")[0]
@@ -56,3 +63,8 @@ def test_fold_is_evaluated_once(spark, smoke_dir):
 
     plan = _plan(average_speed_control(mixed_reports(load_reports(spark, smoke_dir))))
     assert plan.count("sort_array") == 1
+
+
+def test_sliding_variant_does_not_shuffle_the_view_again(spark, smoke_dir):
+    plan = _plan(stopped_sliding(load_reports(spark, smoke_dir, clock="cadence"), time_unit="s"))
+    assert plan.count("Exchange hashpartitioning") == 1
