@@ -11,8 +11,7 @@ candidates. At similarity 0.8 a pair shares no band with probability (1 - 0.8**6
 Only components are asked for, so a bucket (equal band) does not emit its pairs: its members are
 tested against one member, the bucket's own centre, for ``STARS`` rounds. Confirmed
 links are contracted; then the pairs of each bucket that still lie in different components, and
-only those, are candidates (the nearest first, then all that are left), so that no link found by
-a band is lost. A candidate pair must also
+only those, are candidates, so that no link found by a band is lost. A candidate pair must also
 be near in its sketches (the last two bits of 1024 signature values: at the asked similarity
 a pair falls short of the limit with a probability of about 1e-5), it is emitted by the first of
 its buckets only, and every link is confirmed on the full sets of both texts (exact counts of
@@ -185,8 +184,7 @@ class NearDuplicates:
         self.classes = settle(full.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n"), F.first("bands").alias("bands"), *sketch))
         alike = 0.25 + 0.75 * percent / 100
         values = 64 * SKETCH
-        self.expected = int(values * (1 - alike))  # sketched values that differ at the similarity, on average
-        self.apart = values - int(values * alike - SIGMAS * (values * alike * (1 - alike)) ** 0.5)  # how many may
+        self.apart = values - int(values * alike - SIGMAS * (values * alike * (1 - alike)) ** 0.5)  # sketched values that may differ
 
     def _buckets(self) -> DataFrame:
         """``key, node, n``: the members of buckets that have two classes at least."""
@@ -219,37 +217,28 @@ class NearDuplicates:
         """Sizes that allow the similarity at all."""
         return F.least(n, m) * 100 >= F.greatest(n, m) * self.percent
 
-    def _near(self, limit: int):
-        """Sketches of ``x`` and ``y`` that differ in at most ``limit`` values."""
+    def _near(self):
+        """Sketches of ``x`` and ``y`` that differ in at most ``apart`` values."""
         differ = [F.col(f"x_s{i}").bitwiseXOR(F.col(f"y_s{i}")) for i in range(2 * SKETCH)]
         apart = sum((F.bit_count(differ[i].bitwiseOR(differ[SKETCH + i])) for i in range(SKETCH)), F.lit(0))
-        return apart <= limit
+        return apart <= self.apart
 
     def links(self) -> DataFrame | None:
         """Confirmed links ``a, b`` between classes that span all components."""
         buckets = self._buckets()
         found, tested = None, None
-        for step in range(STARS + 2):
-            if found is None:
-                part = buckets.withColumn("comp", F.col("node"))
-            else:
-                named = settle(components(found))
-                part = buckets.join(named, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
-            # buckets inside one component are done
-            centre = F.min(F.struct(F.xxhash64("node", "key", F.lit(step)).alias("_o"), "node", "n", "comp")).alias("centre")
-            open_ = part.groupBy("key").agg(F.min("comp").alias("_l"), F.max("comp").alias("_h"), centre)
-            part = settle(part.join(open_.where("_l <> _h").select("key", "centre"), "key"))
+        for step in range(STARS + 1):
+            part = self._open(buckets, found, step)
             if part.isEmpty():
-                break
+                return found
             if step < STARS:  # each member against the bucket's centre
                 met = part.where(self._alike(F.col("n"), F.col("centre.n")) & (F.col("comp") != F.col("centre.comp")))
                 pairs = met.select(F.col("node").alias("x"), F.col("centre.node").alias("y")).distinct()
-                pairs = pairs.join(self._of("x"), "x").join(self._of("y"), "y").where(self._near(self.apart))
-            else:  # the pairs that still lie in different components: the nearest ones, then all
-                limit = self.expected if step == STARS else self.apart
+                pairs = pairs.join(self._of("x"), "x").join(self._of("y"), "y").where(self._near())
+            else:  # all pairs that still lie in different components
                 x, y = (part.select("key", F.col("node").alias(v), F.col("comp").alias(f"{v}_c")).join(self._of(v, True), v) for v in "xy")
                 once = F.array_min(F.array_intersect("x_bands", "y_bands")) == F.col("key")
-                pairs = x.join(y, "key").where((F.col("x_c") < F.col("y_c")) & self._alike(F.col("x_n"), F.col("y_n")) & self._near(limit) & once)
+                pairs = x.join(y, "key").where((F.col("x_c") < F.col("y_c")) & self._alike(F.col("x_n"), F.col("y_n")) & self._near() & once)
             pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
             pairs = settle(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
             tested = pairs if tested is None else tested.unionByName(pairs)
@@ -257,6 +246,17 @@ class NearDuplicates:
             found = new if found is None else found.unionByName(new)
         return found
 
+    def _open(self, buckets: DataFrame, found: DataFrame | None, step: int) -> DataFrame:
+        """The members of buckets that lie in several components of the links ``found``, with the bucket's centre."""
+        if found is None:
+            part = buckets.withColumn("comp", F.col("node"))
+        else:
+            named = settle(components(found))
+            part = buckets.join(named, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
+        centre = F.min(F.struct(F.xxhash64("node", "key", F.lit(step)).alias("_o"), "node", "n", "comp")).alias("centre")
+        open_ = part.groupBy("key").agg(F.min("comp").alias("_l"), F.max("comp").alias("_h"), centre)
+        return settle(part.join(open_.where("_l <> _h").select("key", "centre"), "key"))
+
     def groups(self) -> DataFrame:
         """``node, component_id`` of every class."""
         links = self.links()
