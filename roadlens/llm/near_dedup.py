@@ -188,8 +188,7 @@ class NearDuplicates:
 
     def _buckets(self) -> DataFrame:
         """``key, node, n``: the members of buckets that have two classes at least."""
-        lone = self.signed.where("n_shingles > 0").select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
-        lone = lone.groupBy("key", "node").agg(F.min("n").alias("n"))  # copies fall together before the shuffle's end
+        lone = self.classes.select("node", "n", F.explode("bands").alias("key"))
         several = lone.groupBy("key").agg(F.count("*").alias("_c")).where("_c > 1").select("key")
         return settle(lone.join(several, "key"))
 
