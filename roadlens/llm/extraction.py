@@ -9,12 +9,12 @@ it on the map side and a host with a third of all pages is never gathered in one
 A class is valid if it stands on most of the host's pages. The class of the page skeleton (once
 on every page) is the template's root; other valid classes nest below the class that holds
 their parent path. Text blocks in a class that also has elements are the template's own words,
-everything else is filling: slots, told apart by path. The main slot of a host is the container
-whose filling has the most text outside menus, asides and the like.
+everything else is filling: slots, told apart by path. Text is summed up over all containers
+above it; the main slot of a host is the lowest container that holds more than half of it.
 
-A page's text is its filling inside ``article`` or ``main``, else inside the host's main slot,
-else inside its own largest container; containers that their tag, class, id or role marks as
-menu, header, footer, sidebar, notice, advert, form or comments are left out.
+A page's text is its filling inside ``article`` or ``main``, else all its filling, whatever
+container it stands in; containers that their tag, class, id or role marks as menu, header,
+footer, sidebar, notice, advert, form or comments are left out.
 
 Edge cases: null html is an empty page with an empty text; a null or odd url is the host "";
 repeated rows are pages of their own; hosts with fewer than ``PAGES`` pages have no template
@@ -39,6 +39,7 @@ from roadlens.llm.markup import Block, Page, read_page
 
 PAGES = 8  # a host's words count as its template's from here on
 SUPPORT = 0.8  # share of the host's pages that a valid class stands on
+SCALE = 4
 HOSTS = 20_000  # templates of up to this many hosts are broadcast
 
 
@@ -58,18 +59,29 @@ def _text_token(block: Block) -> int:
     return int.from_bytes(hashlib.blake2b(f"{block.element.path}\0{block.text}".encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
-def _container(block: Block) -> str:
-    """The path that a block's paragraph stands in."""
-    at = block.element
-    while at.parent is not None and at.parent.path and at.tag not in ("div", "section", "td", "body", "article", "main"):
-        at = at.parent
-    return at.path
+def _ancestors(path: str) -> list[str]:
+    """The path itself and all above it, the page ("") last."""
+    out = [path]
+    while path:
+        path = path[: path.rindex("/")]
+        out.append(path)
+    return out
+
+
+def _weight(block: Block) -> int:
+    """Characters, a tenth of them for each mark above the block (in units of 10**-SCALE)."""
+    return len(block.text) * 10 ** (SCALE - min(block.element.marks, SCALE - 1))
+
+
+def _lowest(filling: dict[str, int]) -> str:
+    """The lowest container that holds more than half of the page's filling."""
+    return max((p for p, n in filling.items() if 2 * n > filling[""]), key=lambda p: p.count("/"), default="")
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows ``host, kind, token, path, pages, vector, chars``, combined over a batch.
 
-    kind 0: the host's pages; 1: an element; 2: a text block; 3: filling of a container.
+    kind 0: the host's pages; 1: an element; 2: a text block; 3: weighted text below a container.
     """
     for batch in batches:
         found: dict[tuple, list] = defaultdict(lambda: [0, 0, 0])
@@ -81,10 +93,8 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 seen[1, _hash("element", path), path] = n
             for block in page.blocks:
                 seen[2, _text_token(block), ""] += 1
-                if not block.left_out():
-                    row = found[host, 3, 0, _container(block)]
-                    row[0] += 1
-                    row[2] += len(block.text)
+                for path in _ancestors(block.element.path):
+                    found[host, 3, 0, path][2] += _weight(block)
             for (kind, token, path), n in seen.items():
                 row = found[host, kind, token, path]
                 row[0] += 1
@@ -132,7 +142,10 @@ def host_templates(pages: DataFrame) -> DataFrame:
     found = classes(pages)
     words = templates(found).where(F.size("words") > 0).join(found.groupBy("host").agg(F.max("total").alias("total")), "host")
     words = words.where(F.col("total") >= PAGES).groupBy("host").agg(F.flatten(F.collect_list("words")).alias("words"))
-    main = found.where("kind = 3").groupBy("host").agg(F.max_by("path", F.struct("chars", "path")).alias("main"))
+    slots = found.where("kind = 3").select("host", "path", "chars")
+    whole = slots.where("path = ''").select("host", F.col("chars").alias("whole"))
+    depth = F.length(F.regexp_replace("path", "[^/]", ""))
+    main = slots.join(whole, "host").where("2 * chars > whole").groupBy("host").agg(F.max_by("path", depth).alias("main"))
     return settle(main.join(words, "host", "left"))
 
 
@@ -140,15 +153,7 @@ def main_text(page: Page, words: set[int], main: str | None) -> str:
     inside = [b for b in page.blocks if not b.left_out()]
     filling = [b for b in inside if _text_token(b) not in words] if words else inside
     for kept in (filling, inside):
-        chosen = [b for b in kept if b.in_main()]
-        if not chosen and main and main != "":
-            chosen = [b for b in kept if (b.element.path + "/").startswith(main + "/")]
-        if not chosen and kept:
-            chars: dict[str, int] = defaultdict(int)
-            for b in kept:
-                chars[_container(b)] += len(b.text)
-            best = max(chars, key=lambda k: (chars[k], k))
-            chosen = [b for b in kept if (b.element.path + "/").startswith(best + "/")]
+        chosen = [b for b in kept if b.in_main()] or kept
         if chosen:
             return "\n\n".join(b.text for b in chosen)
     return ""

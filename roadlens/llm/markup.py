@@ -53,6 +53,7 @@ class Element:
     main: bool
     closed: bool = False
     has_main: bool = False
+    marks: int = 0  # containers from here up that tag or names mark as not the article's
 
 
 @dataclass
@@ -107,7 +108,8 @@ def _element(tag: str, raw: str, parent: Element | None) -> Element:
     depth = parent.path.count("/") if parent else 0
     path = f"{parent.path}/{label}" if parent and depth < DEPTH else parent.path if parent else label
     header = tag == "header" or (bool(names & HEADER_NAMES) and tag not in ("html", "body", "main", "article") and tag not in HEADINGS)
-    return Element(tag, parent, path, tag in OUT or named or (hidden and tag not in ("html", "body")), header, tag in MAIN)
+    out = tag in OUT or named or (hidden and tag not in ("html", "body"))
+    return Element(tag, parent, path, out, header, tag in MAIN, marks=(parent.marks if parent else 0) + (out or header))
 
 
 def read_page(source: str) -> Page:

@@ -37,6 +37,20 @@ def test_page(source, want):
     assert text(source) == want
 
 
+@pytest.mark.parametrize(
+    "source,want",
+    [
+        ("<div id=content><h1>T</h1><div class=body><p>long long</p><p>b</p></div></div>", "T\n\nlong long\n\nb"),
+        ("<section id=intro><p>a</p></section><section id=methods><p>long long</p></section>", "a\n\nlong long"),
+        ("<div><p>before</p><table><tr><td><p>a cell a cell</p><td><div>another cell</div></table><p>after</p></div>", "before\n\na cell a cell\n\nanother cell\n\nafter"),
+        ("<nav><p>n n n n n</p></nav><div><p>a</p></div><div class=sidebar><p>s</p></div><div><p>b</p></div>", "a\n\nb"),
+    ],
+)
+def test_containers_side_by_side_are_all_kept(source, want):
+    assert text(source) == want
+    assert text(source, main="/html/body/div.other") == want
+
+
 def site(i, body):
     return (
         f"<html><body><nav><a href='/{i}'>n{i}</a></nav><div class=wrap><p>Read more on our site</p>"
