@@ -13,8 +13,11 @@ everything else is filling: slots, told apart by path. Text is summed up over al
 above it; the main slot of a host is the lowest container that holds more than half of it.
 
 A page's text is its filling inside ``article`` or ``main``, else all its filling, whatever
-container it stands in; containers that their tag, class, id or role marks as menu, header,
-footer, sidebar, notice, advert, form or comments are left out.
+container it stands in. Containers that their tag, class, id or role marks as menu, header,
+footer, sidebar, notice, advert, form or comments are left out. Marks are hints: one of them
+makes text count a tenth, and those of the main slot (of the largest article's own, if there
+are articles) and of all above it do not hold; articles with less than a tenth of the weight
+outside them do not decide.
 
 Edge cases: null html is an empty page with an empty text; a null or odd url is the host "";
 repeated rows are pages of their own; hosts with fewer than ``PAGES`` pages have no template
@@ -149,14 +152,35 @@ def host_templates(pages: DataFrame) -> DataFrame:
     return settle(main.join(words, "host", "left"))
 
 
+def _opened(page: Page, main: str | None) -> tuple[bool, set[str]]:
+    """Whether the page's text is that of its articles, and the paths whose marks do not count.
+
+    These are the main slot and all above it: that of the largest article if the text is the
+    articles', else the host's if the page has text there, else the page's own.
+    """
+    below: dict[int, dict[str, int]] = defaultdict(lambda: defaultdict(int))  # by article; 0: none
+    whole: dict[str, int] = defaultdict(int)
+    for block in page.blocks:
+        article, weight = block.main(), _weight(block)
+        for filling in (below[id(article) if article else 0], whole):
+            for path in _ancestors(block.element.path):
+                filling[path] += weight
+    outside = below.pop(0, {"": 0})[""]
+    if below and 10 * (whole[""] - outside) >= outside:
+        return True, set(_ancestors(_lowest(max(below.values(), key=lambda filling: filling[""]))))  # the first of equal ones
+    return False, set(_ancestors(main if main and main in whole else _lowest(whole)))
+
+
 def main_text(page: Page, words: set[int], main: str | None) -> str:
-    inside = [b for b in page.blocks if not b.left_out()]
+    if not page.blocks:
+        return ""
+    articles, opened = _opened(page, main)
+    inside = [b for b in page.blocks if (b.in_main() or not articles) and not b.left_out(opened)]
+    if not inside and not articles:
+        _, opened = _opened(page, None)
+        inside = [b for b in page.blocks if not b.left_out(opened)]
     filling = [b for b in inside if _text_token(b) not in words] if words else inside
-    for kept in (filling, inside):
-        chosen = [b for b in kept if b.in_main()] or kept
-        if chosen:
-            return "\n\n".join(b.text for b in chosen)
-    return ""
+    return "\n\n".join(b.text for b in filling or inside)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

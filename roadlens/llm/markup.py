@@ -27,7 +27,7 @@ BLOCK = set(
 SPACED = {"br", "td", "th", "img", "input", "wbr"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 MAIN = {"article", "main"}
-# elements that never hold the article's text
+# elements that hold no text of an article, unless the article or the main slot stands in them
 OUT = set("aside audio button canvas dialog embed fieldset footer form head iframe input label map menu nav noscript object option script select style svg template textarea title video".split())
 # parts of class, id and role names of such containers
 OUT_NAMES = set(
@@ -48,12 +48,16 @@ class Element:
     tag: str
     parent: Element | None
     path: str
-    out: bool  # a container that is never the article
+    out: bool  # tag or names mark it as a container of no article's text
     header: bool
     main: bool
     closed: bool = False
     has_main: bool = False
-    marks: int = 0  # containers from here up that tag or names mark as not the article's
+    marks: int = 0  # marked containers from here up
+
+    @property
+    def marked(self) -> bool:
+        return self.out or self.header
 
 
 @dataclass
@@ -62,12 +66,15 @@ class Block:
     text: str
     heading: bool
 
-    def left_out(self) -> bool:
+    def left_out(self, opened: set[str] = frozenset()) -> bool:
+        """Below a marked container, other than those with a path in ``opened``."""
         at, below_main = self.element, False
         while at is not None:
-            if at.out and not (at.tag in ("nav", "aside", "footer") and not at.closed and at.has_main and below_main):
+            if not at.marked or (at.path in opened and (at.has_main or at.main or at.parent.path != at.path)):
+                pass
+            elif at.out and not (at.tag in ("nav", "aside", "footer") and not at.closed and at.has_main and below_main):
                 return True
-            if at.header and not (self.heading and self._in_main(at)) and not (not at.closed and below_main):
+            elif at.header and not (self.heading and self._in_main(at)) and not (not at.closed and below_main):
                 return True
             below_main = below_main or at.main
             at = at.parent
@@ -84,6 +91,14 @@ class Block:
     def in_main(self) -> bool:
         return self._in_main(self.element)
 
+    def main(self) -> Element | None:
+        """The outermost article or main element above the block."""
+        at, found = self.element, None
+        while at is not None:
+            found = at if at.main else found
+            at = at.parent
+        return found
+
 
 @dataclass
 class Page:

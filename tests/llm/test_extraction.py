@@ -51,6 +51,34 @@ def test_containers_side_by_side_are_all_kept(source, want):
     assert text(source, main="/html/body/div.other") == want
 
 
+@pytest.mark.parametrize(
+    "source,want",
+    [
+        ("<div class='layout has-sidebar'><article><p>a</p></article><div class=sidebar><p>s</p></div></div>", "a"),
+        ("<div class=social><article><p>a</p></article><article><p>b</p></article></div>", "a\n\nb"),
+        ("<article class='post social-share'><p>a a</p></article><article class='post social-share'><p>b</p></article>", "a a\n\nb"),
+        ("<form id=aspnetForm><div id=nav><p>n</p></div><div><h1>T</h1><p>a</p></div></form>", "T\n\na"),
+        ("<h1>Site</h1><form id=aspnetForm><div class=menu><p>n</p></div><p>" + "a " * 100 + "</p></form>", "Site\n\n" + "a " * 99 + "a"),
+        ("<article><h1>T</h1><form id=aspnetForm><p>" + "a " * 50 + "</p><aside>s</aside></form></article>", "T\n\n" + "a " * 49 + "a"),
+        ("<article><p>story story</p></article><div id=comments><article><p>c</p></article></div>", "story story"),
+        ("<div><p>" + "a " * 100 + "</p></div><div><article><p>teaser</p></article></div>", "a " * 99 + "a\n\nteaser"),
+    ],
+)
+def test_marks_hold_for_nothing_above_the_main_text(source, want):
+    assert text(source) == want
+
+
+def test_a_page_of_another_layout_than_its_hosts():
+    assert text("<html><body><div class=content></div><form id=f><p>a</p></form></body></html>", main="/html/body") == "a"
+
+
+def test_marks_of_the_hosts_main_slot_do_not_hold(spark):
+    page = "<body><div class=promo-page><div class=menu><p>m {0}</p></div><p>{1}</p></div><div><p>x{0}</p></div></body>"
+    rows = [(i, f"http://h/{i}", page.format(i, f"story {i} " * 20 if i else "a")) for i in range(10)]
+    got = {g["page_id"]: g["text"] for g in E.op1_html_extraction(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got[3] == ("story 3 " * 20).strip() + "\n\nx3" and got[0] == "a\n\nx0"
+
+
 def site(i, body):
     return (
         f"<html><body><nav><a href='/{i}'>n{i}</a></nav><div class=wrap><p>Read more on our site</p>"
