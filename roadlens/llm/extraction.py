@@ -17,11 +17,13 @@ container it stands in. Containers that their tag, class, id or role marks as me
 footer, sidebar, notice, advert, form or comments are left out. Marks are hints: one of them
 makes text count a tenth, and those of the main slot (of the largest article's own, if there
 are articles) and of all above it do not hold; articles with less than a tenth of the weight
-outside them do not decide.
+outside them do not decide. The template's words are left out outside articles only, and only
+in containers without filling; a page that has over ``COPIES`` times as much of them as of all
+else is one of near copies, and they are its text.
 
 Edge cases: null html is an empty page with an empty text; a null or odd url is the host "";
 repeated rows are pages of their own; hosts with fewer than ``PAGES`` pages have no template
-words; a page left with template words only keeps them; an empty table gives no rows.
+words; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -43,6 +45,7 @@ from roadlens.llm.markup import Block, Page, read_page
 PAGES = 8  # a host's words count as its template's from here on
 SUPPORT = 0.8  # share of the host's pages that a valid class stands on
 SCALE = 4
+COPIES = 5  # a page with more than so many times its filling in words of the template is a copy
 HOSTS = 20_000  # templates of up to this many hosts are broadcast
 
 
@@ -62,6 +65,14 @@ def _text_token(block: Block) -> int:
     return int.from_bytes(hashlib.blake2b(f"{block.element.path}\0{block.text}".encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
+def _container(block: Block) -> str:
+    """The path of the container that a block's paragraph, list or table stands in."""
+    at = block.element
+    while at.parent is not None and at.parent.path and at.tag not in ("div", "section", "body", "article", "main"):
+        at = at.parent
+    return at.path
+
+
 def _ancestors(path: str) -> list[str]:
     """The path itself and all above it, the page ("") last."""
     out = [path]
@@ -179,8 +190,14 @@ def main_text(page: Page, words: set[int], main: str | None) -> str:
     if not inside and not articles:
         _, opened = _opened(page, None)
         inside = [b for b in page.blocks if not b.left_out(opened)]
-    filling = [b for b in inside if _text_token(b) not in words] if words else inside
-    return "\n\n".join(b.text for b in filling or inside)
+    if words and not articles:
+        own = {id(b) for b in inside if _text_token(b) not in words}
+        slots = {_container(b) for b in inside if id(b) in own}
+        kept = [b for b in inside if id(b) in own or _container(b) in slots]
+        chars = sum(len(b.text) for b in kept)
+        if COPIES * chars >= sum(len(b.text) for b in inside) - chars:
+            inside = kept
+    return "\n\n".join(b.text for b in inside)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -100,6 +100,19 @@ def test_template_words_and_main_slot(spark):
     assert (by[101]["text"], by[102]["text"], by[103]["n_chars"], by[101]["url"]) == ("", "", 1, None)
 
 
+def test_near_copies_keep_their_body(spark):
+    body = "<h1>One title</h1><p>The first paragraph of all copies.</p><p>The second one.</p>"
+    shapes = {
+        "article": "<html><body><article>{0}<p>{1}</p></article></body></html>",
+        "div": "<html><body><div class=nav>n</div><div class=text>{0}<p>{1}</p></div></body></html>",
+        "apart": "<html><body><div class=text>{0}</div><div class=date><p>{1}</p></div></body></html>",
+        "table": "<html><body><div>{0}<table><tr><td>{1}</td></tr></table></div></body></html>",
+    }
+    rows = [(i, f"http://{host}/{i}", page.format(body, f"date {i}")) for host, page in shapes.items() for i in range(12)]
+    for g in E.op1_html_extraction(spark.createDataFrame(rows, PAGES)).collect():
+        assert g["text"] == f"One title\n\nThe first paragraph of all copies.\n\nThe second one.\n\ndate {g['page_id']}", g["url"]
+
+
 def test_classes_nest(spark):
     rows = [(i, "http://h/", site(i, "".join(f"<p>s {i} {j}</p>" for j in range(i % 3 + 1)))) for i in range(12)]
     found = E.templates(E.classes(spark.createDataFrame(rows, PAGES))).collect()
