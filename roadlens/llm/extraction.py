@@ -3,7 +3,7 @@
 Pages of one host come from few templates. Tokens of a page are its elements (by path: tags
 with class and id from the root) and its text blocks (by path and text). Over the pages of a
 host each token has an occurrence vector, how often it stands on each page; tokens with equal
-vectors form an equivalence class, held as an order-free hash of the vector, so Spark combines
+vectors form an equivalence class, held as an order-free hash of the vector (sums of page hashes), so Spark combines
 it on the map side and a host with a third of all pages is never gathered in one task.
 
 A class is valid if it stands on most of the host's pages. The class of the page skeleton (once
@@ -42,10 +42,11 @@ from pyspark.sql import types as T
 from roadlens.llm.common import settle, sized
 from roadlens.llm.markup import Block, Page, read_page
 
-PAGES = 8  # a host's words count as its template's from here on
+PAGES = 3  # a host's words count as its template's from here on
 SUPPORT = 0.8  # share of the host's pages that a valid class stands on
 SCALE = 4
 COPIES = 5  # a page with more than so many times its filling in words of the template is a copy
+HALF = (1 << 31) - 1  # of a page hash: sums stay in a long for billions of pages
 HOSTS = 20_000  # templates of up to this many hosts are broadcast
 
 
@@ -93,12 +94,12 @@ def _lowest(filling: dict[str, int]) -> str:
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows ``host, kind, token, path, pages, vector, chars``, combined over a batch.
+    """Rows ``host, kind, token, path, pages, high, low, chars``, combined over a batch; ``high, low`` sum the vector.
 
     kind 0: the host's pages; 1: an element; 2: a text block; 3: weighted text below a container.
     """
     for batch in batches:
-        found: dict[tuple, list] = defaultdict(lambda: [0, 0, 0])
+        found: dict[tuple, list] = defaultdict(lambda: [0, 0, 0, 0])
         for page_id, url, source in zip(*(c.to_pylist() for c in batch.columns)):
             host, page = host_of(url), read_page(source or "")
             found[host, 0, 0, ""][0] += 1
@@ -108,16 +109,18 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for block in page.blocks:
                 seen[2, _text_token(block), ""] += 1
                 for path in _ancestors(block.element.path):
-                    found[host, 3, 0, path][2] += _weight(block)
+                    found[host, 3, 0, path][3] += _weight(block)
             for (kind, token, path), n in seen.items():
                 row = found[host, kind, token, path]
                 row[0] += 1
-                row[1] ^= _hash(page_id, url, n)
+                hashed = _hash(page_id, url, n)
+                row[1] += hashed >> 31 & HALF
+                row[2] += hashed & HALF
         if found:
             keys, values = list(found), list(found.values())
             columns = [pa.array([k[i] for k in keys], t) for i, t in enumerate((pa.string(), pa.int32(), pa.int64(), pa.string()))]
-            columns += [pa.array([v[i] for v in values], pa.int64()) for i in range(3)]
-            yield pa.RecordBatch.from_arrays(columns, names=["host", "kind", "token", "path", "pages", "vector", "chars"])
+            columns += [pa.array([v[i] for v in values], pa.int64()) for i in range(4)]
+            yield pa.RecordBatch.from_arrays(columns, names=["host", "kind", "token", "path", "pages", "high", "low", "chars"])
 
 
 def classes(pages: DataFrame) -> DataFrame:
@@ -126,9 +129,10 @@ def classes(pages: DataFrame) -> DataFrame:
     ``host, kind, token, path, pages, vector, chars, total``; tokens of one host with equal
     ``(pages, vector)`` are one class.
     """
-    schema = "host string, kind int, token long, path string, pages long, vector long, chars long"
+    schema = "host string, kind int, token long, path string, pages long, high long, low long, chars long"
     tokens = pages.select("page_id", "url", "html").mapInArrow(_tokens, schema)
-    tokens = tokens.groupBy("host", "kind", "token", "path").agg(F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector"), F.sum("chars").alias("chars"))
+    tokens = tokens.groupBy("host", "kind", "token", "path").agg(*[F.sum(c).alias(c) for c in ("pages", "high", "low", "chars")])
+    tokens = tokens.select("host", "kind", "token", "path", "pages", F.xxhash64("high", "low").alias("vector"), "chars")
     tokens = settle(tokens.where("kind in (0, 3) or pages >= 2"))
     hosts = sized(settle(tokens.where("kind = 0").select("host", F.col("pages").alias("total"))))
     tokens = tokens.where("kind > 0").join(hosts, "host")

@@ -100,6 +100,22 @@ def test_template_words_and_main_slot(spark):
     assert (by[101]["text"], by[102]["text"], by[103]["n_chars"], by[101]["url"]) == ("", "", 1, None)
 
 
+def test_a_template_from_three_pages_on(spark):
+    rows = [(i, f"http://{n}/{i}", site(i, f"<p>the story {i} of three</p>")) for n in (2, 3) for i in range(n)]
+    got = {g["url"]: g["text"] for g in E.op1_html_extraction(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got["http://3/1"] == "the story 1 of three"
+    assert got["http://2/1"] == "Read more on our site\n\nthe story 1 of three\n\nShare with friends"
+
+
+def test_repeated_rows_do_not_cancel(spark):
+    # every row twice: the line stands on all pages but the first, the list on all but the last
+    page = "<html><body><div><p>{0}</p>{1}{2}</div></body></html>"
+    rows = [(i, f"http://h/{i}", page.format(f"story {i}", "<b>line</b>" * (i > 0), "<ul><li>x</ul>" * (i < 9))) for i in range(10)] * 2
+    found = E.classes(spark.createDataFrame(rows, PAGES)).where("pages = 18").collect()
+    line = {f["vector"] for f in found if f["path"].endswith("/b")}
+    assert line and line.isdisjoint(f["vector"] for f in found if f["path"].endswith("/ul"))
+
+
 def test_near_copies_keep_their_body(spark):
     body = "<h1>One title</h1><p>The first paragraph of all copies.</p><p>The second one.</p>"
     shapes = {
