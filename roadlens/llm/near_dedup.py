@@ -4,9 +4,10 @@ A document is its set of distinct ``k``-word shingles (A-Z lowered; a shorter te
 shingle). Documents with equal sets form one class, so copies never meet in pairs. For a class,
 every hash function gives two signature values, the minimum and the maximum of the hashed set:
 each agrees between two sets with probability equal to their similarity, for one evaluation.
-``ROWS`` values make a band, ``BANDS`` bands a signature; classes with an equal band are
-candidates. At similarity 0.8 a pair shares no band with probability (1 - 0.8**6)**45, about
-1e-6; pairs in larger groups have further ways to be found.
+``ROWS`` values make a band, ``BANDS`` bands a signature, half of them minima and half the same
+functions' maxima; classes with an equal band are candidates. At similarity 0.8 a pair shares no
+band with probability (1 - 0.8**6)**45, about 1e-6; pairs in larger groups have further ways to
+be found.
 
 Only components are asked for, so a bucket (equal band) does not emit its pairs: its members are
 tested against one member, the bucket's own centre, for ``STARS`` rounds. Confirmed
@@ -91,8 +92,9 @@ def _signatures(found: np.ndarray, bounds: np.ndarray, rows: int, bands: int) ->
         hashed ^= hashed >> U(32)
         np.minimum.reduceat(hashed, at, out=signature[2 * i])
         np.maximum.reduceat(hashed, at, out=signature[2 * i + 1])
-    # a band takes values of different functions: all minima in order, then all maxima
-    signature = np.concatenate([signature[0::2], signature[1::2]])
+    # banded are the minima of the first functions, in order, then the same functions' maxima; others follow
+    low, high, first = signature[0::2], signature[1::2], (rows * bands + 1) // 2
+    signature = np.concatenate([low[:first], high[:first], low[first:], high[first:]])
     out = np.empty((n, bands), U)
     for b in range(bands):
         h = np.full(n, U(b + 1))

@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,6 +57,23 @@ def corpus(seed, n=120):
     return docs + [(5000, None), (5001, ""), (5002, " \n"), (5003, None), docs[3], (docs[4][0], docs[9][1])]
 
 
+@pytest.mark.parametrize("rows,bands", [(6, 45), (5, 5), (2, 1)])
+def test_bands_take_minima_and_the_same_functions_maxima(rows, bands):
+    found = np.sort(np.random.default_rng(3).integers(0, 1 << 63, 40, dtype=np.uint64))
+    bounds, half = np.array([0, 15, 40]), (rows * bands + 1) // 2
+    keys, _ = N._signatures(found, bounds, rows, bands)
+    seeds = N.mix(np.arange(1, half + 1, dtype=N.U) * N.U(0xD1342543DE82EF95))
+    for n, (x, y) in enumerate(zip(bounds, bounds[1:])):
+        hashed = (found[x:y] ^ seeds[:, None]) * (seeds[:, None] | N.U(1))
+        hashed ^= hashed >> N.U(32)
+        values = np.concatenate([hashed.min(1), hashed.max(1)])[: rows * bands].reshape(bands, rows)
+        for b in range(bands):
+            h = np.array([b + 1], N.U)
+            for v in values[b]:
+                h = N.mix(h * N.U(0x9E3779B97F4A7C15) + v)
+            assert keys[n, b] == h[0]
+
+
 @pytest.mark.parametrize("k", [2, 5])
 def test_components_equal_brute_force(spark, k):
     docs = corpus(k)
