@@ -69,6 +69,72 @@ def forward_backward(field: Field, seq: np.ndarray, pairs: bool = False) -> tupl
     return p, both, np.log(scale).sum(0)
 
 
+def chain_marginals(field: Field, classes: np.ndarray, bounds: np.ndarray, run: int) -> np.ndarray:
+    """Marginals of label 1 of the tokens of whole texts (text i: ``bounds[i]`` to ``bounds[i + 1]``).
+
+    Texts are laid out in rows of ``run`` tokens that step together. Each row's 2 x 2 product of
+    steps carries the messages from row to row, so they cross the rows as if there were none.
+    """
+    size = np.diff(bounds)
+    rows = -(-size // run)
+    first = np.append(0, np.cumsum(rows))
+    n = int(first[-1])
+    if not n:
+        return np.zeros(0)
+    text = np.repeat(np.arange(len(size)), size)
+    place = first[text] * run + np.arange(len(classes)) - bounds[text]
+    before, after = np.append(0, classes[:-1]), np.append(classes[1:], 0)
+    some = np.flatnonzero(size)
+    before[bounds[some]] = 0
+    after[bounds[some + 1] - 1] = 0
+    flat = np.ones(n * run)
+    flat[place] = np.exp(np.clip(field.own[classes] + field.before[before] + field.after[after], -30, 30))
+    u = np.ascontiguousarray(flat.reshape(n, run).T)
+    there = np.zeros(n * run, bool)
+    there[place] = True
+    there = np.ascontiguousarray(there.reshape(n, run).T)
+    a = np.exp(np.clip(field.turn, -30, 30))
+    # the turn into each step: none into a text's first token
+    turn = np.broadcast_to(a[:, :, None], (2, 2, n)).copy()
+    turn[:, :, first[some]] = np.eye(2)[:, :, None]
+
+    def forth(x: np.ndarray, t: int) -> np.ndarray:
+        k = turn if not t else a
+        return np.where(there[t], np.stack([x[0] * k[0, 0] + x[1] * k[1, 0], (x[0] * k[0, 1] + x[1] * k[1, 1]) * u[t]]), x)
+
+    # products of the rows' steps, by the label before the row
+    product = np.stack([np.stack([np.ones(n), np.zeros(n)]), np.stack([np.zeros(n), np.ones(n)])])
+    for t in range(run):
+        product = np.stack([forth(product[0], t), forth(product[1], t)])
+        product /= product.sum((0, 1))
+    # messages into each row from the left and from the right, text by text, longest first
+    order = some[np.argsort(-rows[some], kind="stable")]
+    left, right = np.ones((2, n)), np.ones((2, n))
+    counts = np.searchsorted(-rows[order], -np.arange(1, rows.max()))  # texts with more than j rows
+    for j, c in enumerate(counts, 1):
+        r = first[order[:c]] + j
+        x = left[0, r - 1] * product[0][:, r - 1] + left[1, r - 1] * product[1][:, r - 1]
+        left[:, r] = x / x.sum(0)
+    for j, c in enumerate(counts, 1):
+        r = first[order[:c] + 1] - 1 - j
+        x = product[:, 0, r + 1] * right[0, r + 1] + product[:, 1, r + 1] * right[1, r + 1]
+        right[:, r] = x / x.sum(0)
+    alpha = np.empty((run, 2, n))
+    for t in range(run):
+        left = forth(left, t)
+        left = left / left.sum(0)
+        alpha[t] = left
+    p = np.empty((n, run))
+    for t in range(run - 1, -1, -1):
+        g = alpha[t] * right
+        p[:, t] = g[1] / g.sum(0)
+        y = right[1] * u[t]
+        k = turn if not t else a
+        x = np.stack([k[0, 0] * right[0] + k[0, 1] * y, k[1, 0] * right[0] + k[1, 1] * y])
+        right = np.where(there[t], x / x.sum(0), right)
+    return p.reshape(-1)[place]
+
+
 def train(seq: np.ndarray, label: np.ndarray, weight: np.ndarray, classes: int, rounds: int = 120, ridge: float = 1e-3, rate: float = 0.2) -> Field:
     """Weighted maximum likelihood by Adam steps on the exact gradient (observed minus expected counts)."""
     w = np.zeros(3 * classes + 4)

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadlens.llm.common import settle, text_blocks
-from roadlens.llm.crf import Field, forward_backward, train
+from roadlens.llm.crf import Field, chain_marginals, train
 from roadlens.llm.quality import held_out, labelled
 from roadlens.llm.words import U, find_words, lower_ascii, mix, word_hashes
 
@@ -39,7 +39,7 @@ LEXICON = 50_000
 LEAST = 5  # toxic documents an entry occurs in
 BANDS = (1.0, 2.0, 3.0, 4.0, 5.0)  # of log-odds; class 0 is below the first
 STRONG = 3  # a class from here on is labelled in toxic documents
-RUN = 64
+RUN = 64  # tokens a training chain; in scoring only the layout's width
 STARTS = (4, 6)
 LIMIT = 0.3
 FOLDS, HELD = 4, 2
@@ -108,17 +108,9 @@ def _runs(classes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _marginals(model: Model, classes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    seq, _, place = _runs(classes, bounds)
-    if not len(seq) or model.field is None:
+    if model.field is None:
         return np.zeros(len(classes))
-    # rows without any class share one pass (per length)
-    some = (seq > 0).any(1)
-    length = (seq >= 0).sum(1)
-    plain = np.where(np.arange(RUN)[None] < np.arange(1, RUN + 1)[:, None], 0, -1).astype(np.int8)
-    p = forward_backward(model.field, plain)[0][length - 1]
-    if some.any():
-        p[some] = forward_backward(model.field, seq[some])[0]
-    return p.reshape(-1)[place]
+    return chain_marginals(model.field, classes, bounds, RUN)
 
 
 def _sums(p: np.ndarray, bounds: np.ndarray) -> np.ndarray:

@@ -80,6 +80,29 @@ def test_crf_marginals_equal_all_labellings():
                 assert abs(both[row, t, 1, 0] - sum(v for y, v in score.items() if (y[t - 1], y[t]) == (1, 0)) / z) < 1e-9
 
 
+@pytest.mark.parametrize("run", [1, 4, 64])
+def test_marginals_cross_the_rows_of_a_text(run):
+    r = np.random.default_rng(4)
+    field = crf.Field(*(r.normal(size=3) for _ in range(3)), r.normal(size=(2, 2)))
+    sizes = [0, 200, 1, 64, 65, 0, 128, 3, 0]
+    bounds = np.append(0, np.cumsum(sizes))
+    classes = r.integers(0, 3, bounds[-1]).astype(np.int8)
+    p = crf.chain_marginals(field, classes, bounds, run)
+    for x, y in zip(bounds, bounds[1:]):
+        if y > x:
+            assert np.allclose(p[x:y], crf.forward_backward(field, classes[None, x:y].astype(int))[0][0], atol=1e-12)
+    assert len(crf.chain_marginals(field, classes[:0], np.array([0, 0]), run)) == 0
+
+
+def test_marginals_do_not_depend_on_the_place_of_a_passage():
+    field = crf.Field(np.array([-3.0, 1, 2]), np.array([-0.5, 0.7, 1]), np.array([-0.5, 0.7, 1]), np.array([[0.5, -1], [-1, 1.5]]))
+    model = toxicity.Model(np.zeros(0, np.uint64), np.zeros(0, np.int8), np.zeros(1, bool), field, np.zeros(5))
+    texts = [np.array([0] * at + [2, 1, 2, 1] + [0] * (300 - at), np.int8) for at in range(100, 170)]
+    p = toxicity._marginals(model, np.concatenate(texts), np.arange(71) * 304)
+    found = np.array([p[304 * i + at : 304 * i + at + 4] for i, at in enumerate(range(100, 170))])
+    assert np.allclose(found, found[0], atol=1e-9)
+
+
 def test_flat_trees_learn_an_interaction():
     r = np.random.default_rng(2)
     x = r.uniform(size=(4000, 5))
