@@ -171,7 +171,7 @@ def _confirmer(percent: int):
 class NearDuplicates:
     """Shingle classes of ``docs`` and their confirmed components.
 
-    ``rows``: ``doc_id, n_shingles, node`` per document; ``groups()``: ``node, component_id`` per class.
+    ``rows``: ``doc_id, n_shingles, node`` per document; ``groups()``: ``node, component_id, group`` per class.
     """
 
     def __init__(self, docs: DataFrame, k: int, percent: int, rows: int, bands: int, extra: tuple[str, ...]):
@@ -259,21 +259,21 @@ class NearDuplicates:
         return settle(part.join(open_.where("_l <> _h").select("key", "centre"), "key"))
 
     def groups(self) -> DataFrame:
-        """``node, component_id`` of every class."""
+        """``node, component_id`` of every class, and ``group``, the name of its component (never null)."""
         links = self.links()
         if links is None:
-            return self.classes.select("node", F.col("doc_id").alias("component_id"))
+            return self.classes.select("node", F.col("doc_id").alias("component_id"), F.col("node").alias("group"))
         named = components(links)
         named = self.classes.join(named, "node", "left").withColumn("_c", F.coalesce("component", "node"))
         lowest = named.groupBy("_c").agg(F.min("doc_id").alias("component_id"))
-        return named.join(lowest, "_c").select("node", "component_id")
+        return named.join(lowest, "_c").select("node", "component_id", F.col("_c").alias("group"))
 
 
 def near_duplicates(
     docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, rows: int = ROWS, bands: int = BANDS, extra: tuple[str, ...] = ()
 ) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` per document, and its columns named in ``extra``."""
-    work = NearDuplicates(docs, k, percent, rows, bands, extra)
+    """``doc_id, n_shingles, component_id, kept`` per document, and its columns named in ``extra`` (``group`` is its component's)."""
+    work = NearDuplicates(docs, k, percent, rows, bands, tuple(c for c in extra if c != "group"))
     groups = settle(work.groups())
     out = work.rows.join(groups, "node", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
@@ -283,12 +283,17 @@ def near_duplicates(
 def deduplicate(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates, the one with the smallest doc_id.
 
-    A row is known by its doc_id and its text's hash. Rows equal in both leave the first in the
-    order of their other columns (so do equal texts without a doc_id).
+    A row is known by its doc_id and its text's hash. Of several texts under a group's smallest
+    doc_id (or without any, if all are null) the one with the smallest hash stays; rows equal in
+    both leave the first in the order of their other columns.
     """
     tag = F.xxhash64(F.coalesce("text", F.lit("")))
-    plan = settle(near_duplicates(docs.select("doc_id", "text", tag.alias("_tag")), k, percent, extra=("_tag",)))
-    known = plan.groupBy("doc_id", "_tag").agg(F.min("kept").alias("_kept"), F.count("*").alias("_n"), F.max("n_shingles").alias("_s"))
+    plan = settle(near_duplicates(docs.select("doc_id", "text", tag.alias("_tag")), k, percent, extra=("_tag", "group")))
+    known = plan.groupBy("doc_id", "_tag").agg(F.min("kept").alias("_kept"), F.count("*").alias("_n"), F.max("n_shingles").alias("_s"), F.min("group").alias("group"))
+    # groups with several texts under the doc_id that stays
+    rivals = plan.where("kept and n_shingles > 0").groupBy("group").agg(F.min("_tag").alias("_best"), F.max("_tag").alias("_last"))
+    rivals = sized(settle(rivals.where("_best <> _last").drop("_last")), 1_000_000)
+    known = known.join(rivals, "group", "left").withColumn("_kept", F.expr("_kept and (_best is null or _tag = _best)"))
     marks = known.where("not _kept or (_n > 1 and _s > 0)").select(F.col("doc_id").alias("_id"), F.col("_tag").alias("_mark"), "_kept")
     marks = sized(settle(marks), 1_000_000)
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_doc"), "doc_id", tag.alias("_tag"))

@@ -102,6 +102,14 @@ def test_deduplicate_keeps_one_of_each_group(spark):
     assert [x for x in kept if x[0] in (5000, 5001, 5002, 5003)].__len__() == 4
 
 
+def test_deduplicate_shared_and_null_ids(spark):
+    a, b, c = ("".join(f"{x}{i} " for i in range(40)) for x in "abc")
+    rows = [(1, a + "x"), (1, a + "y"), (2, a + "z"), (1, b), (None, c + "x"), (None, c + "y"), (None, c + "y"), (None, None), (None, ""), (5, "q")]
+    kept = [(r["doc_id"], r["text"]) for r in N.deduplicate(spark.createDataFrame([(*x, "en", "s", 1) for x in rows], DOCS), 2).collect()]
+    assert sorted((i, (t or "")[:2]) for i, t in kept if i is not None) == [(1, "a0"), (1, "b0"), (5, "q")]
+    assert sorted((t or "")[:2] for i, t in kept if i is None) == ["", "", "c0"]
+
+
 def test_components_of_chains_stars_and_cycles(spark):
     r = random.Random(1)
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 30)] + [(300, 301), (301, 302), (302, 300), (400, 400)]
