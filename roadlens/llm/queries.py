@@ -7,7 +7,21 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from roadlens.llm import decontaminate, extraction, fingerprints, mixing, near_dedup, quality, sharding, substrings, toxicity, warc
+from roadlens.llm import (
+    collocations,
+    decontaminate,
+    extraction,
+    fingerprints,
+    hard_negatives,
+    mixing,
+    near_dedup,
+    quality,
+    sharding,
+    substrings,
+    toxicity,
+    url_filter,
+    warc,
+)
 from roadlens.llm.common import table
 
 
@@ -30,8 +44,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
         ),
         "op5_hilbert_sharding": _over("documents", sharding.op5_hilbert_sharding),
+        "op11_url_model_ratio": _over("pages", url_filter.op11_url_model_ratio),
+        "op12_hard_negatives": _over("embeddings", hard_negatives.op12_hard_negatives),
+        "op13_phrase_collocations": _over("documents", collocations.op13_phrase_collocations),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_source_mixing": mixing.SQL}
+    return {
+        "op2_source_mixing": mixing.SQL,
+        "op11_url_model_ratio": url_filter.SQL,
+        "op12_hard_negatives": hard_negatives.SQL,
+        "op13_phrase_collocations": collocations.SQL,
+    }
