@@ -42,6 +42,7 @@ TOP = 2000
 SHARD = 16 << 20  # bytes of text; a shard has at most twice as many
 KEYS = 2_000_000  # candidates that are broadcast as 64-bit keys
 FLUSH = 1 << 20  # occurrences gathered before they are added up
+PHRASES = 1 << 16  # phrases put into words at a time
 
 BREAK = np.zeros(256, bool)  # bytes that end a piece: . , ; : ! ? and \x0A-\x0D
 BREAK[[ord(c) for c in ".,;:!?"]] = True
@@ -62,11 +63,26 @@ class _Words:
         self.data, self.start, self.end = data, s.astype(np.int32), e.astype(np.int32)
         self.hash = word_hashes(data, s, e)
         self.tongue = tongues[text]
+        self.bytes = np.bincount(tongues, weights=np.diff(offsets)).astype(np.int64)  # of each language's texts
         self.goes_on = np.zeros(len(s), bool)
         if len(s):
             self.goes_on[:-1] = (breaks[s[1:]] == breaks[s[:-1]]) & (text[1:] == text[:-1])
 
 
+    @staticmethod
+    def joined(parts: list[_Words]) -> _Words:
+        """The words of several blocks, without work arrays as long as their bytes."""
+        out = _Words.__new__(_Words)
+        shift = np.cumsum([0, *[len(p.data) for p in parts]])
+        out.data = np.concatenate([p.data for p in parts])
+        out.start, out.end = (np.concatenate([getattr(p, name) + np.int32(x) for p, x in zip(parts, shift)]) for name in ("start", "end"))
+        out.hash, out.tongue, out.goes_on = (np.concatenate([getattr(p, name) for p in parts]) for name in ("hash", "tongue", "goes_on"))
+        out.bytes = np.zeros(max(len(p.bytes) for p in parts), np.int64)
+        for p in parts:
+            out.bytes[: len(p.bytes)] += p.bytes
+        return out
+
+
 def _longer(keys: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Keys of phrases from those of the phrases without their last word, and that word's hash."""
     return mix(keys * U(0x9E3779B97F4A7C15) + hashes)
@@ -105,17 +121,13 @@ def _hashes(langs: dict) -> np.ndarray:
     return np.array([h for _, h, _ in langs.values()], np.int64).view(U)
 
 
-def _mine_shard(blocks: list, langs: dict, support: int, longest: int) -> Iterator[pa.RecordBatch]:
+def _mine_shard(parts: list[_Words], langs: dict, support: int, longest: int) -> Iterator[pa.RecordBatch]:
     """``lang, phrase, key, words``: all phrases frequent in this shard, and a row with each language's words."""
-    names = list(langs)
-    data = np.concatenate([b[0] for b in blocks])
-    shift = np.cumsum([0, *[len(b[0]) for b in blocks]])
-    offsets = np.concatenate([[0], *[b[1][1:] + x for b, x in zip(blocks, shift)]])
-    tongues = np.concatenate([b[2] for b in blocks])
-    size = np.bincount(tongues, weights=np.diff(offsets), minlength=len(names)).astype(np.int64).tolist()
+    names, words = list(langs), _Words.joined(parts)
+    parts.clear()
+    size = words.bytes.tolist() + [0] * (len(names) - len(words.bytes))
     least = np.array([max(1, -(-support * s // max(1, total))) for s, (_, _, total) in zip(size, langs.values())])
-    words = _Words(data, offsets, tongues)
-    counted = np.bincount(words.tongue, minlength=len(names)).tolist() if len(words.hash) else [0] * len(names)
+    counted = np.bincount(words.tongue, minlength=len(names)).tolist()
     some = [i for i, n in enumerate(counted) if n]
     yield _mined([names[i] for i in some], [""] * len(some), [0] * len(some), [counted[i] for i in some])
     found: list[tuple[int, np.ndarray, np.ndarray]] = []
@@ -127,14 +139,14 @@ def _mine_shard(blocks: list, langs: dict, support: int, longest: int) -> Iterat
         return ok[back]
 
     _walk(words, _hashes(langs), longest, frequent)
-    raw, start, end = words.data.tobytes(), words.start, words.end
+    raw, start, end = memoryview(words.data), words.start, words.end
     for k, at, keys in found:
-        for c in range(0, len(at), FLUSH):
-            part = at[c : c + FLUSH]
+        for c in range(0, len(at), PHRASES):
+            part = at[c : c + PHRASES]
             pieces = [[raw[a:b] for a, b in zip(start[part + j].tolist(), end[part + j].tolist())] for j in range(k)]
             phrases = [b" ".join(p) for p in zip(*pieces)]
             lang = pa.array(names, pa.string()).take(pa.array(words.tongue[part]))
-            yield _mined(lang, pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(keys[c : c + FLUSH].view(np.int64)), pa.nulls(len(part), pa.int64()))
+            yield _mined(lang, pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(keys[c : c + PHRASES].view(np.int64)), pa.nulls(len(part), pa.int64()))
 
 
 def _mined(lang, phrase, key, words) -> pa.RecordBatch:
@@ -149,17 +161,13 @@ def _miner(support: int, longest: int, shard: int):
         held, size, langs = [], 0, {}
         for data, offsets, codes, langs in _batches(batches):
             # the last shard is no small rest: a shard is closed when as much again is there
-            if held and size >= 2 * shard - len(data):
-                a = 0
-                cut = 0
-                while cut < len(held) - 1 and a + len(held[cut][0]) <= shard:
-                    a += len(held[cut][0])
-                    cut += 1
-                cut = max(1, cut)
-                yield from _mine_shard(held[:cut], langs, support, longest)
-                held = held[cut:]
-                size = sum(len(h[0]) for h in held)
-            held.append((data.copy(), offsets.copy(), codes))
+            if held and size + len(data) > 2 * shard:
+                reach = np.cumsum([len(h.data) for h in held])
+                cut = max(1, int(np.searchsorted(reach, shard, "right")))
+                size -= int(reach[cut - 1])
+                first, held = held[:cut], held[cut:]
+                yield from _mine_shard(first, langs, support, longest)
+            held.append(_Words(data, offsets, codes))
             size += len(data)
         if held:
             yield from _mine_shard(held, langs, support, longest)
