@@ -2,26 +2,27 @@
 
 Texts (A-Z lowered) are split at ``.,;:!?`` and line ends into pieces, and those at spaces and tabs
 into words; a phrase is up to ``LONGEST`` consecutive words of one piece. Everything is per
-language. A phrase with ``support`` occurrences in all must have at least ``support * share``
-in one of any set of shards whose shares of the language (here: of its text's bytes) add up to
-1. So every shard is mined completely at the support lowered in proportion, level by level (a
-phrase is counted only where both its shorter halves are frequent); the union of what is
-frequent in some shard holds every frequent phrase, and with it all of its parts. A second pass
-counts all candidates over all texts.
+language. A phrase with ``support`` occurrences in all must have at least ``support / SHARDS``
+in one of ``SHARDS`` shards, however the texts are dealt. So every shard is mined completely at the
+support lowered in that proportion; the union of what is frequent in some shard holds every
+frequent phrase, and with it all of its parts. A last pass counts all candidates over all texts.
+
+There are ``SHARDS`` shards whatever the size of the input, so the lowered support stays well above
+one: a shard is a set of read tasks, and Spark mines it level by level. Tasks add up the words
+and pairs of words they see, and one group-by (combined on the map side) sums them per
+shard. Longer phrases are then counted in the same way, but only where each pair of words in
+them is a candidate. Tasks know the candidates by a bit table of at most ``TABLE`` bits (16 MB), which
+lets a few others through; these cost time and are dropped by a join on the keys. If the table
+fills up, more get through; results do not depend on it.
 
 Of the phrases with ``support`` occurrences, each cut after its first k words gives
 ``floor(1000 * a * n / (l * r))`` from the counts of the phrase and its two parts and the number of
 words; the lowest cut is the score. Phrases inside a longer one with the same count are dropped.
-
-A shard is what a task reads, cut into parts of ``SHARD`` to twice ``SHARD`` bytes of text; small inputs
-are coalesced to that size, since the support falls with the shard. Keys of phrases are
-64-bit hashes. Up to ``KEYS`` candidates are broadcast as a sorted array (16 MB) to the counting
-pass; beyond that the shards' full counts are joined with the candidates by a shuffle, with the
-same result.
+Keys of phrases are 64-bit hashes.
 
 Edge cases: null text is empty, a null language is ``und``; texts without words add none; a
 language without frequent phrases gives no rows; repeated rows count each; an empty table gives no rows.
-A text is never cut between shards, so one longer than ``SHARD`` is mined whole.
+Texts are never cut, so a task holds one text's words at least.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,10 +41,9 @@ from roadlens.llm.words import U, find_words, lower_ascii, mix, word_hashes
 LONGEST = 5
 SUPPORT = 100
 TOP = 2000
-SHARD = 16 << 20  # bytes of text; a shard has at most twice as many
-KEYS = 2_000_000  # candidates that are broadcast as 64-bit keys
-FLUSH = 1 << 20  # occurrences gathered before they are added up
-PHRASES = 1 << 16  # phrases put into words at a time
+SHARDS = 8
+TABLE = 1 << 27  # most bits of a table of candidates
+FLUSH = 1 << 21  # occurrences gathered in a task before they are added up
 
 BREAK = np.zeros(256, bool)  # bytes that end a piece: . , ; : ! ? and \x0A-\x0D
 BREAK[[ord(c) for c in ".,;:!?"]] = True
@@ -63,26 +64,11 @@ class _Words:
         self.data, self.start, self.end = data, s.astype(np.int32), e.astype(np.int32)
         self.hash = word_hashes(data, s, e)
         self.tongue = tongues[text]
-        self.bytes = np.bincount(tongues, weights=np.diff(offsets)).astype(np.int64)  # of each language's texts
         self.goes_on = np.zeros(len(s), bool)
         if len(s):
             self.goes_on[:-1] = (breaks[s[1:]] == breaks[s[:-1]]) & (text[1:] == text[:-1])
 
 
-    @staticmethod
-    def joined(parts: list[_Words]) -> _Words:
-        """The words of several blocks, without work arrays as long as their bytes."""
-        out = _Words.__new__(_Words)
-        shift = np.cumsum([0, *[len(p.data) for p in parts]])
-        out.data = np.concatenate([p.data for p in parts])
-        out.start, out.end = (np.concatenate([getattr(p, name) + np.int32(x) for p, x in zip(parts, shift)]) for name in ("start", "end"))
-        out.hash, out.tongue, out.goes_on = (np.concatenate([getattr(p, name) for p in parts]) for name in ("hash", "tongue", "goes_on"))
-        out.bytes = np.zeros(max(len(p.bytes) for p in parts), np.int64)
-        for p in parts:
-            out.bytes[: len(p.bytes)] += p.bytes
-        return out
-
-
 def _longer(keys: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Keys of phrases from those of the phrases without their last word, and that word's hash."""
     return mix(keys * U(0x9E3779B97F4A7C15) + hashes)
@@ -104,150 +90,149 @@ def _walk(words: _Words, langs: np.ndarray, longest: int, frequent) -> None:
         keys = _longer(keys, words.hash[at + k])
 
 
-def _batches(batches: Iterator[pa.RecordBatch]):
-    """Blocks of texts ``(bytes, offsets, codes of languages)`` and the languages ``{name: (code, hash, total)}`` so far."""
-    langs: dict[str, tuple[int, int, int]] = {}
+def _blocks(batches: Iterator[pa.RecordBatch], langs: dict[str, tuple[int, int]]) -> Iterator[_Words]:
+    """The words of blocks of texts; ``langs`` gets the languages so far, ``{name: (code, hash)}``."""
     for batch in batches:
         names = batch.column(1).to_pylist()
-        for name, code, total in zip(names, batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-            if name not in langs:
-                langs[name] = (len(langs), code, total)
+        for name, code in zip(names, batch.column(2).to_pylist()):
+            langs.setdefault(name, (len(langs), code))
         codes = np.array([langs[n][0] for n in names], np.int32)
         for a, b, data, offsets in text_blocks(batch.column(0)):
-            yield data, offsets, codes[a:b], langs
+            yield _Words(data, offsets, codes[a:b])
 
 
 def _hashes(langs: dict) -> np.ndarray:
-    return np.array([h for _, h, _ in langs.values()], np.int64).view(U)
-
-
-def _mine_shard(parts: list[_Words], langs: dict, support: int, longest: int) -> Iterator[pa.RecordBatch]:
-    """``lang, phrase, key, words``: all phrases frequent in this shard, and a row with each language's words."""
-    names, words = list(langs), _Words.joined(parts)
-    parts.clear()
-    size = words.bytes.tolist() + [0] * (len(names) - len(words.bytes))
-    least = np.array([max(1, -(-support * s // max(1, total))) for s, (_, _, total) in zip(size, langs.values())])
-    counted = np.bincount(words.tongue, minlength=len(names)).tolist()
-    some = [i for i, n in enumerate(counted) if n]
-    yield _mined([names[i] for i in some], [""] * len(some), [0] * len(some), [counted[i] for i in some])
-    found: list[tuple[int, np.ndarray, np.ndarray]] = []
-
-    def frequent(k: int, at: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        kinds, first, back, n = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
-        ok = n >= least[words.tongue[at[first]]]
-        found.append((k, at[first[ok]], kinds[ok]))
-        return ok[back]
-
-    _walk(words, _hashes(langs), longest, frequent)
-    raw, start, end = memoryview(words.data), words.start, words.end
-    for k, at, keys in found:
-        for c in range(0, len(at), PHRASES):
-            part = at[c : c + PHRASES]
-            pieces = [[raw[a:b] for a, b in zip(start[part + j].tolist(), end[part + j].tolist())] for j in range(k)]
-            phrases = [b" ".join(p) for p in zip(*pieces)]
-            lang = pa.array(names, pa.string()).take(pa.array(words.tongue[part]))
-            yield _mined(lang, pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(keys[c : c + PHRASES].view(np.int64)), pa.nulls(len(part), pa.int64()))
-
-
-def _mined(lang, phrase, key, words) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(lang, pa.string()), pa.array(phrase, pa.string()), pa.array(key, pa.int64()), pa.array(words, pa.int64())],
-        names=["lang", "phrase", "key", "words"],
-    )
-
-
-def _miner(support: int, longest: int, shard: int):
-    def mine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, langs = [], 0, {}
-        for data, offsets, codes, langs in _batches(batches):
-            # the last shard is no small rest: a shard is closed when as much again is there
-            if held and size + len(data) > 2 * shard:
-                reach = np.cumsum([len(h.data) for h in held])
-                cut = max(1, int(np.searchsorted(reach, shard, "right")))
-                size -= int(reach[cut - 1])
-                first, held = held[:cut], held[cut:]
-                yield from _mine_shard(first, langs, support, longest)
-            held.append(_Words(data, offsets, codes))
-            size += len(data)
-        if held:
-            yield from _mine_shard(held, langs, support, longest)
-
-    return mine
+    return np.array([h for _, h in langs.values()], np.int64).view(U)
 
 
-def _counter(candidates, longest: int):
-    """``key, a``: a task's occurrences of the candidates (a broadcast sorted array; None: of all phrases)."""
+def _in_table(table: np.ndarray | None, keys: np.ndarray) -> np.ndarray:
+    if table is None:
+        return np.ones(len(keys), bool)
+    place = keys & U(8 * len(table) - 1)
+    return (table[place >> U(3)] >> (place & U(7)).astype(np.uint8)) & 1 == 1
 
-    def sums(keys: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        kinds, back = np.unique(np.concatenate(keys), return_inverse=True)
-        return kinds, np.bincount(back, weights=np.concatenate(n), minlength=len(kinds)).astype(np.int64)
 
-    def batch(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["key", "a"])
+def _miner(shards: int, shortest: int, longest: int, table):
+    """``shard, key, n``: a task's occurrences of the phrases of ``shortest`` to ``longest`` words; a shard is a set of tasks."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = candidates.value if candidates is not None else None
-        total = np.zeros(len(wanted), np.int64) if wanted is not None else None
+    def mine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard = TaskContext.get().partitionId() % shards
+        bits = table.value if table is not None else None
         held: list[np.ndarray] = []
+        langs: dict[str, tuple[int, int]] = {}
 
-        def known(k: int, at: np.ndarray, keys: np.ndarray) -> np.ndarray:
-            if wanted is None:
+        def rows(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            number = pa.array(np.full(len(keys), shard, np.int32))
+            return pa.RecordBatch.from_arrays([number, pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], names=["shard", "key", "n"])
+
+        def see(k: int, at: np.ndarray, keys: np.ndarray) -> np.ndarray:
+            if k >= shortest:
                 held.append(keys)
-                return np.ones(len(keys), bool)
-            if not len(wanted):
-                return np.zeros(len(keys), bool)
-            place = np.searchsorted(wanted, keys)
-            place[place == len(wanted)] = 0
-            ok = wanted[place] == keys
-            held.append(place[ok])
-            return ok
-
-        for data, offsets, codes, langs in _batches(batches):
-            _walk(_Words(data, offsets, codes), _hashes(langs), longest, known)
+            # phrases of two words and less are known by the table, longer ones by those in them
+            return _in_table(bits, keys) if k <= 2 else np.ones(len(keys), bool)
+
+        for words in _blocks(batches, langs):
+            _walk(words, _hashes(langs), longest, see)
             if sum(map(len, held)) >= FLUSH:
-                if wanted is None:  # counts of so many occurrences go on; Spark adds them up
-                    yield batch(*sums(held, [np.ones(len(h)) for h in held]))
-                else:
-                    total += np.bincount(np.concatenate(held), minlength=len(wanted))
+                yield rows(*np.unique(np.concatenate(held), return_counts=True))
                 held.clear()
-        if held and wanted is None:
-            yield batch(*sums(held, [np.ones(len(h)) for h in held]))
-        elif wanted is not None:
-            if held:
-                total += np.bincount(np.concatenate(held), minlength=len(wanted))
-            some = np.flatnonzero(total)
-            for c in range(0, len(some), FLUSH):
-                yield batch(wanted[some[c : c + FLUSH]], total[some[c : c + FLUSH]])
+        if held:
+            yield rows(*np.unique(np.concatenate(held), return_counts=True))
+
+    return mine
+
+
+def _counter(longest: int, table):
+    """``key, a, lang, phrase``: a task's occurrences of the candidates, each in words once; a language's words with an empty phrase."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, said = table.value, np.zeros(0, U)
+        langs: dict[str, tuple[int, int]] = {}
+        total: dict[str, int] = {}
+
+        def rows(keys, n, lang, phrase) -> pa.RecordBatch:
+            columns = [pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64)), lang, phrase]
+            return pa.RecordBatch.from_arrays(columns, names=["key", "a", "lang", "phrase"])
+
+        def add(words: _Words, names: list[str], found: list) -> Iterator[pa.RecordBatch]:
+            nonlocal said
+            raw = memoryview(words.data)
+            for k, at, keys in found:
+                kinds, first, n = np.unique(keys, return_index=True, return_counts=True)
+                place = np.searchsorted(said, kinds)
+                new = np.ones(len(kinds), bool)
+                if len(said):
+                    new = said[np.minimum(place, len(said) - 1)] != kinds
+                part = at[first[new]]
+                pieces = [[raw[a:b] for a, b in zip(words.start[part + j].tolist(), words.end[part + j].tolist())] for j in range(k)]
+                phrases = pa.array([b" ".join(p) for p in zip(*pieces)], pa.binary()).cast(pa.string())
+                lang = pa.array(names, pa.string()).take(pa.array(words.tongue[part]))
+                yield rows(kinds[new], n[new], lang, phrases)
+                yield rows(kinds[~new], n[~new], *[pa.nulls(int((~new).sum()), pa.string())] * 2)
+                said = np.insert(said, place[new], kinds[new])
+
+        for words in _blocks(batches, langs):
+            names, found = list(langs), []
+
+            def see(k: int, at: np.ndarray, keys: np.ndarray) -> np.ndarray:
+                ok = _in_table(bits, keys)
+                found.append((k, at[ok], keys[ok]))
+                return ok
+
+            _walk(words, _hashes(langs), longest, see)
+            for name, n in zip(names, np.bincount(words.tongue, minlength=len(names)).tolist()):
+                total[name] = total.get(name, 0) + n
+            yield from add(words, names, found)
+        some = [name for name, n in total.items() if n]
+        yield rows(np.zeros(len(some), U), np.array([total[s] for s in some], np.int64), pa.array(some, pa.string()), pa.array([""] * len(some), pa.string()))
 
     return count
 
 
-def frequent_phrases(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, shard: int = SHARD, keys: int = KEYS) -> tuple[DataFrame, DataFrame]:
+def _table(keys: DataFrame, most: int):
+    """A broadcast bit table of settled ``keys``: bit ``key mod size``, 16 bits a key as long as ``most`` allows."""
+    spark = keys.sparkSession
+    bits = 64
+    n = keys.count()
+    while bits < min(most, 16 * n):
+        bits *= 2
+    word = keys.selectExpr(f"pmod(key, {bits}L) AS _p").groupBy(F.expr("CAST(_p div 64 AS INT) AS w"))
+    word = word.agg(F.expr("bit_or(shiftleft(1L, CAST(_p % 64 AS INT))) AS b")).toArrow()
+    out = np.zeros(bits // 64, np.int64)
+    out[word["w"].to_numpy()] = word["b"].to_numpy()
+    return spark.sparkContext.broadcast(out.astype("<i8").view(np.uint8))
+
+
+def frequent_phrases(
+    docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, shards: int = SHARDS, table: int = TABLE
+) -> tuple[DataFrame, DataFrame]:
     """``lang, phrase, size, a`` of all phrases of 1 to ``longest`` words with ``support`` occurrences, and ``lang, n``."""
-    spark = docs.sparkSession
-    texts = docs.selectExpr("coalesce(text, '') AS text", "coalesce(lang, 'und') AS lang")
-    totals = settle(texts.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("_total")))
-    whole = totals.agg(F.sum("_total")).first()[0] or 0
-    tasks = max(1, -(-whole // shard), min(spark.sparkContext.defaultParallelism, -(-whole // (1 << 20))))
-    texts = texts.coalesce(tasks).join(sized(totals), "lang").selectExpr("text", "lang", "xxhash64(lang) AS _hash", "_total")
-    mined = texts.mapInArrow(_miner(support, longest, shard), "lang string, phrase string, key long, words long")
-    mined = settle(mined.groupBy("lang", "phrase", "key").agg(F.sum("words").alias("n")))
-    found = mined.where("phrase <> ''").drop("n")
-    if found.limit(keys + 1).count() <= keys:
-        wanted = found.select("key").distinct().toArrow()["key"].to_numpy().view(U)
-        counts = texts.mapInArrow(_counter(spark.sparkContext.broadcast(np.sort(wanted)), longest), "key long, a long")
-    else:
-        counts = texts.mapInArrow(_counter(None, longest), "key long, a long")
-    counts = counts.groupBy("key").agg(F.sum("a").alias("a")).where(F.col("a") >= support)
-    phrases = found.join(counts, "key").select("lang", "phrase", F.size(F.split("phrase", " ")).alias("size"), "a")
-    return settle(phrases), mined.where("phrase = ''").select("lang", "n")
+    texts = docs.selectExpr("coalesce(text, '') AS text", "coalesce(lang, 'und') AS lang").selectExpr("text", "lang", "xxhash64(lang) AS _hash")
+
+    lowered = -(-support // shards)
+
+    def mined(shortest: int, longest: int, known) -> DataFrame:
+        seen = texts.mapInArrow(_miner(shards, shortest, longest, known), "shard int, key long, n long")
+        return seen.groupBy("shard", "key").agg(F.sum("n").alias("n")).where(F.col("n") >= lowered).select("key").distinct()
+
+    short = settle(mined(1, min(2, longest), None))
+    found = short
+    if longest > 2:
+        found = settle(short.unionByName(mined(3, longest, _table(short, table))))
+    counts = texts.mapInArrow(_counter(longest, _table(found, table)), "key long, a long, lang string, phrase string")
+    counts = settle(counts.groupBy("key", "lang", "phrase").agg(F.sum("a").alias("a")))
+    own = counts.where("phrase IS NULL OR phrase <> ''").groupBy("key").agg(F.sum("a").alias("a")).where(F.col("a") >= support)
+    named = counts.where("phrase <> ''").select("key", "lang", "phrase")
+    phrases = own.join(found, "key", "left_semi").join(named, "key")
+    totals = counts.where("phrase = ''").select("lang", F.col("a").alias("n"))
+    return settle(phrases.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("size"), "a")), totals
 
 
 def collocations(
-    docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, top: int = TOP, percent: int = 100, shard: int = SHARD, keys: int = KEYS
+    docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, top: int = TOP, percent: int = 100, shards: int = SHARDS, table: int = TABLE
 ) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score`` of each language's best ``top`` phrases of 2 to ``longest`` words."""
-    phrases, totals = frequent_phrases(docs, support, longest, shard, keys)
+    phrases, totals = frequent_phrases(docs, support, longest, shards, table)
     listed = sized(phrases.select("lang", "phrase", "a"))
     # parts one word shorter, with the highest count of what they lie in
     short = "inline(array(struct(slice(w, 1, size - 1) AS p), struct(slice(w, 2, size - 1) AS p)))"

@@ -62,12 +62,13 @@ def random_docs(seed, docs=250, words=60, kinds=1):
     return out + [(None, None, "en"), (7, "", "fr"), (7, " \t.,", None), (8, "\n", "xx"), out[0], out[0]]
 
 
-@pytest.mark.parametrize("keys", [C.KEYS, 3])
-@pytest.mark.parametrize("shard", [C.SHARD, 700, 60])
-def test_equals_brute_force(spark, shard, keys):
-    rows = random_docs(shard)
+@pytest.mark.parametrize("shards,table,flush", [(8, C.TABLE, C.FLUSH), (1, C.TABLE, 50), (3, 1 << 16, 50), (40, 64, 1)])
+def test_equals_brute_force(spark, monkeypatch, shards, table, flush):
+    """Whatever the number of shards, and with a table so full that it lets everything through."""
+    monkeypatch.setattr(C, "FLUSH", flush)
+    rows = random_docs(shards)
     want = brute(rows, support=12)
-    assert len(want) > 30 and run(spark, rows, support=12, shard=shard, keys=keys) == want
+    assert len(want) > 30 and run(spark, rows, partitions=7, support=12, shards=shards, table=table) == want
 
 
 def test_other_bounds(spark):
@@ -79,7 +80,13 @@ def test_other_bounds(spark):
 def test_frequent_in_one_shard_only(spark):
     """All occurrences in one text: that text's shard finds it, whatever the others hold."""
     rows = [(0, "rare pair . " * 100, "en")] + [(i, "a b c d e f g " * 20, "en") for i in range(1, 40)]
-    assert run(spark, rows, shard=100) == brute(rows)
+    assert run(spark, rows, partitions=9) == brute(rows)
+
+
+def test_spread_over_all_shards(spark):
+    """As many occurrences in each shard as the lowered support asks, in one more than in the others."""
+    rows = [(i, "rare pair . " * (13 if i < 4 else 12), "en") for i in range(8)]
+    assert run(spark, rows, partitions=8) == brute(rows) != []
 
 
 def test_query_on_table(spark, smoke_dir):
@@ -98,5 +105,5 @@ def test_empty_and_clashing(spark):
     assert C.op13_phrase_collocations(spark.createDataFrame([], SCHEMA)).count() == 0
     rows = [(0, "p q r " * 120, "en"), (1, "p q " * 120, None)]
     df = spark.createDataFrame(rows, SCHEMA)
-    df = df.withColumns({c: F.lit("x") for c in ("phrase", "key", "a", "n", "words", "size", "_total", "_hash", "rank", "score")})
+    df = df.withColumns({c: F.lit("x") for c in ("phrase", "key", "a", "n", "words", "size", "_hash", "rank", "score", "shard")})
     assert sorted(tuple(r) for r in C.op13_phrase_collocations(df).collect()) == brute(rows)
