@@ -36,6 +36,7 @@ from roadlens.llm.common import settle
 from roadlens.llm.residues import primes_for, product, residues
 
 CELLS = 1 << 22  # components of the rows that one task holds at a time
+ROWS = 1024  # rows of a group at least, so that few groups send on their best
 SCORES = 1 << 21  # scores of a batch of anchors held at a time
 
 BEST = "query long, anchor_id long, slot int, positive_id long, positive_score long, row long, id long, score long"
@@ -164,13 +165,13 @@ def hard_negatives(
     norm = f"sqrt(aggregate(vec, 0D, (s, x) -> s + power(abs(double(x)) * {scale!r}D + 1, 2)))"
     kept = rows.selectExpr("CAST(id AS BIGINT) AS id", "CAST(label AS BIGINT) AS label", "vec").where(f"label IS NOT NULL AND vec IS NOT NULL AND {finite}")
     kept = settle(kept.withColumn("row", F.monotonically_increasing_id()).selectExpr("*", f"coalesce({anchors}, FALSE) AS asked"))
-    large = kept.agg(F.expr(f"max({norm}) AS all"), F.expr(f"max({norm}) FILTER (WHERE asked) AS asked"), F.expr("sum(size(vec)) AS cells")).first()
+    large = kept.agg(F.expr(f"max({norm}) AS all"), F.expr(f"max({norm}) FILTER (WHERE asked) AS asked"), F.expr("sum(size(vec)) AS cells"), F.expr("count(*) AS n")).first()
     bound = (large["all"] or 0.0) * (large["asked"] or 0.0) * (1 + 1e-9)
     if not bound < 1 << 62:
         raise ValueError(f"scores of up to {bound:.3g} do not fit into 64 bits")
     primes = primes_for(bound)
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    groups = max(tasks, -(-(large["cells"] or 0) // CELLS))
+    groups = max(1, min(tasks, large["n"] // ROWS), -(-(large["cells"] or 0) // CELLS))
     part = F.pmod(F.xxhash64("row"), F.lit(groups)).cast("int")
     none = F.lit(None).cast("array<struct<slot:int,id:long,score:long>>")
     held = kept.select(part.alias("part"), F.lit(0).alias("kind"), "row", "id", "label", "vec", none.alias("positives"))

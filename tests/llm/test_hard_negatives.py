@@ -89,9 +89,12 @@ def test_large_components_need_more_primes(spark):
 
 def test_small_groups_and_batches(spark, monkeypatch):
     rows = random_rows(2, 300, 5)
-    monkeypatch.setattr(H, "CELLS", 60)
+    want = brute(rows)
     monkeypatch.setattr(H, "SCORES", 40)
-    assert run(spark, rows) == brute(rows)
+    monkeypatch.setattr(H, "ROWS", 20)
+    assert run(spark, rows) == want
+    monkeypatch.setattr(H, "CELLS", 60)
+    assert run(spark, rows) == want
 
 
 def test_empty_and_clashing_columns(spark):
