@@ -9,11 +9,12 @@ frequent phrase, and with it all of its parts. A last pass counts all candidates
 
 There are ``SHARDS`` shards whatever the size of the input, so the lowered support stays well above
 one: a shard is a set of read tasks, and Spark mines it level by level. Tasks add up the words
-and pairs of words they see, and one group-by (combined on the map side) sums them per
-shard. Longer phrases are then counted in the same way, but only where each pair of words in
-them is a candidate. Tasks know the candidates by a bit table of at most ``TABLE`` bits (16 MB), which
+they see, and one group-by (combined on the map side) sums them per shard. Pairs of candidate
+words are counted in the same way, and then longer phrases where each pair of words in them
+is a candidate. Tasks know the candidates by a bit table of at most ``TABLE`` bits (16 MB), which
 lets a few others through; these cost time and are dropped by a join on the keys. If the table
-fills up, more get through; results do not depend on it.
+fills up, more get through; results do not depend on it. Phrases travel as keys; only those with
+``support`` occurrences are put into words, in a pass at the end.
 
 Of the phrases with ``support`` occurrences, each cut after its first k words gives
 ``floor(1000 * a * n / (l * r))`` from the counts of the phrase and its two parts and the number of
@@ -112,8 +113,11 @@ def _in_table(table: np.ndarray | None, keys: np.ndarray) -> np.ndarray:
     return (table[place >> U(3)] >> (place & U(7)).astype(np.uint8)) & 1 == 1
 
 
-def _miner(shards: int, shortest: int, longest: int, table):
-    """``shard, key, n``: a task's occurrences of the phrases of ``shortest`` to ``longest`` words; a shard is a set of tasks."""
+def _miner(shards: int, shortest: int, longest: int, table, listed: bool = False):
+    """``shard, key, n``: a task's occurrences of the phrases of ``shortest`` to ``longest`` words; a shard is a set of tasks.
+
+    Shorter phrases only lead to longer ones if the table has them; with ``listed`` no phrase counts that it does not have.
+    """
 
     def mine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId() % shards
@@ -121,58 +125,40 @@ def _miner(shards: int, shortest: int, longest: int, table):
         held: list[np.ndarray] = []
         langs: dict[str, tuple[int, int]] = {}
 
-        def rows(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-            number = pa.array(np.full(len(keys), shard, np.int32))
-            return pa.RecordBatch.from_arrays([number, pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], names=["shard", "key", "n"])
+        def added() -> pa.RecordBatch:
+            keys, n = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), shard, np.int32)), pa.array(keys.view(np.int64)), pa.array(n)], names=["shard", "key", "n"])
 
         def see(k: int, at: np.ndarray, keys: np.ndarray) -> np.ndarray:
+            ok = _in_table(bits if listed or k < shortest else None, keys)
             if k >= shortest:
-                held.append(keys)
-            # phrases of two words and less are known by the table, longer ones by those in them
-            return _in_table(bits, keys) if k <= 2 else np.ones(len(keys), bool)
+                held.append(keys[ok])
+            return ok
 
         for words in _blocks(batches, langs):
             _walk(words, _hashes(langs), longest, see)
             if sum(map(len, held)) >= FLUSH:
-                yield rows(*np.unique(np.concatenate(held), return_counts=True))
-                held.clear()
+                yield added()
         if held:
-            yield rows(*np.unique(np.concatenate(held), return_counts=True))
+            yield added()
 
     return mine
 
 
-def _counter(longest: int, table):
-    """``key, a, lang, phrase``: a task's occurrences of the candidates, each in words once; a language's words with an empty phrase."""
+def _namer(longest: int, table):
+    """``key, lang, phrase, n``: each phrase of the table in words, once per task; and a language's words, with a null key."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, said = table.value, np.zeros(0, U)
         langs: dict[str, tuple[int, int]] = {}
         total: dict[str, int] = {}
 
-        def rows(keys, n, lang, phrase) -> pa.RecordBatch:
-            columns = [pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64)), lang, phrase]
-            return pa.RecordBatch.from_arrays(columns, names=["key", "a", "lang", "phrase"])
-
-        def add(words: _Words, names: list[str], found: list) -> Iterator[pa.RecordBatch]:
-            nonlocal said
-            raw = memoryview(words.data)
-            for k, at, keys in found:
-                kinds, first, n = np.unique(keys, return_index=True, return_counts=True)
-                place = np.searchsorted(said, kinds)
-                new = np.ones(len(kinds), bool)
-                if len(said):
-                    new = said[np.minimum(place, len(said) - 1)] != kinds
-                part = at[first[new]]
-                pieces = [[raw[a:b] for a, b in zip(words.start[part + j].tolist(), words.end[part + j].tolist())] for j in range(k)]
-                phrases = pa.array([b" ".join(p) for p in zip(*pieces)], pa.binary()).cast(pa.string())
-                lang = pa.array(names, pa.string()).take(pa.array(words.tongue[part]))
-                yield rows(kinds[new], n[new], lang, phrases)
-                yield rows(kinds[~new], n[~new], *[pa.nulls(int((~new).sum()), pa.string())] * 2)
-                said = np.insert(said, place[new], kinds[new])
+        def rows(key, lang, phrase, n) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([key, lang, phrase, pa.array(n, pa.int64())], names=["key", "lang", "phrase", "n"])
 
         for words in _blocks(batches, langs):
-            names, found = list(langs), []
+            found, names = [], list(langs)
 
             def see(k: int, at: np.ndarray, keys: np.ndarray) -> np.ndarray:
                 ok = _in_table(bits, keys)
@@ -180,13 +166,23 @@ def _counter(longest: int, table):
                 return ok
 
             _walk(words, _hashes(langs), longest, see)
-            for name, n in zip(names, np.bincount(words.tongue, minlength=len(names)).tolist()):
-                total[name] = total.get(name, 0) + n
-            yield from add(words, names, found)
+            for code, n in enumerate(np.bincount(words.tongue, minlength=len(names)).tolist()):
+                total[names[code]] = total.get(names[code], 0) + n
+            raw = memoryview(words.data)
+            for k, at, keys in found:
+                kinds, first = np.unique(keys, return_index=True)
+                place = np.searchsorted(said, kinds)
+                new = said[np.minimum(place, len(said) - 1)] != kinds if len(said) else np.ones(len(kinds), bool)
+                part = at[first[new]]
+                pieces = [[raw[a:b] for a, b in zip(words.start[part + j].tolist(), words.end[part + j].tolist())] for j in range(k)]
+                phrases = pa.array([b" ".join(p) for p in zip(*pieces)], pa.binary()).cast(pa.string())
+                lang = pa.array(names, pa.string()).take(pa.array(words.tongue[part]))
+                yield rows(pa.array(kinds[new].view(np.int64)), lang, phrases, pa.nulls(len(part), pa.int64()))
+                said = np.insert(said, place[new], kinds[new])
         some = [name for name, n in total.items() if n]
-        yield rows(np.zeros(len(some), U), np.array([total[s] for s in some], np.int64), pa.array(some, pa.string()), pa.array([""] * len(some), pa.string()))
+        yield rows(pa.nulls(len(some), pa.int64()), pa.array(some, pa.string()), pa.nulls(len(some), pa.string()), [total[s] for s in some])
 
-    return count
+    return name
 
 
 def _table(keys: DataFrame, most: int):
@@ -211,21 +207,22 @@ def frequent_phrases(
 
     lowered = -(-support // shards)
 
+    counted = lambda *how: texts.mapInArrow(_miner(*how), "shard int, key long, n long")
+
     def mined(shortest: int, longest: int, known) -> DataFrame:
-        seen = texts.mapInArrow(_miner(shards, shortest, longest, known), "shard int, key long, n long")
-        return seen.groupBy("shard", "key").agg(F.sum("n").alias("n")).where(F.col("n") >= lowered).select("key").distinct()
-
-    short = settle(mined(1, min(2, longest), None))
-    found = short
-    if longest > 2:
-        found = settle(short.unionByName(mined(3, longest, _table(short, table))))
-    counts = texts.mapInArrow(_counter(longest, _table(found, table)), "key long, a long, lang string, phrase string")
-    counts = settle(counts.groupBy("key", "lang", "phrase").agg(F.sum("a").alias("a")))
-    own = counts.where("phrase IS NULL OR phrase <> ''").groupBy("key").agg(F.sum("a").alias("a")).where(F.col("a") >= support)
-    named = counts.where("phrase <> ''").select("key", "lang", "phrase")
-    phrases = own.join(found, "key", "left_semi").join(named, "key")
-    totals = counts.where("phrase = ''").select("lang", F.col("a").alias("n"))
-    return settle(phrases.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("size"), "a")), totals
+        seen = counted(shards, shortest, longest, known).groupBy("shard", "key").agg(F.sum("n").alias("n"))
+        return seen.where(F.col("n") >= lowered).select("key").distinct()
+
+    found = settle(mined(1, 1, None))
+    for k in (2, 3)[: longest - 1]:  # words, pairs, and all longer ones
+        found = settle(found.unionByName(mined(k, 2 if k == 2 else longest, _table(found, table))))
+    counts = counted(1, 1, longest, _table(found, table), True).groupBy("key").agg(F.sum("n").alias("a"))
+    own = settle(counts.where(F.col("a") >= support).join(found, "key", "left_semi"))
+    named = texts.mapInArrow(_namer(longest, _table(own, table)), "key long, lang string, phrase string, n long")
+    named = settle(named.groupBy("key", "lang", "phrase").agg(F.sum("n").alias("n")))
+    phrases = own.join(named.where("key IS NOT NULL"), "key")
+    phrases = settle(phrases.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("size"), "a"))
+    return phrases, named.where("key IS NULL").select("lang", "n")
 
 
 def collocations(
