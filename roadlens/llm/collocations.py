@@ -5,16 +5,17 @@ into words; a phrase is up to ``LONGEST`` consecutive words of one piece. Everyt
 language. A phrase with ``support`` occurrences in all must have at least ``support / SHARDS``
 in one of ``SHARDS`` shards, however the texts are dealt. So every shard is mined completely at the
 support lowered in that proportion; the union of what is frequent in some shard holds every
-frequent phrase, and with it all of its parts. A last pass counts all candidates over all texts.
+frequent phrase, and with it all of its parts. Another pass counts all candidates over all texts.
 
 There are ``SHARDS`` shards whatever the size of the input, so the lowered support stays well above
 one: a shard is a set of read tasks, and Spark mines it level by level. Tasks add up the words
-they see, and one group-by (combined on the map side) sums them per shard. Pairs of candidate
-words are counted in the same way, and then longer phrases where each pair of words in them
-is a candidate. Tasks know the candidates by a bit table of at most ``TABLE`` bits (16 MB), which
+they see, and one group-by (combined on the map side) sums them per shard; candidates are
+counted. Pairs of frequent words follow in the same way, and then longer phrases where each
+pair of words in them is frequent. Tasks know the candidates by a bit table of at most ``TABLE`` bits (16 MB), which
 lets a few others through; these cost time and are dropped by a join on the keys. If the table
 fills up, more get through; results do not depend on it. Phrases travel as keys; only those with
-``support`` occurrences are put into words, in a pass at the end.
+``support`` occurrences are put into words, in a pass at the end, from texts whose hash falls into
+the lowest of ``SPOTS`` parts in which the phrase occurs.
 
 Of the phrases with ``support`` occurrences, each cut after its first k words gives
 ``floor(1000 * a * n / (l * r))`` from the counts of the phrase and its two parts and the number of
@@ -44,6 +45,7 @@ SUPPORT = 100
 TOP = 2000
 SHARDS = 8
 TABLE = 1 << 27  # most bits of a table of candidates
+SPOTS = 256
 FLUSH = 1 << 21  # occurrences gathered in a task before they are added up
 
 BREAK = np.zeros(256, bool)  # bytes that end a piece: . , ; : ! ? and \x0A-\x0D
@@ -56,7 +58,7 @@ INSIDE[[0x20, 0x09]] = False
 class _Words:
     """The words of a block of texts: their bytes, hashes, languages, and which of them go on in the same piece."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, tongues: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, tongues: np.ndarray, spots: np.ndarray):
         data = lower_ascii(data)
         s, e, bounds = find_words(data, offsets, INSIDE)
         breaks = np.zeros(len(data) + 1, np.int32)
@@ -64,7 +66,7 @@ class _Words:
         text = np.searchsorted(bounds, np.arange(len(s)), "right") - 1
         self.data, self.start, self.end = data, s.astype(np.int32), e.astype(np.int32)
         self.hash = word_hashes(data, s, e)
-        self.tongue = tongues[text]
+        self.tongue, self.spot = tongues[text], spots[text]
         self.goes_on = np.zeros(len(s), bool)
         if len(s):
             self.goes_on[:-1] = (breaks[s[1:]] == breaks[s[:-1]]) & (text[1:] == text[:-1])
@@ -98,8 +100,9 @@ def _blocks(batches: Iterator[pa.RecordBatch], langs: dict[str, tuple[int, int]]
         for name, code in zip(names, batch.column(2).to_pylist()):
             langs.setdefault(name, (len(langs), code))
         codes = np.array([langs[n][0] for n in names], np.int32)
+        spots = batch.column(3).to_numpy().astype(np.uint8)
         for a, b, data, offsets in text_blocks(batch.column(0)):
-            yield _Words(data, offsets, codes[a:b])
+            yield _Words(data, offsets, codes[a:b], spots[a:b])
 
 
 def _hashes(langs: dict) -> np.ndarray:
@@ -113,8 +116,12 @@ def _in_table(table: np.ndarray | None, keys: np.ndarray) -> np.ndarray:
     return (table[place >> U(3)] >> (place & U(7)).astype(np.uint8)) & 1 == 1
 
 
+def _at_spot(keys: np.ndarray, spots: np.ndarray) -> np.ndarray:
+    return keys ^ (spots.astype(U) << U(7))
+
+
 def _miner(shards: int, shortest: int, longest: int, table, listed: bool = False):
-    """``shard, key, n``: a task's occurrences of the phrases of ``shortest`` to ``longest`` words; a shard is a set of tasks.
+    """``shard, key, n, spot``: a task's occurrences of the phrases of ``shortest`` to ``longest`` words; a shard is a set of tasks.
 
     Shorter phrases only lead to longer ones if the table has them; with ``listed`` no phrase counts that it does not have.
     """
@@ -122,23 +129,30 @@ def _miner(shards: int, shortest: int, longest: int, table, listed: bool = False
     def mine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId() % shards
         bits = table.value if table is not None else None
-        held: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         langs: dict[str, tuple[int, int]] = {}
 
         def added() -> pa.RecordBatch:
-            keys, n = np.unique(np.concatenate(held), return_counts=True)
+            keys, spots = (np.concatenate(part) for part in zip(*held))
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), shard, np.int32)), pa.array(keys.view(np.int64)), pa.array(n)], names=["shard", "key", "n"])
-
-        def see(k: int, at: np.ndarray, keys: np.ndarray) -> np.ndarray:
-            ok = _in_table(bits if listed or k < shortest else None, keys)
-            if k >= shortest:
-                held.append(keys[ok])
-            return ok
+            order = np.argsort(keys)
+            keys = keys[order]
+            first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+            n = np.diff(np.append(first, len(keys)))
+            spot = np.minimum.reduceat(spots[order], first) if len(first) else spots
+            columns = [pa.array(np.full(len(first), shard, np.int32)), pa.array(keys[first].view(np.int64)), pa.array(n), pa.array(spot.astype(np.int32))]
+            return pa.RecordBatch.from_arrays(columns, names=["shard", "key", "n", "spot"])
 
         for words in _blocks(batches, langs):
+
+            def see(k: int, at: np.ndarray, keys: np.ndarray) -> np.ndarray:
+                ok = _in_table(bits if listed or k < shortest else None, keys)
+                if k >= shortest:
+                    held.append((keys[ok], words.spot[at[ok]]))
+                return ok
+
             _walk(words, _hashes(langs), longest, see)
-            if sum(map(len, held)) >= FLUSH:
+            if sum(len(h[0]) for h in held) >= FLUSH:
                 yield added()
         if held:
             yield added()
@@ -146,11 +160,11 @@ def _miner(shards: int, shortest: int, longest: int, table, listed: bool = False
     return mine
 
 
-def _namer(longest: int, table):
-    """``key, lang, phrase, n``: each phrase of the table in words, once per task; and a language's words, with a null key."""
+def _namer(longest: int, table, spotted):
+    """``key, lang, phrase, n``: each phrase of the table in words, once per task at its spot; and a language's words, with a null key."""
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, said = table.value, np.zeros(0, U)
+        bits, spots, said = table.value, spotted.value, np.zeros(0, U)
         langs: dict[str, tuple[int, int]] = {}
         total: dict[str, int] = {}
 
@@ -162,7 +176,8 @@ def _namer(longest: int, table):
 
             def see(k: int, at: np.ndarray, keys: np.ndarray) -> np.ndarray:
                 ok = _in_table(bits, keys)
-                found.append((k, at[ok], keys[ok]))
+                here = ok & _in_table(spots, _at_spot(keys, words.spot[at]))
+                found.append((k, at[here], keys[here]))
                 return ok
 
             _walk(words, _hashes(langs), longest, see)
@@ -203,22 +218,23 @@ def frequent_phrases(
     docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, shards: int = SHARDS, table: int = TABLE
 ) -> tuple[DataFrame, DataFrame]:
     """``lang, phrase, size, a`` of all phrases of 1 to ``longest`` words with ``support`` occurrences, and ``lang, n``."""
-    texts = docs.selectExpr("coalesce(text, '') AS text", "coalesce(lang, 'und') AS lang").selectExpr("text", "lang", "xxhash64(lang) AS _hash")
-
+    texts = docs.selectExpr("coalesce(text, '') AS text", "coalesce(lang, 'und') AS lang")
+    texts = texts.selectExpr("text", "lang", "xxhash64(lang) AS _hash", f"CAST(pmod(xxhash64(text), {SPOTS}) AS INT) AS _spot")
     lowered = -(-support // shards)
-
-    counted = lambda *how: texts.mapInArrow(_miner(*how), "shard int, key long, n long")
-
-    def mined(shortest: int, longest: int, known) -> DataFrame:
-        seen = counted(shards, shortest, longest, known).groupBy("shard", "key").agg(F.sum("n").alias("n"))
-        return seen.where(F.col("n") >= lowered).select("key").distinct()
-
-    found = settle(mined(1, 1, None))
-    for k in (2, 3)[: longest - 1]:  # words, pairs, and all longer ones
-        found = settle(found.unionByName(mined(k, 2 if k == 2 else longest, _table(found, table))))
-    counts = counted(1, 1, longest, _table(found, table), True).groupBy("key").agg(F.sum("n").alias("a"))
-    own = settle(counts.where(F.col("a") >= support).join(found, "key", "left_semi"))
-    named = texts.mapInArrow(_namer(longest, _table(own, table)), "key long, lang string, phrase string, n long")
+    counted = lambda *how: texts.mapInArrow(_miner(*how), "shard int, key long, n long, spot int")
+    own, known = None, None
+    for shortest, most in ((1, 1), (2, 2), (3, longest)):  # words, pairs, and all longer ones
+        if most > longest or shortest > longest:
+            break
+        seen = counted(shards, shortest, most, known).groupBy("shard", "key").agg(F.sum("n").alias("n"))
+        found = settle(seen.where(F.col("n") >= lowered).select("key").distinct())
+        known = _table(found if own is None else settle(own.select("key").unionByName(found)), table)
+        counts = counted(1, shortest, most, known, True).groupBy("key").agg(F.sum("n").alias("a"), F.min("spot").alias("spot"))
+        counts = counts.where(F.col("a") >= support).join(found, "key", "left_semi")
+        own = settle(counts if own is None else own.unionByName(counts))
+        known = _table(own, table)
+    spotted = _table(own.selectExpr("key ^ shiftleft(CAST(spot AS BIGINT), 7) AS key"), table)
+    named = texts.mapInArrow(_namer(longest, known, spotted), "key long, lang string, phrase string, n long")
     named = settle(named.groupBy("key", "lang", "phrase").agg(F.sum("n").alias("n")))
     phrases = own.join(named.where("key IS NOT NULL"), "key")
     phrases = settle(phrases.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("size"), "a"))
