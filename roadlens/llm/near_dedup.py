@@ -10,9 +10,11 @@ band with probability (1 - 0.8**6)**45, about 1e-6; pairs in larger groups have
 be found.
 
 Only components are asked for, so a bucket (equal band) does not emit its pairs: its members are
-tested against one member, the bucket's own centre, for ``STARS`` rounds. Confirmed
-links are contracted; then the pairs of each bucket that still lie in different components, and
-only those, are candidates, so that no link found by a band is lost. A candidate pair must also
+tested against one member, the bucket's centre, and confirmed links are contracted. Such rounds,
+each with other centres, go on while at least one in ``PAYS`` tested pairs is a link: what is left
+in pieces of a group meets the group's other members. Then the pairs of each bucket that still
+lie in different components, and only those, are candidates, so that no link found by a band
+is lost. A candidate pair must also
 be near in its sketches (the last two bits of 1024 signature values: at the asked similarity
 a pair falls short of the limit with a probability of about 1e-5), it is emitted by the first of
 its buckets only, and every link is confirmed on the full sets of both texts (exact counts of
@@ -42,7 +44,9 @@ SHINGLE = 5
 PERCENT = 80
 ROWS = 6
 BANDS = 45
-STARS = 2
+PAYS = 10
+BLOCK = 1 << 17  # bytes of text in work at a time
+TEXTS = 1024  # texts signed at a time
 SKETCH = 16  # words of 64 signature values; two bits of each are kept, in two words
 SIGMAS = 4.25
 SLICE = 1 << 16  # shingles hashed at a time
@@ -50,7 +54,7 @@ SLICE = 1 << 16  # shingles hashed at a time
 
 def shingle_sets(col: pa.Array, k: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``(first row, end row, hashes, bounds)`` per block: each text's distinct shingle hashes, sorted."""
-    for first, end, data, offsets in text_blocks(col):
+    for first, end, data, offsets in text_blocks(col, BLOCK):
         data = lower_ascii(data)
         s, e, bounds = find_words(data, offsets)
         hashes = word_hashes(data, s, e)
@@ -86,15 +90,14 @@ def _signatures(found: np.ndarray, bounds: np.ndarray, rows: int, bands: int) ->
     evaluations = (max(rows * bands, 64 * SKETCH) + 1) // 2
     seeds = mix(np.arange(1, evaluations + 1, dtype=U) * U(0xD1342543DE82EF95))
     signature = np.empty((2 * evaluations, n), U)
-    at = bounds[:-1]
+    at, first = bounds[:-1], (rows * bands + 1) // 2
+    # banded are the minima of the first functions, in order, then the same functions' maxima; others follow
     for i, seed in enumerate(seeds):
         hashed = (found ^ seed) * (seed | U(1))
         hashed ^= hashed >> U(32)
-        np.minimum.reduceat(hashed, at, out=signature[2 * i])
-        np.maximum.reduceat(hashed, at, out=signature[2 * i + 1])
-    # banded are the minima of the first functions, in order, then the same functions' maxima; others follow
-    low, high, first = signature[0::2], signature[1::2], (rows * bands + 1) // 2
-    signature = np.concatenate([low[:first], high[:first], low[first:], high[first:]])
+        low, high = (i, first + i) if i < first else (first + i, evaluations + i)
+        np.minimum.reduceat(hashed, at, out=signature[low])
+        np.maximum.reduceat(hashed, at, out=signature[high])
     out = np.empty((n, bands), U)
     for b in range(bands):
         h = np.full(n, U(b + 1))
@@ -120,7 +123,7 @@ def _signer(k: int, rows: int, bands: int):
                 keys = np.zeros((b - a, bands), U)
                 sketch = np.zeros((b - a, 2 * SKETCH), U)
                 # texts in slices of bounded work arrays; empty ones lie between without shingles
-                for part in np.array_split(full, max(1, len(found) // SLICE)) if len(full) else ():
+                for part in np.array_split(full, max(1, len(found) // SLICE, -(-len(full) // TEXTS))) if len(full) else ():
                     if len(part):
                         low, high = bounds[part[0]], bounds[part[-1] + 1]
                         keys[part], sketch[part] = _signatures(found[low:high], np.append(bounds[part], high) - low, rows, bands)
@@ -227,12 +230,12 @@ class NearDuplicates:
     def links(self) -> DataFrame | None:
         """Confirmed links ``a, b`` between classes that span all components."""
         buckets = self._buckets()
-        found, tested = None, None
-        for step in range(STARS + 1):
+        found, tested, step, pays = None, None, 0, True
+        while True:
             part = self._open(buckets, found, step)
             if part.isEmpty():
                 return found
-            if step < STARS:  # each member against the bucket's centre
+            if pays:  # each member against the bucket's centre
                 met = part.where(self._alike(F.col("n"), F.col("centre.n")) & (F.col("comp") != F.col("centre.comp")))
                 pairs = met.select(F.col("node").alias("x"), F.col("centre.node").alias("y")).distinct()
                 pairs = pairs.join(self._of("x"), "x").join(self._of("y"), "y").where(self._near())
@@ -245,7 +248,9 @@ class NearDuplicates:
             tested = pairs if tested is None else tested.unionByName(pairs)
             new = self._confirmed(pairs)
             found = new if found is None else found.unionByName(new)
-        return found
+            if not pays:
+                return found
+            step, pays = step + 1, new.count() * PAYS >= max(1, pairs.count())
 
     def _open(self, buckets: DataFrame, found: DataFrame | None, step: int) -> DataFrame:
         """The members of buckets that lie in several components of the links ``found``, with the bucket's centre."""
@@ -263,10 +268,10 @@ class NearDuplicates:
         links = self.links()
         if links is None:
             return self.classes.select("node", F.col("doc_id").alias("component_id"), F.col("node").alias("group"))
-        named = components(links)
-        named = self.classes.join(named, "node", "left").withColumn("_c", F.coalesce("component", "node"))
-        lowest = named.groupBy("_c").agg(F.min("doc_id").alias("component_id"))
-        return named.join(lowest, "_c").select("node", "component_id", F.col("_c").alias("group"))
+        named = settle(components(links))
+        lowest = self.classes.join(named, "node").groupBy("component").agg(F.min("doc_id").alias("_lowest"))
+        every = self.classes.join(named, "node", "left").join(sized(settle(lowest)), "component", "left")
+        return every.select("node", F.coalesce("_lowest", "doc_id").alias("component_id"), F.coalesce("component", "node").alias("group"))
 
 
 def near_duplicates(

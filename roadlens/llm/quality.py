@@ -60,26 +60,32 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees:
     return fit(x[order], y[order])
 
 
-def _scorer(shared):
+def _scorer(shared, limit: float | None):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             p = [shared.value.probability(x) for x in text_stats(batch.column(1))]
             if p:
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(p))], names=["_doc", "score"])
+                p = np.concatenate(p)
+                out = [batch.column(0), pa.array(p), *([batch.column(1)] if limit is not None else [])]
+                out = pa.RecordBatch.from_arrays(out, names=["_doc", "score", "_text"][: len(out)])
+                yield out if limit is None else out.filter(pa.array(p >= limit))
 
     return score
 
 
-def score(docs: DataFrame, model: Trees, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of ``docs`` as a struct ``_doc``, and ``score``."""
+def score(docs: DataFrame, model: Trees, keep: list[str], limit: float | None = None) -> DataFrame:
+    """Columns ``keep`` of ``docs`` as a struct ``_doc``, and ``score``; with a limit only rows from it on, and their ``_text``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.struct(*[docs[c] for c in keep]).alias("_doc"), docs["text"].alias("_text"))
-    return rows.mapInArrow(_scorer(shared), T.StructType([rows.schema["_doc"]]).add("score", "double"))
+    schema = T.StructType([rows.schema["_doc"]]).add("score", "double")
+    return rows.mapInArrow(_scorer(shared, limit), schema if limit is None else schema.add(rows.schema["_text"]))
 
 
 def filter_quality(docs: DataFrame, labels: DataFrame, limit: float = LIMIT) -> DataFrame:
-    """The rows of ``docs`` that score at least ``limit``."""
-    return score(docs, train(docs, labels), docs.columns).where(F.col("score") >= limit).select("_doc.*")
+    """The rows of ``docs`` that score at least ``limit``; a text passes through the worker once."""
+    others = [c for c in docs.columns if c != "text"]
+    good = score(docs, train(docs, labels), others, limit)
+    return good.select(*[F.col("_text").alias("text") if c == "text" else F.col("_doc")[c].alias(c) for c in docs.columns])
 
 
 def op9_quality_classifier(docs: DataFrame, labels: DataFrame) -> DataFrame:
