@@ -31,6 +31,14 @@ def sized(settled: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(settled) if settled.limit(rows + 1).count() <= rows else settled
 
 
+def few(df: DataFrame, rows: int, per: int = 100_000) -> DataFrame:
+    """``df``, known to have about ``rows`` thin rows, in no more partitions than these ask for.
+
+    Rounds over small tables would else write a file per partition and exchange.
+    """
+    return df.coalesce(max(1, -(-rows // per)))
+
+
 # ---------------------------------------------------------------------------- Arrow text
 
 

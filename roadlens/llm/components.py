@@ -11,29 +11,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.llm.common import settle
+from roadlens.llm.common import few, settle
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One star step on edges ``a > b``: neighbours are tied to the smallest one around a node."""
+def _star(edges: DataFrame, large: bool, rows: int) -> DataFrame:
+    """One star step on about ``rows`` edges ``a > b``: neighbours are tied to the smallest one around a node."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else edges
-    low = both.groupBy("a").agg(F.min("b").alias("_m")).withColumn("_m", F.least("_m", "a"))
-    out = both.join(low, "a")
+    low = few(both.groupBy("a").agg(F.min("b").alias("_m")), rows).withColumn("_m", F.least("_m", "a"))
+    out = few(both.join(low, "a"), rows)
     if large:  # only larger neighbours move to the smallest
-        return out.where("b > a").select(F.col("b").alias("a"), F.col("_m").alias("b"))
+        return few(out.where("b > a").select(F.col("b").alias("a"), F.col("_m").alias("b")).distinct(), rows)
     # every smaller neighbour, and the node itself, move to the smallest
     moved = out.select(F.col("b").alias("a"), F.col("_m").alias("b")).unionByName(low.select("a", F.col("_m").alias("b")))
-    return moved.where("a <> b")
+    return few(moved.where("a <> b").distinct(), rows)
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``node, component`` for every node of ``edges`` (columns ``a``, ``b``); the smallest node names it."""
+    """``node, component`` for every node of the settled ``edges`` (columns ``a``, ``b``); the smallest node names it."""
     high, low = F.greatest("a", "b"), F.least("a", "b")
-    now = settle(edges.select(high.alias("a"), low.alias("b")).where("a <> b").distinct())
+    rows = edges.count()
+    now = settle(few(edges.select(high.alias("a"), low.alias("b")).where("a <> b").distinct(), rows))
     mark = lambda df: tuple(df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
     seen = mark(now)
     while seen[0]:
-        now = settle(_star(_star(now, True).distinct(), False).distinct())
+        now = settle(_star(_star(now, True, rows), False, rows))
         if (new := mark(now)) == seen:
             break
         seen = new

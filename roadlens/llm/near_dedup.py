@@ -9,10 +9,11 @@ functions' maxima; classes with an equal band are candidates. At similarity 0.8
 band with probability (1 - 0.8**6)**45, about 1e-6; pairs in larger groups have further ways to
 be found.
 
-Only components are asked for, so a bucket (equal band) does not emit its pairs: its members are
-tested against one member, the bucket's centre, and confirmed links are contracted. Such rounds,
-each with other centres, go on while at least one in ``PAYS`` tested pairs is a link: what is left
-in pieces of a group meets the group's other members. Then the pairs of each bucket that still
+Only components are asked for, so a bucket (equal band) does not emit its pairs: each bucket has
+one member as its centre, each member is tested against the nearest (by sketch) centre of another
+component, and confirmed links are contracted. Such rounds, each with other centres, go on while
+at least one in ``PAYS`` tested pairs is a link, so what is left in pieces of a group meets ever
+new members of the group. Then the pairs of each bucket that still
 lie in different components, and only those, are candidates, so that no link found by a band
 is lost. A candidate pair must also
 be near in its sketches (the last two bits of 1024 signature values: at the asked similarity
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 from pyspark.sql import types as T
 
-from roadlens.llm.common import settle, sized, text_blocks
+from roadlens.llm.common import few, settle, sized, text_blocks
 from roadlens.llm.components import components
 from roadlens.llm.words import U, find_words, lower_ascii, mix, windows, word_hashes
 
@@ -45,6 +46,7 @@ PERCENT = 80
 ROWS = 6
 BANDS = 45
 PAYS = 10
+SETS = 16 << 20  # bytes of full sets that are broadcast
 BLOCK = 1 << 17  # bytes of text in work at a time
 TEXTS = 1024  # texts signed at a time
 SKETCH = 16  # words of 64 signature values; two bits of each are kept, in two words
@@ -200,51 +202,57 @@ class NearDuplicates:
     def _confirmed(self, pairs: DataFrame) -> DataFrame:
         """The links among the candidate pairs ``a, b``, on the full sets of their standing documents."""
         nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        wanted = settle(nodes.join(self.classes, "node").select("doc_id", "node"))
+        wanted = settle(few(nodes.join(self.bucketed, "node").select("doc_id", "node"), 2 * pairs.count()))
         same = self.docs["doc_id"].eqNullSafe(wanted["doc_id"])
         made = self.docs.join(sized(wanted.select("doc_id").distinct(), 1_000_000), same, "left_semi").select("text")
         made = made.mapInArrow(_set_maker(self.k), "node long, set binary")
         # one doc_id can carry several texts: keep the sets of wanted classes, one of each
         made = made.join(sized(wanted.select("node"), 1_000_000), "node", "left_semi")
         sets = settle(made.groupBy("node").agg(F.first("set").alias("set")))
-        one = sets.select(F.col("node").alias("a"), F.col("set").alias("_x"))
-        two = sets.select(F.col("node").alias("b"), F.col("set").alias("_y"))
+        # many pairs of few sets: the sets travel once, if they are small together
+        size = sets.agg(F.sum(F.octet_length("set") + 64)).first()[0] or 0
+        sent = F.broadcast(sets) if size <= SETS else sets
+        one = sent.select(F.col("node").alias("a"), F.col("set").alias("_x"))
+        two = sent.select(F.col("node").alias("b"), F.col("set").alias("_y"))
         full = pairs.join(one, "a").join(two, "b").select("a", "b", "_x", "_y")
         return settle(full.mapInArrow(_confirmer(self.percent), "a long, b long"))
 
     def _of(self, name: str, bands: bool = False) -> DataFrame:
         """The classes with columns named after ``name``: ``x, x_n, x_s0, ...``."""
         columns = ["n", *["bands"] * bands, *(f"s{i}" for i in range(2 * SKETCH))]
-        return self.classes.select(F.col("node").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in columns])
+        return self.bucketed.select(F.col("node").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in columns])
 
     def _alike(self, n, m):
         """Sizes that allow the similarity at all."""
         return F.least(n, m) * 100 >= F.greatest(n, m) * self.percent
 
-    def _near(self):
-        """Sketches of ``x`` and ``y`` that differ in at most ``apart`` values."""
+    def _apart(self):
+        """The number of sketched values in which ``x`` and ``y`` differ; near ones in at most ``apart``."""
         differ = [F.col(f"x_s{i}").bitwiseXOR(F.col(f"y_s{i}")) for i in range(2 * SKETCH)]
-        apart = sum((F.bit_count(differ[i].bitwiseOR(differ[SKETCH + i])) for i in range(SKETCH)), F.lit(0))
-        return apart <= self.apart
+        return sum((F.bit_count(differ[i].bitwiseOR(differ[SKETCH + i])) for i in range(SKETCH)), F.lit(0))
 
     def links(self) -> DataFrame | None:
         """Confirmed links ``a, b`` between classes that span all components."""
         buckets = self._buckets()
+        self.members = buckets.count()
+        self.bucketed = settle(self.classes.join(buckets.select("node").distinct(), "node", "left_semi"))
         found, tested, step, pays = None, None, 0, True
         while True:
             part = self._open(buckets, found, step)
             if part.isEmpty():
                 return found
-            if pays:  # each member against the bucket's centre
+            if pays:  # each member against the nearest of its buckets' centres
                 met = part.where(self._alike(F.col("n"), F.col("centre.n")) & (F.col("comp") != F.col("centre.comp")))
-                pairs = met.select(F.col("node").alias("x"), F.col("centre.node").alias("y")).distinct()
-                pairs = pairs.join(self._of("x"), "x").join(self._of("y"), "y").where(self._near())
+                pairs = few(met.select(F.col("node").alias("x"), F.col("centre.node").alias("y")).distinct(), self.members)
+                pairs = pairs if tested is None else pairs.join(few(tested, self.members), (F.col("a") == F.least("x", "y")) & (F.col("b") == F.greatest("x", "y")), "left_anti")
+                pairs = pairs.join(self._of("x"), "x").join(self._of("y"), "y").withColumn("_apart", self._apart()).where(F.col("_apart") <= self.apart)
+                pairs = pairs.groupBy("x").agg(F.min_by("y", F.struct("_apart", "y")).alias("y"))
             else:  # all pairs that still lie in different components
                 x, y = (part.select("key", F.col("node").alias(v), F.col("comp").alias(f"{v}_c")).join(self._of(v, True), v) for v in "xy")
                 once = F.array_min(F.array_intersect("x_bands", "y_bands")) == F.col("key")
-                pairs = x.join(y, "key").where((F.col("x_c") < F.col("y_c")) & self._alike(F.col("x_n"), F.col("y_n")) & self._near() & once)
+                pairs = x.join(y, "key").where((F.col("x_c") < F.col("y_c")) & self._alike(F.col("x_n"), F.col("y_n")) & (self._apart() <= self.apart) & once)
             pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-            pairs = settle(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
+            pairs = settle(few(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), self.members))
             tested = pairs if tested is None else tested.unionByName(pairs)
             new = self._confirmed(pairs)
             found = new if found is None else found.unionByName(new)
@@ -258,10 +266,10 @@ class NearDuplicates:
             part = buckets.withColumn("comp", F.col("node"))
         else:
             named = settle(components(found))
-            part = buckets.join(named, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
+            part = few(buckets.join(named, "node", "left"), self.members).withColumn("comp", F.coalesce("component", "node")).drop("component")
         centre = F.min(F.struct(F.xxhash64("node", "key", F.lit(step)).alias("_o"), "node", "n", "comp")).alias("centre")
-        open_ = part.groupBy("key").agg(F.min("comp").alias("_l"), F.max("comp").alias("_h"), centre)
-        return settle(part.join(open_.where("_l <> _h").select("key", "centre"), "key"))
+        open_ = few(part.groupBy("key").agg(F.min("comp").alias("_l"), F.max("comp").alias("_h"), centre), self.members)
+        return settle(few(part.join(open_.where("_l <> _h").select("key", "centre"), "key"), self.members))
 
     def groups(self) -> DataFrame:
         """``node, component_id`` of every class, and ``group``, the name of its component (never null)."""
