@@ -29,7 +29,8 @@ from roadlens.operators.speed_control import average_speed_control, stretch_cros
 from roadlens.operators.speed_radar import speed_radar, speed_radar_final
 from roadlens.operators.stopped import accident_reporter, count_window_firings, stopped_sliding
 from roadlens.functions.predicates import in_stretch, speeding
-from roadlens.sources.events_view import load_reports_and_policy, mixed_reports
+from roadlens.schema import ARRIVAL
+from roadlens.sources.events_view import load_reports_and_policy, mixed_reports, unordered_reports
 from roadlens.sources.reports import lines_to_reports, reports_to_lines
 
 try:  # the corpus operators are an optional part: without their folders the rest stands alone
@@ -43,6 +44,7 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 
 AS_WRITTEN = Params()  # `time` read as milliseconds: gap 31,000 units
 SECONDS = Params(time_unit="s")  # the intended reading: gap 31 s
+SPLIT = SkewPolicy(hot_rows=40, block_rows=16)  # thresholds that cut even small vehicles into blocks
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -97,6 +99,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "average_speed_control_mixed": _on(
             A, lambda r, p: average_speed_control(mixed_reports(r), AS_WRITTEN, policy=p)
         ),
+        "average_speed_control_mixed_split": _on(
+            A, lambda r, p: average_speed_control(mixed_reports(r), AS_WRITTEN, policy=SPLIT)
+        ),
+        "speed_radar_arrival": _on(A, lambda r, p: speed_radar(unordered_reports(r), policy=p, order=ARRIVAL)),
+        "accident_reporter_arrival": _on(A, lambda r, p: accident_reporter(unordered_reports(r), policy=p, order=ARRIVAL)),
+        "accident_reporter_arrival_split": _on(
+            A, lambda r, p: accident_reporter(unordered_reports(r), policy=SPLIT, order=ARRIVAL)
+        ),
         "job_speed_radar": job_query("SpeedRadar.csv"),
         "job_speed_control": job_query("AverageSpeedControl.csv"),
         "job_accidents": job_query("AccidentReporter.csv"),
@@ -218,6 +228,9 @@ y AS (SELECT vid, ws, count(*) FILTER (WHERE pos = fp) AS same, max(time) AS t2,
       FROM x GROUP BY vid, ws)
 SELECT f.t AS time1, t2 AS time2, vid, f.x AS xway, f.s AS seg, f.d AS dir, f.p AS pos FROM y WHERE same = 4"""
     avg_a = _crossings_sql(PR_A, 31000, "WHERE avg_speed > 60")
+    arrival = lambda sql: sql.replace("event_id AS seq", "(1048576 - event_id // 1024) * 1099511627776 + event_id % 1024 AS seq").replace(
+        "ORDER BY time, seq", "ORDER BY seq"
+    )
     return {
         "position_reports": f"WITH {PR_A} SELECT {_COLS} FROM pr",
         "position_reports_cadence": f"WITH {PR_B} SELECT {_COLS} FROM pr",
@@ -236,6 +249,10 @@ SELECT f.t AS time1, t2 AS time2, vid, f.x AS xway, f.s AS seg, f.d AS dir, f.p
         "average_speed_control_31s": _crossings_sql(PR_B, 31, "WHERE avg_speed > 60"),
         "stretch_crossings_mixed": _mixed_sql(""),
         "average_speed_control_mixed": _mixed_sql("WHERE avg_speed > 60"),
+        "average_speed_control_mixed_split": _mixed_sql("WHERE avg_speed > 60"),
+        "speed_radar_arrival": arrival(q1),
+        "accident_reporter_arrival": arrival(q3),
+        "accident_reporter_arrival_split": arrival(q3),
         "job_speed_radar": q1,
         "job_speed_control": avg_a,
         "job_accidents": q3,

@@ -11,6 +11,7 @@ import argparse
 
 from roadlens.config import Params
 from roadlens.plans.jobs import run_all, stream_all
+from roadlens.schema import ARRIVAL, ORDER
 from roadlens.session import build_session
 
 
@@ -22,6 +23,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--continuous", action="store_true", help="keep the stream running")
     ap.add_argument("--keep-open", action="store_true", help="drain, but leave open sessions to a later --stream run")
     ap.add_argument("--seconds", action="store_true", help="read `time` as seconds (gap 31 s)")
+    ap.add_argument("--arrival-order", action="store_true", help="batch: take a vehicle's reports as they arrived, not by time (radar, accidents)")
     ap.add_argument("--parser", choices=["strict", "csv", "parquet"], default="strict")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
@@ -36,7 +38,7 @@ def main(argv: list[str] | None = None) -> int:
         for q in queries:
             q.awaitTermination()
     else:
-        run_all(spark, args.input, args.output, params, parser=args.parser)
+        run_all(spark, args.input, args.output, params, parser=args.parser, order=ARRIVAL if args.arrival_order else ORDER)
     spark.stop()
     return 0
 

@@ -18,6 +18,13 @@ as ``pos`` rises, the fold is exactly "earliest arg-min / arg-max of pos" (swapp
 aggregates (per-segment min/max of ``pos``), so such sessions are decided by one grouped
 aggregate with map-side partial aggregation. Only sessions failing the check run the
 sequential fold, streamed over sorted rows with O(1) state (``mapInPandas``).
+
+With hot vehicles such a session is cut into blocks, and each block loses the rows that can
+change nothing, whatever the state before it (``prune``). In a run of one direction class
+``first`` only moves one way, so a row that an earlier row of the run is at least as low as
+(``dir == 0``: ``seg`` and ``pos`` not larger) never becomes ``first``; such a row surely reaches
+the second test, so behind it no row that is not higher becomes ``last``. What is left, in
+order, folds to the same entry and exit.
 """
 
 from __future__ import annotations
@@ -33,7 +40,7 @@ from roadlens.config import DEFAULT_SKEW, Params, SkewPolicy
 from roadlens.functions.fold import fold_endpoints_sql
 from roadlens.functions.predicates import in_stretch
 from roadlens.operators.sessions import sessionize_split
-from roadlens.plans.blocks import WHOLE, over
+from roadlens.plans.blocks import BLK, UPTO, WHOLE, over, split_hot
 
 _ROW = ("time", "seq", "xway", "dir", "seg", "pos")
 _ROW_TYPES = {
@@ -58,7 +65,7 @@ def _monotone(lo: int, hi: int) -> Column:
     return ok
 
 
-def _fold_factory(group: list[str], names: list[str]):
+def _fold_factory(group: list[str], names: list[str], counted: bool = False):
     """The exact sequential fold over rows sorted by (*group, time, seq), one row per group."""
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -69,11 +76,12 @@ def _fold_factory(group: list[str], names: list[str]):
         for pdf in batches:
             keys = list(zip(*[pdf[c].tolist() for c in group]))
             rows = list(zip(*[pdf[c].tolist() for c in _ROW]))
-            for k, r in zip(keys, rows):
+            sizes = pdf["_n"].tolist() if counted else [0] * len(rows)
+            for k, r, size in zip(keys, rows, sizes):
                 if k != key:
                     if key is not None:
                         out.append((*key, n, *first, *last))
-                    key, n, first, last = k, 0, r, r
+                    key, n, first, last = k, size, r, r
                 _, _, _, d, seg, pos = r
                 if d == 0:
                     if seg <= first[4] and pos < first[5]:
@@ -85,7 +93,7 @@ def _fold_factory(group: list[str], names: list[str]):
                         first = r
                     elif seg <= last[4] and pos < last[5]:
                         last = r
-                n += 1
+                n += not counted
             if len(out) >= 4096:
                 yield pd.DataFrame(out, columns=names)
                 out = []
@@ -97,6 +105,31 @@ def _fold_factory(group: list[str], names: list[str]):
     return fold
 
 
+def prune(rows: DataFrame, lo: int, hi: int, group: Sequence[str], policy: SkewPolicy = DEFAULT_SKEW) -> DataFrame:
+    """``rows`` of sessions (keys ``group``) without those that cannot change the fold, found block by block.
+
+    A block is a stretch of a large session in (time, seq) order; all of it is windows over
+    (session, block, run), so no task holds a session whole. Each session keeps its number of
+    rows as ``_n``.
+    """
+    cols = [*group, *[c for c in _ROW if c not in group]]
+    part, order = [*group, BLK], ["time", "seq"]
+    sizes = rows.groupBy(*group).agg(F.count("*").alias("_n"))
+    cut, split = split_hot(rows.select(*cols), list(group), "time", policy, "seq")
+    cut = cut if split else cut.withColumn(BLK, F.lit(-1).cast("bigint"))
+    # the mirror image of the other direction class: one rule for both
+    turned = cut.selectExpr("*", "dir = 0 AS _d", f"CASE WHEN dir = 0 THEN seg ELSE {lo + hi} - seg END AS _s", "CASE WHEN dir = 0 THEN 1L ELSE -1L END * pos AS _p")
+    runs = turned.selectExpr("*", f"CASE WHEN lag(_d) {over(part, order)} <> _d THEN 1 ELSE 0 END AS _c")
+    runs = runs.selectExpr("*", f"sum(_c) {over(part, order, UPTO)} AS _r")
+    before = over([*part, "_r"], order, "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING")
+    lows = runs.selectExpr("*", *[f"min(CASE WHEN _s <= {k} THEN _p END) {before} AS _low{k}" for k in range(lo, hi + 1)])
+    never_first = "coalesce(CASE _s " + " ".join(f"WHEN {k} THEN _low{k}" for k in range(lo, hi + 1)) + " END <= _p, FALSE)"
+    tested = lows.selectExpr(*cols, BLK, "_r", "_s", "_p", f"{never_first} AS _nf")
+    highs = tested.selectExpr("*", *[f"max(CASE WHEN _nf AND _s >= {k} THEN _p END) {before} AS _high{k}" for k in range(lo, hi + 1)])
+    never_last = "coalesce(CASE _s " + " ".join(f"WHEN {k} THEN _high{k}" for k in range(lo, hi + 1)) + " END >= _p, FALSE)"
+    return highs.where(f"NOT (_nf AND {never_last})").select(*cols).join(sizes, list(group))
+
+
 def exact_fold(rows: DataFrame, keys: Sequence[str] = ("vid",)) -> DataFrame:
     """Sequential fold per (keys, session_start): ``keys, session_start, n, first, last``.
 
@@ -112,12 +145,13 @@ def exact_fold(rows: DataFrame, keys: Sequence[str] = ("vid",)) -> DataFrame:
             *[T.StructField(f"l_{c}", _ROW_TYPES[c]) for c in _ROW],
         ]
     )
+    counted = "_n" in rows.columns  # pruned rows bring the session's size along
     sorted_rows = (
-        rows.select(*dict.fromkeys([*group, *_ROW]))
+        rows.select(*dict.fromkeys([*group, *_ROW]), *(["_n"] if counted else []))
         .repartition(*group)
         .sortWithinPartitions(*group, "time", "seq")
     )
-    folded = sorted_rows.mapInPandas(_fold_factory(group, schema.fieldNames()), schema=schema)
+    folded = sorted_rows.mapInPandas(_fold_factory(group, schema.fieldNames(), counted), schema=schema)
     return folded.select(
         *group,
         "n",
@@ -221,7 +255,7 @@ def session_endpoints(
     easy = agg.where(simple).select(*group, "n", first.alias("first"), last.alias("last"))
     hard_keys = agg.where(~simple).select(*group)
     hard_rows = s.join(hard_keys, on=group, how="left_semi")
-    return easy.unionByName(exact_fold(hard_rows, keys))
+    return easy.unionByName(exact_fold(prune(hard_rows, lo, hi, group, policy), keys))
 
 
 def stretch_crossings(

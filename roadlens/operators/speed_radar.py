@@ -61,15 +61,19 @@ def speed_radar(
     limit: int = SPEED_LIMIT,
     emit: str = "per_report",
     policy: SkewPolicy = DEFAULT_SKEW,
+    order: Sequence[str] = ORDER,
 ) -> DataFrame:
-    """``time, vid, xway, seg, dir, max_speed`` for every report with ``speed > limit``."""
-    fast = speeding(reports.select("time", "seq", "vid", "speed", "xway", "seg", "dir"), limit)
-    out = running_max(fast, "speed", emit=emit, policy=policy)
+    """``time, vid, xway, seg, dir, max_speed`` for every report with ``speed > limit``.
+
+    ``order=ARRIVAL`` takes a vehicle's reports strictly as they arrived, whatever their ``time``.
+    """
+    fast = speeding(reports.select(*dict.fromkeys(["time", "seq", *order, "vid", "speed", "xway", "seg", "dir"])), limit)
+    out = running_max(fast, "speed", order=order, emit=emit, policy=policy)
     return out.select(*SPEED_RADAR_COLS)
 
 
 def speed_radar_final(
-    reports: DataFrame, limit: int = SPEED_LIMIT, policy: SkewPolicy = DEFAULT_SKEW
+    reports: DataFrame, limit: int = SPEED_LIMIT, policy: SkewPolicy = DEFAULT_SKEW, order: Sequence[str] = ORDER
 ) -> DataFrame:
     """One row per speeding vehicle: the last row ``speed_radar`` emits for it."""
-    return speed_radar(reports, limit, emit="final", policy=policy)
+    return speed_radar(reports, limit, emit="final", policy=policy, order=order)

@@ -40,7 +40,7 @@ def count_window(
     Adds ``_n`` (rows in the window), ``_first`` (struct of the window's first report),
     ``_min_pos`` and ``_max_pos``; the current report is the window's last.
     """
-    cols = list(dict.fromkeys([*keys, *order, "vid", "xway", "seg", "dir", "pos"]))
+    cols = list(dict.fromkeys([*keys, *order, "time", "vid", "xway", "seg", "dir", "pos"]))
     exprs = {
         "_n": "count(1)",
         "_first": f"first(struct({', '.join(_HEAD)}))",
@@ -51,10 +51,10 @@ def count_window(
 
 
 def count_window_firings(
-    reports: DataFrame, size: int = STOP_REPORTS, policy: SkewPolicy = DEFAULT_SKEW
+    reports: DataFrame, size: int = STOP_REPORTS, policy: SkewPolicy = DEFAULT_SKEW, order: Sequence[str] = ORDER
 ) -> DataFrame:
     """``vid, time1, time2, n, pos1, pos2``: size, first and last report of every firing."""
-    cw = count_window(reports, size, policy=policy)
+    cw = count_window(reports, size, order=order, policy=policy)
     return cw.selectExpr(
         "vid", "_first.time AS time1", "time AS time2", "CAST(_n AS BIGINT) AS n",
         "_first.pos AS pos1", "pos AS pos2",
@@ -66,11 +66,13 @@ def accident_reporter(
     size: int = STOP_REPORTS,
     keys: Sequence[str] = ("vid",),
     policy: SkewPolicy = DEFAULT_SKEW,
+    order: Sequence[str] = ORDER,
 ) -> DataFrame:
     """``time1, time2, vid, xway, seg, dir, pos`` for every ``size`` reports in a row at one
     position; all fields but ``time2`` come from the first of them. A stop of k >= size
-    reports emits k - size + 1 rows. Extra ``keys`` (e.g. xway, dir) narrow the match."""
-    cw = count_window(reports, size, keys=keys, policy=policy)
+    reports emits k - size + 1 rows. Extra ``keys`` (e.g. xway, dir) narrow the match;
+    ``order=ARRIVAL`` counts reports as they arrived, whatever their ``time``."""
+    cw = count_window(reports, size, keys=keys, order=order, policy=policy)
     hit = cw.where(f"_n = {int(size)} AND _min_pos = _max_pos")
     return hit.selectExpr(
         "_first.time AS time1", "time AS time2", "vid", "_first.xway AS xway",

@@ -24,6 +24,7 @@ REPORT_SCHEMA = T.StructType(
 # appears in an output.
 SEQ = "seq"
 ORDER = ("time", SEQ)
+ARRIVAL = (SEQ,)  # strict arrival order
 
 SPEED_RADAR_COLS = ("time", "vid", "xway", "seg", "dir", "max_speed")
 SPEED_CONTROL_COLS = ("time1", "time2", "vid", "xway", "dir", "avg_speed")

@@ -126,6 +126,11 @@ def mixed_reports(reports: DataFrame) -> DataFrame:
     )
 
 
+def unordered_reports(reports: DataFrame) -> DataFrame:
+    """The reports in another order of arrival: the last 1,024 first, and so on; ``time`` falls along ``seq``."""
+    return reports.withColumn("seq", F.expr("(1048576 - seq div 1024) * 1099511627776 + seq % 1024"))
+
+
 def load_reports(
     spark: SparkSession, sf_dir: str, clock: str = "event", policy: SkewPolicy = DEFAULT_SKEW
 ) -> DataFrame:
