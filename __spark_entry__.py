@@ -117,6 +117,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_average_speed_control": runners.stream_average_speed_control_query,
         "stream_average_speed_control_mixed": runners.stream_average_speed_control_mixed_query,
         "stream_accident_reporter_sliding": runners.stream_accident_reporter_sliding_query,
+        "stream_late_reports": runners.stream_late_reports_query,
+        "stream_late_dropped": runners.stream_late_dropped_query,
     } | (_corpus.queries() if _corpus else {})
 
 
@@ -179,24 +181,57 @@ pr AS (SELECT seq, time, vid, speed, xway, lane, CAST(seq % 3 % 2 AS INT) AS dir
        FROM pa)"""
 
 
+_FOLD = """list_reduce(list(struct_pack(f:=e, l:=e) ORDER BY {order}), lambda a, r: CASE
+          WHEN (r.f.d = 0 AND r.f.s <= a.f.s AND r.f.p < a.f.p) OR (r.f.d <> 0 AND r.f.s >= a.f.s AND r.f.p > a.f.p)
+            THEN struct_pack(f:=r.f, l:=a.l)
+          WHEN (r.f.d = 0 AND r.f.s >= a.l.s AND r.f.p > a.l.p) OR (r.f.d <> 0 AND r.f.s <= a.l.s AND r.f.p < a.l.p)
+            THEN struct_pack(f:=a.f, l:=r.f)
+          ELSE a END)"""
+_FOLDED = """SELECT z.f.t AS time1, z.l.t AS time2, vid, z.f.x AS xway, z.f.d AS dir,
+             (abs(z.f.p - z.l.p) / ((n - 1) * 30.0::DOUBLE)) * 2.23694::DOUBLE AS avg_speed
+      FROM a WHERE (z.f.s = 52 AND z.l.s = 56) OR (z.f.s = 56 AND z.l.s = 52)"""
+
+
 def _mixed_sql(limit: str) -> str:
     """The fold row by row; ``f`` and ``l`` are the entry and exit reports so far."""
     return f"""WITH {PR_C},{_sessions_sql(31000)},
 row_ends AS (SELECT *, struct_pack(t:=time, x:=xway, d:=dir, s:=seg, p:=pos) e FROM h),
 a AS (SELECT vid, sid, count(*) n,
-        list_reduce(list(struct_pack(f:=e, l:=e) ORDER BY time, seq), lambda a, r: CASE
-          WHEN (r.f.d = 0 AND r.f.s <= a.f.s AND r.f.p < a.f.p) OR (r.f.d <> 0 AND r.f.s >= a.f.s AND r.f.p > a.f.p)
-            THEN struct_pack(f:=r.f, l:=a.l)
-          WHEN (r.f.d = 0 AND r.f.s >= a.l.s AND r.f.p > a.l.p) OR (r.f.d <> 0 AND r.f.s <= a.l.s AND r.f.p < a.l.p)
-            THEN struct_pack(f:=a.f, l:=r.f)
-          ELSE a END) z
+        {_FOLD.format(order="time, seq")} z
       FROM row_ends GROUP BY vid, sid),
-r AS (SELECT z.f.t AS time1, z.l.t AS time2, vid, z.f.x AS xway, z.f.d AS dir,
-             (abs(z.f.p - z.l.p) / ((n - 1) * 30.0::DOUBLE)) * 2.23694::DOUBLE AS avg_speed
-      FROM a WHERE (z.f.s = 52 AND z.l.s = 56) OR (z.f.s = 56 AND z.l.s = 52))
+r AS ({_FOLDED})
 SELECT * FROM r {limit}"""
 
 
+def _late_sql(result: str, gap: int = 31) -> str:
+    """Chunk by chunk: the reports of open sessions and the new ones are merged, then judged by their session."""
+    from roadlens.streaming.runners import LATE_CHUNKS, arrival_chunk
+
+    cols = "vid, time, seq, xway, dir, seg, pos, arrived"
+    sql = f"""WITH {PR_B},
+arr AS MATERIALIZED (SELECT *, CAST({arrival_chunk()} AS BIGINT) AS arrived FROM pr WHERE seg BETWEEN 52 AND 56)"""
+    for b in range(LATE_CHUNKS):
+        held = f" UNION ALL SELECT {cols} FROM s{b - 1} WHERE status = 'open'" if b else ""
+        sql += f""",
+a{b} AS (SELECT {cols} FROM arr WHERE arrived = {b}{held}),
+g{b} AS (SELECT *, CASE WHEN time - lag(time) OVER (PARTITION BY vid ORDER BY time, seq) <= {gap} THEN 0 ELSE 1 END brk FROM a{b}),
+h{b} AS (SELECT *, sum(brk) OVER (PARTITION BY vid ORDER BY time, seq ROWS UNBOUNDED PRECEDING) sid FROM g{b}),
+e{b} AS (SELECT *, max(time) OVER (PARTITION BY vid, sid) + {gap} AS until FROM h{b}),
+s{b} AS MATERIALIZED (SELECT *, CASE WHEN until <= (SELECT max(time) FROM arr WHERE arrived < {b}) THEN 'late'
+                      WHEN until <= (SELECT max(time) FROM arr WHERE arrived <= {b}) THEN 'closed' ELSE 'open' END AS status FROM e{b})"""
+    closed = " UNION ALL ".join(
+        f"SELECT {b} AS b, * FROM s{b} WHERE status = 'closed'{' OR status = ' + chr(39) + 'open' + chr(39) if b == LATE_CHUNKS - 1 else ''}"
+        for b in range(LATE_CHUNKS)
+    )
+    dropped = " UNION ALL ".join(f"SELECT * FROM s{b} WHERE status = 'late'" for b in range(LATE_CHUNKS))
+    return sql + f""",
+dropped AS ({dropped}),
+fin AS (SELECT *, struct_pack(t:=time, x:=xway, d:=dir, s:=seg, p:=pos) e FROM ({closed})),
+a AS (SELECT b, vid, sid, count(*) n, {_FOLD.format(order="arrived, seq")} z FROM fin GROUP BY b, vid, sid),
+r AS ({_FOLDED})
+{result}"""
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL per query name (same column names and types as the Spark result)."""
     q1 = f"""WITH {PR_A}
@@ -263,4 +298,6 @@ SELECT f.t AS time1, t2 AS time2, vid, f.x AS xway, f.s AS seg, f.d AS dir, f.p
         "stream_average_speed_control": avg_a,
         "stream_average_speed_control_mixed": _mixed_sql("WHERE avg_speed > 60"),
         "stream_accident_reporter_sliding": sliding,
+        "stream_late_reports": _late_sql("SELECT * FROM r WHERE avg_speed > 60"),
+        "stream_late_dropped": _late_sql("SELECT vid, time, seq, arrived FROM dropped"),
     } | (_corpus.oracle_sql() if _corpus else {})

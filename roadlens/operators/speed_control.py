@@ -41,6 +41,7 @@ from roadlens.functions.fold import fold_endpoints_sql
 from roadlens.functions.predicates import in_stretch
 from roadlens.operators.sessions import sessionize_split
 from roadlens.plans.blocks import BLK, UPTO, WHOLE, over, split_hot
+from roadlens.schema import ORDER
 
 _ROW = ("time", "seq", "xway", "dir", "seg", "pos")
 _ROW_TYPES = {
@@ -105,17 +106,19 @@ def _fold_factory(group: list[str], names: list[str], counted: bool = False):
     return fold
 
 
-def prune(rows: DataFrame, lo: int, hi: int, group: Sequence[str], policy: SkewPolicy = DEFAULT_SKEW) -> DataFrame:
+def prune(
+    rows: DataFrame, lo: int, hi: int, group: Sequence[str], policy: SkewPolicy = DEFAULT_SKEW, order: Sequence[str] = ORDER
+) -> DataFrame:
     """``rows`` of sessions (keys ``group``) without those that cannot change the fold, found block by block.
 
-    A block is a stretch of a large session in (time, seq) order; all of it is windows over
+    A block is a stretch of a large session in ``order`` (two columns); all of it is windows over
     (session, block, run), so no task holds a session whole. Each session keeps its number of
     rows as ``_n``.
     """
-    cols = [*group, *[c for c in _ROW if c not in group]]
-    part, order = [*group, BLK], ["time", "seq"]
+    cols = list(dict.fromkeys([*group, *order, *_ROW]))
+    part = [*group, BLK]
     sizes = rows.groupBy(*group).agg(F.count("*").alias("_n"))
-    cut, split = split_hot(rows.select(*cols), list(group), "time", policy, "seq")
+    cut, split = split_hot(rows.select(*cols), list(group), order[0], policy, order[1])
     cut = cut if split else cut.withColumn(BLK, F.lit(-1).cast("bigint"))
     # the mirror image of the other direction class: one rule for both
     turned = cut.selectExpr("*", "dir = 0 AS _d", f"CASE WHEN dir = 0 THEN seg ELSE {lo + hi} - seg END AS _s", "CASE WHEN dir = 0 THEN 1L ELSE -1L END * pos AS _p")
@@ -130,7 +133,7 @@ def prune(rows: DataFrame, lo: int, hi: int, group: Sequence[str], policy: SkewP
     return highs.where(f"NOT (_nf AND {never_last})").select(*cols).join(sizes, list(group))
 
 
-def exact_fold(rows: DataFrame, keys: Sequence[str] = ("vid",)) -> DataFrame:
+def exact_fold(rows: DataFrame, keys: Sequence[str] = ("vid",), order: Sequence[str] = ORDER) -> DataFrame:
     """Sequential fold per (keys, session_start): ``keys, session_start, n, first, last``.
 
     Rows of a session meet in one task, sorted, and are streamed through the fold with O(1)
@@ -147,9 +150,9 @@ def exact_fold(rows: DataFrame, keys: Sequence[str] = ("vid",)) -> DataFrame:
     )
     counted = "_n" in rows.columns  # pruned rows bring the session's size along
     sorted_rows = (
-        rows.select(*dict.fromkeys([*group, *_ROW]), *(["_n"] if counted else []))
+        rows.select(*dict.fromkeys([*group, *order, *_ROW]), *(["_n"] if counted else []))
         .repartition(*group)
-        .sortWithinPartitions(*group, "time", "seq")
+        .sortWithinPartitions(*group, *order)
     )
     folded = sorted_rows.mapInPandas(_fold_factory(group, schema.fieldNames(), counted), schema=schema)
     return folded.select(
@@ -226,6 +229,24 @@ def session_endpoints(
     s, split = sessionize_split(on_stretch, params.gap_units, keys, policy=policy)
     if exact and not split:
         return _endpoints_unsplit(s, lo, hi, keys)
+    return endpoints_split(s, lo, hi, keys, exact, policy)
+
+
+def endpoints_split(
+    s: DataFrame,
+    lo: int,
+    hi: int,
+    keys: Sequence[str] = ("vid",),
+    exact: bool = True,
+    policy: SkewPolicy = DEFAULT_SKEW,
+    order: Sequence[str] = ORDER,
+) -> DataFrame:
+    """Endpoints of sessions of any size, ``s`` with ``session_start``; reports are folded in ``order``.
+
+    One grouped aggregate with map-side partial aggregation decides the sessions that pass the check;
+    the others are pruned (unless ``policy`` is off: no vehicle is hot) and folded row by row.
+    """
+    group = [*keys, "session_start"]
     if exact:
         # The same null test the semi join below would infer, stated once before the branches
         # split: both branches then share one plan and Spark reuses its shuffle output.
@@ -236,8 +257,8 @@ def session_endpoints(
     neg_pos = -F.col("pos").cast("bigint")
     aggs = [
         F.count(F.lit(1)).alias("n"),
-        F.min_by(_row(), F.struct(F.col("pos"), F.col("time"), F.col("seq"))).alias("_amin"),
-        F.min_by(_row(), F.struct(neg_pos, F.col("time"), F.col("seq"))).alias("_amax"),
+        F.min_by(_row(), F.struct("pos", *order)).alias("_amin"),
+        F.min_by(_row(), F.struct(neg_pos, *order)).alias("_amax"),
         F.count(F.when(F.col("dir") == 0, F.lit(1))).alias("_nfwd"),
     ]
     if exact:
@@ -255,7 +276,9 @@ def session_endpoints(
     easy = agg.where(simple).select(*group, "n", first.alias("first"), last.alias("last"))
     hard_keys = agg.where(~simple).select(*group)
     hard_rows = s.join(hard_keys, on=group, how="left_semi")
-    return easy.unionByName(exact_fold(prune(hard_rows, lo, hi, group, policy), keys))
+    if policy.enabled:  # some vehicle may be hot
+        hard_rows = prune(hard_rows, lo, hi, group, policy, order)
+    return easy.unionByName(exact_fold(hard_rows, keys, order))
 
 
 def stretch_crossings(
@@ -267,8 +290,12 @@ def stretch_crossings(
 ) -> DataFrame:
     """Sessions whose entry and exit reports lie on the two end segments, with their
     average speed (before the ``avg_speed > limit`` test)."""
+    return crossings(session_endpoints(reports, params, exact, policy, keys), params)
+
+
+def crossings(ep: DataFrame, params: Params = Params()) -> DataFrame:
+    """The crossings among session endpoints, with their average speed."""
     lo, hi = params.lo_seg, params.hi_seg
-    ep = session_endpoints(reports, params, exact, policy, keys)
     crossed = (
         f"(first.seg = {lo} AND last.seg = {hi}) OR (first.seg = {hi} AND last.seg = {lo})"
     )

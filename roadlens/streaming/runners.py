@@ -21,6 +21,7 @@ from roadlens.config import Params
 from roadlens.operators.stopped import stopped_sliding
 from roadlens.session import checkpoint_root
 from roadlens.sources.events_view import load_reports, mixed_reports
+from roadlens.streaming.late import LateSpeedControl, stream_late_speed_control
 from roadlens.streaming.operators import (
     stream_accident_reporter,
     stream_average_speed_control,
@@ -143,3 +144,33 @@ def stream_accident_reporter_sliding_query(spark: SparkSession, sf_dir: str) ->
         "sliding",
         flush_seg=52,
     )
+
+
+LATE_CHUNKS = 8
+
+
+def arrival_chunk(chunks: int = LATE_CHUNKS) -> str:
+    """SQL: the chunk in which a report of view B arrives -- one in 600 s of ``time``, and some reports one or two later."""
+    return f"least({chunks - 1}, CAST(floor(time / 600) AS INT) + CASE WHEN seq % 8 = 3 THEN 1 WHEN seq % 16 = 5 THEN 2 ELSE 0 END)"
+
+
+def late_run(spark: SparkSession, sf_dir: str) -> LateSpeedControl:
+    """View B in chunks of arrival, of which some reports come late; each chunk is one micro-batch."""
+    base = run_folder(spark, "late")
+    staged = stage_view(spark, load_reports(spark, sf_dir, clock="cadence"), f"{base}/view")
+    operator = LateSpeedControl(spark, f"{base}/state", Params(time_unit="s"))
+    for chunk in range(LATE_CHUNKS):
+        part = staged.where(f"{arrival_chunk()} = {chunk}")
+        part.write.mode("append").parquet(f"{base}/source")
+        query = stream_late_speed_control(spark.readStream.schema(staged.schema).parquet(f"{base}/source"), operator, f"{base}/checkpoint")
+        query.awaitTermination()
+    operator.finish()
+    return operator
+
+
+def stream_late_reports_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return late_run(spark, sf_dir).crossings()
+
+
+def stream_late_dropped_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return late_run(spark, sf_dir).late().select("vid", "time", "seq", "arrived")
