@@ -46,7 +46,7 @@ PERCENT = 80
 ROWS = 6
 BANDS = 45
 PAYS = 10
-SETS = 16 << 20  # bytes of full sets that are broadcast
+SETS = 8 << 20  # bytes of full sets that are broadcast
 BLOCK = 1 << 17  # bytes of text in work at a time
 TEXTS = 1024  # texts signed at a time
 SKETCH = 16  # words of 64 signature values; two bits of each are kept, in two words

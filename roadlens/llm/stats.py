@@ -10,6 +10,8 @@ import pyarrow as pa
 from roadlens.llm.common import text_blocks
 from roadlens.llm.words import find_words, lower_ascii, word_hashes
 
+BLOCK = 1 << 17  # bytes of text in work at a time: work arrays are many times as large
+
 NAMES = (
     "words", "chars", "word_length", "upper", "digit", "punctuation", "symbol", "bar", "exclaim", "line_words",
     "lines", "short_lines", "repeated_lines", "distinct_words", "top_word", "upper_words", "ends_sentence", "non_ascii",
@@ -51,7 +53,7 @@ def _distinct(keys: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def text_stats(col: pa.Array) -> Iterator[np.ndarray]:
     """Blocks of rows x ``NAMES``; null and empty texts are all 0."""
-    for _, _, data, offsets in text_blocks(col):
+    for _, _, data, offsets in text_blocks(col, BLOCK):
         n = len(offsets) - 1
         kinds = [_per_text(_KINDS[:, k][data], offsets) for k in range(9)]
         chars = np.diff(offsets).astype(float) - _per_text((data & 0xC0) == 0x80, offsets)
