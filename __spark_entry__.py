@@ -30,8 +30,8 @@ from roadlens.operators.speed_radar import speed_radar, speed_radar_final
 from roadlens.operators.stopped import accident_reporter, count_window_firings, stopped_sliding
 from roadlens.functions.predicates import in_stretch, speeding
 from roadlens.schema import ARRIVAL
-from roadlens.sources.events_view import load_reports_and_policy, mixed_reports, unordered_reports
-from roadlens.sources.reports import lines_to_reports, reports_to_lines
+from roadlens.sources.events_view import load_reports_and_policy, mixed_reports, spoiled_lines, unordered_reports
+from roadlens.sources.reports import lines_to_reports, marked_lines, reports_to_lines, without_nulls
 
 try:  # the corpus operators are an optional part: without their folders the rest stands alone
     import roadlens.llm.queries as _corpus
@@ -84,6 +84,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "speeding_reports": _on(A, lambda r, p: speeding(r).select(*REPORT_COLS)),
         "stretch_reports": _on(A, lambda r, p: in_stretch(r).select(*REPORT_COLS)),
         "count_window_4_1": _on(A, lambda r, p: count_window_firings(r, policy=p)),
+        "count_window_4_2": _on(A, lambda r, p: count_window_firings(r, 4, policy=p, slide=2)),
+        "count_window_3_5": _on(A, lambda r, p: count_window_firings(r, 3, policy=p, slide=5)),
+        "count_window_3_5_split": _on(A, lambda r, p: count_window_firings(r, 3, policy=SPLIT, slide=5)),
+        "parse_quarantine": _on(A, lambda r, p: without_nulls(marked_lines(spoiled_lines(r)))),
         "accident_reporter": _on(A, lambda r, p: accident_reporter(r, policy=p)),
         "speed_radar": _on(A, lambda r, p: speed_radar(r, policy=p)),
         "speed_radar_final": _on(A, lambda r, p: speed_radar_final(r, policy=p)),
@@ -119,6 +123,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_accident_reporter_sliding": runners.stream_accident_reporter_sliding_query,
         "stream_late_reports": runners.stream_late_reports_query,
         "stream_late_dropped": runners.stream_late_dropped_query,
+        "stream_speed_radar_hot": runners.carried_radar_query(SPLIT),
+        "stream_accident_reporter_hot": runners.carried_accident_query(SPLIT),
+        "stream_count_window_4_2": runners.carried_count_window_query(4, 2),
+        "stream_count_window_3_5_hot": runners.carried_count_window_query(3, 5, SPLIT),
+        "stream_steps_back": runners.stream_steps_back_query,
+        "stream_parse_quarantine": runners.stream_parse_quarantine_query,
     } | (_corpus.queries() if _corpus else {})
 
 
@@ -232,6 +242,31 @@ r AS ({_FOLDED})
 {result}"""
 
 
+def _steps_back_sql() -> str:
+    from roadlens.streaming.runners import arrival_chunk
+
+    return f"""WITH {PR_B},
+arr AS (SELECT time, seq, CAST({arrival_chunk()} AS INT) AS batch FROM pr),
+o AS (SELECT batch, time, max(time) OVER (ORDER BY batch, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM arr)
+SELECT count(*) FILTER (WHERE time < before) AS steps_back, count(*) AS reports, batch FROM o GROUP BY batch"""
+
+
+_FIELDS = {"time": "INT", "vid": "BIGINT", "speed": "INT", "xway": "INT", "lane": "INT", "dir": "INT", "seg": "INT", "pos": "INT"}
+_READ = {n: f"TRY_CAST(ltrim(split_part(line, ',', {i + 1}), '+') AS {t})" for i, (n, t) in enumerate(_FIELDS.items())}
+_QUARANTINE = f"""WITH {PR_A},
+l AS (SELECT seq, concat_ws(',', {', '.join(_FIELDS)}) AS l, substr(l, instr(l, ',')) AS rest FROM pr),
+s AS (SELECT seq, CASE seq % 16
+        WHEN 1 THEN l || ',9' WHEN 2 THEN l || ',' WHEN 3 THEN '+' || l
+        WHEN 4 THEN regexp_extract(l, '^([^,]*,){{6}}[^,]*') WHEN 5 THEN '' WHEN 6 THEN 'time,vid,speed,xway,lane,dir,seg,pos'
+        WHEN 7 THEN '1,' || rest WHEN 8 THEN ' ' || l WHEN 9 THEN '2147483648' || rest
+        WHEN 10 THEN '"1"' || rest WHEN 11 THEN regexp_extract(l, '^([^,]*,){{7}}') WHEN 12 THEN NULL
+        ELSE l END AS line FROM l),
+g AS (SELECT *, coalesce(regexp_full_match(line, '[+-]?[0-9]+(,[+-]?[0-9]+){{7}}(,.*)?'), FALSE)
+             AND {' AND '.join(f'{e} IS NOT NULL' for e in _READ.values())} AS good FROM s)
+SELECT seq, coalesce(line, '<null>') AS line, good,
+       {', '.join(f'CASE WHEN good THEN {e} ELSE 0 END AS {n}' for n, e in _READ.items())} FROM g"""
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL per query name (same column names and types as the Spark result)."""
     q1 = f"""WITH {PR_A}
@@ -253,6 +288,11 @@ h AS (SELECT *, count(*) OVER w n, min(pos) OVER w mn, max(pos) OVER w mx, first
              first_value(xway) OVER w fx, first_value(seg) OVER w fs, first_value(dir) OVER w fd
       FROM pr WINDOW w AS (PARTITION BY vid ORDER BY time, seq ROWS BETWEEN 3 PRECEDING AND CURRENT ROW))
 SELECT t1 AS time1, time AS time2, vid, fx AS xway, fs AS seg, fd AS dir, pos FROM h WHERE n = 4 AND mn = mx"""
+    slid = lambda size, slide: f"""WITH {PR_A},
+w AS (SELECT vid, first_value(time) OVER w AS time1, time AS time2, count(*) OVER w AS n,
+             first_value(pos) OVER w AS pos1, pos AS pos2, row_number() OVER (PARTITION BY vid ORDER BY time, seq) AS k
+      FROM pr WINDOW w AS (PARTITION BY vid ORDER BY time, seq ROWS BETWEEN {size - 1} PRECEDING AND CURRENT ROW))
+SELECT vid, time1, time2, n, pos1, pos2 FROM w WHERE k % {slide} = 0"""
     sess = f"""WITH {PR_A},{_sessions_sql(31000)}
 SELECT vid, min(time) AS session_start, max(time) AS session_end, count(*) AS n FROM h GROUP BY vid, sid"""
     sliding = f"""WITH {PR_B},
@@ -273,6 +313,10 @@ SELECT f.t AS time1, t2 AS time2, vid, f.x AS xway, f.s AS seg, f.d AS dir, f.p
         "speeding_reports": f"WITH {PR_A} SELECT {_COLS} FROM pr WHERE speed > 90",
         "stretch_reports": f"WITH {PR_A} SELECT {_COLS} FROM pr WHERE seg BETWEEN 52 AND 56",
         "count_window_4_1": cw,
+        "count_window_4_2": slid(4, 2),
+        "count_window_3_5": slid(3, 5),
+        "count_window_3_5_split": slid(3, 5),
+        "parse_quarantine": _QUARANTINE,
         "accident_reporter": q3,
         "speed_radar": q1,
         "speed_radar_final": q1_final,
@@ -300,4 +344,10 @@ SELECT f.t AS time1, t2 AS time2, vid, f.x AS xway, f.s AS seg, f.d AS dir, f.p
         "stream_accident_reporter_sliding": sliding,
         "stream_late_reports": _late_sql("SELECT * FROM r WHERE avg_speed > 60"),
         "stream_late_dropped": _late_sql("SELECT vid, time, seq, arrived FROM dropped"),
+        "stream_speed_radar_hot": q1,
+        "stream_accident_reporter_hot": q3,
+        "stream_count_window_4_2": slid(4, 2),
+        "stream_count_window_3_5_hot": slid(3, 5),
+        "stream_steps_back": _steps_back_sql(),
+        "stream_parse_quarantine": _QUARANTINE,
     } | (_corpus.oracle_sql() if _corpus else {})

@@ -22,7 +22,7 @@ from roadlens.config import (
     SkewPolicy,
 )
 from roadlens.functions.predicates import event_time
-from roadlens.plans.blocks import trailing
+from roadlens.plans.blocks import running, trailing
 from roadlens.schema import ACCIDENT_COLS, ORDER
 
 _HEAD = ("time", "xway", "seg", "dir", "pos")
@@ -50,15 +50,34 @@ def count_window(
     return trailing(reports.select(*cols), list(keys), list(order), size - 1, exprs, policy=policy)
 
 
+def every_slide(cw: DataFrame, slide: int, keys: Sequence[str], order: Sequence[str], policy: SkewPolicy) -> DataFrame:
+    """The rows of ``count_window`` at which a window of ``slide`` fires: every ``slide``-th report of its
+    key, counted from the first. The ordinal is a running count, so a hot key's blocks carry it on."""
+    if slide < 1:
+        raise ValueError("slide must be >= 1")
+    if slide == 1:
+        return cw
+    counted = running(cw, list(keys), list(order), {"_ordinal": ("count", None)}, policy=policy)
+    return counted.where(f"_ordinal % {int(slide)} = 0").drop("_ordinal")
+
+
 def count_window_firings(
-    reports: DataFrame, size: int = STOP_REPORTS, policy: SkewPolicy = DEFAULT_SKEW, order: Sequence[str] = ORDER
+    reports: DataFrame,
+    size: int = STOP_REPORTS,
+    policy: SkewPolicy = DEFAULT_SKEW,
+    order: Sequence[str] = ORDER,
+    slide: int = 1,
 ) -> DataFrame:
-    """``vid, time1, time2, n, pos1, pos2``: size, first and last report of every firing."""
+    """``vid, time1, time2, n, pos1, pos2``: size, first and last report of every firing of the count
+    window (``size``, ``slide``): after every ``slide`` reports of a vehicle, with its last ``size`` (or
+    fewer) ones. ``slide > size`` leaves reports between two windows out."""
     cw = count_window(reports, size, order=order, policy=policy)
-    return cw.selectExpr(
-        "vid", "_first.time AS time1", "time AS time2", "CAST(_n AS BIGINT) AS n",
-        "_first.pos AS pos1", "pos AS pos2",
-    )
+    return every_slide(cw, slide, ["vid"], order, policy).selectExpr(*FIRING)
+
+
+FIRING = (
+    "vid", "_first.time AS time1", "time AS time2", "CAST(_n AS BIGINT) AS n", "_first.pos AS pos1", "pos AS pos2",
+)
 
 
 def accident_reporter(
@@ -72,8 +91,12 @@ def accident_reporter(
     position; all fields but ``time2`` come from the first of them. A stop of k >= size
     reports emits k - size + 1 rows. Extra ``keys`` (e.g. xway, dir) narrow the match;
     ``order=ARRIVAL`` counts reports as they arrived, whatever their ``time``."""
-    cw = count_window(reports, size, keys=keys, order=order, policy=policy)
-    hit = cw.where(f"_n = {int(size)} AND _min_pos = _max_pos")
+    return stops(count_window(reports, size, keys=keys, order=order, policy=policy), size)
+
+
+def stops(windows: DataFrame, size: int) -> DataFrame:
+    """The rows of ``count_window`` that hold ``size`` reports at one position, as accidents."""
+    hit = windows.where(f"_n = {int(size)} AND _min_pos = _max_pos")
     return hit.selectExpr(
         "_first.time AS time1", "time AS time2", "vid", "_first.xway AS xway",
         "_first.seg AS seg", "_first.dir AS dir", "_first.pos AS pos",

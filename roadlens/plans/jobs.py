@@ -25,15 +25,16 @@ from roadlens.operators.speed_radar import speed_radar
 from roadlens.operators.stopped import accident_reporter
 from roadlens.schema import ORDER, REPORT_FIELDS
 from roadlens.session import checkpoint_root
+from roadlens.sources.folders import delete
 from roadlens.sources.reports import lines_to_reports, read_reports
-from roadlens.sources.sinks import write_csv
+from roadlens.sources.sinks import write_all
 
 OUTPUTS = ("SpeedRadar.csv", "AverageSpeedControl.csv", "AccidentReporter.csv")
 
 
-def stage_reports(spark: SparkSession, reports: DataFrame) -> DataFrame:
-    """Write parsed reports as parquet in a fresh folder of the checkpoint dir; read back."""
-    folder = f"{checkpoint_root(spark)}/roadlens-staged/{uuid.uuid4().hex}"
+def stage_reports(spark: SparkSession, reports: DataFrame, folder: str | None = None) -> DataFrame:
+    """Write parsed reports as parquet in ``folder`` (a fresh one of the checkpoint dir); read back."""
+    folder = folder or f"{checkpoint_root(spark)}/roadlens-staged/{uuid.uuid4().hex}"
     reports.select("seq", *REPORT_FIELDS).write.parquet(folder)
     return spark.read.parquet(folder)
 
@@ -51,20 +52,26 @@ def run_all(
 ) -> dict[str, str]:
     """Batch job: the three queries (or those of ``outputs``) over the reports at ``in_path``;
     returns output paths. ``order=ARRIVAL`` makes the speed radar and the accident reporter take
-    reports as they arrived; sessions are by ``time`` in any case."""
+    reports as they arrived; sessions are by ``time`` in any case. The outputs are one commit
+    (``sinks.write_all``): a failure leaves none of them behind. The staged copy is removed at the end."""
     reports = read_reports(spark, in_path, parser=parser)
-    if stage and parser != "parquet":  # a parquet input is already a columnar table
-        reports = stage_reports(spark, reports)
+    staged = f"{checkpoint_root(spark)}/roadlens-staged/{uuid.uuid4().hex}"
+    try:
+        if stage and parser != "parquet":  # a parquet input is already a columnar table
+            reports = stage_reports(spark, reports, staged)
+        return _write_outputs(spark, reports, out_prefix, params, policy, outputs, order)
+    finally:
+        delete(spark, staged)
+
+
+def _write_outputs(spark, reports, out_prefix, params, policy, outputs, order) -> dict[str, str]:
     policy = checked_policy(reports, ["vid"], "time", policy)  # one check for all three queries
     plans = {
         "SpeedRadar.csv": lambda: speed_radar(reports, params.speed_limit, policy=policy, order=order),
         "AverageSpeedControl.csv": lambda: average_speed_control(reports, params, policy=policy),
         "AccidentReporter.csv": lambda: accident_reporter(reports, params.stop_reports, policy=policy, order=order),
     }
-    out = {name: f"{out_prefix.rstrip('/')}/{name}" for name in outputs}
-    for name, path in out.items():
-        write_csv(plans[name](), path)
-    return out
+    return write_all(spark, {name: plans[name] for name in outputs}, out_prefix)
 
 
 END_TIME = 2**31 - 1  # largest `time` a report can have

@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from roadlens.config import DEFAULT_SKEW, SkewPolicy
 from roadlens.plans.blocks import hot_key_table, running
+from roadlens.sources.reports import reports_to_lines
 
 # Fixed values of the view (shared with the DuckDB oracle text in __spark_entry__.py):
 #   epoch 2024-01-01 00:00:00 UTC = 1704067200 s; stop pattern: 6-report cycle, 3 moving
@@ -131,6 +132,18 @@ def unordered_reports(reports: DataFrame) -> DataFrame:
     return reports.withColumn("seq", F.expr("(1048576 - seq div 1024) * 1099511627776 + seq % 1024"))
 
 
+def spoiled_lines(reports: DataFrame) -> DataFrame:
+    """Text lines of the reports (``seq, value``), of which two thirds are changed: extra fields and signs that
+    the parser takes, and lines that it refuses."""
+    line = reports_to_lines(reports).selectExpr("seq", "value AS l", "substr(value, locate(',', value)) AS rest")
+    return line.selectExpr("seq", """CASE seq % 16
+        WHEN 1 THEN concat(l, ',9') WHEN 2 THEN concat(l, ',') WHEN 3 THEN concat('+', l)
+        WHEN 4 THEN substring_index(l, ',', 7) WHEN 5 THEN '' WHEN 6 THEN 'time,vid,speed,xway,lane,dir,seg,pos'
+        WHEN 7 THEN concat('1,', rest) WHEN 8 THEN concat(' ', l) WHEN 9 THEN concat('2147483648', rest)
+        WHEN 10 THEN concat('"1"', rest) WHEN 11 THEN concat(substring_index(l, ',', 7), ',') WHEN 12 THEN NULL
+        ELSE l END AS value""")
+
+
 def load_reports(
     spark: SparkSession, sf_dir: str, clock: str = "event", policy: SkewPolicy = DEFAULT_SKEW
 ) -> DataFrame:

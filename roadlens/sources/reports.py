@@ -78,6 +78,22 @@ def bad_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
     return rejected.withColumnRenamed("_line", line_col)
 
 
+def marked_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
+    """Every line once: ``good`` (does the strict parser take it), ``line`` and the 8 report columns, which
+    are null where ``good`` is false; other columns are kept. One pass for both sides of a quarantine."""
+    staged, keep = _checked(lines, line_col)
+    types = [(f.name, f.dataType.simpleString()) for f in REPORT_SCHEMA.fields]
+    fits = " AND ".join(f"{_field(i, t, 'TRY_CAST')} IS NOT NULL" for i, (_, t) in enumerate(types))
+    judged = staged.selectExpr(*keep, "_line", "_parts", f"_ok AND {fits} AS good")
+    fields = [f"CASE WHEN good THEN {_field(i, t, 'TRY_CAST')} END AS {n}" for i, (n, t) in enumerate(types)]
+    return judged.selectExpr(*keep, "_line AS line", "good", *fields)
+
+
+def without_nulls(marked: DataFrame) -> DataFrame:
+    """``marked_lines`` for a reader that knows no nulls: ``<null>`` for a missing line, 0 for a missing number."""
+    return marked.na.fill("<null>", ["line"]).na.fill(0, list(REPORT_FIELDS))
+
+
 FILE_BITS = 42  # `seq` = number of the file, then 42 bits for the place in it
 BROADCAST_FILES = 200_000  # up to so many paths (some 30 MB) the table of files is broadcast
 

@@ -17,16 +17,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlens.config import Params
+from roadlens.config import DEFAULT_SKEW, Params, SkewPolicy
 from roadlens.operators.stopped import stopped_sliding
 from roadlens.session import checkpoint_root
-from roadlens.sources.events_view import load_reports, mixed_reports
+from roadlens.sources.events_view import load_reports, mixed_reports, spoiled_lines
+from roadlens.sources.reports import without_nulls
+from roadlens.streaming import carried
 from roadlens.streaming.late import LateSpeedControl, stream_late_speed_control
 from roadlens.streaming.operators import (
     stream_accident_reporter,
     stream_average_speed_control,
     stream_speed_radar,
 )
+from roadlens.streaming.quarantine import Quarantine, stream_quarantine
 
 REPORT_COLS = ("seq", "time", "vid", "speed", "xway", "lane", "dir", "seg", "pos")
 INT_MAX = 2**31 - 1
@@ -174,3 +177,59 @@ def stream_late_reports_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_late_dropped_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return late_run(spark, sf_dir).late().select("vid", "time", "seq", "arrived")
+
+
+def carried_run(spark: SparkSession, staged: DataFrame, parts: list[DataFrame], step, carry: str, output: str, base: str) -> DataFrame:
+    """The results of a carried operator over ``parts`` of ``staged``; each part is one micro-batch."""
+    operator = carried.Carried(spark, f"{base}/state", step, carry, output)
+    for part in parts:
+        part.write.mode("append").parquet(f"{base}/source")
+        stream = spark.readStream.schema(staged.schema).parquet(f"{base}/source")
+        carried.stream_carried(stream, operator, f"{base}/checkpoint").awaitTermination()
+    return operator.results()
+
+
+def _in_time(step, carry: str, output: str) -> Callable[[SparkSession, str], DataFrame]:
+    """View A in chunks of ``time`` through a carried operator."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        base = run_folder(spark, "carried")
+        staged = stage_view(spark, load_reports(spark, sf_dir), f"{base}/view")
+        return carried_run(spark, staged, time_chunks(staged, 3), step, carry, output, base).drop("batch")
+
+    return query
+
+
+def carried_radar_query(policy: SkewPolicy):
+    return _in_time(carried.radar_step(policy=policy), carried.RADAR_CARRY, carried.RADAR_OUT)
+
+
+def carried_accident_query(policy: SkewPolicy):
+    return _in_time(carried.accident_step(policy=policy), carried.COUNT_CARRY, carried.ACCIDENT_OUT)
+
+
+def carried_count_window_query(size: int, slide: int, policy: SkewPolicy = DEFAULT_SKEW):
+    return _in_time(carried.count_window_step(size, slide, policy), carried.COUNT_CARRY, carried.FIRING_OUT)
+
+
+def stream_steps_back_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """View B in chunks of arrival: per micro-batch, the reports behind an earlier one."""
+    base = run_folder(spark, "steps-back")
+    staged = stage_view(spark, load_reports(spark, sf_dir, clock="cadence"), f"{base}/view")
+    parts = [staged.where(f"{arrival_chunk()} = {chunk}") for chunk in range(LATE_CHUNKS)]
+    step = carried.backward_step()
+    rows = carried_run(spark, staged, parts, step, carried.BACKWARD_CARRY, carried.BACKWARD_OUT, base)
+    return rows.where("reports > 0")
+
+
+def stream_parse_quarantine_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of view A, two thirds of them changed, in three micro-batches by arrival."""
+    base = run_folder(spark, "quarantine")
+    spoiled_lines(load_reports(spark, sf_dir)).write.parquet(f"{base}/view")
+    staged = spark.read.parquet(f"{base}/view")
+    quarantine = Quarantine(spark, f"{base}/out")
+    for chunk in range(3):
+        staged.where(f"seq % 3 = {chunk}").write.mode("append").parquet(f"{base}/source")
+        stream = spark.readStream.schema(staged.schema).parquet(f"{base}/source")
+        stream_quarantine(stream, quarantine, f"{base}/checkpoint").awaitTermination()
+    return without_nulls(quarantine.lines())
