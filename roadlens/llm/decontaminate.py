@@ -105,18 +105,30 @@ def _searcher(block: int, shared, window: int, first: bool, keep_text: bool):
     return search
 
 
-def search(rows: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS, keep_text: bool = True) -> DataFrame:
-    """Rows ``_doc, _text`` with ``_n`` words, ``_runs`` of hit words (first, end, first, end, ...) and ``_items`` found."""
+def search(
+    rows: DataFrame,
+    benchmark: DataFrame,
+    window: int = WINDOW,
+    block_words: int = BLOCK_WORDS,
+    keep_text: bool = True,
+    then=None,
+    schema: T.StructType | None = None,
+) -> DataFrame:
+    """Rows ``_doc, _text`` with ``_n`` words, ``_runs`` of hit words (first, end, first, end, ...) and ``_items`` found.
+
+    ``then`` maps those batches to ``schema`` in the same worker, so a task needs no second one.
+    """
     context = rows.sparkSession.sparkContext
     both = T.StructType([rows.schema["_doc"], rows.schema["_text"]])
-    last = T.StructType(both.fields[: 1 + keep_text] + FOUND.fields)
+    last = schema if then else T.StructType(both.fields[: 1 + keep_text] + FOUND.fields)
     out, waiting = rows, None
     for i, block in enumerate(item_blocks(benchmark, window, block_words)):
         if waiting:
             out = settle(out.mapInArrow(_searcher(*waiting, window, i == 1, True), T.StructType(both.fields + FOUND.fields)))
         waiting = i, context.broadcast(block)
     i, shared = waiting or (0, context.broadcast([]))
-    return out.mapInArrow(_searcher(i, shared, window, i == 0, keep_text), last)
+    find = _searcher(i, shared, window, i == 0, keep_text)
+    return out.mapInArrow((lambda batches: then(find(batches))) if then else find, last)
 
 
 def _cutter(max_coverage: float):
@@ -153,8 +165,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
     """
     others = [c for c in docs.columns if c != "text"]
     rows = docs.select(F.struct(*[docs[c] for c in others]).alias("_doc"), docs["text"].alias("_text"))
-    found = search(rows, benchmark, window)
-    out = found.mapInArrow(_cutter(max_coverage), T.StructType([*rows.schema.fields, T.StructField("_cut", T.BooleanType())]))
+    schema = T.StructType([*rows.schema.fields, T.StructField("_cut", T.BooleanType())])
+    out = search(rows, benchmark, window, then=_cutter(max_coverage), schema=schema)
     of = {c: F.col("_doc")[c].alias(c) for c in others} | {"text": F.col("_text").alias("text")}
     if "n_chars" in others:
         counted = F.length("_text").cast(docs.schema["n_chars"].dataType)
