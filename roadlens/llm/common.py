@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,22 @@ def few(df: DataFrame, rows: int, per: int = 100_000) -> DataFrame:
 # ---------------------------------------------------------------------------- Arrow text
 
 
+def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` over a task's batches. Spark keeps a worker for later tasks, also of other steps: at the end of
+    a task it gives the memory that its arrays took back to the system (where the C library can)."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return task
+
+
 def text_blocks(col: pa.Array, max_bytes: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Slices of a string column as ``(first row, end row, bytes, offsets)``; null is empty.
 

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadlens.llm.automaton import SuffixAutomaton
-from roadlens.llm.common import settle
+from roadlens.llm.common import settle, trimmed
 
 WINDOW = 10
 MAX_COVERAGE = 0.5
@@ -124,11 +124,11 @@ def search(
     out, waiting = rows, None
     for i, block in enumerate(item_blocks(benchmark, window, block_words)):
         if waiting:
-            out = settle(out.mapInArrow(_searcher(*waiting, window, i == 1, True), T.StructType(both.fields + FOUND.fields)))
+            out = settle(out.mapInArrow(trimmed(_searcher(*waiting, window, i == 1, True)), T.StructType(both.fields + FOUND.fields)))
         waiting = i, context.broadcast(block)
     i, shared = waiting or (0, context.broadcast([]))
     find = _searcher(i, shared, window, i == 0, keep_text)
-    return out.mapInArrow((lambda batches: then(find(batches))) if then else find, last)
+    return out.mapInArrow(trimmed((lambda batches: then(find(batches))) if then else find), last)
 
 
 def _cutter(max_coverage: float):

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 from pyspark.sql import types as T
 
-from roadlens.llm.common import few, settle, sized, text_blocks
+from roadlens.llm.common import few, settle, sized, text_blocks, trimmed
 from roadlens.llm.components import components
 from roadlens.llm.words import U, find_words, lower_ascii, mix, windows, word_hashes
 
@@ -183,7 +183,7 @@ class NearDuplicates:
         self.docs, self.k, self.percent = docs.select("doc_id", "text"), k, percent
         names = T.StructType([docs.schema["doc_id"]]).add("n_shingles", "long").add("node", "long").add("bands", T.ArrayType(T.LongType())).add("sketch", T.ArrayType(T.LongType()))
         schema = T.StructType(names.fields + [docs.schema[c] for c in extra])
-        self.signed = settle(docs.select("doc_id", "text", *extra).mapInArrow(_signer(k, rows, bands), schema))
+        self.signed = settle(docs.select("doc_id", "text", *extra).mapInArrow(trimmed(_signer(k, rows, bands)), schema))
         self.rows = self.signed.drop("bands", "sketch")
         # one row per class, with the document that stands for it; copies have equal sketches
         full = self.signed.where("n_shingles > 0")
@@ -205,7 +205,7 @@ class NearDuplicates:
         wanted = settle(few(nodes.join(self.bucketed, "node").select("doc_id", "node"), 2 * pairs.count()))
         same = self.docs["doc_id"].eqNullSafe(wanted["doc_id"])
         made = self.docs.join(sized(wanted.select("doc_id").distinct(), 1_000_000), same, "left_semi").select("text")
-        made = made.mapInArrow(_set_maker(self.k), "node long, set binary")
+        made = made.mapInArrow(trimmed(_set_maker(self.k)), "node long, set binary")
         # one doc_id can carry several texts: keep the sets of wanted classes, one of each
         made = made.join(sized(wanted.select("node"), 1_000_000), "node", "left_semi")
         sets = settle(made.groupBy("node").agg(F.first("set").alias("set")))
@@ -215,7 +215,7 @@ class NearDuplicates:
         one = sent.select(F.col("node").alias("a"), F.col("set").alias("_x"))
         two = sent.select(F.col("node").alias("b"), F.col("set").alias("_y"))
         full = pairs.join(one, "a").join(two, "b").select("a", "b", "_x", "_y")
-        return settle(full.mapInArrow(_confirmer(self.percent), "a long, b long"))
+        return settle(full.mapInArrow(trimmed(_confirmer(self.percent)), "a long, b long"))
 
     def _of(self, name: str, bands: bool = False) -> DataFrame:
         """The classes with columns named after ``name``: ``x, x_n, x_s0, ...``."""

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadlens.llm.boosting import Trees, fit
+from roadlens.llm.common import trimmed
 from roadlens.llm.stats import NAMES, text_stats
 
 SAMPLE = 20_000
@@ -53,7 +54,7 @@ def _stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees:
-    rows = labelled(docs, labels, "quality", FOLDS, HELD, sample).mapInArrow(_stats, "x array<double>, y int").toArrow()
+    rows = labelled(docs, labels, "quality", FOLDS, HELD, sample).mapInArrow(trimmed(_stats), "x array<double>, y int").toArrow()
     x = rows["x"].combine_chunks().flatten().to_numpy().reshape(-1, len(NAMES)) if len(rows) else np.zeros((0, len(NAMES)))
     y = rows["y"].to_numpy().astype(float)
     order = np.lexsort((*x.T, y))  # the order in which rows arrive must not matter
@@ -78,7 +79,7 @@ def score(docs: DataFrame, model: Trees, keep: list[str], limit: float | None =
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.struct(*[docs[c] for c in keep]).alias("_doc"), docs["text"].alias("_text"))
     schema = T.StructType([rows.schema["_doc"]]).add("score", "double")
-    return rows.mapInArrow(_scorer(shared, limit), schema if limit is None else schema.add(rows.schema["_text"]))
+    return rows.mapInArrow(trimmed(_scorer(shared, limit)), schema if limit is None else schema.add(rows.schema["_text"]))
 
 
 def filter_quality(docs: DataFrame, labels: DataFrame, limit: float = LIMIT) -> DataFrame:
