@@ -111,6 +111,7 @@ def search(
     window: int = WINDOW,
     block_words: int = BLOCK_WORDS,
     keep_text: bool = True,
+    *,
     then=None,
     schema: T.StructType | None = None,
 ) -> DataFrame:
