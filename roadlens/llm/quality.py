@@ -1,14 +1,14 @@
 """Quality classifier: histogram gradient-boosted trees over statistics of the whole text.
 
 Statistics (``stats.NAMES``) are computed in Arrow batches. Trees are fitted on a bounded sample
-of labelled rows (``SAMPLE`` rows, those with the smallest hash of the doc_id), which the driver
-holds as ``SAMPLE`` x statistics numbers; scoring streams all documents.
+of labelled rows (``SAMPLE`` rows of as many doc_ids at most, those with the smallest hashes),
+which the driver holds as ``SAMPLE`` x statistics numbers; scoring streams all documents.
 
 Labels are learned only from rows whose crc32(doc_id as text) mod 3 is not 1; labels, language,
 source and doc_id are no inputs. Edge cases: null and empty texts have all statistics 0 and get
 the score the trees give to those; null labels and labels of unknown documents teach nothing;
-without labels, or with one label alone, all scores are one constant; repeated rows are scored
-each; an empty table gives no rows.
+without labels, or with one label alone, all scores are one constant; rows equal in doc_id and
+text teach once and are scored each; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -36,12 +36,16 @@ def held_out(doc_id: Column, folds: int, held: int) -> Column:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int, sample: int) -> DataFrame:
-    """``text, y`` of at most ``sample`` labelled rows outside the held-out fold, the same in every run."""
+    """``text, y, row`` of labelled rows outside the held-out fold, of at most ``sample`` doc_ids, the same in every run.
+
+    ``row`` is a hash of doc_id and text; a doc_id may have any number of rows, so whoever collects them bounds them by it.
+    """
     known = labels.where(F.col(label).isin(0, 1) & ~held_out(labels["doc_id"], folds, held))
     known = known.groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = docs.select(docs["doc_id"].alias("_id"), "text")
-    return F.broadcast(chosen).join(texts, F.col("doc_id") == F.col("_id")).select("text", "y")
+    rows = F.broadcast(chosen).join(texts, F.col("doc_id") == F.col("_id"))
+    return rows.select("text", "y", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("row"))
 
 
 def _stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -50,11 +54,12 @@ def _stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if x:
             flat = np.concatenate(x)
             offsets = pa.array(np.arange(len(flat) + 1, dtype=np.int32) * len(NAMES))
-            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(offsets, pa.array(flat.reshape(-1))), batch.column(1)], names=["x", "y"])
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(offsets, pa.array(flat.reshape(-1))), *batch.columns[1:]], names=["x", "y", "row"])
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees:
-    rows = labelled(docs, labels, "quality", FOLDS, HELD, sample).mapInArrow(trimmed(_stats), "x array<double>, y int").toArrow()
+    rows = labelled(docs, labels, "quality", FOLDS, HELD, sample).mapInArrow(trimmed(_stats), "x array<double>, y int, row long")
+    rows = rows.dropDuplicates(["row"]).orderBy("row").limit(sample).toArrow()
     x = rows["x"].combine_chunks().flatten().to_numpy().reshape(-1, len(NAMES)) if len(rows) else np.zeros((0, len(NAMES)))
     y = rows["y"].to_numpy().astype(float)
     order = np.lexsort((*x.T, y))  # the order in which rows arrive must not matter

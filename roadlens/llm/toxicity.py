@@ -1,9 +1,9 @@
 """Toxicity: a linear-chain CRF tags toxic tokens; its marginals give document scores and spans.
 
 Labels are per document, so tokens are labelled first: on a bounded sample of labelled rows
-(``SAMPLE``), Spark counts in how many toxic and other documents each word and each word
-beginning (4 and 6 bytes) occurs; those with a high log-odds form a lexicon of at most
-``LEXICON`` entries. A token's class is the band of its best log-odds (0: none). In toxic
+(``SAMPLE`` rows with ``SAMPLE_BYTES`` of text), Spark counts in how many toxic and other documents
+each word and each word beginning (4 and 6 bytes) occurs; all those with a high log-odds form the
+lexicon, which the sample's bytes bound. A token's class is the band of its best log-odds (0: none). In toxic
 documents tokens of a high class are labelled 1, all other tokens 0, and a CRF over the classes
 of a token and its neighbours is trained on runs of ``RUN`` tokens.
 
@@ -15,7 +15,8 @@ offending spans, as code-point offsets.
 Labels are learned only from rows whose crc32(doc_id as text) mod 4 is not 2; labels, language,
 source and doc_id are no inputs. Edge cases: null and empty texts have no tokens and score as
 such; null labels and labels of unknown documents teach nothing; without toxic labels all scores
-are one constant; repeated rows are scored each; an empty table gives no rows.
+are one constant; rows equal in doc_id and text teach once and are scored each; a text that the
+rest of ``SAMPLE_BYTES`` cannot hold teaches nothing; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ from roadlens.llm.quality import held_out, labelled
 from roadlens.llm.words import U, find_words, lower_ascii, mix, word_hashes
 
 SAMPLE = 10_000
-LEXICON = 50_000
+SAMPLE_BYTES = 64 << 20  # of the texts that teach
 LEAST = 5  # toxic documents an entry occurs in
 BANDS = (1.0, 2.0, 3.0, 4.0, 5.0)  # of log-odds; class 0 is below the first
 STRONG = 3  # a class from here on is labelled in toxic documents
@@ -149,8 +150,21 @@ def _regression(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     return w
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+def _sample(docs: DataFrame, labels: DataFrame, sample: int, max_bytes: int) -> DataFrame:
+    """Labelled rows, ``text, y``: those with the smallest hashes, as far as ``sample`` and ``max_bytes`` reach."""
     rows = settle(labelled(docs, labels, "toxic", FOLDS, HELD, sample))
+    sizes = rows.groupBy("row").agg(F.max(F.octet_length(F.coalesce("text", F.lit("")))).alias("n")).orderBy("row").limit(sample)
+    chosen, left = [], max_bytes
+    for row, n in sizes.collect():
+        if n <= left:
+            chosen.append((row,))
+            left -= n
+    chosen = F.broadcast(docs.sparkSession.createDataFrame(chosen, "row long"))
+    return settle(rows.join(chosen, "row").groupBy("row").agg(F.first("text").alias("text"), F.max("y").alias("y")).drop("row"))
+
+
+def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, max_bytes: int = SAMPLE_BYTES) -> Model:
+    rows = _sample(docs, labels, sample, max_bytes)
     counted = rows.agg(F.sum("y"), F.count("*")).first()
     toxic, other = int(counted[0] or 0), int(counted[1]) - int(counted[0] or 0)
     empty = np.zeros(0, U)
@@ -161,7 +175,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     odds = F.log((F.col("t") + 0.5) / (toxic + 1)) - F.log((F.col("n") - F.col("t") + 0.5) / (other + 1))
     keys = rows.mapInArrow(_occurring, "key long, y long").groupBy("key").agg(F.sum("y").alias("t"), F.count("*").alias("n"))
     keys = keys.where(F.col("t") >= LEAST).withColumn("z", odds).where(F.col("z") >= BANDS[0])
-    found = keys.orderBy(F.desc("z"), "key").limit(LEXICON).select("key", "z").toArrow()
+    found = keys.select("key", "z").toArrow()
     key, z = found["key"].to_numpy().view(U), found["z"].to_numpy()
     order = np.argsort(key)
     near = none.near.copy()

@@ -51,6 +51,32 @@ def test_edge_cases(spark, run):
     assert run(frame.limit(0), some).count() == 0
 
 
+def test_samples_are_bounded_by_rows_and_bytes(spark):
+    n = 50_000
+    frame = spark.range(n).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("words of row "), F.col("id") % (n // 2)).alias("text"))
+    labels = spark.createDataFrame([(1, 1, 1), (2, 0, 0)], "doc_id long, quality int, toxic int")
+    rows = toxicity._sample(frame, labels, 10, 1 << 20).collect()
+    assert len(rows) == len({r["text"] for r in rows}) == 10 and {r["y"] for r in rows} == {1}
+    assert sorted(rows) == sorted(toxicity._sample(frame.repartition(7), labels, 10, 1 << 20).collect())
+    few = toxicity._sample(frame, labels, 10, 40).collect()
+    assert 1 <= len(few) <= 3 and sum(len(r["text"]) for r in few) <= 40
+    seen = []
+    fit, quality.fit = quality.fit, lambda x, y: seen.append(len(y)) or fit(x, y)
+    try:
+        quality.train(frame, labels, sample=10)
+    finally:
+        quality.fit = fit
+    assert seen == [10]
+
+
+def test_lexicon_keeps_every_word_above_the_limit(spark):
+    words = [f"bad{i:05d}" for i in range(60_000)]
+    docs = [(i, " ".join(words) if i < 20 else f"fine {i} day") for i in range(60)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, int(i < 20)) for i, _ in docs], "doc_id long, quality int, toxic int")
+    assert len(toxicity.learn(frame, labels).keys) >= len(words)
+
+
 def test_spans_are_code_points(spark):
     bad = "é\U0001f600 ok vile, ok"
     docs = [(i, bad if i % 3 == 0 else f"fine {i} ok ok") for i in range(300)]
