@@ -40,6 +40,7 @@ from roadlens.session import checkpoint_root
 
 PACKAGE_BYTES = 32 << 20
 BLOCK_RECORDS = 2_000  # index lines handed to readers at a time
+TASK_BYTES = 32 << 20  # of packed records that a reading task gets, about
 ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -216,9 +217,12 @@ def _reader(root: str, id_type: pa.DataType, with_payload: bool):
 
 
 def read_packages(manifest: DataFrame, root: str, id_type: str = "bigint", with_payload: bool = True) -> DataFrame:
-    """All records of the packages in ``manifest`` (column ``path``), read by range, in parallel within packages too."""
+    """All records of the packages in ``manifest`` (columns ``path, records, bytes``), read by range, in parallel within packages too."""
     blocks = manifest.select("path").mapInArrow(_indexer(root), "path string, offsets array<long>, lengths array<long>")
-    blocks = blocks.repartition(F.col("path"), F.element_at("offsets", 1))
+    # index blocks are small and their records are not: the manifest says how many tasks the archives need
+    total = manifest.agg(F.sum("bytes"), F.sum("records")).first()
+    tasks = max(-(-(total[0] or 0) // TASK_BYTES), -(-(total[1] or 0) // BLOCK_RECORDS), 1)
+    blocks = blocks.repartition(tasks, F.col("path"), F.element_at("offsets", 1))
     arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[id_type]
     return blocks.mapInArrow(_reader(root, arrow, with_payload), RECORD.format(id_type))
 
@@ -234,4 +238,19 @@ def op4_warc_packages(pages: DataFrame) -> DataFrame:
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-# DuckDB has no SHA-1, so the query is tested against hashlib on whole tables instead of SQL.
+# base32 by hand: five hexadecimal digits are four letters
+SQL = r"""
+WITH rows AS (
+    SELECT page_id, coalesce(html, '') AS payload, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last FROM pages
+), hashed AS (
+    SELECT *, sha1(payload) AS hex FROM rows
+)
+SELECT page_id, strlen(payload) AS payload_bytes,
+    array_to_string([
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(hex, 1 + 5 * (j // 4), 5))::BIGINT >> (15 - 5 * (j % 4))::INT) & 31), 1)
+        for j in range(32)
+    ], '') AS payload_digest,
+    CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> last THEN last END AS refers_to
+FROM hashed
+"""

@@ -98,3 +98,16 @@ def test_only_the_asked_ranges_are_read():
     assert sum(n for _, n in source.ranges) < 70_000
     with pytest.raises(zipped.BadArchive):
         zipped.members(Bytes(b"no archive at all"))
+
+
+def test_packages_are_read_in_as_many_tasks_as_their_bytes_ask_for(spark, monkeypatch):
+    frame = spark.createDataFrame(pages(3), PAGES)
+    root = warc.new_folder(spark)
+    manifest = warc.write_packages(frame, root, package_bytes=2000)
+    total = manifest.agg(F.sum("bytes")).first()[0]
+    monkeypatch.setattr(warc, "TASK_BYTES", total // 5)
+    records = warc.read_packages(manifest, root)
+    assert records.rdd.getNumPartitions() >= 5
+    assert records.count() == frame.count()
+    empty = warc.write_packages(frame.limit(0), warc.new_folder(spark))
+    assert warc.read_packages(empty, root).count() == 0
