@@ -191,3 +191,37 @@ def op7_benchmark_decontamination(docs: DataFrame, benchmark: DataFrame) -> Data
         F.sha2(F.array_join("_items", ","), 256).alias("items_sha256"),
         (F.size("_runs") > 0).alias("contaminated"),
     )
+
+
+# one window size per item: ten words, or all of a shorter item
+SQL = r"""
+WITH texts AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), items AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark
+), grams AS (
+    SELECT DISTINCT item_id, size, array_to_string(w[i : i + size - 1], ' ') AS body
+    FROM (
+        SELECT item_id, w, least(10, len(w)) AS size, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i
+        FROM items WHERE len(w) > 0
+    )
+), places AS (
+    SELECT doc_id, i, size, array_to_string(w[i : i + size - 1], ' ') AS body
+    FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM texts, (SELECT DISTINCT size FROM grams))
+), found AS (
+    SELECT DISTINCT doc_id, i, size, item_id FROM places JOIN grams USING (size, body)
+), hits AS (
+    SELECT doc_id, count(DISTINCT place) AS n
+    FROM (SELECT doc_id, unnest(range(i, i + size)) AS place FROM found) GROUP BY doc_id
+), named AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS name FROM found WHERE item_id IS NOT NULL) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(names, '')) AS items_sha256, coalesce(n, 0) > 0 AS contaminated
+FROM texts LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
+"""

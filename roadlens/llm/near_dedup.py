@@ -321,3 +321,34 @@ def deduplicate(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> Da
 
 def op10_minmax_near_dedup(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs, k=2)
+
+
+# plain sets and every pair that shares a shingle: for tables of the size that the oracle reads
+SQL = r"""
+WITH RECURSIVE texts AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i : i + 1], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w), 2))) AS i FROM texts WHERE len(w) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), linked AS (
+    SELECT x, y FROM shared JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+    WHERE 100 * common >= 80 * (a.n + b.n - common)
+), links AS (
+    SELECT x, y FROM linked UNION ALL SELECT y, x FROM linked
+), reach(doc_id, far) AS (
+    SELECT doc_id, doc_id FROM texts
+    UNION
+    SELECT reach.doc_id, y FROM reach JOIN links ON far = x
+), components AS (
+    SELECT doc_id, min(far) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM components LEFT JOIN sizes USING (doc_id)
+"""

@@ -53,6 +53,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_source_mixing": mixing.SQL,
+        "op3_substring_dedup": substrings.SQL,
+        "op4_warc_packages": warc.SQL,
+        "op7_benchmark_decontamination": decontaminate.SQL,
+        "op10_minmax_near_dedup": near_dedup.SQL,
         "op11_url_model_ratio": url_filter.SQL,
         "op12_hard_negatives": hard_negatives.SQL,
         "op13_phrase_collocations": collocations.SQL,

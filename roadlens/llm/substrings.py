@@ -250,3 +250,24 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW, digest: bool = False) ->
 
 def op3_substring_dedup(docs: DataFrame) -> DataFrame:
     return remove_repeats(docs, digest=True).withColumnRenamed("kept", "kept_sha256")
+
+
+SQL = r"""
+WITH texts AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+    SELECT doc_id, i, array_to_string(w[i : i + 19], ' ') AS body
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM texts)
+), numbered AS (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY body ORDER BY doc_id, i) AS n FROM windows
+), covered AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS place FROM numbered WHERE n > 1
+), places AS (
+    SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM texts
+), kept AS (
+    SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS body
+    FROM places ANTI JOIN covered USING (doc_id, place) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(body, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (doc_id)
+"""
