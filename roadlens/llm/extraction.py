@@ -17,7 +17,8 @@ container it stands in. Containers that their tag, class, id or role marks as me
 footer, sidebar, notice, advert, form or comments are left out. Marks are hints: one of them
 makes text count a tenth, and those of the main slot (of the largest article's own, if there
 are articles) and of all above it do not hold; articles with less than a tenth of the weight
-outside them do not decide. The template's words are left out outside articles only, and only
+outside them do not decide; an article inside an article is marked too. A name marks only if all its
+parts say so, and never a heading. The template's words are left out, inside articles too, but only
 in containers without filling; a page that has over ``COPIES`` times as much of them as of all
 else is one of near copies, and they are its text.
 
@@ -40,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadlens.llm.common import settle, sized
-from roadlens.llm.markup import Block, Page, read_page
+from roadlens.llm.markup import Block, Element, Page, read_page
 
 PAGES = 3  # a host's words count as its template's from here on
 SUPPORT = 0.8  # share of the host's pages that a valid class stands on
@@ -74,12 +75,12 @@ def _container(block: Block) -> str:
     return at.path
 
 
-def _ancestors(path: str) -> list[str]:
-    """The path itself and all above it, the page ("") last."""
-    out = [path]
-    while path:
-        path = path[: path.rindex("/")]
-        out.append(path)
+def _above(element: Element) -> set[str]:
+    """The paths of an element and of all above it."""
+    out, at = set(), element
+    while at is not None:
+        out.add(at.path)
+        at = at.parent
     return out
 
 
@@ -88,15 +89,32 @@ def _weight(block: Block) -> int:
     return len(block.text) * 10 ** (SCALE - min(block.element.marks, SCALE - 1))
 
 
-def _lowest(filling: dict[str, int]) -> str:
-    """The lowest container that holds more than half of the page's filling."""
-    return max((p for p, n in filling.items() if 2 * n > filling[""]), key=lambda p: p.count("/"), default="")
+class Filling:
+    """Weighted text below each container of a page: blocks are summed up level by level, lowest first."""
+
+    def __init__(self, blocks: list[Block]):
+        levels: dict[int, dict[int, list]] = defaultdict(dict)
+        for block in blocks:
+            levels[block.element.depth].setdefault(id(block.element), [block.element, 0])[1] += _weight(block)
+        self.chars: dict[str, int] = defaultdict(int)
+        self.at: dict[str, Element] = {}  # some element with the path
+        for depth in range(max(levels, default=-1), -1, -1):
+            for element, chars in levels.pop(depth, {}).values():
+                self.chars[element.path] += chars
+                self.at[element.path] = element
+                if element.parent is not None:
+                    levels[depth - 1].setdefault(id(element.parent), [element.parent, 0])[1] += chars
+
+    def lowest(self) -> set[str]:
+        """The lowest container that holds more than half of the page's filling, and all above it."""
+        half = [p for p, n in self.chars.items() if 2 * n > self.chars[""]]
+        return _above(self.at[max(half, key=lambda p: self.at[p].depth)]) if half else {""}
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows ``host, kind, token, path, pages, high, low, chars``, combined over a batch; ``high, low`` sum the vector.
 
-    kind 0: the host's pages; 1: an element; 2: a text block; 3: weighted text below a container.
+    kind 0: the host's pages; 1: an element; 2: a text block; 3: weighted text below a container (the token is its depth).
     """
     for batch in batches:
         found: dict[tuple, list] = defaultdict(lambda: [0, 0, 0, 0])
@@ -108,8 +126,9 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 seen[1, _hash("element", path), path] = n
             for block in page.blocks:
                 seen[2, _text_token(block), ""] += 1
-                for path in _ancestors(block.element.path):
-                    found[host, 3, 0, path][3] += _weight(block)
+            filling = Filling(page.blocks)
+            for path, chars in filling.chars.items():
+                found[host, 3, filling.at[path].depth, path][3] += chars
             for (kind, token, path), n in seen.items():
                 row = found[host, kind, token, path]
                 row[0] += 1
@@ -160,10 +179,9 @@ def host_templates(pages: DataFrame) -> DataFrame:
     found = classes(pages)
     words = templates(found).where(F.size("words") > 0).join(found.groupBy("host").agg(F.max("total").alias("total")), "host")
     words = words.where(F.col("total") >= PAGES).groupBy("host").agg(F.flatten(F.collect_list("words")).alias("words"))
-    slots = found.where("kind = 3").select("host", "path", "chars")
+    slots = found.where("kind = 3").select("host", "path", "chars", F.col("token").alias("depth"))
     whole = slots.where("path = ''").select("host", F.col("chars").alias("whole"))
-    depth = F.length(F.regexp_replace("path", "[^/]", ""))
-    main = slots.join(whole, "host").where("2 * chars > whole").groupBy("host").agg(F.max_by("path", depth).alias("main"))
+    main = slots.join(whole, "host").where("2 * chars > whole").groupBy("host").agg(F.max_by("path", "depth").alias("main"))
     return settle(main.join(words, "host", "left"))
 
 
@@ -173,28 +191,29 @@ def _opened(page: Page, main: str | None) -> tuple[bool, set[str]]:
     These are the main slot and all above it: that of the largest article if the text is the
     articles', else the host's if the page has text there, else the page's own.
     """
-    below: dict[int, dict[str, int]] = defaultdict(lambda: defaultdict(int))  # by article; 0: none
-    whole: dict[str, int] = defaultdict(int)
+    below: dict[int, list[Block]] = defaultdict(list)  # by article; 0: none
     for block in page.blocks:
-        article, weight = block.main(), _weight(block)
-        for filling in (below[id(article) if article else 0], whole):
-            for path in _ancestors(block.element.path):
-                filling[path] += weight
-    outside = below.pop(0, {"": 0})[""]
-    if below and 10 * (whole[""] - outside) >= outside:
-        return True, set(_ancestors(_lowest(max(below.values(), key=lambda filling: filling[""]))))  # the first of equal ones
-    return False, set(_ancestors(main if main and main in whole else _lowest(whole)))
+        article = block.main()
+        below[id(article) if article else 0].append(block)
+    outside = sum(map(_weight, below.pop(0, [])))
+    fillings = [Filling(blocks) for blocks in below.values()]
+    if fillings and 10 * sum(f.chars[""] for f in fillings) >= outside:
+        return True, max(fillings, key=lambda f: f.chars[""]).lowest()  # the first of equal ones
+    whole = Filling(page.blocks)
+    return False, _above(whole.at[main]) if main and main in whole.at else whole.lowest()
 
 
 def main_text(page: Page, words: set[int], main: str | None) -> str:
     if not page.blocks:
         return ""
     articles, opened = _opened(page, main)
-    inside = [b for b in page.blocks if (b.in_main() or not articles) and not b.left_out(opened)]
+    known: dict = {}
+    inside = [b for b in page.blocks if (b.in_main() or not articles) and not b.left_out(opened, known)]
     if not inside and not articles:
         _, opened = _opened(page, None)
-        inside = [b for b in page.blocks if not b.left_out(opened)]
-    if words and not articles:
+        known = {}
+        inside = [b for b in page.blocks if not b.left_out(opened, known)]
+    if words:
         own = {id(b) for b in inside if _text_token(b) not in words}
         slots = {_container(b) for b in inside if id(b) in own}
         kept = [b for b in inside if id(b) in own or _container(b) in slots]

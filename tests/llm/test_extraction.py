@@ -68,6 +68,55 @@ def test_marks_hold_for_nothing_above_the_main_text(source, want):
     assert text(source) == want
 
 
+PROSE = "<p>" + "prose " * 120 + "</p>"
+
+
+@pytest.mark.parametrize(
+    "part,want",
+    [
+        ("<h2 id='discussion'>Discussion</h2>", "Discussion"),
+        ("<h3 id='binary-search'>Binary search</h3>", "Binary search"),
+        ("<h3 id='search' class='comments'>Search</h3>", "Search"),
+        ("<section id='related-work'><p>others did</p></section>", "others did"),
+        ("<section id='search-results'><p>found</p></section>", "found"),
+        ("<section id='responses'><p>they said</p></section>", "they said"),
+        ("<div class='overflow-hidden'><p>a table</p></div>", "a table"),
+        ("<p id='notice-period'>one month</p>", "one month"),
+        ("<div class='ad-hoc-networks'><p>nodes</p></div>", "nodes"),
+        ("<article><p>a reader says</p></article>", None),
+        ("<div class='ad-box'><p>buy</p></div>", None),
+        ("<p class='advert'>buy</p>", None),
+        ("<div class='post-comments'><p>first</p></div>", None),
+        ("<section id='comments'><p>first</p></section>", None),
+        ("<div class='cookieNotice'><p>cookies</p></div>", None),
+    ],
+)
+def test_a_name_marks_as_a_whole(part, want):
+    prose = ("prose " * 120).strip()
+    assert text(f"<article>{PROSE}{part}</article>") == (prose if want is None else f"{prose}\n\n{want}")
+
+
+def test_deep_pages():
+    # slots and marks below any depth, and thousands of elements that nobody closed
+    deep = "<div>" * 40
+    page = f"<body>{deep}<div class=menu><p>m</p></div><div class=story>{PROSE}<p>b</p></div></body>"
+    assert text(page) == ("prose " * 120).strip() + "\n\nb"
+    assert len({b.element.path for b in read_page("".join(f"<div>t{i}" for i in range(3000))).blocks}) == 3000
+    assert text("<article>" + "".join(f"<b><div>t{i}" for i in range(3000))) == "\n\n".join(f"t{i}" for i in range(3000))
+    assert max(len(b.element.path) for b in read_page("<div class=abcdefgh>x" * 500).blocks) < 1100
+
+
+def test_template_words_inside_articles(spark, monkeypatch):
+    page = "<html><body><article><h1>Title {0}</h1><p>{1}</p><div class=end><p>Thanks for reading to the end</p></div></article></body></html>"
+    rows = [(i, f"http://h/{i}", page.format(i, f"story {i} " * 20)) for i in range(6)]
+    frame = spark.createDataFrame(rows, PAGES)
+    want = {i: f"Title {i}\n\n" + (f"story {i} " * 20).strip() for i in range(6)}
+    assert {g["page_id"]: g["text"] for g in E.op1_html_extraction(frame).collect()} == want
+    monkeypatch.setattr(E, "PAGES", 100)  # without templates the line stays
+    got = {g["page_id"]: g["text"] for g in E.op1_html_extraction(frame).collect()}
+    assert got == {i: t + "\n\nThanks for reading to the end" for i, t in want.items()}
+
+
 def test_a_page_of_another_layout_than_its_hosts():
     assert text("<html><body><div class=content></div><form id=f><p>a</p></form></body></html>", main="/html/body") == "a"
 
