@@ -3,12 +3,15 @@
 * ``stream_speed_radar``       -- keyed running max, per-report output; Spark refuses row windows
   on streams, so it is ``applyInPandasWithState`` with state (first report, max so far).
 * ``stream_accident_reporter`` -- count window of 4 sliding by 1; state = the last 3 reports.
+  Both take a hash bucket of vehicles per call, in numpy, and hold the states of its vehicles.
 * ``stream_average_speed_control`` -- exact: a custom stateful operator with an event-time
   timeout and O(1) state per vehicle (``streaming.speed_control``); fast: ``session_window``
   with a watermark (delay 0, as the ascending-timestamp extractor) and arg-min/arg-max.
 
-Per call, a group holds the reports of one vehicle in one micro-batch, bounded by the
-trigger's ``maxFilesPerTrigger`` / ``maxBytesPerTrigger``; the state is O(1) per vehicle. Reports inside a micro-batch are ordered by (time, seq); micro-batches follow arrival.
+Per call, a group holds the reports of one vehicle (Q1, Q3: of one bucket of vehicles) in one micro-batch,
+bounded by the trigger's ``maxFilesPerTrigger`` / ``maxBytesPerTrigger``; the state is O(1) per vehicle. A bucket
+that gets reports has its state written as a whole; ``buckets`` sets their number, which a checkpoint fixes.
+Reports inside a micro-batch are ordered by (time, seq); micro-batches follow arrival.
 """
 
 from __future__ import annotations
@@ -36,54 +39,79 @@ _RADAR_OUT = T.StructType(
         T.StructField("max_speed", T.IntegerType()),
     ]
 )
-_RADAR_STATE = T.StructType(
-    [
-        T.StructField("time", T.IntegerType()),
-        T.StructField("xway", T.IntegerType()),
-        T.StructField("seg", T.IntegerType()),
-        T.StructField("dir", T.IntegerType()),
-        T.StructField("max_speed", T.IntegerType()),
-    ]
-)
+BUCKETS = 4096  # groups of vehicles: a call from Spark to Python costs milliseconds, so one serves many vehicles
+NULL = 2**63 - 1  # stands for null in the arrays of a group; it sorts last
 
 
-def _radar_step(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["time", "seq"], kind="stable")
-    if state.exists:
-        t0, x0, s0, d0, m0 = state.get
-    else:
-        head = pdf.iloc[0]
-        t0, x0, s0, d0, m0 = int(head.time), int(head.xway), int(head.seg), int(head.dir), None
-    speeds = pdf["speed"].to_numpy(dtype=np.int64)
-    if m0 is not None:
-        speeds = np.concatenate([[m0], speeds])
-    run = np.maximum.accumulate(speeds)
-    if m0 is not None:
-        run = run[1:]
-    state.update((t0, x0, s0, d0, int(run[-1])))
-    n = len(run)
-    yield pd.DataFrame(
-        {
-            "time": np.full(n, t0, dtype=np.int32),
-            "vid": np.full(n, key[0], dtype=np.int64),
-            "xway": np.full(n, x0, dtype=np.int32),
-            "seg": np.full(n, s0, dtype=np.int32),
-            "dir": np.full(n, d0, dtype=np.int32),
-            "max_speed": run.astype(np.int32),
-        }
-    )
+def _longs(columns: tuple[str, ...]) -> T.StructType:
+    return T.StructType([T.StructField(c, T.ArrayType(T.LongType())) for c in columns])
+
 
+def _in_buckets(reports: DataFrame, columns: tuple[str, ...], buckets: int):
+    """``reports`` grouped by a hash bucket of ``vid``; null is ``NULL``, and null vehicles have bucket -1."""
+    bucket = F.when(F.col("vid").isNull(), -1).otherwise(F.pmod(F.xxhash64("vid"), F.lit(buckets)))
+    longs = [F.coalesce(F.col(c).cast("bigint"), F.lit(NULL)).alias(c) for c in columns]
+    return reports.select(bucket.cast("int").alias("_bucket"), *longs).groupBy("_bucket")
 
-def stream_speed_radar(reports: DataFrame, limit: int = SPEED_LIMIT) -> DataFrame:
+
+def _after_state(
+    pdfs: Iterator[pd.DataFrame], state: GroupState, columns: tuple[str, ...], held: tuple[str, ...]
+) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+    """A bucket's rows by vehicle: those that the state holds in their order, then new ones by (time, seq).
+
+    Also whether a row is new, and its vehicle's first row. ``columns`` that are not ``held`` are ``NULL`` in held rows.
+    """
+    new = pd.concat(list(pdfs), ignore_index=True)
+    old = dict(zip(held, state.get)) if state.exists else {c: [] for c in held}
+    n = len(old["vid"])
+    cols = {c: np.concatenate([np.asarray(old.get(c, [NULL] * n), np.int64), new[c].to_numpy(np.int64)]) for c in columns}
+    fresh = np.arange(n + len(new)) >= n
+    time, seq = np.where(fresh, cols["time"], 0), np.where(fresh, cols["seq"], 0)
+    order = np.lexsort((seq, time, fresh, cols["vid"]))  # stable
+    cols, fresh = {c: v[order] for c, v in cols.items()}, fresh[order]
+    vid = cols["vid"]
+    first = np.flatnonzero(np.append(True, vid[1:] != vid[:-1]))
+    return cols, fresh, np.repeat(first, np.diff(np.append(first, len(vid))))
+
+
+def _frame(columns: dict[str, np.ndarray], schema: T.StructType) -> pd.DataFrame:
+    """Columns of integers in the types of ``schema``, ``NULL`` as null."""
+    out = {}
+    for f in schema.fields:
+        v = columns[f.name]
+        kind = np.int64 if isinstance(f.dataType, T.LongType) else np.int32
+        out[f.name] = pd.arrays.IntegerArray(np.where(v == NULL, 0, v).astype(kind), v == NULL)
+    return pd.DataFrame(out)
+
+
+_RADAR_COLS = ("vid", "time", "seq", "speed", "xway", "seg", "dir")
+_RADAR_HELD = ("vid", "time", "speed", "xway", "seg", "dir")  # per vehicle: first report, largest speed so far
+
+
+def _radar_step(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    cols, fresh, first = _after_state(pdfs, state, _RADAR_COLS, _RADAR_HELD)
+    # one running maximum: the speeds of each vehicle lie above those of the vehicles before it
+    step = first * 2**33
+    run = np.maximum.accumulate(cols["speed"] + step) - step
+    last = np.append(first[1:] != first[:-1], True)
+    heads = {c: cols[c][first] for c in ("vid", "time", "xway", "seg", "dir")} | {"speed": run}
+    state.update(tuple(heads[c][last].tolist() for c in _RADAR_HELD))
+    out = {c: v[fresh] for c, v in heads.items()}
+    out["max_speed"] = out["speed"]
+    if key[0] < 0:
+        out["vid"] = np.full(len(out["vid"]), NULL)
+    yield _frame(out, _RADAR_OUT)
+
+
+def stream_speed_radar(reports: DataFrame, limit: int = SPEED_LIMIT, buckets: int = BUCKETS) -> DataFrame:
     """Streaming Q1: one output row per speeding report (append mode)."""
-    fast = speeding(reports.select("time", "seq", "vid", "speed", "xway", "seg", "dir"), limit)
-    out = fast.groupBy("vid").applyInPandasWithState(
-        _radar_step, _RADAR_OUT, _RADAR_STATE, "append", GroupStateTimeout.NoTimeout
+    out = _in_buckets(speeding(reports, limit), _RADAR_COLS, buckets).applyInPandasWithState(
+        _radar_step, _RADAR_OUT, _longs(_RADAR_HELD), "append", GroupStateTimeout.NoTimeout
     )
     return out.select(*SPEED_RADAR_COLS)
 
 
-_HELD = ("time", "seq", "xway", "seg", "dir", "pos")
+_HELD = ("vid", "time", "seq", "xway", "seg", "dir", "pos")
 _ACC_OUT = T.StructType(
     [
         T.StructField("time1", T.IntegerType()),
@@ -95,57 +123,38 @@ _ACC_OUT = T.StructType(
         T.StructField("pos", T.IntegerType()),
     ]
 )
-_ACC_STATE = T.StructType(
-    [T.StructField(c, T.ArrayType(T.LongType())) for c in _HELD]
-)
 
 
 def _stopped_step_factory(size: int):
     hold = size - 1
 
     def step(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["time", "seq"], kind="stable")
-        new = {c: pdf[c].to_numpy(dtype=np.int64) for c in _HELD}
-        if state.exists:
-            old = state.get
-            cols = {c: np.concatenate([np.asarray(old[i], dtype=np.int64), new[c]]) for i, c in enumerate(_HELD)}
-            start = len(old[0])
-        else:
-            cols, start = new, 0
-        pos = cols["pos"]
-        total = len(pos)
-        ends = np.arange(max(start, hold), total)
-        if len(ends):
-            same = np.ones(len(ends), dtype=bool)
-            for back in range(1, size):
-                same &= pos[ends - back] == pos[ends]
-            hits = ends[same]
-        else:
-            hits = ends
-        firsts = hits - hold
-        state.update(tuple([cols[c][-hold:].tolist() if hold else [] for c in _HELD]))
+        cols, fresh, first = _after_state(pdfs, state, _HELD, _HELD)
+        pos, at = cols["pos"], np.arange(len(fresh))
+        ends = np.flatnonzero(fresh & (at - first >= hold) & (pos != NULL))
+        same = np.ones(len(ends), dtype=bool)
+        for back in range(1, size):
+            same &= pos[ends - back] == pos[ends]
+        hits = ends[same]
+        # the vehicle's last ``hold`` rows
+        past = np.append(np.flatnonzero(first[1:] != first[:-1]) + 1, len(first))
+        past = past[np.searchsorted(past, at, "right")]
+        state.update(tuple(cols[c][past - at <= hold].tolist() for c in _HELD))
         if not len(hits):
             return
-        yield pd.DataFrame(
-            {
-                "time1": cols["time"][firsts].astype(np.int32),
-                "time2": cols["time"][hits].astype(np.int32),
-                "vid": np.full(len(hits), key[0], dtype=np.int64),
-                "xway": cols["xway"][firsts].astype(np.int32),
-                "seg": cols["seg"][firsts].astype(np.int32),
-                "dir": cols["dir"][firsts].astype(np.int32),
-                "pos": cols["pos"][firsts].astype(np.int32),
-            }
-        )
+        out = {c: cols[c][hits - hold] for c in _HELD}
+        out |= {"time1": out["time"], "time2": cols["time"][hits]}
+        if key[0] < 0:
+            out["vid"] = np.full(len(hits), NULL)
+        yield _frame(out, _ACC_OUT)
 
     return step
 
 
-def stream_accident_reporter(reports: DataFrame, size: int = STOP_REPORTS) -> DataFrame:
+def stream_accident_reporter(reports: DataFrame, size: int = STOP_REPORTS, buckets: int = BUCKETS) -> DataFrame:
     """Streaming Q3: every ``size`` reports in a row at one position (append mode)."""
-    cols = reports.select("vid", *_HELD)
-    out = cols.groupBy("vid").applyInPandasWithState(
-        _stopped_step_factory(size), _ACC_OUT, _ACC_STATE, "append", GroupStateTimeout.NoTimeout
+    out = _in_buckets(reports, _HELD, buckets).applyInPandasWithState(
+        _stopped_step_factory(size), _ACC_OUT, _longs(_HELD), "append", GroupStateTimeout.NoTimeout
     )
     return out.select(*ACCIDENT_COLS)
 
