@@ -19,7 +19,9 @@ is lost. A candidate pair must also
 be near in its sketches (the last two bits of 1024 signature values: at the asked similarity
 a pair falls short of the limit with a probability of about 1e-5), it is emitted by the first of
 its buckets only, and every link is confirmed on the full sets of both texts (exact counts of
-64-bit shingle hashes).
+64-bit shingle hashes). The pairs left after the rounds must also pass a bound that no link fails:
+shingles fall on 1024 bits, a set keeps the parity of each, and two sets differ in at least as many
+shingles as parities. In a large group whose members are just not similar enough this leaves few.
 
 Edge cases: null, empty and white texts have no shingles, are linked with nothing and are their
 own component; a component is named by its smallest non-null doc_id (null if it has none);
@@ -50,6 +52,7 @@ SETS = 8 << 20  # bytes of full sets that are broadcast
 BLOCK = 1 << 17  # bytes of text in work at a time
 TEXTS = 1024  # texts signed at a time
 SKETCH = 16  # words of 64 signature values; two bits of each are kept, in two words
+PARITY = 16  # words of 64 parities
 SIGMAS = 4.25
 SLICE = 1 << 16  # shingles hashed at a time
 
@@ -113,8 +116,17 @@ def _signatures(found: np.ndarray, bounds: np.ndarray, rows: int, bands: int) ->
     return out, sketch
 
 
+def _parities(found: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Per set, for each of ``64 * PARITY`` bits, whether an odd number of its shingles falls on it."""
+    n, bits = len(bounds) - 1, 64 * PARITY
+    at = (mix(found ^ U(0x2545F4914F6CDD1D)) % U(bits)).astype(np.int64)
+    at += np.repeat(np.arange(n) * bits, np.diff(bounds))
+    odd = (np.bincount(at, minlength=n * bits) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(n, bits), axis=1, bitorder="little").view("<u8")
+
+
 def _signer(k: int, rows: int, bands: int):
-    """From ``doc_id, text`` and further columns to the latter's place ``n_shingles, node, bands, sketch``."""
+    """From ``doc_id, text`` and further columns to the latter's place ``n_shingles, node, bands, sketch, parity``."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,11 +136,14 @@ def _signer(k: int, rows: int, bands: int):
                 full = np.flatnonzero(sizes)
                 keys = np.zeros((b - a, bands), U)
                 sketch = np.zeros((b - a, 2 * SKETCH), U)
+                parity = np.zeros((b - a, PARITY), U)
                 # texts in slices of bounded work arrays; empty ones lie between without shingles
                 for part in np.array_split(full, max(1, len(found) // SLICE, -(-len(full) // TEXTS))) if len(full) else ():
                     if len(part):
                         low, high = bounds[part[0]], bounds[part[-1] + 1]
-                        keys[part], sketch[part] = _signatures(found[low:high], np.append(bounds[part], high) - low, rows, bands)
+                        cut = np.append(bounds[part], high) - low
+                        keys[part], sketch[part] = _signatures(found[low:high], cut, rows, bands)
+                        parity[part] = _parities(found[low:high], cut)
                 some = sizes > 0
                 flat = pa.array(keys[some].reshape(-1).view(np.int64))
                 counts = np.append(0, np.cumsum(some * bands)).astype(np.int32)
@@ -139,9 +154,10 @@ def _signer(k: int, rows: int, bands: int):
                         pa.array(names.view(np.int64)),
                         pa.ListArray.from_arrays(pa.array(counts), flat),
                         pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1, dtype=np.int32) * 2 * SKETCH), pa.array(sketch.reshape(-1).view(np.int64))),
+                        pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1, dtype=np.int32) * PARITY), pa.array(parity.reshape(-1).view(np.int64))),
                         *[c.slice(a, b - a) for c in batch.columns[2:]],
                     ],
-                    names=["doc_id", "n_shingles", "node", "bands", "sketch", *batch.schema.names[2:]],
+                    names=["doc_id", "n_shingles", "node", "bands", "sketch", "parity", *batch.schema.names[2:]],
                 )
 
     return sign
@@ -181,14 +197,15 @@ class NearDuplicates:
 
     def __init__(self, docs: DataFrame, k: int, percent: int, rows: int, bands: int, extra: tuple[str, ...]):
         self.docs, self.k, self.percent = docs.select("doc_id", "text"), k, percent
-        names = T.StructType([docs.schema["doc_id"]]).add("n_shingles", "long").add("node", "long").add("bands", T.ArrayType(T.LongType())).add("sketch", T.ArrayType(T.LongType()))
+        names = T.StructType([docs.schema["doc_id"]]).add("n_shingles", "long").add("node", "long").add("bands", T.ArrayType(T.LongType())).add("sketch", T.ArrayType(T.LongType())).add("parity", T.ArrayType(T.LongType()))
         schema = T.StructType(names.fields + [docs.schema[c] for c in extra])
         self.signed = settle(docs.select("doc_id", "text", *extra).mapInArrow(trimmed(_signer(k, rows, bands)), schema))
-        self.rows = self.signed.drop("bands", "sketch")
-        # one row per class, with the document that stands for it; copies have equal sketches
+        self.rows = self.signed.drop("bands", "sketch", "parity")
+        # one row per class, with the document that stands for it; copies have equal sketches and parities
         full = self.signed.where("n_shingles > 0")
         sketch = [F.min(F.get("sketch", F.lit(i))).alias(f"s{i}") for i in range(2 * SKETCH)]
-        self.classes = settle(full.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n"), F.first("bands").alias("bands"), *sketch))
+        parity = F.first("parity").alias("parity")
+        self.classes = settle(full.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n"), F.first("bands").alias("bands"), parity, *sketch))
         alike = 0.25 + 0.75 * percent / 100
         values = 64 * SKETCH
         self.apart = values - int(values * alike - SIGMAS * (values * alike * (1 - alike)) ** 0.5)  # sketched values that may differ
@@ -218,9 +235,10 @@ class NearDuplicates:
         return settle(full.mapInArrow(trimmed(_confirmer(self.percent)), "a long, b long"))
 
     def _of(self, name: str, bands: bool = False) -> DataFrame:
-        """The classes with columns named after ``name``: ``x, x_n, x_s0, ...``."""
+        """The classes with columns named after ``name``: ``x, x_n, x_s0, ...``, with ``bands`` also these and ``x_p0, ...``."""
         columns = ["n", *["bands"] * bands, *(f"s{i}" for i in range(2 * SKETCH))]
-        return self.bucketed.select(F.col("node").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in columns])
+        parity = [F.get("parity", F.lit(i)).alias(f"{name}_p{i}") for i in range(PARITY if bands else 0)]
+        return self.bucketed.select(F.col("node").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in columns], *parity)
 
     def _alike(self, n, m):
         """Sizes that allow the similarity at all."""
@@ -231,6 +249,12 @@ class NearDuplicates:
         differ = [F.col(f"x_s{i}").bitwiseXOR(F.col(f"y_s{i}")) for i in range(2 * SKETCH)]
         return sum((F.bit_count(differ[i].bitwiseOR(differ[SKETCH + i])) for i in range(SKETCH)), F.lit(0))
 
+    def _can_link(self):
+        """Whether ``x`` and ``y`` can have the similarity: shingles in one set only are as many as unequal parities at least."""
+        differ = sum((F.bit_count(F.col(f"x_p{i}").bitwiseXOR(F.col(f"y_p{i}"))) for i in range(PARITY)), F.lit(0))
+        both = F.col("x_n") + F.col("y_n")
+        return (both - differ) * 100 >= (both + differ) * self.percent
+
     def links(self) -> DataFrame | None:
         """Confirmed links ``a, b`` between classes that span all components."""
         buckets = self._buckets()
@@ -250,7 +274,7 @@ class NearDuplicates:
             else:  # all pairs that still lie in different components
                 x, y = (part.select("key", F.col("node").alias(v), F.col("comp").alias(f"{v}_c")).join(self._of(v, True), v) for v in "xy")
                 once = F.array_min(F.array_intersect("x_bands", "y_bands")) == F.col("key")
-                pairs = x.join(y, "key").where((F.col("x_c") < F.col("y_c")) & self._alike(F.col("x_n"), F.col("y_n")) & (self._apart() <= self.apart) & once)
+                pairs = x.join(y, "key").where((F.col("x_c") < F.col("y_c")) & self._alike(F.col("x_n"), F.col("y_n")) & (self._apart() <= self.apart) & self._can_link() & once)
             pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
             pairs = settle(few(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), self.members))
             tested = pairs if tested is None else tested.unionByName(pairs)

@@ -118,3 +118,33 @@ def test_components_of_chains_stars_and_cycles(spark):
     got = {r_["node"]: r_["component"] for r_ in components(frame).collect()}
     for group in (range(0, 41), range(100, 130), range(300, 303)):
         assert {got[names[i]] for i in group} == {min(names[i] for i in group)}
+
+
+def test_parities_bound_the_difference():
+    """Sets differ in at least as many shingles as parities, and in about as many while they are few."""
+    r = np.random.default_rng(4)
+    for size, apart in ((1, 0), (150, 20), (150, 60), (3000, 900)):
+        every = np.unique(r.integers(0, 2**63, size + apart, dtype=np.uint64))
+        x, y = every[: len(every) - apart // 2], every[apart - apart // 2 :]
+        p = N._parities(np.concatenate([x, y]), np.array([0, len(x), len(x) + len(y)]))
+        unequal = int(np.bitwise_count(p[0] ^ p[1]).sum())
+        assert unequal <= apart and (apart - unequal) % 2 == 0
+        assert apart > 100 or unequal >= apart - apart * apart / 256
+
+
+def test_few_pairs_are_confirmed_in_a_group_just_below_the_limit(spark, monkeypatch):
+    """120 texts that share 100 of 115 shingles, each pair with 100 of 130 (0.77): nearly no pair is compared in full."""
+    common = " ".join(f"w{i}" for i in range(101))
+    docs = [(i, common + "".join(f" d{i}x{j}" for j in range(15))) for i in range(120)]
+    docs += [(500, common + "".join(f" d7x{j}" for j in range(14)))]
+    tested = []
+    confirmed = N.NearDuplicates._confirmed
+
+    def counted(self, pairs):
+        tested.append(pairs.count())
+        return confirmed(self, pairs)
+
+    monkeypatch.setattr(N.NearDuplicates, "_confirmed", counted)
+    got = {r.doc_id: r.component_id for r in N.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), 2).collect()}
+    assert got == {**{i: i for i in range(120)}, 500: 7}
+    assert tested[-1] < 100
