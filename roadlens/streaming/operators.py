@@ -131,7 +131,7 @@ def _stopped_step_factory(size: int):
     def step(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         cols, fresh, first = _after_state(pdfs, state, _HELD, _HELD)
         pos, at = cols["pos"], np.arange(len(fresh))
-        ends = np.flatnonzero(fresh & (at - first >= hold) & (pos != NULL))
+        ends = np.flatnonzero(fresh & (at - first >= hold))
         same = np.ones(len(ends), dtype=bool)
         for back in range(1, size):
             same &= pos[ends - back] == pos[ends]
@@ -144,8 +144,10 @@ def _stopped_step_factory(size: int):
             return
         out = {c: cols[c][hits - hold] for c in _HELD}
         out |= {"time1": out["time"], "time2": cols["time"][hits]}
+        # null positions are equal; null is written as 0, a null vehicle as the smallest number
+        out = {c: np.where(v == NULL, 0, v) for c, v in out.items()}
         if key[0] < 0:
-            out["vid"] = np.full(len(hits), NULL)
+            out["vid"] = np.full(len(hits), -(2**63))
         yield _frame(out, _ACC_OUT)
 
     return step
